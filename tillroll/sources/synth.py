@@ -1,0 +1,34 @@
+"""Line damage used by the generated shop files (and by tests of the parser)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Fixed value that must equal the reference's: damage period in lines.
+CORRUPTION_PERIOD = 977
+DAMAGED_FIELD = 4  # 0-based field index replaced by a word
+DAMAGE_WORD = "N/A"
+
+
+def corrupt_lines(
+    lines: DataFrame, position: str = "position", value: str = "value", period: int = CORRUPTION_PERIOD
+) -> DataFrame:
+    """Damage lines by their 0-based position ``p``.
+
+    ``p > 0 and p % period == 0``: field 4 becomes ``N/A`` (a NotANumber reject);
+    else ``p > period and p % (3 * period) == 1``: the last field is dropped (a
+    WrongFieldCount reject). A per-row projection: no shuffle.
+    """
+    p = F.col(position)
+    parts = F.split(F.col(value), ",", -1)
+    worded = F.array_join(
+        F.transform(parts, lambda x, i: F.when(i == F.lit(DAMAGED_FIELD), F.lit(DAMAGE_WORD)).otherwise(x)), ","
+    )
+    shortened = F.array_join(F.slice(parts, F.lit(1), F.size(parts) - F.lit(1)), ",")
+    damaged = (
+        F.when((p > 0) & (p % period == 0), worded)
+        .when((p > period) & (p % (3 * period) == 1), shortened)
+        .otherwise(F.col(value))
+    )
+    return lines.withColumn(value, damaged)
