@@ -5,6 +5,9 @@ Amounts are binary doubles rounded to whole cents the JVM way:
 *binary* product (1.005 -> 1.0, unlike ``F.round`` which gives 1.01). Sums are
 taken over exact integer cents so they are order-free and identical on every
 partitioning.
+
+Each helper accepts a column name (built as one SQL expression, a single call
+into the JVM) or a Column (built with the function API).
 """
 
 from __future__ import annotations
@@ -17,8 +20,24 @@ CENTS = 100.0
 _WHOLE_ABOVE = float(2**52)
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def quote(name: str) -> str:
+    """A column name as a SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def round_money_sql(x: str) -> str:
+    """SQL text of :func:`round_money` for the SQL expression ``x``."""
+    s = f"(({x}) * 100D)"
+    return (
+        f"((CASE WHEN abs({s}) < 4503599627370496D "
+        f"THEN floor({s}) + CASE WHEN {s} - floor({s}) >= 0.5D THEN 1 ELSE 0 END "
+        f"ELSE floor({s}) END) / 100D)"
+    )
+
+
+def cents_sql(x: str) -> str:
+    """SQL text of :func:`cents` for the SQL expression ``x``."""
+    return f"CAST(round(({x}) * 100D) AS BIGINT)"
 
 
 def round_money(amount: Column | str) -> Column:
@@ -28,7 +47,9 @@ def round_money(amount: Column | str) -> Column:
     computed without rounding), avoiding the one-ulp error of ``floor(s + 0.5)``.
     NaN gives 0.0 and +-infinity saturate to +-2**63 / 100, as in the JVM.
     """
-    scaled = _col(amount) * F.lit(CENTS)
+    if isinstance(amount, str):
+        return F.expr(round_money_sql(quote(amount)))
+    scaled = amount * F.lit(CENTS)
     low = F.floor(scaled)
     rounded = F.when(
         F.abs(scaled) < F.lit(_WHOLE_ABOVE),
@@ -39,12 +60,18 @@ def round_money(amount: Column | str) -> Column:
 
 def revenue_of(quantity: Column | str, unit_price: Column | str) -> Column:
     """Line revenue: quantity times unit price, rounded to cents."""
-    return round_money(_col(quantity) * _col(unit_price))
+    if isinstance(quantity, str) and isinstance(unit_price, str):
+        return F.expr(round_money_sql(f"{quote(quantity)} * {quote(unit_price)}"))
+    q = F.col(quantity) if isinstance(quantity, str) else quantity
+    p = F.col(unit_price) if isinstance(unit_price, str) else unit_price
+    return round_money(q * p)
 
 
 def cents(amount: Column | str) -> Column:
     """Whole cents (BIGINT) of an amount that is already cent-rounded."""
-    return F.round(_col(amount) * F.lit(CENTS)).cast("long")
+    if isinstance(amount, str):
+        return F.expr(cents_sql(quote(amount)))
+    return F.round(amount * F.lit(CENTS)).cast("long")
 
 
 def money_sum(amount: Column | str) -> Column:
@@ -54,4 +81,6 @@ def money_sum(amount: Column | str) -> Column:
     final hash aggregation, and makes the result independent of how rows are
     split across partitions (a double fold is not).
     """
+    if isinstance(amount, str):
+        return F.expr(f"sum({cents_sql(quote(amount))}) / 100D")
     return F.sum(cents(amount)) / F.lit(CENTS)

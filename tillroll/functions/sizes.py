@@ -7,7 +7,8 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tillroll.session import literal_table
 
 # Fixed values that must equal the reference's for identical reports:
 # class labels cheapest -> dearest, and the default band limits in dollars.
@@ -84,13 +85,5 @@ def size_dimension(
         (rank, label, bounds[rank], bounds[rank + 1], text)
         for rank, (label, text) in enumerate(zip(labels, describe_limits(limits)))
     ]
-    schema = T.StructType(
-        [
-            T.StructField("rank", T.IntegerType(), False),
-            T.StructField("size", T.StringType(), False),
-            T.StructField("lower", T.DoubleType(), True),
-            T.StructField("upper", T.DoubleType(), True),
-            T.StructField("description", T.StringType(), False),
-        ]
-    )
-    return spark.createDataFrame(rows, schema)
+    columns = [("rank", "int"), ("size", "string"), ("lower", "double"), ("upper", "double"), ("description", "string")]
+    return literal_table(spark, columns, rows)

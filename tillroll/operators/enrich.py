@@ -21,6 +21,7 @@ def enrich(
     catalog_columns: Sequence[str] = ("product_name", "category"),
     revenue: str = "revenue",
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    broadcast: bool | None = None,
     salt_buckets: int = 1,
 ) -> DataFrame:
     """Inner equi-join of ``lines`` to ``catalog`` on ``key`` plus a revenue column.
@@ -37,8 +38,16 @@ def enrich(
     spreads each key over that many buckets: lines get a deterministic
     ``pmod(xxhash64(line columns), n)`` salt and catalog rows are replicated once
     per bucket, so each line still meets each matching catalog row exactly once.
+    ``broadcast=True/False`` skips the probe when the caller has already proven
+    (or ruled out) the bound, e.g. on the raw lines the catalog was parsed from.
     """
     cat = catalog.select(key, *catalog_columns)
+
+    def maybe_broadcast(side: DataFrame) -> DataFrame:
+        if broadcast is None:
+            return checked_broadcast(side, broadcast_rows)
+        return F.broadcast(side) if broadcast else side
+
     keep = [c for c in lines.columns if c != key]
     if salt_buckets and salt_buckets > 1:
         salted_lines = lines.withColumn(
@@ -47,9 +56,9 @@ def enrich(
         salted_cat = cat.withColumn(
             "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>"))
         )
-        joined = salted_lines.join(checked_broadcast(salted_cat, broadcast_rows), [key, "_salt"], "inner")
+        joined = salted_lines.join(maybe_broadcast(salted_cat), [key, "_salt"], "inner")
     else:
-        joined = lines.join(checked_broadcast(cat, broadcast_rows), key, "inner")
+        joined = lines.join(maybe_broadcast(cat), key, "inner")
     return joined.select(
         *[F.col(c) for c in keep],
         *[F.col(c) for c in catalog_columns],

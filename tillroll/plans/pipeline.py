@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,7 @@ from tillroll.sources.lines import (
     rejected,
 )
 from tillroll.sources.sinks import write_report
-from tillroll.session import DEFAULT_BROADCAST_ROWS
+from tillroll.session import DEFAULT_BROADCAST_ROWS, has_at_most
 
 # Fixed default run parameters, equal to the reference's defaults.
 DEFAULT_MINIMAL_REVENUE = 20.0
@@ -78,17 +79,124 @@ class PipelineConfig:
         return f"{self.output_dir}/{REPORT_DIRS[name]}"
 
 
-@dataclass
 class PipelineRun:
-    """The reports of one run plus the frames it persisted (released by :meth:`close`)."""
+    """The frames of one run, declared lazily: only what a caller touches is
+    built. The parse and the join result are persisted when first declared and
+    released by :meth:`close`."""
 
-    reports: dict[str, DataFrame]
-    texts: dict[str, DataFrame]
-    persisted: list[DataFrame]
+    REPORTS = tuple(REPORT_DIRS)
+    TEXTS = ("quality", "categories", "countries", "customers", "sizes", "pareto", "total")
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        config: PipelineConfig,
+        tx_lines: DataFrame,
+        pr_lines: DataFrame,
+        cache: bool = True,
+    ):
+        self.spark = spark
+        self.cache = cache
+        self.config = config
+        self.tx_lines = tx_lines
+        self.pr_lines = pr_lines
+        self.persisted: list[DataFrame] = []
+
+    def _persist(self, df: DataFrame) -> DataFrame:
+        if not self.cache:
+            return df
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self.persisted.append(df)
+        return df
 
     def close(self) -> None:
         for df in self.persisted:
             df.unpersist()
+        self.persisted.clear()
+
+    # --- inputs ---------------------------------------------------------------
+    @cached_property
+    def parsed(self) -> DataFrame:
+        """One parse feeds both sides of the accept/reject split."""
+        return self._persist(parse_lines(self.tx_lines, TRANSACTION_SPEC))
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return accepted(parse_lines(self.pr_lines, PRODUCT_SPEC), PRODUCT_SPEC)
+
+    @cached_property
+    def enriched(self) -> DataFrame:
+        # accepted products never outnumber the catalog's lines: probing the raw
+        # lines proves the broadcast bound without planning the parse twice
+        small = has_at_most(self.pr_lines, self.config.broadcast_rows)
+        joined = enrich(accepted(self.parsed, TRANSACTION_SPEC), self.products, "product_id", broadcast=small)
+        return self._persist(joined)
+
+    @cached_property
+    def significant(self) -> DataFrame:
+        return keep_significant(self.enriched, self.config.minimal_revenue)
+
+    # --- the six reports --------------------------------------------------------
+    @cached_property
+    def categories(self) -> DataFrame:
+        return revenue_by_category(self.significant)
+
+    @cached_property
+    def countries(self) -> DataFrame:
+        return revenue_by_country(self.significant)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return top_customers(self.significant, self.config.top_customer_count)
+
+    @cached_property
+    def sizes(self) -> DataFrame:
+        return order_size_zero_filled(self.enriched, limits=self.config.limits)
+
+    @cached_property
+    def pareto(self) -> DataFrame:
+        return pareto(self.categories, "category", "revenue")
+
+    @cached_property
+    def reach(self) -> DataFrame:
+        return keys_to_reach(self.categories, self.config.pareto_threshold, "category", "revenue")
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        return rejected(self.parsed)
+
+    @cached_property
+    def quality(self) -> DataFrame:
+        return quality_summary(self.parsed)
+
+    def report(self, name: str) -> DataFrame:
+        return {
+            "revenue_by_category": lambda: self.categories,
+            "revenue_by_country": lambda: self.countries,
+            "top_customers": lambda: self.customers,
+            "order_sizes": lambda: self.sizes.select("size", "count"),
+            "pareto_categories": lambda: self.pareto,
+            "rejected_lines": lambda: self.rejected,
+        }[name]()
+
+    def text(self, name: str) -> DataFrame:
+        return {
+            "quality": lambda: render.render_quality(self.quality),
+            "categories": lambda: render.render_categories(self.categories),
+            "countries": lambda: render.render_countries(self.countries),
+            "customers": lambda: render.render_customers(self.customers),
+            "sizes": lambda: render.render_sizes(self.sizes),
+            "pareto": lambda: render.render_pareto(self.pareto, self.reach, self.config.pareto_threshold),
+            "total": lambda: render.render_total(grand_total_of_report(self.categories)),
+        }[name]()
+
+    @property
+    def reports(self) -> dict[str, DataFrame]:
+        return {name: self.report(name) for name in self.REPORTS}
+
+    @property
+    def texts(self) -> dict[str, DataFrame]:
+        return {name: self.text(name) for name in self.TEXTS}
 
 
 def build_run(
@@ -97,45 +205,16 @@ def build_run(
     *,
     transaction_lines: DataFrame | None = None,
     product_lines: DataFrame | None = None,
+    cache: bool = True,
 ) -> PipelineRun:
-    """Declare every report of a run (lazy); line frames override the file paths."""
+    """Declare a run (lazy); line frames override the file paths.
+
+    ``cache=False`` declares single-consumer plans (nothing persisted), for
+    callers that take one report and cannot release a cache afterwards.
+    """
     tx_lines = read_lines(spark, config.transactions_path) if transaction_lines is None else clean_lines(transaction_lines)
     pr_lines = read_lines(spark, config.products_path) if product_lines is None else clean_lines(product_lines)
-
-    parsed = parse_lines(tx_lines, TRANSACTION_SPEC).persist(StorageLevel.MEMORY_AND_DISK)
-    products = accepted(parse_lines(pr_lines, PRODUCT_SPEC), PRODUCT_SPEC)
-    enriched = enrich(
-        accepted(parsed, TRANSACTION_SPEC), products, "product_id", broadcast_rows=config.broadcast_rows
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    significant = keep_significant(enriched, config.minimal_revenue)
-
-    categories = revenue_by_category(significant)
-    countries = revenue_by_country(significant)
-    customers = top_customers(significant, config.top_customer_count)
-    sizes = order_size_zero_filled(enriched, limits=config.limits)
-    pareto_rows = pareto(categories, "category", "revenue")
-    reach = keys_to_reach(categories, config.pareto_threshold, "category", "revenue")
-    rejects = rejected(parsed)
-    quality = quality_summary(parsed)
-
-    reports = {
-        "revenue_by_category": categories,
-        "revenue_by_country": countries,
-        "top_customers": customers,
-        "order_sizes": sizes.select("size", "count"),
-        "pareto_categories": pareto_rows,
-        "rejected_lines": rejects,
-    }
-    texts = {
-        "quality": render.render_quality(quality),
-        "categories": render.render_categories(categories),
-        "countries": render.render_countries(countries),
-        "customers": render.render_customers(customers),
-        "sizes": render.render_sizes(sizes),
-        "pareto": render.render_pareto(pareto_rows, reach, config.pareto_threshold),
-        "total": render.render_total(grand_total_of_report(categories)),
-    }
-    return PipelineRun(reports, texts, [parsed, enriched])
+    return PipelineRun(spark, config, tx_lines, pr_lines, cache)
 
 
 @contextmanager

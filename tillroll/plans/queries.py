@@ -44,6 +44,7 @@ from tillroll.sources.lines import (
     rejected,
     rejects_by_kind,
 )
+from tillroll.session import literal_table
 from tillroll.sources.synth import corrupt_lines
 from tillroll.sources.tables import (
     TRANSACTION_TEXT_FIELDS,
@@ -88,7 +89,7 @@ def customer_report(spark: SparkSession, d: str) -> DataFrame:
 
 def _with_headers(lines: DataFrame, header: str) -> DataFrame:
     """The lines of a file as written: a header line, the body, an empty last line."""
-    extra = lines.sparkSession.createDataFrame([(header,), ("",)], "value string")
+    extra = literal_table(lines.sparkSession, [("value", "string")], [(header,), ("",)])
     return lines.select("value").unionByName(extra)
 
 
@@ -180,7 +181,9 @@ def q_rejects_all_kinds(spark: SparkSession, d: str) -> DataFrame:
     lines = damaged_fields(spark, d).select(
         "position", F.concat_ws(",", *TRANSACTION_TEXT_FIELDS).alias("value")
     )
-    return parse_lines(clean_lines(corrupt_lines(lines, "position")), TRANSACTION_SPEC)
+    # lines are cleaned as read, then damaged and parsed (the damage keeps every
+    # line non-empty and header-free, so the order does not change the outcome)
+    return parse_lines(corrupt_lines(clean_lines(lines), "position"), TRANSACTION_SPEC)
 
 
 def q_products_accepted(spark: SparkSession, d: str) -> DataFrame:
@@ -300,27 +303,28 @@ def _shop_run(spark: SparkSession, d: str):
         PipelineConfig(),
         transaction_lines=shop_transaction_lines(spark, d),
         product_lines=shop_product_lines(spark, d),
+        cache=False,
     )
 
 
 def q_shop_revenue_by_category(spark: SparkSession, d: str) -> DataFrame:
-    return _shop_run(spark, d).reports["revenue_by_category"]
+    return _shop_run(spark, d).report("revenue_by_category")
 
 
 def q_shop_revenue_by_country(spark: SparkSession, d: str) -> DataFrame:
-    return _shop_run(spark, d).reports["revenue_by_country"]
+    return _shop_run(spark, d).report("revenue_by_country")
 
 
 def q_shop_top_customers(spark: SparkSession, d: str) -> DataFrame:
-    return _shop_run(spark, d).reports["top_customers"]
+    return _shop_run(spark, d).report("top_customers")
 
 
 def q_shop_order_sizes(spark: SparkSession, d: str) -> DataFrame:
-    return _shop_run(spark, d).reports["order_sizes"]
+    return _shop_run(spark, d).report("order_sizes")
 
 
 def q_shop_pareto_categories(spark: SparkSession, d: str) -> DataFrame:
-    return _shop_run(spark, d).reports["pareto_categories"]
+    return _shop_run(spark, d).report("pareto_categories")
 
 
 def q_six_report_row_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -329,7 +333,7 @@ def q_six_report_row_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def _text(name: str) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return _shop_run(spark, d).texts[name]
+        return _shop_run(spark, d).text(name)
 
     run.__name__ = f"q_render_{name}"
     return run

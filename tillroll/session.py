@@ -62,3 +62,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 def shuffle_partitions(spark: SparkSession) -> int:
     """The session's configured shuffle width (never hard-coded in operators)."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def literal_table(
+    spark: SparkSession, columns: list[tuple[str, str]], rows: list[tuple]
+) -> DataFrame:
+    """A small fixed table built JVM-side (one-row range + ``inline``).
+
+    Unlike ``createDataFrame`` on a Python list it needs no Python worker to
+    scan, so joining or unioning it costs nothing extra on the executors.
+    """
+    structs = [
+        F.struct(*[F.lit(v).cast(t).alias(name) for (name, t), v in zip(columns, row)])
+        for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))

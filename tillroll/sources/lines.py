@@ -38,7 +38,7 @@ OUT_OF_RANGE = "OutOfRange"
 MISSING_FIELD = "MissingField"
 
 # characters String.trim removes: everything up to and including the space
-_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_TRIM_CHARS = "".join(chr(c) for c in range(0x21))
 # spellings Spark's cast accepts but the JVM number grammar does not
 _SPARK_ONLY_SPECIALS = r"^[+-]?(inf|infinity|nan)$"
 _JVM_SPECIALS = r"^[+-]?(NaN|Infinity)$"
@@ -110,11 +110,42 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return clean_lines(spark.read.text(path))
 
 
+def _sql_text(text: str) -> str:
+    """A SQL string literal for ``text`` (unicode escapes for control characters)."""
+    out = []
+    for ch in text:
+        if ch in "'\\" or ord(ch) < 0x20 or ord(ch) == 0x7F:
+            out.append(f"\\u{ord(ch):04x}")
+        else:
+            out.append(ch)
+    return "'" + "".join(out) + "'"
+
+
+_TRIM_SQL = _sql_text(_TRIM_CHARS)
+_INF = "double('Infinity')"
+
+
+def jvm_trim_sql(x: str) -> str:
+    """SQL text of ``String.trim`` applied to the SQL expression ``x``."""
+    return f"trim(BOTH {_TRIM_SQL} FROM {x})"
+
+
+def jvm_trim(text: Column) -> Column:
+    """``String.trim``: drop every character <= U+0020 at both ends."""
+    return F.trim(text, F.lit(_TRIM_CHARS))
+
+
 def jvm_double(text: Column) -> Column:
-    """Parse text with the JVM ``toDouble`` grammar; NULL when it would throw."""
+    """Parse text with the JVM ``toDouble`` grammar; NULL when it would throw.
+
+    Spark's cast already delegates to the JVM parser and additionally accepts
+    ``inf``/``nan`` spellings in any case; those only ever yield NaN or an
+    infinity, so the (rare) non-finite results are the only ones re-checked.
+    """
     parsed = text.try_cast("double")
+    non_finite = F.isnan(parsed) | (F.abs(parsed) == F.lit(float("inf")))
     spark_only = F.lower(text).rlike(_SPARK_ONLY_SPECIALS) & ~text.rlike(_JVM_SPECIALS)
-    return F.when(spark_only, F.lit(None).cast("double")).otherwise(parsed)
+    return F.when(non_finite & spark_only, F.lit(None).cast("double")).otherwise(parsed)
 
 
 def jvm_to_int(number: Column) -> Column:
@@ -127,60 +158,53 @@ def jvm_to_int(number: Column) -> Column:
 def parse_lines(lines: DataFrame, spec: LineSpec = TRANSACTION_SPEC, line: str = "value") -> DataFrame:
     """Parse every line; output ``line, error_kind, reason, <spec columns>``.
 
-    Value columns are NULL on rejected rows. Pure projection: no shuffle, runs
-    in the scan's tasks, inside whole-stage codegen.
+    Value columns are NULL on rejected rows. Pure projections, no shuffle: the
+    parse runs in the scan's tasks inside whole-stage codegen. The split, the
+    trimmed fields, the numbers and the outcome are separate projection levels,
+    so each is computed once per row and then referenced by the checks. Each
+    level is one SQL ``selectExpr`` (a single call into the JVM).
     """
-    raw = F.col(line)
-    parts = F.split(raw, ",", -1)
-    found = F.size(parts)
-    expected = len(spec.fields)
-    trimmed = [F.regexp_replace(F.get(parts, i), _TRIM, "") for i in range(expected)]
-    numbers = {
-        i: jvm_double(trimmed[i]) for i, f in enumerate(spec.fields) if f.kind != "text"
-    }
-
-    def fail(kind: str, reason: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), reason.alias("reason"))
-
-    outcome = F.when(
-        found != F.lit(expected),
-        fail(
-            WRONG_FIELD_COUNT,
-            F.concat(F.lit(f"expected {expected} fields but found "), found.cast("string")),
-        ),
+    n = len(spec.fields)
+    numeric = [i for i, f in enumerate(spec.fields) if f.kind != "text"]
+    q = "`" + line.replace("`", "``") + "`"
+    split = lines.selectExpr(f"{q} AS line", f"split({q}, ',', -1) AS _parts")
+    fields = split.selectExpr(
+        "line", "size(_parts) AS _n", *[f"{jvm_trim_sql(f'get(_parts, {i})')} AS _f{i}" for i in range(n)]
+    )
+    tried = fields.selectExpr("*", *[f"try_cast(_f{i} AS DOUBLE) AS _t{i}" for i in numeric])
+    typed = tried.selectExpr(
+        "*",
+        *[
+            f"CASE WHEN (isnan(_t{i}) OR abs(_t{i}) = {_INF}) "
+            f"AND lower(_f{i}) RLIKE '{_SPARK_ONLY_SPECIALS}' AND NOT _f{i} RLIKE '{_JVM_SPECIALS}' "
+            f"THEN NULL ELSE _t{i} END AS _d{i}"
+            for i in numeric
+        ],
     )
+
+    def fail(kind: str, reason: str) -> str:
+        return f"named_struct('kind', '{kind}', 'reason', {reason})"
+
+    whens = [f"WHEN _n <> {n} THEN {fail(WRONG_FIELD_COUNT, f'concat({_sql_text(f"expected {n} fields but found ")}, CAST(_n AS STRING))')}"]
     for i, f in enumerate(spec.fields):
-        value = trimmed[i]
         if f.kind == "text":
-            outcome = outcome.when(
-                F.length(value) == 0, fail(MISSING_FIELD, F.lit(f"field {f.label} is empty"))
-            )
+            whens.append(f"WHEN length(_f{i}) = 0 THEN {fail(MISSING_FIELD, _sql_text(f'field {f.label} is empty'))}")
         else:
-            number = numbers[i]
-            outcome = outcome.when(
-                number.isNull(),
-                fail(NOT_A_NUMBER, F.concat(F.lit(f"field {f.label} is not a number: '"), value, F.lit("'"))),
-            ).when(
-                number <= F.lit(0.0),
-                fail(OUT_OF_RANGE, F.concat(F.lit(f"field {f.label} is out of range: '"), value, F.lit("'"))),
-            )
-    checked = lines.select(raw.alias("line"), outcome.alias("_outcome"), *[
-        (numbers[i] if f.kind != "text" else trimmed[i]).alias(f"_v{i}")
-        for i, f in enumerate(spec.fields)
-    ])
-    ok = F.col("_outcome").isNull()
-    values = []
+            nan_reason = f"concat({_sql_text(f'field {f.label} is not a number: ' + chr(39))}, _f{i}, {_sql_text(chr(39))})"
+            range_reason = f"concat({_sql_text(f'field {f.label} is out of range: ' + chr(39))}, _f{i}, {_sql_text(chr(39))})"
+            whens.append(f"WHEN _d{i} IS NULL THEN {fail(NOT_A_NUMBER, nan_reason)}")
+            whens.append(f"WHEN _d{i} <= 0D THEN {fail(OUT_OF_RANGE, range_reason)}")
+    checked = typed.selectExpr("*", "CASE " + " ".join(whens) + " END AS _outcome")
+    outputs = ["'line', line", "'error_kind', _outcome.kind", "'reason', _outcome.reason"]
     for i, f in enumerate(spec.fields):
-        v = F.col(f"_v{i}")
+        v = f"_f{i}" if f.kind == "text" else f"_d{i}"
         if f.kind == "positive_int":
-            v = jvm_to_int(v)
-        values.append(F.when(ok, v).alias(f.column))
-    return checked.select(
-        "line",
-        F.col("_outcome.kind").alias("error_kind"),
-        F.col("_outcome.reason").alias("reason"),
-        *values,
-    )
+            v = f"CASE WHEN isnan({v}) THEN 0 ELSE CAST(least({v}, {_INT_MAX}D) AS INT) END"
+        outputs.append(f"'{f.column}', CASE WHEN _outcome IS NULL THEN {v} END")
+    # One-row inline = optimizer fence: filters on the outcome (accepted /
+    # rejected) stop here instead of being pushed through the projections
+    # above, where substituting every alias would multiply the expression.
+    return checked.selectExpr(f"inline(array(named_struct({', '.join(outputs)})))")
 
 
 def accepted(parsed: DataFrame, spec: LineSpec = TRANSACTION_SPEC) -> DataFrame:

@@ -102,11 +102,12 @@ TRANSACTION_TEXT_FIELDS = (
 def event_lines(spark: SparkSession, sf_dir: str, *, corrupt: bool = True) -> DataFrame:
     """Raw transaction lines (``position, value``) built from ``events``;
     by default damaged like the reference's generated file."""
-    from tillroll.sources.synth import corrupt_lines
+    from tillroll.sources.synth import corrupt_fields
 
     fields = event_fields(spark, sf_dir)
-    lines = fields.select("position", F.concat_ws(",", *TRANSACTION_TEXT_FIELDS).alias("value"))
-    return corrupt_lines(lines, "position") if corrupt else lines
+    if corrupt:
+        fields = corrupt_fields(fields, list(TRANSACTION_TEXT_FIELDS), "position")
+    return fields.select("position", F.concat_ws(",", *TRANSACTION_TEXT_FIELDS).alias("value"))
 
 
 def part_lines(spark: SparkSession, sf_dir: str, category: str = "p_type") -> DataFrame:
