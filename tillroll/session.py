@@ -13,15 +13,29 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+# Proven bounds per session: (application id, plan hash, input files, bound) -> bool.
+_PROVEN: dict[tuple, bool] = {}
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Runs ``limit(max_rows + 1).count()``: the scan stops as soon as the bound is
-    exceeded, so the probe itself is bounded no matter how large ``df`` is.
+    exceeded, so the probe itself is bounded no matter how large ``df`` is. The
+    answer is remembered for the session under the plan's semantic hash and its
+    input files, so a table is probed once; new or replaced files re-probe.
     """
     if max_rows is None or max_rows < 0:
         return False
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (
+        df.sparkSession.sparkContext.applicationId,
+        df.semanticHash(),
+        tuple(sorted(df.inputFiles())),
+        max_rows,
+    )
+    if key not in _PROVEN:
+        _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _PROVEN[key]
 
 
 def checked_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -77,3 +91,18 @@ def literal_table(
         for row in rows
     ]
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
+def ensure_parallelism(df: DataFrame, floor: int | None = None) -> DataFrame:
+    """Spread an under-partitioned input over at least ``floor`` tasks.
+
+    A source with fewer splits than the cluster has cores (one row group, an
+    unsplittable compressed file) would run every later row-level step in that
+    many tasks. Only then is a round-robin repartition added; a large input,
+    already split into many tasks, is returned unchanged (no extra shuffle).
+    """
+    spark = df.sparkSession
+    want = floor or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

@@ -10,14 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.session import checked_broadcast
+from tillroll.session import checked_broadcast, ensure_parallelism
 
 # nation has 25 rows by construction; the probe still proves it before broadcasting
 _DIMENSION_ROWS = 10_000
 
 
+# Loaded tables per session: the file listing and footer reads happen once and
+# every query reuses the same relation (Catalyst still prunes per query).
+_LOADED: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """``<sf_dir>/<name>.parquet`` as a DataFrame, loaded once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _LOADED:
+        _LOADED[key] = spark.read.parquet(path)
+    return _LOADED[key]
 
 
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,21 +40,26 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Join order: the small nation dimension is attached to customers first, the
     result to orders, and only then the big lineitem side meets it on
-    ``l_orderkey``: one shuffle of lineitem, none of it repeated.
+    ``l_orderkey``. Each dimension-side result is broadcast only when a bounded
+    probe proves it small; otherwise the join is a shuffle join. (Without
+    cost-based statistics Spark estimates a join's size as the product of its
+    inputs, so left alone it would pick the fact table as the broadcast side.)
     """
     nation = checked_broadcast(
         table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), _DIMENSION_ROWS
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    located = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-        "c_custkey", "n_name"
+    located = checked_broadcast(
+        customer.join(nation, customer.c_nationkey == nation.n_nationkey).select("c_custkey", "n_name")
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    placed = orders.join(located, orders.o_custkey == located.c_custkey).select(
-        "o_orderkey", "o_custkey", "o_orderdate", "n_name"
+    placed = checked_broadcast(
+        orders.join(located, orders.o_custkey == located.c_custkey).select(
+            "o_orderkey", "o_custkey", "o_orderdate", "n_name"
+        )
     )
-    items = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"
+    items = ensure_parallelism(
+        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     )
     return items.join(placed, items.l_orderkey == placed.o_orderkey).select(
         F.col("l_orderkey").alias("order_id"),
@@ -75,17 +90,29 @@ def event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     decimals, event type as country, calendar day of ``ts``. ``position`` is the
     event id (dense), used by :func:`tillroll.sources.synth.corrupt_lines`.
     """
-    ev = table(spark, sf_dir, "events")
-    return ev.select(
-        F.col("event_id").alias("position"),
-        F.format_string("T%07d", "event_id").alias("order_id"),
-        F.format_string("C%05d", "user_id").alias("customer_id"),
-        F.format_string("P%04d", F.regexp_extract("props", r"(\d+)", 1).cast("int")).alias("product_id"),
-        (F.col("event_id") % 5 + 1).cast("string").alias("quantity"),
-        F.col("value").cast("decimal(12,2)").cast("string").alias("unit_price"),
-        F.col("event_type").alias("country"),
-        F.date_format("ts", "yyyy-MM-dd").alias("order_date"),
+    ev = ensure_parallelism(
+        table(spark, sf_dir, "events").select("event_id", "user_id", "props", "value", "event_type", "ts")
     )
+    return ev.selectExpr(
+        "event_id AS position",
+        f"concat('T', {_padded('event_id', 7)}) AS order_id",
+        f"concat('C', {_padded('user_id', 5)}) AS customer_id",
+        f"concat('P', {_padded(_PROPS_NUMBER, 4)}) AS product_id",
+        "CAST(event_id % 5 + 1 AS STRING) AS quantity",
+        "CAST(CAST(value AS DECIMAL(12,2)) AS STRING) AS unit_price",
+        "event_type AS country",
+        "CAST(CAST(ts AS DATE) AS STRING) AS order_date",
+    )
+
+
+_PROPS_NUMBER = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
+
+
+def _padded(expr: str, width: int) -> str:
+    """``%0<width>d`` of a non-negative integer without ``format_string``:
+    ``lpad`` to the width, never truncating a longer number."""
+    text = f"CAST({expr} AS STRING)"
+    return f"CASE WHEN length({text}) >= {width} THEN {text} ELSE lpad({text}, {width}, '0') END"
 
 
 TRANSACTION_TEXT_FIELDS = (
@@ -107,19 +134,20 @@ def event_lines(spark: SparkSession, sf_dir: str, *, corrupt: bool = True) -> Da
     fields = event_fields(spark, sf_dir)
     if corrupt:
         fields = corrupt_fields(fields, list(TRANSACTION_TEXT_FIELDS), "position")
-    return fields.select("position", F.concat_ws(",", *TRANSACTION_TEXT_FIELDS).alias("value"))
+    # The one-row inline is an optimizer fence: a line filter placed above
+    # (empty / header lines) is evaluated on the built line instead of being
+    # pushed below with the whole line expression substituted into it.
+    return fields.selectExpr(
+        f"inline(array(named_struct('position', position, 'value', concat_ws(',', {', '.join(TRANSACTION_TEXT_FIELDS)}))))"
+    )
 
 
 def part_lines(spark: SparkSession, sf_dir: str, category: str = "p_type") -> DataFrame:
     """Raw catalog lines (``value``) built from ``part``: ``P`` + 4-digit key,
     name, category, price at two decimals."""
     p = table(spark, sf_dir, "part")
-    return p.select(
-        F.concat_ws(
-            ",",
-            F.format_string("P%04d", "p_partkey"),
-            F.col("p_name"),
-            F.col(category),
-            F.col("p_retailprice").cast("decimal(12,2)").cast("string"),
-        ).alias("value")
+    line = (
+        f"concat_ws(',', concat('P', {_padded('p_partkey', 4)}), p_name, `{category}`, "
+        "CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING))"
     )
+    return p.selectExpr(f"inline(array(named_struct('value', {line})))")
