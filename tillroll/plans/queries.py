@@ -44,7 +44,8 @@ from tillroll.sources.lines import (
     rejected,
     rejects_by_kind,
 )
-from tillroll.session import literal_table
+from tillroll.session import ensure_parallelism, literal_table
+from tillroll.sources import synth
 from tillroll.sources.synth import corrupt_lines
 from tillroll.sources.tables import (
     TRANSACTION_TEXT_FIELDS,
@@ -294,6 +295,41 @@ def q_composed_columns(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+# ----------------------------------------------------------------------------
+# the generator: row indexes come from the tables, so the work grows with them
+# ----------------------------------------------------------------------------
+def _generated_catalog(spark: SparkSession) -> DataFrame:
+    return synth.synth_products(spark, synth.DEFAULT_PRODUCTS, synth.DEFAULT_SEED)
+
+
+def q_synth_products(spark: SparkSession, d: str) -> DataFrame:
+    """One generated catalog row per ``part`` key (index = p_partkey)."""
+    ids = table(spark, d, "part").select(F.col("p_partkey").alias("product_index"))
+    return synth.synth_products(spark, ids=ids)
+
+
+def q_synth_transactions(spark: SparkSession, d: str) -> DataFrame:
+    """One generated order line per ``events`` row (index = event_id), against
+    the default 200-product catalog."""
+    ids = ensure_parallelism(table(spark, d, "events").select(F.col("event_id").alias("line_index")))
+    return synth.synth_transactions(spark, _generated_catalog(spark), synth.DEFAULT_PRODUCTS, ids=ids)
+
+
+def q_synth_rejected_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Generated lines for every ``events`` row, damaged and parsed: the refusals."""
+    lines = synth.transaction_lines(q_synth_transactions(spark, d))
+    return rejected(parse_lines(clean_lines(lines), TRANSACTION_SPEC))
+
+
+def q_synth_revenue_by_category(spark: SparkSession, d: str) -> DataFrame:
+    """The generated shop run: generated lines -> parse -> enrich -> >= 20 -> categories."""
+    lines = synth.transaction_lines(q_synth_transactions(spark, d))
+    catalog_lines = synth.product_lines(_generated_catalog(spark))
+    products = accepted(parse_lines(clean_lines(catalog_lines), PRODUCT_SPEC), PRODUCT_SPEC)
+    parsed = parse_lines(clean_lines(lines), TRANSACTION_SPEC)
+    return revenue_by_category(keep_significant(enrich(accepted(parsed), products), SHOP_MIN_REVENUE))
+
+
 # ----------------------------------------------------------------------------
 # the reference's own run over text lines: six reports and their rendering
 # ----------------------------------------------------------------------------
@@ -378,4 +414,8 @@ QUERIES: dict[str, Query] = {
     "render_sizes": _text("sizes"),
     "render_pareto": _text("pareto"),
     "render_total": _text("total"),
+    "synth_products": q_synth_products,
+    "synth_transactions": q_synth_transactions,
+    "synth_rejected_lines": q_synth_rejected_lines,
+    "synth_revenue_by_category": q_synth_revenue_by_category,
 }

@@ -1,10 +1,14 @@
-"""Line damage used by the generated shop files (and by tests of the parser)."""
+"""Synthetic shop tables: seed-deterministic generator and line damage."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tillroll.functions.money import round_money_sql
+from tillroll.functions.text import zero_padded_sql
+from tillroll.session import literal_table
+
 # Fixed value that must equal the reference's: damage period in lines.
 CORRUPTION_PERIOD = 977
 DAMAGED_FIELD = 4  # 0-based field index replaced by a word
@@ -60,3 +64,304 @@ def corrupt_fields(
             col = F.when(shortened, F.lit(None).cast("string")).otherwise(col)
         out.append(col.alias(c))
     return fields.select(position, *out)
+
+
+# ----------------------------------------------------------------------------
+# Seed-deterministic shop generator, distributed.
+#
+# The reference draws every value from one sequential 64-bit LCG. Here each row
+# jumps straight to its own draws: product i uses draws 4i+1..4i+4 and order
+# line j (after P products) uses draws 4P+7j+1..4P+7j+7, so rows are generated
+# independently in any partition and the output equals the sequential stream.
+# ----------------------------------------------------------------------------
+
+# Fixed values that must equal the reference's for an identical dataset:
+# LCG multiplier and increment, default seed and sizes, the draw layout,
+# categories (Zipf rank order), countries, name words, and value ranges.
+LCG_MULTIPLIER = 6364136223846793005
+LCG_INCREMENT = 1442695040888963407
+DEFAULT_SEED = 20260816
+DEFAULT_PRODUCTS = 200
+DEFAULT_TRANSACTIONS = 15000
+DRAWS_PER_PRODUCT = 4
+DRAWS_PER_LINE = 7
+CATEGORIES = ("Books", "Clothing", "Electronics", "Garden", "Groceries", "Sports", "Toys", "Beauty")
+COUNTRIES = ("Israel", "USA", "Germany", "France", "UK", "Italy", "Spain", "Canada", "Japan", "Brazil")
+ADJECTIVES = ("Classic", "Modern", "Compact", "Deluxe", "Urban", "Smart")
+NOUNS = ("Lamp", "Chair", "Bottle", "Jacket", "Speaker", "Notebook")
+CUSTOMER_COUNT = 2000
+FIRST_DAY = "2024-01-01"
+DAY_COUNT = 366
+MINIMAL_PRICE = 5.0
+PRICE_RANGE = 495.0
+MAXIMAL_QUANTITY = 5
+ZIPF_EXPONENT = 1.3
+
+_MASK = (1 << 64) - 1
+
+
+def lcg_jump(steps, seed: int):
+    """States after ``steps`` LCG steps from ``seed`` (numpy ``uint64`` array).
+
+    The step ``x -> a*x + c (mod 2**64)`` is an affine map; ``k`` steps are the
+    map raised to the k-th power, built by repeated squaring over the bits of
+    ``k`` (vectorized: one pass per bit for a whole batch). ``uint64``
+    arithmetic wraps modulo 2**64 exactly like the JVM's ``Long``.
+    """
+    import numpy as np
+
+    k = np.asarray(steps, dtype=np.uint64).copy()
+    acc_a = np.ones_like(k)
+    acc_c = np.zeros_like(k)
+    sq_a = np.uint64(LCG_MULTIPLIER)
+    sq_c = np.uint64(LCG_INCREMENT)
+    with np.errstate(over="ignore"):
+        while k.any():
+            bit = (k & np.uint64(1)).astype(bool)
+            # acc = sq o acc  (apply acc first, then sq)
+            acc_c = np.where(bit, sq_a * acc_c + sq_c, acc_c)
+            acc_a = np.where(bit, sq_a * acc_a, acc_a)
+            sq_c = sq_a * sq_c + sq_c
+            sq_a = sq_a * sq_a
+            k >>= np.uint64(1)
+        return acc_a * np.uint64(seed & _MASK) + acc_c
+
+
+def uniform_int(states, bound: int):
+    """``(state >>> 16) % bound`` as int64."""
+    import numpy as np
+
+    return ((states >> np.uint64(16)) % np.uint64(bound)).astype(np.int64)
+
+
+def uniform_double(states):
+    """``(state >>> 11) / 2**53`` in [0, 1)."""
+    import numpy as np
+
+    return (states >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+
+
+def zipf_cumulative(count: int = len(CATEGORIES), exponent: float = ZIPF_EXPONENT) -> list[float]:
+    """Running sums of normalized ``1 / rank**exponent`` (ranks 1..count),
+    summed left to right as the reference does."""
+    raw = [1.0 / (float(rank) ** exponent) for rank in range(1, count + 1)]
+    total = 0.0
+    for w in raw:
+        total += w
+    out, running = [], 0.0
+    for w in raw:
+        running += w / total
+        out.append(running)
+    return out
+
+
+def zipf_weights(spark: SparkSession, count: int = len(CATEGORIES), exponent: float = ZIPF_EXPONENT) -> DataFrame:
+    """``rank, weight, cumulative`` of the Zipf law over ``count`` ranks (tiny)."""
+    cum = zipf_cumulative(count, exponent)
+    weights = [cum[0]] + [b - a for a, b in zip(cum, cum[1:])]
+    rows = [(i, w, c) for i, (w, c) in enumerate(zip(weights, cum))]
+    return literal_table(spark, [("rank", "int"), ("weight", "double"), ("cumulative", "double")], rows)
+
+
+def weighted_pick(drawn: Column | str, cumulative: list[float]) -> Column:
+    """First index ``i`` with ``drawn <= cumulative[i]``; the last index otherwise."""
+    col = F.col(drawn) if isinstance(drawn, str) else drawn
+    expr = None
+    for i, c in enumerate(cumulative[:-1]):
+        cond = col <= F.lit(float(c))
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    last = F.lit(len(cumulative) - 1)
+    return last if expr is None else expr.otherwise(last)
+
+
+def _draws(ids: DataFrame, first_step: Column, count: int, seed: int) -> DataFrame:
+    """Append ``_s0 .. _s{count-1}``: the raw states of draws ``first_step + 1 ..``.
+
+    The states are unsigned 64-bit; they travel as two non-negative 32-bit
+    halves packed in the draw helpers below, so here they are reduced right
+    away to the draw kinds the generator needs (48-bit int part, 53-bit double).
+    """
+    import pandas as pd  # noqa: F401  (mapInPandas batches are pandas frames)
+
+    cols = ids.columns
+
+    def per_batch(batches):
+        import numpy as np
+
+        for pdf in batches:
+            start = pdf["_first"].to_numpy(dtype=np.uint64)
+            states = lcg_jump(start + np.uint64(1), seed)
+            out = pdf.drop(columns=["_first"])
+            for j in range(count):
+                if j:
+                    with np.errstate(over="ignore"):
+                        states = states * np.uint64(LCG_MULTIPLIER) + np.uint64(LCG_INCREMENT)
+                out[f"_i{j}"] = (states >> np.uint64(16)).astype(np.int64)
+                out[f"_d{j}"] = uniform_double(states)
+            yield out
+
+    schema = ids.select(*cols).schema
+    for j in range(count):
+        schema = schema.add(f"_i{j}", "long").add(f"_d{j}", "double")
+    return ids.withColumn("_first", first_step).mapInPandas(per_batch, schema)
+
+
+def synth_products(
+    spark: SparkSession, count: int = DEFAULT_PRODUCTS, seed: int = DEFAULT_SEED, *, ids: DataFrame | None = None
+) -> DataFrame:
+    """The catalog: ``product_index, product_id, product_name, category, base_price``.
+
+    ``ids`` (a frame with a ``product_index`` column) overrides ``range(count)``.
+    """
+    base = ids if ids is not None else spark.range(count).withColumnRenamed("id", "product_index")
+    drawn = _draws(base.select("product_index"), F.col("product_index") * DRAWS_PER_PRODUCT, DRAWS_PER_PRODUCT, seed)
+
+    def pick(values, j):
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col(f"_i{j}") % len(values)).cast("int") + 1)
+
+    return drawn.select(
+        "product_index",
+        F.expr(f"concat('P', {zero_padded_sql('product_index', 4)})").alias("product_id"),
+        F.concat_ws(" ", pick(ADJECTIVES, 0), pick(NOUNS, 1), F.col("product_index").cast("string")).alias("product_name"),
+        pick(CATEGORIES, 2).alias("category"),
+        F.expr(round_money_sql(f"{MINIMAL_PRICE}D + _d3 * {PRICE_RANGE}D")).alias("base_price"),
+    )
+
+
+def synth_transactions(
+    spark: SparkSession,
+    products: DataFrame,
+    product_count: int,
+    count: int = DEFAULT_TRANSACTIONS,
+    seed: int = DEFAULT_SEED,
+    *,
+    ids: DataFrame | None = None,
+    broadcast_rows: int | None = None,
+) -> DataFrame:
+    """Order lines: ``line_index, order_id, customer_id, product_id, quantity,
+    unit_price, country, order_date``.
+
+    Per line: a Zipf-weighted category, a uniform product inside it (the
+    whole catalog when the category has none), customer, country, units,
+    a discount ratio and a day. The product is found with a join on
+    ``(category, slot)`` against the catalog numbered inside each category;
+    the catalog side is broadcast only under a proven row bound.
+    """
+    from tillroll.session import DEFAULT_BROADCAST_ROWS, checked_broadcast
+
+    rows = broadcast_rows or DEFAULT_BROADCAST_ROWS
+    base = ids if ids is not None else spark.range(count).withColumnRenamed("id", "line_index")
+    first = F.lit(DRAWS_PER_PRODUCT * product_count) + F.col("line_index") * DRAWS_PER_LINE
+    drawn = _draws(base.select("line_index"), first, DRAWS_PER_LINE, seed)
+
+    cum = zipf_cumulative(len(CATEGORIES))
+    cat_name = F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), weighted_pick("_d0", cum) + 1)
+    in_group = Window.partitionBy("category").orderBy("product_index")
+    numbered = products.select(
+        "category",
+        "product_index",
+        "product_id",
+        "base_price",
+        (F.row_number().over(in_group) - 1).cast("long").alias("slot"),
+        F.count(F.lit(1)).over(Window.partitionBy("category")).alias("group_size"),
+    )
+    sizes = checked_broadcast(numbered.select("category", "group_size").distinct(), rows)
+    whole = products.select(
+        F.lit(None).cast("string").alias("category"),
+        "product_index",
+        "product_id",
+        "base_price",
+        F.col("product_index").alias("slot"),
+    )
+    catalog = checked_broadcast(numbered.drop("group_size").unionByName(whole), rows)
+    lines = (
+        drawn.withColumn("_cat", cat_name)
+        .join(sizes, F.col("_cat") == sizes.category, "left")
+        .select(
+            "*",
+            # a category without products falls back to the whole catalog
+            F.when(F.col("group_size").isNull(), F.lit(None).cast("string")).otherwise(F.col("_cat")).alias("_group"),
+            F.when(F.col("group_size").isNull(), F.col("_i1") % F.lit(product_count))
+            .otherwise(F.col("_i1") % F.col("group_size"))
+            .alias("_slot"),
+        )
+        .drop("category", "group_size")
+    )
+    joined = lines.join(
+        catalog,
+        (F.col("_group").eqNullSafe(catalog.category)) & (F.col("_slot") == catalog.slot),
+        "inner",
+    )
+    return joined.select(
+        "line_index",
+        F.expr(f"concat('T', {zero_padded_sql('line_index', 7)})").alias("order_id"),
+        F.expr(f"concat('C', {zero_padded_sql(f'_i2 % {CUSTOMER_COUNT}', 5)})").alias("customer_id"),
+        "product_id",
+        ((F.col("_i4") % MAXIMAL_QUANTITY) + 1).cast("int").alias("quantity"),
+        F.expr(round_money_sql("base_price * (0.8D + _d5 * 0.2D)")).alias("unit_price"),
+        F.element_at(F.array(*[F.lit(c) for c in COUNTRIES]), (F.col("_i3") % len(COUNTRIES)).cast("int") + 1).alias("country"),
+        F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), (F.col("_i6") % DAY_COUNT).cast("int")), "yyyy-MM-dd").alias("order_date"),
+    )
+
+
+def product_lines(products: DataFrame) -> DataFrame:
+    """``position, value``: catalog text lines (``Double.toString`` prices)."""
+    return products.select(
+        F.col("product_index").alias("position"),
+        F.concat_ws(",", "product_id", "product_name", "category", F.col("base_price").cast("string")).alias("value"),
+    )
+
+
+def transaction_lines(transactions: DataFrame, *, corrupt: bool = True) -> DataFrame:
+    """``position, value``: order-line text, damaged by position like the reference."""
+    lines = transactions.select(
+        F.col("line_index").alias("position"),
+        F.concat_ws(
+            ",",
+            "order_id",
+            "customer_id",
+            "product_id",
+            F.col("quantity").cast("string"),
+            F.col("unit_price").cast("string"),
+            "country",
+            "order_date",
+        ).alias("value"),
+    )
+    return corrupt_lines(lines, "position") if corrupt else lines
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+        return True
+    except Exception:  # noqa: BLE001 - AnalysisException: path does not exist
+        return False
+
+
+def generate(
+    spark: SparkSession,
+    data_dir: str,
+    *,
+    transactions: int = DEFAULT_TRANSACTIONS,
+    products: int = DEFAULT_PRODUCTS,
+    seed: int = DEFAULT_SEED,
+) -> None:
+    """Write ``products.csv`` and ``transactions.csv`` (text directories with a
+    header line; the reader drops headers wherever they are)."""
+    from tillroll.sources.lines import PRODUCT_HEADER, TRANSACTION_HEADER
+
+    catalog = synth_products(spark, products, seed)
+    for name, header, body in (
+        ("products.csv", PRODUCT_HEADER, product_lines(catalog)),
+        ("transactions.csv", TRANSACTION_HEADER, transaction_lines(synth_transactions(spark, catalog, products, transactions, seed))),
+    ):
+        head = literal_table(spark, [("value", "string")], [(header,)])
+        head.unionByName(body.select("value")).write.mode("overwrite").text(f"{data_dir}/{name}")
+
+
+def generate_if_missing(spark: SparkSession, data_dir: str, **kwargs) -> bool:
+    """Generate both files unless both already exist; True when it wrote them."""
+    if _exists(spark, f"{data_dir}/transactions.csv") and _exists(spark, f"{data_dir}/products.csv"):
+        return False
+    generate(spark, data_dir, **kwargs)
+    return True

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.text import zero_padded_sql
 from tillroll.session import checked_broadcast, ensure_parallelism
 
 # nation has 25 rows by construction; the probe still proves it before broadcasting
@@ -95,9 +96,9 @@ def event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return ev.selectExpr(
         "event_id AS position",
-        f"concat('T', {_padded('event_id', 7)}) AS order_id",
-        f"concat('C', {_padded('user_id', 5)}) AS customer_id",
-        f"concat('P', {_padded(_PROPS_NUMBER, 4)}) AS product_id",
+        f"concat('T', {zero_padded_sql('event_id', 7)}) AS order_id",
+        f"concat('C', {zero_padded_sql('user_id', 5)}) AS customer_id",
+        f"concat('P', {zero_padded_sql(_PROPS_NUMBER, 4)}) AS product_id",
         "CAST(event_id % 5 + 1 AS STRING) AS quantity",
         "CAST(CAST(value AS DECIMAL(12,2)) AS STRING) AS unit_price",
         "event_type AS country",
@@ -108,13 +109,6 @@ def event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PROPS_NUMBER = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
 
 
-def _padded(expr: str, width: int) -> str:
-    """``%0<width>d`` of a non-negative integer without ``format_string``:
-    ``lpad`` to the width, never truncating a longer number."""
-    text = f"CAST({expr} AS STRING)"
-    return f"CASE WHEN length({text}) >= {width} THEN {text} ELSE lpad({text}, {width}, '0') END"
-
-
 TRANSACTION_TEXT_FIELDS = (
     "order_id",
     "customer_id",
@@ -147,7 +141,7 @@ def part_lines(spark: SparkSession, sf_dir: str, category: str = "p_type") -> Da
     name, category, price at two decimals."""
     p = table(spark, sf_dir, "part")
     line = (
-        f"concat_ws(',', concat('P', {_padded('p_partkey', 4)}), p_name, `{category}`, "
+        f"concat_ws(',', concat('P', {zero_padded_sql('p_partkey', 4)}), p_name, `{category}`, "
         "CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING))"
     )
     return p.selectExpr(f"inline(array(named_struct('value', {line})))")
