@@ -38,14 +38,24 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return _PROVEN[key]
 
 
-def checked_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def checked_broadcast(
+    df: DataFrame,
+    max_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    *,
+    inputs: tuple[DataFrame, ...] = (),
+) -> DataFrame:
     """Mark ``df`` for broadcast only when its row count is proven <= ``max_rows``.
 
-    Beyond the bound the frame is returned untouched and the planner (AQE) picks a
-    shuffle join, converting it to a broadcast at runtime only when the measured
-    shuffle output is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+    For a derived frame (a join), pass its ``inputs``: each is probed first with
+    a scan-level limit, which stops early on a large table, and the derived
+    frame itself is probed only when all of them are small, so the check never
+    pays for a big join it then rejects. Beyond the bound the frame is returned
+    untouched and the planner picks a shuffle join (AQE may still convert it at
+    runtime from measured sizes, ``spark.sql.adaptive.autoBroadcastJoinThreshold``).
     """
-    if max_rows and has_at_most(df, max_rows):
+    if not max_rows:
+        return df
+    if all(has_at_most(i, max_rows) for i in inputs) and has_at_most(df, max_rows):
         return F.broadcast(df)
     return df
 

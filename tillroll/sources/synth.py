@@ -237,6 +237,7 @@ def synth_transactions(
     *,
     ids: DataFrame | None = None,
     broadcast_rows: int | None = None,
+    bucket_rows: int = 1 << 20,
 ) -> DataFrame:
     """Order lines: ``line_index, order_id, customer_id, product_id, quantity,
     unit_price, country, order_date``.
@@ -256,16 +257,10 @@ def synth_transactions(
 
     cum = zipf_cumulative(len(CATEGORIES))
     cat_name = F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), weighted_pick("_d0", cum) + 1)
-    in_group = Window.partitionBy("category").orderBy("product_index")
-    numbered = products.select(
-        "category",
-        "product_index",
-        "product_id",
-        "base_price",
-        (F.row_number().over(in_group) - 1).cast("long").alias("slot"),
-        F.count(F.lit(1)).over(Window.partitionBy("category")).alias("group_size"),
+    numbered = number_within_category(products, bucket_rows)
+    sizes = checked_broadcast(
+        numbered.select("category", "group_size").distinct(), rows, inputs=(products,)
     )
-    sizes = checked_broadcast(numbered.select("category", "group_size").distinct(), rows)
     whole = products.select(
         F.lit(None).cast("string").alias("category"),
         "product_index",
@@ -273,7 +268,7 @@ def synth_transactions(
         "base_price",
         F.col("product_index").alias("slot"),
     )
-    catalog = checked_broadcast(numbered.drop("group_size").unionByName(whole), rows)
+    catalog = checked_broadcast(numbered.drop("group_size").unionByName(whole), rows, inputs=(products,))
     lines = (
         drawn.withColumn("_cat", cat_name)
         .join(sizes, F.col("_cat") == sizes.category, "left")
@@ -304,6 +299,46 @@ def synth_transactions(
     )
 
 
+def number_within_category(products: DataFrame, bucket_rows: int = 1 << 20) -> DataFrame:
+    """``category, product_index, product_id, base_price, slot, group_size``:
+    ``slot`` is the 0-based position of the product inside its category in
+    catalog order.
+
+    No window spans a whole category (one category may hold a large share of a
+    big catalog): products are cut into index buckets of ``bucket_rows``; rows
+    are numbered inside each (category, bucket) and shifted by the number of
+    same-category products in earlier buckets, taken from a per-(category,
+    bucket) count table.
+    """
+    keyed = products.select(
+        "category",
+        "product_index",
+        "product_id",
+        "base_price",
+        F.floor(F.col("product_index") / F.lit(bucket_rows)).alias("_bucket"),
+    )
+    before = Window.partitionBy("category").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        keyed.groupBy("category", "_bucket")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(
+            "category",
+            "_bucket",
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+            F.sum("_n").over(Window.partitionBy("category")).alias("group_size"),
+        )
+    )
+    inside = Window.partitionBy("category", "_bucket").orderBy("product_index")
+    return keyed.join(offsets, ["category", "_bucket"]).select(
+        "category",
+        "product_index",
+        "product_id",
+        "base_price",
+        (F.col("_offset") + F.row_number().over(inside) - 1).cast("long").alias("slot"),
+        "group_size",
+    )
+
+
 def product_lines(products: DataFrame) -> DataFrame:
     """``position, value``: catalog text lines (``Double.toString`` prices)."""
     return products.select(

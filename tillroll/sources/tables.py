@@ -46,19 +46,16 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     cost-based statistics Spark estimates a join's size as the product of its
     inputs, so left alone it would pick the fact table as the broadcast side.)
     """
-    nation = checked_broadcast(
-        table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), _DIMENSION_ROWS
-    )
+    nation_all = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nation = checked_broadcast(nation_all, _DIMENSION_ROWS)
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    located = checked_broadcast(
-        customer.join(nation, customer.c_nationkey == nation.n_nationkey).select("c_custkey", "n_name")
-    )
+    located_all = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select("c_custkey", "n_name")
+    located = checked_broadcast(located_all, inputs=(customer,))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    placed = checked_broadcast(
-        orders.join(located, orders.o_custkey == located.c_custkey).select(
-            "o_orderkey", "o_custkey", "o_orderdate", "n_name"
-        )
+    placed_all = orders.join(located, orders.o_custkey == located.c_custkey).select(
+        "o_orderkey", "o_custkey", "o_orderdate", "n_name"
     )
+    placed = checked_broadcast(placed_all, inputs=(orders, customer))
     items = ensure_parallelism(
         table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     )
