@@ -51,6 +51,7 @@ from tillroll.sources.tables import (
     TRANSACTION_TEXT_FIELDS,
     event_fields,
     event_lines,
+    fenced_lines,
     part_catalog,
     part_lines,
     sales_lines,
@@ -179,9 +180,7 @@ def damaged_fields(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_rejects_all_kinds(spark: SparkSession, d: str) -> DataFrame:
-    lines = damaged_fields(spark, d).select(
-        "position", F.concat_ws(",", *TRANSACTION_TEXT_FIELDS).alias("value")
-    )
+    lines = fenced_lines(damaged_fields(spark, d))
     # lines are cleaned as read, then damaged and parsed (the damage keeps every
     # line non-empty and header-free, so the order does not change the outcome)
     return parse_lines(corrupt_lines(clean_lines(lines), "position"), TRANSACTION_SPEC)
@@ -311,7 +310,7 @@ def q_synth_products(spark: SparkSession, d: str) -> DataFrame:
 def q_synth_transactions(spark: SparkSession, d: str) -> DataFrame:
     """One generated order line per ``events`` row (index = event_id), against
     the default 200-product catalog."""
-    ids = ensure_parallelism(table(spark, d, "events").select(F.col("event_id").alias("line_index")))
+    ids = ensure_parallelism(table(spark, d, "events").select(F.col("event_id").alias("line_index")), ("line_index",))
     return synth.synth_transactions(spark, _generated_catalog(spark), synth.DEFAULT_PRODUCTS, ids=ids)
 
 

@@ -103,16 +103,18 @@ def literal_table(
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
-def ensure_parallelism(df: DataFrame, floor: int | None = None) -> DataFrame:
+def ensure_parallelism(df: DataFrame, keys: tuple[str, ...] = (), floor: int | None = None) -> DataFrame:
     """Spread an under-partitioned input over at least ``floor`` tasks.
 
     A source with fewer splits than the cluster has cores (one row group, an
     unsplittable compressed file) would run every later row-level step in that
-    many tasks. Only then is a round-robin repartition added; a large input,
+    many tasks. Only then is a repartition added: hash on ``keys`` when given
+    (deterministic without the sort a round-robin repartition needs for safe
+    retries; pick well-spread keys), round-robin otherwise. A large input,
     already split into many tasks, is returned unchanged (no extra shuffle).
     """
     spark = df.sparkSession
     want = floor or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
-    return df.repartition(want)
+    return df.repartition(want, *keys) if keys else df.repartition(want)

@@ -57,7 +57,8 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     placed = checked_broadcast(placed_all, inputs=(orders, customer))
     items = ensure_parallelism(
-        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"),
+        ("l_orderkey",),
     )
     return items.join(placed, items.l_orderkey == placed.o_orderkey).select(
         F.col("l_orderkey").alias("order_id"),
@@ -89,7 +90,8 @@ def event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     event id (dense), used by :func:`tillroll.sources.synth.corrupt_lines`.
     """
     ev = ensure_parallelism(
-        table(spark, sf_dir, "events").select("event_id", "user_id", "props", "value", "event_type", "ts")
+        table(spark, sf_dir, "events").select("event_id", "user_id", "props", "value", "event_type", "ts"),
+        ("event_id",),
     )
     return ev.selectExpr(
         "event_id AS position",
@@ -125,12 +127,18 @@ def event_lines(spark: SparkSession, sf_dir: str, *, corrupt: bool = True) -> Da
     fields = event_fields(spark, sf_dir)
     if corrupt:
         fields = corrupt_fields(fields, list(TRANSACTION_TEXT_FIELDS), "position")
-    # The one-row inline is an optimizer fence: a line filter placed above
-    # (empty / header lines) is evaluated on the built line instead of being
-    # pushed below with the whole line expression substituted into it.
-    return fields.selectExpr(
-        f"inline(array(named_struct('position', position, 'value', concat_ws(',', {', '.join(TRANSACTION_TEXT_FIELDS)}))))"
-    )
+    return fenced_lines(fields, TRANSACTION_TEXT_FIELDS)
+
+
+def fenced_lines(fields: DataFrame, columns=TRANSACTION_TEXT_FIELDS, position: str = "position") -> DataFrame:
+    """``position, value``: the fields joined with commas, behind a fence.
+
+    The one-row inline is an optimizer fence: a line filter placed above
+    (empty / header lines) is evaluated on the built line instead of being
+    pushed below with the whole line expression substituted into it.
+    """
+    line = f"concat_ws(',', {', '.join(f'`{c}`' for c in columns)})"
+    return fields.selectExpr(f"inline(array(named_struct('position', `{position}`, 'value', {line})))")
 
 
 def part_lines(spark: SparkSession, sf_dir: str, category: str = "p_type") -> DataFrame:
