@@ -200,6 +200,14 @@ def _draws(ids: DataFrame, first_step: Column, count: int, seed: int) -> DataFra
                 out[f"_d{j}"] = uniform_double(states)
             yield out
 
+    # ship this module's helpers with the task (by value), so executors need
+    # no installed copy of the library to run the vectorized draws
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
     schema = ids.select(*cols).schema
     for j in range(count):
         schema = schema.add(f"_i{j}", "long").add(f"_d{j}", "double")
