@@ -68,3 +68,14 @@ def test_line_frames_override_files(spark):
         assert sizes == {"SMALL": 2, "MEDIUM": 0, "LARGE": 1, "PREMIUM": 1}
         top = run.reports["top_customers"].collect()
         assert [(r.customer_id, r.total_spent) for r in top] == [("C2", 2030.0), ("C1", 200.0)]
+
+
+def test_checkpoint_materialization_and_rejected_products(spark):
+    tx = spark.createDataFrame([(x,) for x in TRANSACTIONS], "value string")
+    pr = spark.createDataFrame([(x,) for x in PRODUCTS], "value string")
+    config = PipelineConfig(materialize="checkpoint")
+    with pipeline_run(spark, config, transaction_lines=tx, product_lines=pr) as run:
+        cats = {r.category: r.revenue for r in run.categories.collect()}
+        assert cats == {"Garden": 30.0, "Clothing": 200.0, "Electronics": 2000.0}
+        assert [r.reason for r in run.rejected_products.collect()] == ["field basePrice is not a number: 'zero'"]
+        assert run.persisted == []

@@ -37,7 +37,7 @@ from tillroll.sources.lines import (
     rejected,
 )
 from tillroll.sources.sinks import write_report
-from tillroll.session import DEFAULT_BROADCAST_ROWS, has_at_most
+from tillroll.session import DEFAULT_BROADCAST_ROWS, checkpoint_dir, has_at_most
 
 # Fixed default run parameters, equal to the reference's defaults.
 DEFAULT_MINIMAL_REVENUE = 20.0
@@ -66,6 +66,12 @@ class PipelineConfig:
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS
     # rejected lines are row-level output: one file per task unless asked otherwise
     single_file_rejects: bool = False
+    # how the parse and the join result, each read by several reports, are kept:
+    # "cache" = persist(MEMORY_AND_DISK) (lost blocks are recomputed from
+    # lineage); "checkpoint" = written once to spark.checkpoint.dir, cutting the
+    # lineage (for inputs too large to cache, survives executor loss);
+    # "none" = every report recomputes from the files
+    materialize: str = "cache"
 
     @property
     def transactions_path(self) -> str:
@@ -103,8 +109,15 @@ class PipelineRun:
         self.persisted: list[DataFrame] = []
 
     def _persist(self, df: DataFrame) -> DataFrame:
-        if not self.cache:
+        mode = self.config.materialize if self.cache else "none"
+        if mode == "none":
             return df
+        if mode == "checkpoint":
+            if checkpoint_dir(self.spark) is None:
+                raise RuntimeError("materialize='checkpoint' needs spark.checkpoint.dir (a shared folder)")
+            return df.checkpoint(eager=True)
+        if mode != "cache":
+            raise ValueError(f"unknown materialize mode {mode!r}")
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         self.persisted.append(df)
         return df
@@ -124,6 +137,11 @@ class PipelineRun:
     def products(self) -> DataFrame:
         return accepted(parse_lines(self.pr_lines, PRODUCT_SPEC), PRODUCT_SPEC)
 
+    @cached_property
+    def rejected_products(self) -> DataFrame:
+        """Refused catalog lines (the reference drops them silently)."""
+        return rejected(parse_lines(self.pr_lines, PRODUCT_SPEC))
+
     @cached_property
     def enriched(self) -> DataFrame:
         # accepted products never outnumber the catalog's lines: probing the raw
