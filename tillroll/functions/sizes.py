@@ -8,6 +8,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.text import sql_text
 from tillroll.session import literal_table
 
 # Fixed values that must equal the reference's for identical reports:
@@ -52,7 +53,13 @@ def classify_order(
     """
     if len(labels) != len(limits) + 1:
         raise ValueError("need exactly one more label than limits")
-    col = F.col(amount) if isinstance(amount, str) else amount
+    if isinstance(amount, str):
+        q = "`" + amount.replace("`", "``") + "`"
+        whens = " ".join(
+            f"WHEN {q} < {float(limit)!r}D THEN {sql_text(label)}" for limit, label in zip(limits, labels)
+        )
+        return F.expr(f"CASE {whens} ELSE {sql_text(labels[-1])} END")
+    col = amount
     expr = None
     for limit, label in zip(limits, labels):
         cond = col < F.lit(float(limit))

@@ -52,9 +52,7 @@ def order_size_distribution(
     labels: Sequence[str] = SIZE_LABELS,
 ) -> DataFrame:
     """Lines per size class; classes without lines are absent."""
-    return df.groupBy(classify_order(amount, limits, labels).alias("size")).agg(
-        F.count(F.lit(1)).alias("count")
-    )
+    return df.groupBy(classify_order(amount, limits, labels).alias("size")).agg(F.expr("count(1) AS `count`"))
 
 
 def order_size_zero_filled(
@@ -73,12 +71,7 @@ def order_size_zero_filled(
     dim = size_dimension(df.sparkSession, limits, labels)
     return (
         dim.join(F.broadcast(counts), "size", "left")
-        .select(
-            "rank",
-            "size",
-            F.coalesce(F.col("count"), F.lit(0).cast("long")).alias("count"),
-            "description",
-        )
+        .selectExpr("rank", "size", "coalesce(`count`, CAST(0 AS BIGINT)) AS `count`", "description")
         .orderBy("rank")
     )
 

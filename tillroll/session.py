@@ -91,16 +91,21 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def literal_table(
     spark: SparkSession, columns: list[tuple[str, str]], rows: list[tuple]
 ) -> DataFrame:
-    """A small fixed table built JVM-side (one-row range + ``inline``).
+    """A small fixed table built JVM-side (one-row range + ``inline``), from a
+    single SQL expression.
 
     Unlike ``createDataFrame`` on a Python list it needs no Python worker to
     scan, so joining or unioning it costs nothing extra on the executors.
     """
+    from tillroll.functions.text import sql_literal
+
     structs = [
-        F.struct(*[F.lit(v).cast(t).alias(name) for (name, t), v in zip(columns, row)])
+        "named_struct("
+        + ", ".join(f"'{name}', {sql_literal(v, t)}" for (name, t), v in zip(columns, row))
+        + ")"
         for row in rows
     ]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+    return spark.range(0, 1, 1, 1).selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def ensure_parallelism(df: DataFrame, keys: tuple[str, ...] = (), floor: int | None = None) -> DataFrame:

@@ -24,6 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.text import sql_text as _sql_text
+
 # Fixed values that must equal the reference's (header prefixes, field names as
 # they appear in reasons, field order and kinds):
 TRANSACTION_HEADER_PREFIX = "orderId"
@@ -101,8 +103,9 @@ def is_header(line: Column | str = "value", prefixes=HEADER_PREFIXES) -> Column:
 
 def clean_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """Drop empty lines and header lines; no trimming (a blank line is data)."""
-    col = F.col(line)
-    return lines.where((F.length(col) > 0) & ~is_header(col))
+    q = "`" + line.replace("`", "``") + "`"
+    headers = " OR ".join(f"startswith({q}, {_sql_text(p)})" for p in HEADER_PREFIXES)
+    return lines.where(f"length({q}) > 0 AND NOT ({headers})")
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -110,17 +113,6 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return clean_lines(spark.read.text(path))
 
 
-def _sql_text(text: str) -> str:
-    """A SQL string literal for ``text`` (unicode escapes for control characters)."""
-    out = []
-    for ch in text:
-        if ch in "'\\" or ord(ch) < 0x20 or ord(ch) == 0x7F:
-            out.append(f"\\u{ord(ch):04x}")
-        else:
-            out.append(ch)
-    return "'" + "".join(out) + "'"
-
-
 _TRIM_SQL = _sql_text(_TRIM_CHARS)
 _INF = "double('Infinity')"
 

@@ -52,19 +52,18 @@ def corrupt_fields(
     (``concat_ws`` then leaves it out). Cheaper than re-splitting the line and
     keeps the line expression small when a filter above it is pushed down.
     """
-    p = F.col(position)
-    worded = (p > 0) & (p % period == 0)
-    shortened = ~worded & (p > period) & (p % (3 * period) == 1)
+    q = f"`{position}`"
+    worded = f"({q} > 0 AND {q} % {period} = 0)"
+    shortened = f"(NOT {worded} AND {q} > {period} AND {q} % {3 * period} = 1)"
     out = []
     for i, c in enumerate(columns):
-        col = F.col(c)
+        expr = f"`{c}`"
         if i == DAMAGED_FIELD:
-            col = F.when(worded, F.lit(DAMAGE_WORD)).otherwise(col)
+            expr = f"CASE WHEN {worded} THEN '{DAMAGE_WORD}' ELSE {expr} END"
         if i == len(columns) - 1:
-            col = F.when(shortened, F.lit(None).cast("string")).otherwise(col)
-        out.append(col.alias(c))
-    return fields.select(position, *out)
-
+            expr = f"CASE WHEN {shortened} THEN CAST(NULL AS STRING) ELSE {expr} END"
+        out.append(f"{expr} AS `{c}`")
+    return fields.selectExpr(q, *out)
 
 # ----------------------------------------------------------------------------
 # Seed-deterministic shop generator, distributed.
