@@ -188,3 +188,16 @@ def test_sums_agree_across_reports(enriched):
     by_cty = sum(r.revenue for r in revenue_by_country(enriched).collect())
     by_cus = sum(r.total_spent for r in spending_by_customer(enriched).collect())
     assert by_cat == by_cty == by_cus == 2240.0
+
+
+def test_top_by_large_n_is_ranged_and_equal(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(f"K{i:04d}", float(rnd.choice([1, 2, 2, 3, 50, 50, 99]))) for i in range(400)]
+    df = spark.createDataFrame(rows, "key string, s double")
+    for n in (0, 1, 37, 399, 400, 1000):
+        merged = [tuple(r) for r in top_by(df, n, "s", "key").collect()]
+        ranged = sorted((tuple(r) for r in top_by(df, n, "s", "key", merge_rows=0, ranges=7).collect()),
+                        key=lambda t: (-t[1], t[0]))
+        assert ranged == merged

@@ -15,16 +15,65 @@ from tillroll.operators.aggregates import spending_by_customer
 from tillroll.session import checkpoint_dir, shuffle_partitions
 
 
-def top_by(df: DataFrame, n: int, score: str, keys: str | Sequence[str] = ()) -> DataFrame:
+# Above this many rows a top-k is numbered over range partitions instead of
+# merged in one task (TakeOrderedAndProject gathers n rows from every partition).
+TOP_K_MERGE_ROWS = 100_000
+
+
+def top_by(
+    df: DataFrame,
+    n: int,
+    score: str,
+    keys: str | Sequence[str] = (),
+    *,
+    merge_rows: int = TOP_K_MERGE_ROWS,
+    ranges: int | None = None,
+) -> DataFrame:
     """The ``n`` rows with the highest ``score``; ties by ascending ``keys``.
 
-    ``n`` larger than the input returns every row, ``n <= 0`` none. Planned as
-    ``TakeOrderedAndProject``: each partition keeps its own top ``n`` and only
-    those candidates reach the final merge.
+    ``n`` larger than the input returns every row, ``n <= 0`` none. For
+    ``n <= merge_rows`` this is ``TakeOrderedAndProject``: each partition keeps
+    its own top ``n`` and only those candidates reach the final merge. Beyond
+    that the rows are numbered over range partitions (see :func:`number_rows`)
+    and positions ``<= n`` kept, so no task ever holds ``n`` x partitions rows.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    ordering = [F.desc(score), *[F.asc(k) for k in keys]]
-    return df.orderBy(*ordering).limit(max(int(n), 0))
+    n = max(int(n), 0)
+    if n <= merge_rows:
+        return df.orderBy(F.desc(score), *[F.asc(k) for k in keys]).limit(n)
+    numbered = number_rows(df, [(score, True), *[(k, False) for k in keys]], ranges=ranges)
+    return numbered.where(F.col("_pos") <= F.lit(n)).drop("_pos")
+
+
+def number_rows(
+    df: DataFrame, ordering: Sequence[tuple[str, bool]], *, ranges: int | None = None
+) -> DataFrame:
+    """``df`` plus ``_pos``: the 1-based position in ``ordering`` ((column,
+    descending) pairs), computed without a single-partition window.
+
+    Rows are range-partitioned by the ordering and tagged with their range id,
+    checkpointed to the shared folder (stable ids, survives executor loss);
+    per-range row counts (one row per range) give offsets, broadcast (bounded by
+    the number of ranges); each range numbers its rows locally.
+    """
+    spark = df.sparkSession
+    if checkpoint_dir(spark) is None:
+        raise RuntimeError("ranged numbering needs spark.checkpoint.dir (a folder shared by the cluster)")
+    order = [F.desc(c) if desc else F.asc(c) for c, desc in ordering]
+    n = int(ranges or shuffle_partitions(spark))
+    ranged = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).checkpoint(eager=True)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy("_part")
+        .agg(F.count(F.lit(1)).alias("_pn"))
+        .select("_part", F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_off_n"))
+    )
+    inside = Window.partitionBy("_part").orderBy(*order)
+    return (
+        ranged.join(F.broadcast(offsets), "_part")
+        .withColumn("_pos", (F.row_number().over(inside) + F.col("_off_n")).cast("long"))
+        .drop("_part", "_off_n")
+    )
 
 
 def top_customers(
