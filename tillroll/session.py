@@ -20,10 +20,14 @@ _PROVEN: dict[tuple, bool] = {}
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Runs ``limit(max_rows + 1).count()``: the scan stops as soon as the bound is
-    exceeded, so the probe itself is bounded no matter how large ``df`` is. The
-    answer is remembered for the session under the plan's semantic hash and its
-    input files, so a table is probed once; new or replaced files re-probe.
+    Asks whether a row exists past the first ``max_rows``:
+    ``select().offset(max_rows).isEmpty()``. ``isEmpty`` runs Spark's
+    incremental take (a few partitions first, more only when needed, stopping
+    at row ``max_rows + 1``) on zero-column rows kept in the JVM, so the probe
+    reads at most about ``max_rows`` rows however large ``df`` is. (A
+    ``limit().count()`` would start every partition.) The answer is remembered
+    for the session under the plan's semantic hash and its input files, so a
+    table is probed once; new or replaced files re-probe.
     """
     if max_rows is None or max_rows < 0:
         return False
@@ -34,7 +38,7 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
         max_rows,
     )
     if key not in _PROVEN:
-        _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
+        _PROVEN[key] = df.select().offset(max_rows).isEmpty()
     return _PROVEN[key]
 
 
