@@ -618,3 +618,11 @@ ssig AS (SELECT * FROM sok WHERE revenue >= 20.0 AND NOT isnan(revenue))
 SELECT category, {ms('revenue')} AS revenue, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS units_sold
 FROM ssig GROUP BY category"""
 )
+
+
+ORACLE["weighted_pick"] = f"""
+WITH zw AS (SELECT r, 1.0 / pow(CAST(r AS DOUBLE), 1.3) AS w FROM (SELECT CAST(range AS INTEGER) AS r FROM range(1, 9))),
+zc AS (SELECT r, sum(w / (SELECT sum(w) FROM zw)) OVER (ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM zw),
+draws AS (SELECT event_id * CAST(0.6180339887498949 AS DOUBLE) - floor(event_id * CAST(0.6180339887498949 AS DOUBLE)) AS u FROM events)
+SELECT ({_CATS})[coalesce((SELECT min(r) FROM zc WHERE r < 8 AND draws.u <= zc.cum), 8)] AS category, count(*) AS count
+FROM draws GROUP BY 1"""

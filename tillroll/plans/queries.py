@@ -314,6 +314,18 @@ def q_synth_transactions(spark: SparkSession, d: str) -> DataFrame:
     return synth.synth_transactions(spark, _generated_catalog(spark), synth.DEFAULT_PRODUCTS, ids=ids)
 
 
+def q_weighted_pick(spark: SparkSession, d: str) -> DataFrame:
+    """Zipf-weighted category pick for every ``events`` row; the draw is the
+    fractional part of ``event_id`` times the golden ratio (an equidistributed
+    sequence); lines per picked category."""
+    draws = table(spark, d, "events").selectExpr(
+        "event_id * 0.6180339887498949D - floor(event_id * 0.6180339887498949D) AS u"
+    )
+    cum = synth.zipf_cumulative(len(synth.CATEGORIES))
+    names = F.element_at(F.array(*[F.lit(c) for c in synth.CATEGORIES]), synth.weighted_pick("u", cum) + 1)
+    return draws.groupBy(names.alias("category")).agg(F.count(F.lit(1)).alias("count"))
+
+
 def q_synth_rejected_lines(spark: SparkSession, d: str) -> DataFrame:
     """Generated lines for every ``events`` row, damaged and parsed: the refusals."""
     lines = synth.transaction_lines(q_synth_transactions(spark, d))
@@ -413,6 +425,7 @@ QUERIES: dict[str, Query] = {
     "render_sizes": _text("sizes"),
     "render_pareto": _text("pareto"),
     "render_total": _text("total"),
+    "weighted_pick": q_weighted_pick,
     "synth_products": q_synth_products,
     "synth_transactions": q_synth_transactions,
     "synth_rejected_lines": q_synth_rejected_lines,
