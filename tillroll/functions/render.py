@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions.money import round_money
+from tillroll.functions.money import round_money, round_money_sql
+from tillroll.functions.text import sql_text
 
 # Fixed values that must equal the reference's: the line layouts.
 CATEGORY_FORMAT = "%-14s %14.2f  %8d orders  %8d units"
@@ -61,23 +62,24 @@ def render_pareto(pareto_report: DataFrame, reach: DataFrame, threshold: float,
         F.format_string(PARETO_FORMAT, F.col(key), round_money("revenue"), "cumulative_share"),
         [F.desc("revenue"), F.asc(key)],
     )
-    tail = reach.select(
-        (F.col("keys_total") + F.lit(1)).alias("_n"),
-        F.format_string(FINDING_FORMAT, "keys_needed", "keys_total", F.lit(float(threshold))).alias("_finding"),
+    # the blank line and the FINDING line come from the one summary row
+    tail = reach.selectExpr(
+        "inline(array("
+        "named_struct('line_no', CAST(keys_total + 1 AS BIGINT), 'line', ''), "
+        "named_struct('line_no', CAST(keys_total + 2 AS BIGINT), 'line', "
+        f"format_string({sql_text(FINDING_FORMAT)}, keys_needed, keys_total, {float(threshold)!r}D))))"
     )
-    blank = tail.select(F.col("_n").cast("long").alias("line_no"), F.lit("").alias("line"))
-    finding = tail.select((F.col("_n") + F.lit(1)).cast("long").alias("line_no"), F.col("_finding").alias("line"))
-    return rows.unionByName(blank).unionByName(finding)
+    return rows.unionByName(tail)
 
 
 def render_quality(summary: DataFrame) -> DataFrame:
-    """Two lines from :func:`tillroll.sources.lines.quality_summary`."""
-    first = summary.select(F.lit(1).cast("long").alias("line_no"), F.format_string(ACCEPTED_FORMAT, "accepted").alias("line"))
-    second = summary.select(
-        F.lit(2).cast("long").alias("line_no"),
-        F.format_string(REJECTED_FORMAT, "rejected", round_money("rejected_share")).alias("line"),
+    """Two lines from :func:`tillroll.sources.lines.quality_summary` (one pass)."""
+    share = round_money_sql("rejected_share")
+    return summary.selectExpr(
+        "inline(array("
+        f"named_struct('line_no', CAST(1 AS BIGINT), 'line', format_string({sql_text(ACCEPTED_FORMAT)}, accepted)), "
+        f"named_struct('line_no', CAST(2 AS BIGINT), 'line', format_string({sql_text(REJECTED_FORMAT)}, rejected, {share}))))"
     )
-    return first.unionByName(second)
 
 
 def render_total(total: DataFrame, column: str = "grand_total") -> DataFrame:
