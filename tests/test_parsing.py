@@ -148,3 +148,13 @@ def test_rejects_all_kinds_query_covers_every_kind(spark):
 
     kinds = {r.error_kind for r in q_rejects_all_kinds(spark, "/root/testdata/sf0.01").select("error_kind").distinct().collect()}
     assert kinds == {None, "WrongFieldCount", "NotANumber", "OutOfRange", "MissingField"}
+
+
+def test_column_validators(spark):
+    from tillroll.sources.lines import jvm_double, jvm_to_int, jvm_trim
+
+    df = spark.createDataFrame([("1d", "\t x\x01", 3.9), ("inf", "y", float("nan")), ("NaN", "", 1e12)], "n string, t string, q double")
+    rows = df.select(jvm_double("n").alias("d"), jvm_trim("t").alias("t"), jvm_to_int("q").alias("i")).collect()
+    assert rows[0].d == 1.0 and rows[0].t == "x" and rows[0].i == 3
+    assert rows[1].d is None and rows[1].i == 0
+    assert rows[2].d != rows[2].d and rows[2].t == "" and rows[2].i == 2147483647

@@ -103,7 +103,7 @@ def is_header(line: Column | str = "value", prefixes=HEADER_PREFIXES) -> Column:
 
 def clean_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """Drop empty lines and header lines; no trimming (a blank line is data)."""
-    q = "`" + line.replace("`", "``") + "`"
+    q = _quote(line)
     headers = " OR ".join(f"startswith({q}, {_sql_text(p)})" for p in HEADER_PREFIXES)
     return lines.where(f"length({q}) > 0 AND NOT ({headers})")
 
@@ -117,34 +117,49 @@ _TRIM_SQL = _sql_text(_TRIM_CHARS)
 _INF = "double('Infinity')"
 
 
-def jvm_trim_sql(x: str) -> str:
-    """SQL text of ``String.trim`` applied to the SQL expression ``x``."""
-    return f"trim(BOTH {_TRIM_SQL} FROM {x})"
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def jvm_trim(text: Column) -> Column:
-    """``String.trim``: drop every character <= U+0020 at both ends."""
-    return F.trim(text, F.lit(_TRIM_CHARS))
+def jvm_trim_sql(x: str) -> str:
+    """SQL text of ``String.trim`` (drop every character <= U+0020 at both ends)."""
+    return f"trim(BOTH {_TRIM_SQL} FROM {x})"
 
 
-def jvm_double(text: Column) -> Column:
-    """Parse text with the JVM ``toDouble`` grammar; NULL when it would throw.
+def jvm_double_sql(x: str) -> str:
+    """SQL text parsing ``x`` with the JVM ``toDouble`` grammar; NULL where it would throw.
 
     Spark's cast already delegates to the JVM parser and additionally accepts
     ``inf``/``nan`` spellings in any case; those only ever yield NaN or an
-    infinity, so the (rare) non-finite results are the only ones re-checked.
+    infinity, so only the (rare) non-finite results are re-checked by regex.
     """
-    parsed = text.try_cast("double")
-    non_finite = F.isnan(parsed) | (F.abs(parsed) == F.lit(float("inf")))
-    spark_only = F.lower(text).rlike(_SPARK_ONLY_SPECIALS) & ~text.rlike(_JVM_SPECIALS)
-    return F.when(non_finite & spark_only, F.lit(None).cast("double")).otherwise(parsed)
+    t = f"try_cast({x} AS DOUBLE)"
+    return (
+        f"CASE WHEN (isnan({t}) OR abs({t}) = {_INF}) "
+        f"AND lower({x}) RLIKE '{_SPARK_ONLY_SPECIALS}' AND NOT {x} RLIKE '{_JVM_SPECIALS}' "
+        f"THEN NULL ELSE {t} END"
+    )
 
 
-def jvm_to_int(number: Column) -> Column:
-    """``Double.toInt`` for a value known to be > 0 or NaN."""
-    return F.when(F.isnan(number), F.lit(0)).otherwise(
-        F.least(number, F.lit(_INT_MAX)).cast("int")
-    )
+def jvm_to_int_sql(x: str) -> str:
+    """SQL text of ``Double.toInt`` for a value known to be > 0 or NaN
+    (truncation, NaN -> 0, saturation at 2**31-1)."""
+    return f"CASE WHEN isnan({x}) THEN 0 ELSE CAST(least({x}, {_INT_MAX}D) AS INT) END"
+
+
+def jvm_trim(column: str) -> Column:
+    """``String.trim`` of a string column (the field validators' trim)."""
+    return F.expr(jvm_trim_sql(_quote(column)))
+
+
+def jvm_double(column: str) -> Column:
+    """A string column parsed as a JVM double; NULL for text the JVM rejects."""
+    return F.expr(jvm_double_sql(_quote(column)))
+
+
+def jvm_to_int(column: str) -> Column:
+    """A positive (or NaN) double column truncated to INT the JVM way."""
+    return F.expr(jvm_to_int_sql(_quote(column)))
 
 
 def parse_lines(lines: DataFrame, spec: LineSpec = TRANSACTION_SPEC, line: str = "value") -> DataFrame:
@@ -158,21 +173,12 @@ def parse_lines(lines: DataFrame, spec: LineSpec = TRANSACTION_SPEC, line: str =
     """
     n = len(spec.fields)
     numeric = [i for i, f in enumerate(spec.fields) if f.kind != "text"]
-    q = "`" + line.replace("`", "``") + "`"
+    q = _quote(line)
     split = lines.selectExpr(f"{q} AS line", f"split({q}, ',', -1) AS _parts")
     fields = split.selectExpr(
         "line", "size(_parts) AS _n", *[f"{jvm_trim_sql(f'get(_parts, {i})')} AS _f{i}" for i in range(n)]
     )
-    tried = fields.selectExpr("*", *[f"try_cast(_f{i} AS DOUBLE) AS _t{i}" for i in numeric])
-    typed = tried.selectExpr(
-        "*",
-        *[
-            f"CASE WHEN (isnan(_t{i}) OR abs(_t{i}) = {_INF}) "
-            f"AND lower(_f{i}) RLIKE '{_SPARK_ONLY_SPECIALS}' AND NOT _f{i} RLIKE '{_JVM_SPECIALS}' "
-            f"THEN NULL ELSE _t{i} END AS _d{i}"
-            for i in numeric
-        ],
-    )
+    typed = fields.selectExpr("*", *[f"{jvm_double_sql(f'_f{i}')} AS _d{i}" for i in numeric])
 
     def fail(kind: str, reason: str) -> str:
         return f"named_struct('kind', '{kind}', 'reason', {reason})"
@@ -191,7 +197,7 @@ def parse_lines(lines: DataFrame, spec: LineSpec = TRANSACTION_SPEC, line: str =
     for i, f in enumerate(spec.fields):
         v = f"_f{i}" if f.kind == "text" else f"_d{i}"
         if f.kind == "positive_int":
-            v = f"CASE WHEN isnan({v}) THEN 0 ELSE CAST(least({v}, {_INT_MAX}D) AS INT) END"
+            v = jvm_to_int_sql(v)
         outputs.append(f"'{f.column}', CASE WHEN _outcome IS NULL THEN {v} END")
     # One-row inline = optimizer fence: filters on the outcome (accepted /
     # rejected) stop here instead of being pushed through the projections

@@ -126,13 +126,6 @@ def lcg_jump(steps, seed: int):
         return acc_a * np.uint64(seed & _MASK) + acc_c
 
 
-def uniform_int(states, bound: int):
-    """``(state >>> 16) % bound`` as int64."""
-    import numpy as np
-
-    return ((states >> np.uint64(16)) % np.uint64(bound)).astype(np.int64)
-
-
 def uniform_double(states):
     """``(state >>> 11) / 2**53`` in [0, 1)."""
     import numpy as np
