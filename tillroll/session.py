@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Default row bound under which a join side may be broadcast. A catalog row is a
-# few short strings and a double (~100 B), so this caps a broadcast near 100 MB.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# few short strings and a double (~100 B), so this caps a broadcast near 20 MB.
+DEFAULT_BROADCAST_ROWS = 200_000
 
 
 # Proven bounds per session: (application id, plan hash, input files, bound) -> bool.
@@ -20,14 +20,14 @@ _PROVEN: dict[tuple, bool] = {}
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Asks whether a row exists past the first ``max_rows``:
-    ``select().offset(max_rows).isEmpty()``. ``isEmpty`` runs Spark's
-    incremental take (a few partitions first, more only when needed, stopping
-    at row ``max_rows + 1``) on zero-column rows kept in the JVM, so the probe
-    reads at most about ``max_rows`` rows however large ``df`` is. (A
-    ``limit().count()`` would start every partition.) The answer is remembered
-    for the session under the plan's semantic hash and its input files, so a
-    table is probed once; new or replaced files re-probe.
+    Fetches at most ``max_rows + 1`` zero-column rows with ``head``, which
+    Spark runs as an incremental take: a few partitions first, more only while
+    rows are missing, so the probe reads about ``max_rows`` rows however large
+    ``df`` is. (``limit(n).count()`` or an ``offset`` check would start every
+    partition, each reading up to ``n`` rows: close to a full scan of a big
+    table.) The answer is remembered for the session under the plan's semantic
+    hash and its input files, so a table is probed once; new or replaced files
+    re-probe.
     """
     if max_rows is None or max_rows < 0:
         return False
@@ -38,7 +38,7 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
         max_rows,
     )
     if key not in _PROVEN:
-        _PROVEN[key] = df.select().offset(max_rows).isEmpty()
+        _PROVEN[key] = len(df.select().head(max_rows + 1)) <= max_rows
     return _PROVEN[key]
 
 
