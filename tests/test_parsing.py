@@ -158,3 +158,14 @@ def test_column_validators(spark):
     assert rows[0].d == 1.0 and rows[0].t == "x" and rows[0].i == 3
     assert rows[1].d is None and rows[1].i == 0
     assert rows[2].d != rows[2].d and rows[2].t == "" and rows[2].i == 2147483647
+
+
+def test_nan_price_is_accepted_and_earns_nothing(spark):
+    """S7: NaN passes the > 0 check; its revenue rounds to 0.0 like Math.round."""
+    from tillroll.operators.enrich import enrich
+
+    lines = spark.createDataFrame([("T1,C1,P1,2,NaN,X,d",)], "value string")
+    tx = accepted(parse_lines(lines))
+    catalog = spark.createDataFrame([("P1", "Lamp", "Garden")], "product_id string, product_name string, category string")
+    row = enrich(tx, catalog).first()
+    assert row.unit_price != row.unit_price and row.revenue == 0.0
