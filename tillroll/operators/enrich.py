@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.money import revenue_of
+from tillroll.functions.money import quote, round_money_sql
 from tillroll.session import DEFAULT_BROADCAST_ROWS, checked_broadcast
 
 
@@ -59,10 +59,11 @@ def enrich(
         joined = salted_lines.join(maybe_broadcast(salted_cat), [key, "_salt"], "inner")
     else:
         joined = lines.join(maybe_broadcast(cat), key, "inner")
-    return joined.select(
-        *[F.col(c) for c in keep],
-        *[F.col(c) for c in catalog_columns],
-        revenue_of(quantity, unit_price).alias(revenue),
+    revenue_sql = round_money_sql(f"{quote(quantity)} * {quote(unit_price)}")
+    return joined.selectExpr(
+        *[quote(c) for c in keep],
+        *[quote(c) for c in catalog_columns],
+        f"{revenue_sql} AS {quote(revenue)}",
     )
 
 

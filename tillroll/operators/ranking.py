@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions.money import cents, round_money
+from tillroll.functions.money import cents, cents_sql, quote, round_money
 from tillroll.operators.aggregates import spending_by_customer
 from tillroll.session import checkpoint_dir, shuffle_partitions
 
@@ -96,15 +96,14 @@ def _framed_window(report: DataFrame, key: str, amount: str) -> DataFrame:
     An unpartitioned window runs in a single task; that is the right plan for
     reports with few keys (categories, brands, countries).
     """
-    order = [F.desc("_amt"), F.asc(key)]
-    running = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    base = report.select(F.col(key), F.col(amount).alias("_amt"), cents(amount).alias("_c"))
-    return base.select(
-        F.col(key),
-        F.col("_amt"),
-        F.sum("_c").over(running).alias("_cum"),
-        F.sum("_c").over(Window.partitionBy()).alias("_total"),
-        F.row_number().over(Window.orderBy(*order)).cast("long").alias("_pos"),
+    k = quote(key)
+    order = f"_amt DESC, {k} ASC"
+    return report.selectExpr(k, f"{quote(amount)} AS _amt", f"{cents_sql(quote(amount))} AS _c").selectExpr(
+        k,
+        "_amt",
+        f"sum(_c) OVER (ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _cum",
+        "sum(_c) OVER () AS _total",
+        f"CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS _pos",
     )
 
 

@@ -124,6 +124,13 @@ def ensure_parallelism(df: DataFrame, keys: tuple[str, ...] = (), floor: int | N
     """
     spark = df.sparkSession
     want = floor or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    key = (spark.sparkContext.applicationId, df.semanticHash(), want)
+    if key not in _SPLITS:
+        _SPLITS[key] = df.rdd.getNumPartitions()
+    if _SPLITS[key] >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
+
+
+# Split counts per session and plan (planning a scan lists its files once).
+_SPLITS: dict[tuple, int] = {}
