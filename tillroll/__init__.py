@@ -18,7 +18,7 @@ from tillroll.operators.aggregates import (
     total_revenue,
 )
 from tillroll.operators.enrich import at_least_revenue, enrich, keep_significant, shipped_to
-from tillroll.operators.ranking import keys_to_reach, pareto, top_by, top_customers
+from tillroll.operators.ranking import keys_to_reach, number_rows, pareto, top_by, top_customers
 from tillroll.sources.lines import (
     PRODUCT_SPEC,
     TRANSACTION_SPEC,
@@ -47,6 +47,7 @@ __all__ = [
     "keep_significant",
     "keys_to_reach",
     "money_sum",
+    "number_rows",
     "order_size_distribution",
     "order_size_zero_filled",
     "pareto",
