@@ -17,7 +17,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions import render
 from tillroll.functions.compose import chain, filter_k, identity, lift, then, zip_steps
 from tillroll.functions.sizes import classify_order
 from tillroll.operators.aggregates import (
@@ -48,7 +47,6 @@ from tillroll.session import ensure_parallelism, literal_table
 from tillroll.sources import synth
 from tillroll.sources.synth import corrupt_lines
 from tillroll.sources.tables import (
-    TRANSACTION_TEXT_FIELDS,
     event_fields,
     event_lines,
     fenced_lines,

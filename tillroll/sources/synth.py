@@ -173,8 +173,6 @@ def _draws(ids: DataFrame, first_step: Column, count: int, seed: int) -> DataFra
     halves packed in the draw helpers below, so here they are reduced right
     away to the draw kinds the generator needs (48-bit int part, 53-bit double).
     """
-    import pandas as pd  # noqa: F401  (mapInPandas batches are pandas frames)
-
     cols = ids.columns
 
     def per_batch(batches):
