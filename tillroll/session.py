@@ -13,6 +13,22 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a client session (Spark Connect) without one."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise here
+        return None
+
+
+def session_id(spark: SparkSession) -> str:
+    """An id for the running application (keys the per-session memos)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 # Proven bounds per session: (application id, plan hash, input files, bound) -> bool.
 _PROVEN: dict[tuple, bool] = {}
 
@@ -32,7 +48,7 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     if max_rows is None or max_rows < 0:
         return False
     key = (
-        df.sparkSession.sparkContext.applicationId,
+        session_id(df.sparkSession),
         df.semanticHash(),
         tuple(sorted(df.inputFiles())),
         max_rows,
@@ -66,7 +82,8 @@ def checked_broadcast(
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The cluster's shared checkpoint folder, read from the session."""
-    found = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    found = sc.getCheckpointDir() if sc is not None else None
     if found:
         return found
     return spark.conf.get("spark.checkpoint.dir", None) or None
@@ -83,8 +100,12 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         return found
     path = fallback or tempfile.mkdtemp(prefix="tillroll-ckpt-")
     os.makedirs(path, exist_ok=True)
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir() or path
+    sc = _context(spark)
+    if sc is None:
+        spark.conf.set("spark.checkpoint.dir", path)
+        return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -123,8 +144,11 @@ def ensure_parallelism(df: DataFrame, keys: tuple[str, ...] = (), floor: int | N
     already split into many tasks, is returned unchanged (no extra shuffle).
     """
     spark = df.sparkSession
-    want = floor or spark.sparkContext.defaultParallelism
-    key = (spark.sparkContext.applicationId, df.semanticHash(), want)
+    sc = _context(spark)
+    if sc is None:  # no RDD view on a client session: leave the plan alone
+        return df
+    want = floor or sc.defaultParallelism
+    key = (sc.applicationId, df.semanticHash(), want)
     if key not in _SPLITS:
         _SPLITS[key] = df.rdd.getNumPartitions()
     if _SPLITS[key] >= want:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import zero_padded_sql
-from tillroll.session import checked_broadcast, ensure_parallelism
+from tillroll.session import checked_broadcast, ensure_parallelism, session_id
 
 # nation has 25 rows by construction; the probe still proves it before broadcasting
 _DIMENSION_ROWS = 10_000
@@ -25,7 +25,7 @@ _LOADED: dict[tuple[str, str], DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``<sf_dir>/<name>.parquet`` as a DataFrame, loaded once per session."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (session_id(spark), path)
     if key not in _LOADED:
         _LOADED[key] = spark.read.parquet(path)
     return _LOADED[key]
