@@ -91,3 +91,9 @@ def test_render_sizes_zero_filled(spark):
         "LARGE             0 lines  (between 200.0 and 1000.0)",
         "PREMIUM           0 lines  (at least 1000.0 dollars)",
     ]
+
+
+def test_ranged_rendering_equals_window(spark):
+    rows = [(f"C{i:03d}", float((i * 37) % 11), i % 5) for i in range(60)]
+    report = spark.createDataFrame(rows, "customer_id string, total_spent double, orders long")
+    assert _lines(render.render_customers(report, ranged=True)) == _lines(render.render_customers(report))
