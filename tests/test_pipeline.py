@@ -79,3 +79,18 @@ def test_checkpoint_materialization_and_rejected_products(spark):
         assert cats == {"Garden": 30.0, "Clothing": 200.0, "Electronics": 2000.0}
         assert [r.reason for r in run.rejected_products.collect()] == ["field basePrice is not a number: 'zero'"]
         assert run.persisted == []
+
+
+def test_write_report_file_layouts(spark, scratch):
+    from tillroll.sources.sinks import write_report
+
+    df = spark.range(0, 1000, 1, 4).selectExpr("id", "id % 7 AS k")
+    agg = df.groupBy("k").count()
+    write_report(agg, f"{scratch}/agg")
+    write_report(df, f"{scratch}/rows_one", row_level=True)
+    write_report(df, f"{scratch}/rows_many", single_file=False)
+    assert len(glob.glob(f"{scratch}/agg/*.csv")) == 1
+    assert len(glob.glob(f"{scratch}/rows_one/*.csv")) == 1
+    assert len(glob.glob(f"{scratch}/rows_many/*.csv")) == 4
+    back = spark.read.option("header", True).csv(f"{scratch}/rows_one")
+    assert back.count() == 1000 and back.columns == ["id", "k"]
