@@ -37,8 +37,9 @@ def enrich(
     broadcast at runtime and splits skewed partitions). ``salt_buckets > 1``
     spreads each key over that many buckets: lines get a deterministic
     ``pmod(xxhash64(line columns), n)`` salt and catalog rows are replicated once
-    per bucket, so each line still meets each matching catalog row exactly once.
-    ``broadcast=True/False`` skips the probe when the caller has already proven
+    per bucket, so each line still meets each matching catalog row exactly once
+    (fully identical lines share a bucket). A salted join is always a shuffle
+    join. ``broadcast=True/False`` skips the probe when the caller has already proven
     (or ruled out) the bound, e.g. on the raw lines the catalog was parsed from.
     """
     cat = catalog.select(key, *catalog_columns)
@@ -56,7 +57,8 @@ def enrich(
         salted_cat = cat.withColumn(
             "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>"))
         )
-        joined = salted_lines.join(maybe_broadcast(salted_cat), [key, "_salt"], "inner")
+        # salting is for shuffle joins: the salted catalog is never broadcast
+        joined = salted_lines.join(salted_cat, [key, "_salt"], "inner")
     else:
         joined = lines.join(maybe_broadcast(cat), key, "inner")
     revenue_sql = round_money_sql(f"{quote(quantity)} * {quote(unit_price)}")
