@@ -94,3 +94,16 @@ def test_write_report_file_layouts(spark, scratch):
     assert len(glob.glob(f"{scratch}/rows_many/*.csv")) == 4
     back = spark.read.option("header", True).csv(f"{scratch}/rows_one")
     assert back.count() == 1000 and back.columns == ["id", "k"]
+
+
+def test_single_pass_reports_equal_separate(spark):
+    tx = spark.createDataFrame([(x,) for x in TRANSACTIONS], "value string")
+    pr = spark.createDataFrame([(x,) for x in PRODUCTS], "value string")
+
+    def reports(single):
+        with pipeline_run(spark, PipelineConfig(single_pass_reports=single), transaction_lines=tx, product_lines=pr) as run:
+            return {name: sorted(tuple(r) for r in run.report(name).collect()) for name in run.REPORTS} | {
+                "columns": [run.report(n).columns for n in run.REPORTS]
+            }
+
+    assert reports(True) == reports(False)

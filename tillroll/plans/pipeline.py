@@ -20,12 +20,14 @@ from tillroll.functions import render
 from tillroll.functions.sizes import DEFAULT_LIMITS
 from tillroll.operators.aggregates import (
     grand_total_of_report,
+    grouped_revenue_reports,
+    split_grouped_reports,
     order_size_zero_filled,
     revenue_by_category,
     revenue_by_country,
 )
 from tillroll.operators.enrich import enrich, keep_significant
-from tillroll.operators.ranking import keys_to_reach, pareto, top_customers
+from tillroll.operators.ranking import keys_to_reach, pareto, top_by, top_customers
 from tillroll.sources.lines import (
     PRODUCT_SPEC,
     TRANSACTION_SPEC,
@@ -72,6 +74,10 @@ class PipelineConfig:
     # lineage (for inputs too large to cache, survives executor loss);
     # "none" = every report recomputes from the files
     materialize: str = "cache"
+    # compute the category, country and customer aggregates in one grouping-sets
+    # pass over the significant lines (materialized like the parse), instead of
+    # three separate aggregations
+    single_pass_reports: bool = False
 
     @property
     def transactions_path(self) -> str:
@@ -155,16 +161,27 @@ class PipelineRun:
         return keep_significant(self.enriched, self.config.minimal_revenue)
 
     # --- the six reports --------------------------------------------------------
+    @cached_property
+    def _grouped(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        grouped = self._persist(grouped_revenue_reports(self.significant))
+        return split_grouped_reports(grouped)
+
     @cached_property
     def categories(self) -> DataFrame:
+        if self.config.single_pass_reports:
+            return self._grouped[0]
         return revenue_by_category(self.significant)
 
     @cached_property
     def countries(self) -> DataFrame:
+        if self.config.single_pass_reports:
+            return self._grouped[1]
         return revenue_by_country(self.significant)
 
     @cached_property
     def customers(self) -> DataFrame:
+        if self.config.single_pass_reports:
+            return top_by(self._grouped[2], self.config.top_customer_count, "total_spent", "customer_id")
         return top_customers(self.significant, self.config.top_customer_count)
 
     @cached_property
