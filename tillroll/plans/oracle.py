@@ -626,3 +626,14 @@ zc AS (SELECT r, sum(w / (SELECT sum(w) FROM zw)) OVER (ORDER BY r ROWS BETWEEN
 draws AS (SELECT event_id * CAST(0.6180339887498949 AS DOUBLE) - floor(event_id * CAST(0.6180339887498949 AS DOUBLE)) AS u FROM events)
 SELECT ({_CATS})[coalesce((SELECT min(r) FROM zc WHERE r < 8 AND draws.u <= zc.cum), 8)] AS category, count(*) AS count
 FROM draws GROUP BY 1"""
+
+
+ORACLE["grouped_revenue_reports"] = (
+    "WITH " + significant_cte()
+    + f"""
+SELECT CASE GROUPING(category, country, customer_id) WHEN 3 THEN 'category' WHEN 5 THEN 'country' ELSE 'customer' END AS _set,
+       category, country, customer_id,
+       {ms('revenue')} AS revenue, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS units_sold
+FROM significant
+GROUP BY GROUPING SETS ((category), (country), (customer_id))"""
+)

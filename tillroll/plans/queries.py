@@ -21,6 +21,7 @@ from tillroll.functions.compose import chain, filter_k, identity, lift, then, zi
 from tillroll.functions.sizes import classify_order
 from tillroll.operators.aggregates import (
     grand_total_of_report,
+    grouped_revenue_reports,
     order_size_distribution,
     order_size_zero_filled,
     revenue_by_category,
@@ -222,6 +223,12 @@ def q_spending_by_customer(spark: SparkSession, d: str) -> DataFrame:
     return customer_report(spark, d)
 
 
+def q_grouped_revenue_reports(spark: SparkSession, d: str) -> DataFrame:
+    """Category, country and customer aggregates of the significant lines in one
+    grouping-sets pass."""
+    return grouped_revenue_reports(significant_lines(spark, d))
+
+
 def q_order_size_distribution(spark: SparkSession, d: str) -> DataFrame:
     return order_size_distribution(enriched_lines(spark, d), limits=LINEITEM_LIMITS)
 
@@ -399,6 +406,7 @@ QUERIES: dict[str, Query] = {
     "revenue_by_category": q_revenue_by_category,
     "revenue_by_country": q_revenue_by_country,
     "spending_by_customer": q_spending_by_customer,
+    "grouped_revenue_reports": q_grouped_revenue_reports,
     "order_size_distribution": q_order_size_distribution,
     "order_size_zero_filled": q_order_size_zero_filled,
     "total_revenue": q_total_revenue,
