@@ -126,6 +126,7 @@ def shop_categories(spark: SparkSession, d: str) -> DataFrame:
 # scans / parsing
 # ----------------------------------------------------------------------------
 def q_read_lines_count(spark: SparkSession, d: str) -> DataFrame:
+    """Non-empty, non-header lines of the transaction and catalog text (headers and an empty line included in the input)."""
     def counted(lines: DataFrame, source: str) -> DataFrame:
         return clean_lines(lines).agg(F.count(F.lit(1)).alias("n_lines")).select(
             F.lit(source).alias("source"), "n_lines"
@@ -137,18 +138,22 @@ def q_read_lines_count(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_accepted_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Accepted transaction records from the event text lines."""
     return accepted(parsed_events(spark, d))
 
 
 def q_rejected_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Refused event text lines with their reasons."""
     return rejected(parsed_events(spark, d))
 
 
 def q_rejects_by_kind(spark: SparkSession, d: str) -> DataFrame:
+    """Refused event text lines per error kind."""
     return rejects_by_kind(parsed_events(spark, d))
 
 
 def q_quality_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Accepted / rejected line counts and the rejected share."""
     return quality_summary(parsed_events(spark, d))
 
 
@@ -179,6 +184,7 @@ def damaged_fields(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_rejects_all_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """Every parse outcome on event lines damaged in all the ways the validator classifies."""
     lines = fenced_lines(damaged_fields(spark, d))
     # lines are cleaned as read, then damaged and parsed (the damage keeps every
     # line non-empty and header-free, so the order does not change the outcome)
@@ -186,6 +192,7 @@ def q_rejects_all_kinds(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_products_accepted(spark: SparkSession, d: str) -> DataFrame:
+    """Accepted catalog records from the part text lines."""
     return shop_products(spark, d)
 
 
@@ -193,18 +200,22 @@ def q_products_accepted(spark: SparkSession, d: str) -> DataFrame:
 # join, filters
 # ----------------------------------------------------------------------------
 def q_enrich_lines(spark: SparkSession, d: str) -> DataFrame:
+    """lineitem order lines joined to the part catalog, with revenue."""
     return enriched_lines(spark, d)
 
 
 def q_significant_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Enriched lines with revenue >= 2,000."""
     return significant_lines(spark, d)
 
 
 def q_shipped_to_countries(spark: SparkSession, d: str) -> DataFrame:
+    """Enriched lines shipped to five given nations (IN list pushed to the nation scan)."""
     return shipped_to(enriched_lines(spark, d), SHIP_TO)
 
 
 def q_shop_enriched(spark: SparkSession, d: str) -> DataFrame:
+    """Accepted event lines joined to the accepted catalog lines, with revenue."""
     return shop_enriched(spark, d)
 
 
@@ -212,14 +223,17 @@ def q_shop_enriched(spark: SparkSession, d: str) -> DataFrame:
 # aggregations
 # ----------------------------------------------------------------------------
 def q_revenue_by_category(spark: SparkSession, d: str) -> DataFrame:
+    """Revenue, lines and units per part type over the significant lines."""
     return category_report(spark, d)
 
 
 def q_revenue_by_country(spark: SparkSession, d: str) -> DataFrame:
+    """Revenue per customer nation over the significant lines."""
     return revenue_by_country(significant_lines(spark, d))
 
 
 def q_spending_by_customer(spark: SparkSession, d: str) -> DataFrame:
+    """Total spent and lines per customer over the significant lines."""
     return customer_report(spark, d)
 
 
@@ -230,19 +244,23 @@ def q_grouped_revenue_reports(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_order_size_distribution(spark: SparkSession, d: str) -> DataFrame:
+    """Lines per order-size class (limits x100) over all enriched lines."""
     return order_size_distribution(enriched_lines(spark, d), limits=LINEITEM_LIMITS)
 
 
 def q_order_size_zero_filled(spark: SparkSession, d: str) -> DataFrame:
+    """All four size classes for events.value, missing classes as 0."""
     amounts = table(spark, d, "events").select(F.col("value").alias("revenue"))
     return order_size_zero_filled(amounts)
 
 
 def q_total_revenue(spark: SparkSession, d: str) -> DataFrame:
+    """Exact total revenue of the significant lines (0.0 when none)."""
     return total_revenue(significant_lines(spark, d))
 
 
 def q_grand_total_of_report(spark: SparkSession, d: str) -> DataFrame:
+    """Rounded sum of the per-type report's revenues."""
     return grand_total_of_report(category_report(spark, d))
 
 
@@ -250,26 +268,32 @@ def q_grand_total_of_report(spark: SparkSession, d: str) -> DataFrame:
 # ranking
 # ----------------------------------------------------------------------------
 def q_top_customers(spark: SparkSession, d: str) -> DataFrame:
+    """The 20 customers who spent most (ties by key)."""
     return top_customers(significant_lines(spark, d), TOP_N)
 
 
 def q_pareto_by_category(spark: SparkSession, d: str) -> DataFrame:
+    """Cumulative revenue share per part type (single window: few keys)."""
     return pareto(category_report(spark, d), "category", "revenue")
 
 
 def q_pareto_by_brand(spark: SparkSession, d: str) -> DataFrame:
+    """Cumulative revenue share per brand (single window: few keys)."""
     return pareto(category_report(spark, d, "p_brand"), "category", "revenue")
 
 
 def q_pareto_by_customer_ranged(spark: SparkSession, d: str) -> DataFrame:
+    """Cumulative share per customer via range partitions (many keys)."""
     return pareto(customer_report(spark, d), "customer_id", "total_spent", method="ranged")
 
 
 def q_categories_up_to_80(spark: SparkSession, d: str) -> DataFrame:
+    """How many leading part types reach 80 % of revenue."""
     return keys_to_reach(category_report(spark, d), PARETO_THRESHOLD, "category", "revenue")
 
 
 def q_customers_up_to_80_ranged(spark: SparkSession, d: str) -> DataFrame:
+    """How many leading customers reach 80 % of revenue (ranged)."""
     return keys_to_reach(
         customer_report(spark, d), PARETO_THRESHOLD, "customer_id", "total_spent", method="ranged"
     )
@@ -279,6 +303,7 @@ def q_customers_up_to_80_ranged(spark: SparkSession, d: str) -> DataFrame:
 # composition
 # ----------------------------------------------------------------------------
 def q_composed_columns(spark: SparkSession, d: str) -> DataFrame:
+    """then / zip / filter_k / chain / identity composed over event columns."""
     ev = table(spark, d, "events")
     units = F.col("event_id") % 5 + 1
     double = lift(lambda c: c * 2)
@@ -360,26 +385,32 @@ def _shop_run(spark: SparkSession, d: str):
 
 
 def q_shop_revenue_by_category(spark: SparkSession, d: str) -> DataFrame:
+    """The reference run's category report over the text lines."""
     return _shop_run(spark, d).report("revenue_by_category")
 
 
 def q_shop_revenue_by_country(spark: SparkSession, d: str) -> DataFrame:
+    """The reference run's country report over the text lines."""
     return _shop_run(spark, d).report("revenue_by_country")
 
 
 def q_shop_top_customers(spark: SparkSession, d: str) -> DataFrame:
+    """The reference run's top-20 customers over the text lines."""
     return _shop_run(spark, d).report("top_customers")
 
 
 def q_shop_order_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """The reference run's zero-filled size distribution over the text lines."""
     return _shop_run(spark, d).report("order_sizes")
 
 
 def q_shop_pareto_categories(spark: SparkSession, d: str) -> DataFrame:
+    """The reference run's Pareto of categories over the text lines."""
     return _shop_run(spark, d).report("pareto_categories")
 
 
 def q_six_report_row_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Row count of each of the six reports of the text-line run."""
     return report_row_counts(_shop_run(spark, d))
 
 
