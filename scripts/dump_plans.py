@@ -19,6 +19,7 @@ from tillroll.session import ensure_checkpoint_dir  # noqa: E402
 SHOWN = {
     "revenue_by_category": "star schema: lineitem x orders x customer x nation x part -> >= 2000 -> per type",
     "top_customers": "top-k over an aggregate",
+    "grouped_revenue_reports": "category, country and customer aggregates in one grouping-sets pass (one Expand, one shuffle)",
     "pareto_by_customer_ranged": "Pareto over 15k customers without a single-partition window",
     "accepted_lines": "text lines -> validator (projections behind the inline fence) -> accepted",
     "shop_revenue_by_category": "the reference's run: parsed lines x parsed catalog -> >= 20 -> per category",
