@@ -21,7 +21,8 @@ m AS (
          CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(c.n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
          CAST(length(regexp_replace(t, '[^A-Z]', '', 'g')) AS BIGINT) AS n_upper,
-         CAST(length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS BIGINT) AS n_letters
+         CAST(length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS BIGINT) AS n_letters,
+         CAST(len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS BIGINT) AS n_echo_words
   FROM d LEFT JOIN cov c ON c.doc_id = d.doc_id),
 b AS (
   SELECT *, CAST(
@@ -30,8 +31,9 @@ b AS (
   + CASE WHEN 100 * n_symbols > 30 * n_words THEN 4 ELSE 0 END
   + CASE WHEN word_chars < 2 * n_words THEN 8 ELSE 0 END
   + CASE WHEN word_chars > 20 * n_words THEN 16 ELSE 0 END
-  + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 32 ELSE 0 END
-  + CASE WHEN 2 * n_upper > n_letters AND n_letters > 0 THEN 64 ELSE 0 END AS BIGINT) AS fail_bits
+  + CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 32 ELSE 0 END
+  + CASE WHEN 2 * n_upper > n_letters AND n_letters > 0 THEN 64 ELSE 0 END
+  + CASE WHEN 100 * n_echo_words > 30 * n_words THEN 128 ELSE 0 END AS BIGINT) AS fail_bits
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, n_lines, fail_bits

@@ -24,6 +24,7 @@ WINDOW_WORDS = 5
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_ascii_letters",
+    "n_echo_words",
 )
 
 
@@ -42,8 +43,9 @@ RULES = (
     Rule(2, "symbols", "100 * n_symbols > 30 * n_words"),
     Rule(3, "short_words", "word_chars < 2 * n_words"),
     Rule(4, "long_words", "word_chars > 20 * n_words"),
-    Rule(5, "repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
+    Rule(5, "repeated_lines", "100 * n_dup_lines > 50 * n_lines"),
     Rule(6, "upper_case", "2 * n_upper > n_ascii_letters AND n_ascii_letters > 0"),
+    Rule(7, "echoed_words", "100 * n_echo_words > 30 * n_words"),
 )
 
 
@@ -80,6 +82,7 @@ def _measured(df: DataFrame, text: str) -> DataFrame:
         "CAST(char_length(array_join(__w, '')) AS BIGINT) AS word_chars",
         "CAST(size(__l) AS BIGINT) AS n_lines",
         "CAST(size(__l) - size(array_distinct(__l)) AS BIGINT) AS n_dup_lines",
+        "CAST(size(filter(__w, (x, i) -> i > 0 AND x = __w[i - 1])) AS BIGINT) AS n_echo_words",
         f"IF(size(__w) > {WINDOW_WORDS}, transform(sequence(0, size(__w) - {WINDOW_WORDS}), i -> xxhash64({windows})), "
         "CAST(array() AS ARRAY<BIGINT>)) AS __h",
     ).drop("__w", "__l")
@@ -107,8 +110,13 @@ def _measured(df: DataFrame, text: str) -> DataFrame:
 def quality_ledger(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` plus the measurements and ``fail_bits`` (one bit per failed rule)."""
     bits = " | ".join(f"IF({r.fails}, {1 << r.bit}L, 0L)" for r in RULES)
-    measured = _measured(df.drop("fail_bits"), text)
-    return measured.selectExpr("*", f"({bits}) AS fail_bits")
+    own = [c for c in df.columns if c not in MEASURES and c != "fail_bits"]
+    fields = ", ".join(f"'{m}', {m}" for m in MEASURES)
+    # a one-row generator: filters on the ledger stay above it, instead of being
+    # pushed down with every measurement's expression copied into them
+    return _measured(df.drop("fail_bits"), text).selectExpr(
+        *[f"`{c}`" for c in own], f"inline(array(named_struct({fields}, 'fail_bits', {bits})))"
+    )
 
 
 def apply_policy(ledger: DataFrame, policy: str = DEFAULT_POLICY, column: str = "kept") -> DataFrame:
