@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import quality
+from tillroll.llm import chat, crossent, fmindex, quality, tokenio, toxicity, unigram
 from tillroll.llm.common import read_table
 
 
@@ -18,4 +18,65 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules,)}
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, trained on labelled rows that are not held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    fitted = toxicity.fit(docs, read_table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    scored = toxicity.score(docs, fitted)
+    return scored.selectExpr("doc_id", f"{toxicity.HELD_OUT} AS held_out", "score", "predicted")
+
+
+def op4_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loss difference of all documents between the model of the documents labelled
+    as good and the model of all documents."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    wanted = read_table(spark, sf_dir, "labels").where("quality = 1")
+    vocab = crossent.vocabulary(docs)
+    return crossent.score(docs, crossent.fit(docs, wanted, vocab), vocab)
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark phrases found in all documents by one FM-index per shard."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = fmindex.contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.selectExpr(
+        "doc_id", "n_words", "n_hit", "CAST(size(item_ids) AS BIGINT) AS n_items",
+        "sha2(array_join(item_ids, ','), 256) AS items_sha256", "n_hit > 0 AS contaminated",
+    )
+
+
+# a conversation whose texts consist of control strings of a common template
+CONTROL_CONVERSATION = (
+    "SELECT inline(array(named_struct('conv_id', -7L, 'turn', 0L, 'role', 'user', 'text', '</s>[INST] ok [/INST]'), "
+    "named_struct('conv_id', -7L, 'turn', 1L, 'role', 'assistant', 'text', '</s>[INST] ok [/INST]')))"
+)
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted and read back from the formatted segments."""
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_conversations(turns.union(spark.sql(CONTROL_CONVERSATION))))
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as id segments with Elias-Fano boundaries, read back from the files."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = tokenio.write_tokens(docs, _tokenizer("byte_bpe_50k.json"))
+    return tokenio.read_tokens(spark, path)
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to piece ids by unigram Viterbi and decoded again."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return unigram.encode_digest(docs, _tokenizer("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_toxicity, op4_cross_entropy, op5_decontamination, op8_token_ids, op9_chat_format, op10_sentencepiece,
+)}
