@@ -108,28 +108,46 @@ class Encoder:
         self._tokenizer = Tokenizer.from_str(self.definition)
         self._tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self._first, self._after = {}, {}  # parts at a text's start; parts after a space
-
-    def _fill(self, cache: dict, parts: set, prefix: str) -> None:
-        missing = list(parts - cache.keys())
-        if len(cache) + len(missing) > CACHE_PARTS:
-            cache.clear()
-            missing = list(parts)
-        got = self._tokenizer.encode_batch_fast([prefix + p for p in missing], add_special_tokens=False)
-        dtype = self.dtype
-        cache.update(zip(missing, [np.array(e.ids, dtype).tobytes() for e in got]))
+        vocabulary = self._tokenizer.get_vocab()
+        self._bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():  # byte-level tokens: one character a byte
+            self._bytes[number] = len(token)
+        self._after, self._older = {}, {}  # ids of parts after a space: recent, and the generation before
+
+    def _fill(self, parts: set) -> None:
+        """Get every part's ids into the recent cache."""
+        new = parts - self._after.keys()
+        if len(self._after) + len(new) > CACHE_PARTS:
+            self._older, self._after = self._after, {}
+            new = parts
+        again = new & self._older.keys()
+        older = self._older
+        self._after.update((p, older[p]) for p in again)
+        missing = list(new - again)
+        if not missing:
+            return
+        # the parts one after the other are one text whose ids are cut by byte length
+        spelled = [" " + p for p in missing]
+        ids = np.array(self._tokenizer.encode_batch_fast(["".join(spelled)], add_special_tokens=False)[0].ids, np.int64)
+        ends = np.cumsum([len(x.encode()) for x in spelled])
+        cuts = np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 1
+        raw, size = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
+        at = 0
+        for part, cut in zip(missing, (cuts * size).tolist()):
+            self._after[part] = raw[at:cut]
+            at = cut
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers."""
         if self._tokenizer is None:
             self._load()
+        if not texts:
+            return []
         cut = [(t.split(" ") if not _ODD.search(t) else _CUT.split(t)) for t in texts]
-        first = {c[0] for c in cut}
-        after = set().union(*(c[1:] for c in cut))
-        self._fill(self._first, first, "")
-        self._fill(self._after, after, " ")
-        a, b = self._first, self._after.__getitem__
-        return [a[c[0]] + b"".join(map(b, c[1:])) for c in cut]
+        heads = self._tokenizer.encode_batch_fast([c[0] for c in cut], add_special_tokens=False)
+        self._fill(set().union(*(c[1:] for c in cut)))
+        after = self._after.__getitem__
+        return [np.array(h.ids, self.dtype).tobytes() + b"".join(map(after, c[1:])) for h, c in zip(heads, cut)]
 
 
 _SEGMENT = (

@@ -98,11 +98,11 @@ class DoubleArrayTrie:
                     children[node][b] = nxt
                 node = nxt
             ends[node] = number
-        size = 4 * len(children) + 1024
+        size = 4 * len(children) + 8192
         base, check, value = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
         used = np.zeros(size, bool)
         used[0] = True
-        place, free = {0: 0}, 1
+        place, free, end = {0: 0}, 1, 1
         queue = [0]
         for node in queue:
             kids = children[node]
@@ -111,9 +111,11 @@ class DoubleArrayTrie:
             letters = np.array(sorted(kids))
             while used[free]:
                 free += 1
-            at = max(1, free - int(letters[0]))
+            # single children fill holes; others are looked for near the filled end
+            at = max(1, (free if len(kids) == 1 else max(free, end - 512)) - int(letters[0]))
             while used[at + letters].any():
                 at += 1
+            end = max(end, at + int(letters[-1]))
             state = place[node]
             base[state] = at
             for b, kid in kids.items():
