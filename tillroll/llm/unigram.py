@@ -98,11 +98,11 @@ class DoubleArrayTrie:
                     children[node][b] = nxt
                 node = nxt
             ends[node] = number
-        size = 4 * len(children) + 8192
+        size = 8 * len(children) + 8192
         base, check, value = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
         used = np.zeros(size, bool)
-        used[0] = True
-        place, free, end = {0: 0}, 1, 1
+        used[:257] = True  # places below a byte's range stay free of children
+        place, free, end = {0: 0}, 257, 257
         queue = [0]
         for node in queue:
             kids = children[node]
@@ -111,10 +111,15 @@ class DoubleArrayTrie:
             letters = np.array(sorted(kids))
             while used[free]:
                 free += 1
-            # single children fill holes; others are looked for near the filled end
-            at = max(1, (free if len(kids) == 1 else max(free, end - 512)) - int(letters[0]))
-            while used[at + letters].any():
-                at += 1
+            # single children fill holes; others go to the filled end, or behind it
+            if len(kids) == 1:
+                at = max(1, free - int(letters[0]))
+                while used[at + letters[0]]:
+                    at += 1
+            else:
+                spots = max(1, end - 512 - int(letters[0])) + np.arange(512)
+                fits = ~used[spots[:, None] + letters].any(axis=1)
+                at = int(spots[np.argmax(fits)]) if fits.any() else end + 1
             end = max(end, at + int(letters[-1]))
             state = place[node]
             base[state] = at
@@ -123,7 +128,7 @@ class DoubleArrayTrie:
                 used[slot], check[slot], place[kid] = True, state, slot
                 value[slot] = ends.get(kid, -1)
                 queue.append(kid)
-        top = int(np.flatnonzero(used)[-1]) + 257
+        top = end + 257
         self.base, self.check, self.value = base[:top], check[:top], value[:top]
 
 
