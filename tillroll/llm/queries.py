@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import chat, crossent, fmindex, quality, tokenio, toxicity, unigram
+from tillroll.llm import (
+    chat, crossent, fmindex, linejoin, quality, sigtree, suffixes, tokenio, toxicity, unigram,
+)
 from tillroll.llm.common import read_table
 
 
@@ -26,6 +28,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.selectExpr("doc_id", f"{toxicity.HELD_OUT} AS held_out", "score", "predicted")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents that an earlier line matches, by exact set-similarity join."""
+    return linejoin.line_digest(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loss difference of all documents between the model of the documents labelled
     as good and the model of all documents."""
@@ -64,6 +71,16 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """50-byte strings of all documents that also start in an earlier document."""
+    return suffixes.dedup_substrings(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under 3-word shingle similarity of 0.9."""
+    return sigtree.jaccard_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as id segments with Elias-Fano boundaries, read back from the files."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -78,5 +95,6 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_toxicity, op4_cross_entropy, op5_decontamination, op8_token_ids, op9_chat_format, op10_sentencepiece,
+    op1_quality_rules, op2_toxicity, op3_line_dedup, op4_cross_entropy, op5_decontamination, op6_substring_dedup,
+    op7_jaccard_join, op8_token_ids, op9_chat_format, op10_sentencepiece,
 )}
