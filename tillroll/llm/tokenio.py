@@ -116,14 +116,18 @@ class Encoder:
 
     def _fill(self, parts: set) -> None:
         """Get every part's ids into the recent cache."""
-        new = parts - self._after.keys()
-        if len(self._after) + len(new) > CACHE_PARTS:
-            self._older, self._after = self._after, {}
-            new = parts
-        again = new & self._older.keys()
-        older = self._older
-        self._after.update((p, older[p]) for p in again)
-        missing = list(new - again)
+        recent = self._after
+        new = [p for p in parts if p not in recent]
+        if len(recent) + len(new) > CACHE_PARTS:
+            self._older, self._after = recent, {}
+            recent, new = self._after, parts
+        older, missing = self._older, []
+        for p in new:
+            known = older.get(p)
+            if known is None:
+                missing.append(p)
+            else:
+                recent[p] = known
         if not missing:
             return
         # the parts one after the other are one text whose ids are cut by byte length
@@ -134,7 +138,7 @@ class Encoder:
         raw, size = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
         at = 0
         for part, cut in zip(missing, (cuts * size).tolist()):
-            self._after[part] = raw[at:cut]
+            recent[part] = raw[at:cut]
             at = cut
 
     def encode(self, texts: list[str]) -> list[bytes]:
