@@ -35,6 +35,7 @@ SEGMENT_IDS = 2_000_000
 SELECT_STEP = 512
 CACHE_PARTS = 400_000
 END_ID = 0
+MARKS = ".,"
 
 
 class EliasFano:
@@ -112,22 +113,28 @@ class Encoder:
         self._bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():  # byte-level tokens: one character a byte
             self._bytes[number] = len(token)
+        self._mark_ids = {m: np.array(self._tokenizer.encode(m, add_special_tokens=False).ids, self.dtype).tobytes() for m in MARKS}
         self._after, self._older = {}, {}  # ids of parts after a space: recent, and the generation before
 
     def _fill(self, parts: set) -> None:
         """Get every part's ids into the recent cache."""
         recent = self._after
         new = [p for p in parts if p not in recent]
-        if len(recent) + len(new) > CACHE_PARTS:
-            self._older, self._after = recent, {}
-            recent, new = self._after, parts
         older, missing = self._older, []
+        ended: list[tuple[str, str]] = []  # letters and one mark: the mark is a pre-token of its own
         for p in new:
             known = older.get(p)
-            if known is None:
-                missing.append(p)
-            else:
+            if known is not None:
                 recent[p] = known
+            elif len(p) > 1 and p[-1] in MARKS and p[-2].isalpha():
+                ended.append((p, p[:-1]))
+            else:
+                missing.append(p)
+        if ended:
+            self._fill({stem for _, stem in ended if stem not in recent})
+            recent = self._after
+            for p, stem in ended:
+                recent[p] = recent[stem] + self._mark_ids[p[-1]]
         if not missing:
             return
         # the parts one after the other are one text whose ids are cut by byte length
@@ -148,6 +155,8 @@ class Encoder:
         if not texts:
             return []
         cut = [(t.split(" ") if not _ODD.search(t) else _CUT.split(t)) for t in texts]
+        if len(self._after) > CACHE_PARTS:
+            self._older, self._after = self._after, {}
         heads = self._tokenizer.encode_batch_fast([c[0] for c in cut], add_special_tokens=False)
         self._fill(set().union(*(c[1:] for c in cut)))
         after = self._after.__getitem__
