@@ -16,8 +16,8 @@ sequence). Two documents link when ``100 * intersection >= 90 * union``.
    by the bitmaps, cannot reach the threshold, and pairs that are already in one
    component; what is left is verified on the whole sets. Only links that join two
    components are written, so a group of n copies gives n - 1 links.
-4. A group above ``BLOCK_SETS`` sets is cut into blocks and every pair of blocks is a
-   task of its own: any size is exact and no task holds more than two blocks.
+4. A group above ``BLOCK_BYTES`` of sets is cut into blocks and every pair of blocks
+   is a task of its own: any size is exact and no task holds more than two blocks.
 
 Defined results: null, empty and blank texts have an empty set and are linked with
 nothing; repeated rows and equal texts have one component; rows with a null doc_id
@@ -40,7 +40,7 @@ from tillroll.llm.shards import hashes_to_bytes, sharded_texts, text_id, with_fr
 
 SHINGLE_WORDS = 3
 SHARE, WHOLE = 90, 100  # similarity: SHARE / WHOLE
-BLOCK_SETS = 2048
+BLOCK_BYTES = 24 << 20
 FAN = 16
 
 
@@ -144,37 +144,34 @@ class SignatureTree:
         return sizes & ((SHARE + WHOLE) * most >= SHARE * (low_a + low_b))
 
 
-def _find(parent: list[int], x: int) -> int:
-    while parent[x] != x:
-        parent[x] = parent[parent[x]]
-        x = parent[x]
-    return x
-
-
 def tree_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Links that span the components of the given sets (places in the list)."""
     order = sorted(range(len(sets)), key=lambda k: (len(sets[k]), sets[k][0]))
     sets = [sets[k] for k in order]
     tree = SignatureTree(sets)
-    parent, links = list(range(len(sets))), []
+    root, links = np.arange(len(sets)), []
+
+    def one_component(level: int, a: int, b: int) -> bool:
+        width = FAN**level
+        x, y = root[a * width : (a + 1) * width], root[b * width : (b + 1) * width]
+        return bool((x == x[0]).all() and (y == x[0]).all())
+
     stack = [(len(tree.levels) - 1, 0, 0)]
     while stack:
         level, a, b = stack.pop()
+        if level and one_component(level, a, b):
+            continue
         if level == 0:
-            x, y = _find(parent, a), _find(parent, b)
+            x, y = root[a], root[b]
             if x != y:
                 both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
                 if (SHARE + WHOLE) * both >= SHARE * (len(sets[a]) + len(sets[b])):
-                    parent[max(x, y)] = min(x, y)
+                    root[root == max(x, y)] = min(x, y)
                     links.append((order[a], order[b]))
             continue
         width = len(tree.levels[level - 1][2])
         kids_a = np.arange(a * FAN, min((a + 1) * FAN, width))
         kids_b = np.arange(b * FAN, min((b + 1) * FAN, width))
-        if level == 1:
-            roots = {_find(parent, k) for k in (*kids_a.tolist(), *kids_b.tolist())}
-            if len(roots) == 1 and a != b:
-                continue
         can = tree.possible(level - 1, kids_a, kids_b)
         for i, j in np.argwhere(can)[::-1].tolist():
             x, y = int(kids_a[i]), int(kids_b[j])
@@ -206,15 +203,15 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     meet = tokens.join(lowest.select("t", "m"), "t").where("doc_id <> m").selectExpr("doc_id AS a", "m AS b")
     groups = written(components(meet, "jaccard_candidates"), "jaccard-groups")
 
-    size = groups.groupBy("component").agg(F.count("*").alias("c"))
-    placed = (
-        groups.join(size, "component")
-        .selectExpr("node AS doc_id", "component", f"CAST(ceil(c / {BLOCK_SETS}) AS INT) AS blocks")
-        .selectExpr("doc_id", "component", "blocks", "CAST(pmod(xxhash64(doc_id), blocks) AS INT) AS own")
-        .selectExpr("doc_id", "component", "own", "explode(sequence(0, blocks - 1)) AS other")
-        .selectExpr("doc_id", "component", "least(own, other) AS i", "greatest(own, other) AS j")
+    members = groups.withColumnRenamed("node", "doc_id").join(kept.select("doc_id", "keys"), "doc_id")
+    size = members.groupBy("component").agg(F.expr("sum(octet_length(keys))").alias("bytes"))
+    pairs = (
+        members.join(size, "component")
+        .selectExpr("component", "doc_id", "keys", f"CAST(ceil(bytes / {BLOCK_BYTES}) AS INT) AS blocks")
+        .selectExpr("*", "CAST(pmod(xxhash64(doc_id), blocks) AS INT) AS own")
+        .selectExpr("component", "doc_id", "keys", "own", "explode(sequence(0, blocks - 1)) AS other")
+        .selectExpr("component", "least(own, other) AS i", "greatest(own, other) AS j", "doc_id", "keys")
     )
-    pairs = placed.join(kept.select("doc_id", "keys"), "doc_id")
     links = pairs.groupBy("component", "i", "j").applyInArrow(_group_links, "a bigint, b bigint")
     linked = components(links.union(same), "jaccard_links")
 

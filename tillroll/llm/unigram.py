@@ -144,6 +144,7 @@ class Pieces:
         for i in normal:
             s = rows[i][1]
             self.scores[i] = s if log_scores else -np.log(ZIPF_SHIFT - s)
+        self.scores = np.round(self.scores * (1 << 20)) / (1 << 20)  # sums are exact, so ties are ties
         self.unknown_score = min((self.scores[i] for i in normal), default=0.0) - UNKNOWN_PENALTY
         self.trie = DoubleArrayTrie({w: i for i, w in normal.items()})
         self.byte_ids = np.full(256, -1, np.int32)
