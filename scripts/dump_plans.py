@@ -21,7 +21,7 @@ SHOWN = {
     "top_customers": "top-k over an aggregate",
     "grouped_revenue_reports": "category, country and customer aggregates in one grouping-sets pass (one Expand, one shuffle)",
     "pareto_by_customer_ranged": "Pareto over 15k customers without a single-partition window",
-    "accepted_lines": "text lines -> validator (projections behind the inline fence) -> accepted",
+    "accepted_lines": "text lines -> validator (projections; only the outcome passes the one-row generator) -> accepted",
     "shop_revenue_by_category": "the reference's run: parsed lines x parsed catalog -> >= 20 -> per category",
 }
 
@@ -36,14 +36,12 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(spark)  # a local session: a scratch folder
     out = [
         "# Physical plans",
         "",
         f"Physical plans (as planned, before adaptive re-planning) at `{sf_dir}` on local[8]; "
-        "regenerate with `python scripts/dump_plans.py`. The `Exchange` right above the "
-        "lineitem / events scans is the parallelism floor for these single-row-group test "
-        "files; a split input at scale has no such exchange.",
+        "regenerate with `python scripts/dump_plans.py`.",
         "",
     ]
     for name, note in SHOWN.items():

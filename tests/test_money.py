@@ -64,3 +64,15 @@ def test_money_sum_is_exact_and_empty_is_null(spark):
     assert df2.agg(money_sum("revenue")).first()[0] == 3.0
     empty = df.where("revenue < 0")
     assert empty.agg(money_sum("revenue")).first()[0] is None
+
+
+def test_money_sum_of_extreme_prices(spark):
+    def total(values):
+        return spark.createDataFrame([(v,) for v in values], "x double").agg(money_sum("x"), money_sum(F.col("x"))).first()
+
+    top = 9.223372036854776e16
+    for values, expected in [
+        ([top, 1.0], top), ([float("inf"), 1.0], top), ([float("-inf"), 1.0], -top), ([9e15] * 10, 9e16),
+        ([9e15] * 20, top), ([0.004] * 1000, 4.0), ([0.004], 0.0), ([float("nan"), 1.0], 0.0), ([None, 2.5], 2.5),
+    ]:
+        assert list(total(values)) == [expected, expected], values

@@ -8,19 +8,20 @@ from tillroll.plans.pipeline import PipelineConfig, pipeline_run, print_sections
 
 PRODUCTS = [
     "productId,productName,category,basePrice",
-    "P1,Smart Lamp 1,Garden,10.0",
-    "P2,Urban Jacket 2,Clothing,100.0",
-    "P3,Deluxe Speaker 3,Electronics,500.0",
-    "P4,Broken,Toys,zero",
+    "A10,Oak Desk,Furniture,120.5",
+    "A11,Wool Scarf,Apparel,18.25",
+    "A12,Field Lens,Optics,640.0",
+    "A13,Paper Kite,Play,free",
 ]
 TRANSACTIONS = [
     "orderId,customerId,productId,quantity,unitPrice,country,orderDate",
-    "T1,C1,P1,1,10.0,Israel,2024-01-01",
-    "T2,C1,P2,2,100.0,Israel,2024-01-02",
-    "T3,C2,P3,4,500.0,Japan,2024-01-03",
-    "T4,C2,P1,3,10.0,Japan,2024-01-04",
-    "T5,C3,P4,1,10.0,USA,2024-01-05",
-    "T6,C3,P1,1,N/A,USA,2024-01-06",
+    "L1,K7,A11,1,18.25,Peru,2023-05-02",
+    "L2,K7,A10,1,120.5,Peru,2023-05-02",
+    "L3,K8,A12,2,640.0,Norway,2023-05-03",
+    "L4,K9,A11,4,18.0,Norway,2023-05-04",
+    "L5,K8,A13,1,9.0,Peru,2023-05-04",
+    "L6,K9,A10,two,119.0,Norway,2023-05-05",
+    "L7,K9,A10",
     "",
 ]
 
@@ -50,14 +51,14 @@ def test_run_writes_six_reports(spark, scratch):
     assert len(cat_files) == 1
     cats = open(cat_files[0]).read().splitlines()
     assert cats[0] == "category,revenue,orders,units_sold"
-    assert sorted(cats[1:]) == ["Clothing,200.0,1,2", "Electronics,2000.0,1,4", "Garden,30.0,1,3"]
+    assert sorted(cats[1:]) == ["Apparel,72.0,1,4", "Furniture,120.5,1,1", "Optics,1280.0,1,2"]
     rejected = "".join(open(f).read() for f in glob.glob(f"{out}/rejected_lines/*.csv"))
-    assert "field unitPrice is not a number: 'N/A',\"T6,C3,P1,1,N/A,USA,2024-01-06\"" in rejected
+    assert "field quantity is not a number: 'two',\"L6,K9,A10,two,119.0,Norway,2023-05-05\"" in rejected
     assert "accepted lines : 5" in text
-    assert "rejected lines : 1  (16.67 % of the file)" in text
+    assert "rejected lines : 2  (28.57 % of the file)" in text
     assert "FINDING: 1 categories out of 3 generate 80 % of it." in text
-    assert "total revenue of the analysed lines : 2230.00" in text
-    assert "MEDIUM            0 lines  (between 50.0 and 200.0)" in text
+    assert "total revenue of the analysed lines : 1472.50" in text
+    assert "LARGE             0 lines  (between 200.0 and 1000.0)" in text
 
 
 def test_line_frames_override_files(spark):
@@ -65,9 +66,9 @@ def test_line_frames_override_files(spark):
     pr = spark.createDataFrame([(x,) for x in PRODUCTS], "value string")
     with pipeline_run(spark, PipelineConfig(), transaction_lines=tx, product_lines=pr) as run:
         sizes = {r["size"]: r["count"] for r in run.reports["order_sizes"].collect()}
-        assert sizes == {"SMALL": 2, "MEDIUM": 0, "LARGE": 1, "PREMIUM": 1}
+        assert sizes == {"SMALL": 1, "MEDIUM": 2, "LARGE": 0, "PREMIUM": 1}
         top = run.reports["top_customers"].collect()
-        assert [(r.customer_id, r.total_spent) for r in top] == [("C2", 2030.0), ("C1", 200.0)]
+        assert [(r.customer_id, r.total_spent) for r in top] == [("K8", 1280.0), ("K7", 120.5), ("K9", 72.0)]
 
 
 def test_checkpoint_materialization_and_rejected_products(spark):
@@ -76,8 +77,8 @@ def test_checkpoint_materialization_and_rejected_products(spark):
     config = PipelineConfig(materialize="checkpoint")
     with pipeline_run(spark, config, transaction_lines=tx, product_lines=pr) as run:
         cats = {r.category: r.revenue for r in run.categories.collect()}
-        assert cats == {"Garden": 30.0, "Clothing": 200.0, "Electronics": 2000.0}
-        assert [r.reason for r in run.rejected_products.collect()] == ["field basePrice is not a number: 'zero'"]
+        assert cats == {"Apparel": 72.0, "Furniture": 120.5, "Optics": 1280.0}
+        assert [r.reason for r in run.rejected_products.collect()] == ["field basePrice is not a number: 'free'"]
         assert run.persisted == []
 
 
@@ -107,3 +108,24 @@ def test_single_pass_reports_equal_separate(spark):
             }
 
     assert reports(True) == reports(False)
+
+
+def test_failed_write_releases_the_cache(spark, scratch, monkeypatch):
+    from tillroll.plans import pipeline
+
+    data = os.path.join(scratch, "data")
+    os.makedirs(data)
+    _write(f"{data}/products.csv", PRODUCTS)
+    _write(f"{data}/transactions.csv", TRANSACTIONS)
+    closed = []
+    monkeypatch.setattr(pipeline.PipelineRun, "close", lambda self: closed.append(self))
+
+    def broken(*args, **kwargs):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(pipeline, "write_report", broken)
+    try:
+        run_pipeline(spark, PipelineConfig(data_dir=data, output_dir=f"{scratch}/out"))
+    except OSError:
+        pass
+    assert len(closed) == 1

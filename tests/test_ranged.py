@@ -17,18 +17,18 @@ def test_ranged_equals_window_with_ties(spark, ranges):
     rnd = random.Random(ranges)
     data = [(f"K{i:04d}", float(rnd.choice([0, 1, 5, 10, 10, 250, 999]) + rnd.choice([0.0, 0.25]))) for i in range(500)]
     df = spark.createDataFrame(data, "key string, amount double")
-    w = pareto(df, "key", "amount")
+    w = pareto(df, "key", "amount", method="window")
     r = pareto(df, "key", "amount", method="ranged", ranges=ranges)
     assert _rows(w) == _rows(r)
     for t in (10.0, 50.0, 80.0, 100.0):
-        assert keys_to_reach(df, t, "key", "amount").first() == keys_to_reach(
+        assert keys_to_reach(df, t, "key", "amount", method="window").first() == keys_to_reach(
             df, t, "key", "amount", method="ranged", ranges=ranges
         ).first()
 
 
 def test_ranged_equals_window_on_customers(spark):
     report = customer_report(spark, "/root/testdata/sf0.01")
-    w = pareto(report, "customer_id", "total_spent")
+    w = pareto(report, "customer_id", "total_spent", method="window")
     r = pareto(report, "customer_id", "total_spent", method="ranged", ranges=8)
     rows = _rows(r)
     assert rows == _rows(w)
@@ -42,3 +42,11 @@ def test_ranged_with_negative_amounts_uses_positions(spark):
         got = keys_to_reach(df, 90.0, "key", "amount", method=method, ranges=2).first()
         # shares: A 50/100, B 90/100 -> 2 keys; later rows are not looked at
         assert (got.keys_needed, got.keys_total) == (2, 4)
+
+
+def test_default_pareto_gathers_no_report_rows(spark):
+    report = customer_report(spark, "/root/testdata/sf0.01")
+    plan = pareto(report, "customer_id", "total_spent")._jdf.queryExecution().sparkPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window" in line]
+    # only the offsets, one row per range, are ordered as a whole
+    assert all("_range" in line or "_c_sum#" in line for line in windows) and len(windows) >= 2

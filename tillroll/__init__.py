@@ -1,9 +1,7 @@
 """tillroll: sales-line analytics on Spark DataFrames.
 
-Every operator takes DataFrames plus column names / thresholds and returns a
-DataFrame built from native Catalyst expressions; nothing is collected to the
-driver except bounded, size-checked metadata (row-count probes of broadcast
-candidates).
+Every operator takes DataFrames plus column names / thresholds and returns a lazy
+DataFrame built from native expressions; nothing is collected to the driver.
 """
 
 from tillroll.functions.money import cents, money_sum, revenue_of, round_money

@@ -3,7 +3,7 @@
 Amounts are binary doubles rounded to whole cents the JVM way:
 ``Math.round(x * 100) / 100``, i.e. half toward +infinity applied to the
 *binary* product (1.005 -> 1.0, unlike ``F.round`` which gives 1.01). Sums are
-taken over exact integer cents so they are order-free and identical on every
+taken in wide decimals, so they are order-free and identical on every
 partitioning.
 
 Each helper accepts a column name (built as one SQL expression, a single call
@@ -37,7 +37,7 @@ def round_money_sql(x: str) -> str:
 
 def cents_sql(x: str) -> str:
     """SQL text of :func:`cents` for the SQL expression ``x``."""
-    return f"CAST(round(({x}) * 100D) AS BIGINT)"
+    return f"CAST(round(({x}) * 100D) AS DECIMAL(28,0))"
 
 
 def round_money(amount: Column | str) -> Column:
@@ -68,19 +68,32 @@ def revenue_of(quantity: Column | str, unit_price: Column | str) -> Column:
 
 
 def cents(amount: Column | str) -> Column:
-    """Whole cents (BIGINT) of an amount that is already cent-rounded."""
+    """Whole cents (DECIMAL) of an amount that is already cent-rounded."""
     if isinstance(amount, str):
         return F.expr(cents_sql(quote(amount)))
-    return F.round(amount * F.lit(CENTS)).cast("long")
+    return F.round(amount * F.lit(CENTS)).cast("decimal(28,0)")
+
+
+def money_sum_sql(x: str) -> str:
+    """SQL text of :func:`money_sum` for the SQL expression ``x``."""
+    odd = f"(isnan({x}) OR abs({x}) >= 1e18D)"
+    exact = f"CAST(sum(IF({odd}, NULL, CAST(IF({odd}, 0D, {x}) AS DECIMAL(28,9)))) AS DOUBLE)"
+    total = f"(coalesce({exact}, 0D) + coalesce(sum(IF({odd}, {x}, NULL)), 0D))"
+    return f"IF(count({x}) = 0, NULL, {round_money_sql(total)})"
 
 
 def money_sum(amount: Column | str) -> Column:
-    """Exact sum of cent-rounded amounts, as a double; NULL over no rows.
+    """Sum of amounts, added exactly and rounded to cents once; NULL over no amounts.
 
-    Summing BIGINT cents keeps the aggregate a primitive, codegen'd partial +
-    final hash aggregation, and makes the result independent of how rows are
-    split across partitions (a double fold is not).
+    Ordinary amounts add up in ``DECIMAL(38,9)``: independent of how rows are split
+    across partitions (a double fold is not), exact below a cent, and wide enough
+    for 10**12 rows of the largest rounded price. Amounts of 1e18 and more, and NaN
+    or infinite ones, add up as doubles. The result is rounded and saturated once,
+    as the JVM rounds: +-infinity gives +-2**63 / 100, NaN gives 0.0.
     """
     if isinstance(amount, str):
-        return F.expr(f"sum({cents_sql(quote(amount))}) / 100D")
-    return F.sum(cents(amount)) / F.lit(CENTS)
+        return F.expr(money_sum_sql(quote(amount)))
+    odd = F.isnan(amount) | (F.abs(amount) >= F.lit(1e18))
+    exact = F.sum(F.when(~odd, F.when(odd, F.lit(0.0)).otherwise(amount).cast("decimal(28,9)"))).cast("double")
+    total = F.coalesce(exact, F.lit(0.0)) + F.coalesce(F.sum(F.when(odd, amount)), F.lit(0.0))
+    return F.when(F.count(amount) > 0, round_money(total))

@@ -2,18 +2,19 @@
 
 ``format_string`` uses the JVM formatter with a fixed locale, so numbers render
 the same on every executor. Money is cent-rounded before it is formatted.
-Reports are ordered richest first, ties by key. Numbering uses one ordered
-window, which is right for small, already-aggregated reports; ``ranged=True``
-numbers a large report over range partitions instead.
+Reports are ordered richest first, ties by key, and numbered range by range (see
+:func:`tillroll.operators.ranking.number_rows`), so a report of any length needs no
+single task; the size classes, a handful of rows, are numbered by their rank.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import round_money, round_money_sql
 from tillroll.functions.text import sql_text
+from tillroll.operators.ranking import number_rows
 
 # Fixed values that must equal the reference's: the line layouts.
 CATEGORY_FORMAT = "%-14s %14.2f  %8d orders  %8d units"
@@ -27,57 +28,42 @@ REJECTED_FORMAT = "rejected lines : %d  (%.2f %% of the file)"
 TOTAL_FORMAT = "total revenue of the analysed lines : %.2f"
 
 
-def _numbered(
-    df: DataFrame, line: Column, order: list[tuple[str, bool]], start: int = 1, *, ranged: bool = False
-) -> DataFrame:
-    """``line_no, line`` in ``order`` ((column, descending) pairs).
-
-    One ordered window by default (reports meant for reading are small);
-    ``ranged=True`` numbers over range partitions instead (no single task,
-    see :func:`tillroll.operators.ranking.number_rows`).
-    """
-    if ranged:
-        from tillroll.operators.ranking import number_rows
-
-        numbered = number_rows(df.select(*[c for c, _ in order], line.alias("line")), order)
-        return numbered.select((F.col("_pos") + F.lit(start - 1)).cast("long").alias("line_no"), "line")
-    w = Window.orderBy(*[F.desc(c) if desc else F.asc(c) for c, desc in order])
-    return df.select(
-        (F.row_number().over(w) + F.lit(start - 1)).cast("long").alias("line_no"),
-        line.alias("line"),
-    )
+def _numbered(df: DataFrame, line: Column, score: str, key: str) -> DataFrame:
+    """``line_no, line`` by ``score`` descending, then ``key``."""
+    numbered = number_rows(df.select(score, key, line.alias("line")), score, [key])
+    return numbered.selectExpr("_pos AS line_no", "line")
 
 
-def render_categories(report: DataFrame, key: str = "category", *, ranged: bool = False) -> DataFrame:
+def render_categories(report: DataFrame, key: str = "category") -> DataFrame:
     line = F.format_string(CATEGORY_FORMAT, F.col(key), round_money("revenue"), "orders", "units_sold")
-    return _numbered(report, line, [("revenue", True), (key, False)], ranged=ranged)
+    return _numbered(report, line, "revenue", key)
 
 
-def render_countries(report: DataFrame, key: str = "country", *, ranged: bool = False) -> DataFrame:
+def render_countries(report: DataFrame, key: str = "country") -> DataFrame:
     line = F.format_string(COUNTRY_FORMAT, F.col(key), round_money("revenue"))
-    return _numbered(report, line, [("revenue", True), (key, False)], ranged=ranged)
+    return _numbered(report, line, "revenue", key)
 
 
-def render_customers(report: DataFrame, key: str = "customer_id", *, ranged: bool = False) -> DataFrame:
+def render_customers(report: DataFrame, key: str = "customer_id") -> DataFrame:
     line = F.format_string(CUSTOMER_FORMAT, F.col(key).cast("string"), round_money("total_spent"), "orders")
-    return _numbered(report, line, [("total_spent", True), (key, False)], ranged=ranged)
+    return _numbered(report, line, "total_spent", key)
 
 
 def render_sizes(zero_filled: DataFrame) -> DataFrame:
     """Lines of the zero-filled distribution (all classes, in rank order)."""
     line = F.format_string(SIZE_FORMAT, "size", "count", "description")
-    return _numbered(zero_filled, line, [("rank", False)])
+    return zero_filled.select((F.col("rank") + F.lit(1)).cast("long").alias("line_no"), line.alias("line"))
 
 
 def render_pareto(
-    pareto_report: DataFrame, reach: DataFrame, threshold: float, key: str = "category", *, ranged: bool = False
+    pareto_report: DataFrame, reach: DataFrame, threshold: float, key: str = "category"
 ) -> DataFrame:
     """Pareto rows, a blank line, then the FINDING line from :func:`keys_to_reach`."""
     rows = _numbered(
         pareto_report,
         F.format_string(PARETO_FORMAT, F.col(key), round_money("revenue"), "cumulative_share"),
-        [("revenue", True), (key, False)],
-        ranged=ranged,
+        "revenue",
+        key,
     )
     # the blank line and the FINDING line come from the one summary row
     tail = reach.selectExpr(

@@ -49,7 +49,8 @@ def classify_order(
 ) -> Column:
     """``CASE WHEN amount < l0 THEN label0 WHEN amount < l1 ...`` (half-open bands).
 
-    NaN is not below any limit and lands in the last class, as in the JVM.
+    NaN is not below any limit and lands in the last class, as in the JVM; a NULL
+    amount has no class (NULL).
     """
     if len(labels) != len(limits) + 1:
         raise ValueError("need exactly one more label than limits")
@@ -58,13 +59,13 @@ def classify_order(
         whens = " ".join(
             f"WHEN {q} < {float(limit)!r}D THEN {sql_text(label)}" for limit, label in zip(limits, labels)
         )
-        return F.expr(f"CASE {whens} ELSE {sql_text(labels[-1])} END")
+        return F.expr(f"CASE {whens} WHEN {q} IS NOT NULL THEN {sql_text(labels[-1])} END")
     col = amount
     expr = None
     for limit, label in zip(limits, labels):
         cond = col < F.lit(float(limit))
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(labels[-1]))
+    return expr.when(col.isNotNull(), F.lit(labels[-1]))
 
 
 def describe_size(

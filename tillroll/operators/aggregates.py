@@ -51,8 +51,8 @@ def order_size_distribution(
     limits: Sequence[float] = DEFAULT_LIMITS,
     labels: Sequence[str] = SIZE_LABELS,
 ) -> DataFrame:
-    """Lines per size class; classes without lines are absent."""
-    return df.groupBy(classify_order(amount, limits, labels).alias("size")).agg(F.expr("count(1) AS `count`"))
+    """Lines per size class; classes without lines are absent, NULL amounts are left out."""
+    return df.where(F.col(amount).isNotNull()).groupBy(classify_order(amount, limits, labels).alias("size")).agg(F.expr("count(1) AS `count`"))
 
 
 def order_size_zero_filled(

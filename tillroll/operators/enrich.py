@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import quote, round_money_sql
-from tillroll.session import DEFAULT_BROADCAST_ROWS, checked_broadcast
 
 
 def enrich(
@@ -20,8 +19,7 @@ def enrich(
     unit_price: str = "unit_price",
     catalog_columns: Sequence[str] = ("product_name", "category"),
     revenue: str = "revenue",
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-    broadcast: bool | None = None,
+    join_hint: str | None = None,
     salt_buckets: int = 1,
 ) -> DataFrame:
     """Inner equi-join of ``lines`` to ``catalog`` on ``key`` plus a revenue column.
@@ -31,23 +29,19 @@ def enrich(
       price is the line's own, not the catalog's.
     * ``revenue = round_money(quantity * unit_price)``.
 
-    Scale: the catalog side is pruned to ``key + catalog_columns`` and broadcast
-    only if a bounded probe proves it has at most ``broadcast_rows`` rows;
-    otherwise both sides are hash-shuffled on ``key`` (AQE may still switch to a
-    broadcast at runtime and splits skewed partitions). ``salt_buckets > 1``
-    spreads each key over that many buckets: lines get a deterministic
-    ``pmod(xxhash64(line columns), n)`` salt and catalog rows are replicated once
-    per bucket, so each line still meets each matching catalog row exactly once
-    (fully identical lines share a bucket). A salted join is always a shuffle
-    join. ``broadcast=True/False`` skips the probe when the caller has already proven
-    (or ruled out) the bound, e.g. on the raw lines the catalog was parsed from.
+    Scale: the catalog side is pruned to ``key + catalog_columns``; whether it is
+    broadcast is left to the byte sizes that the planner and AQE see, unless
+    ``join_hint`` (such as ``merge`` or ``shuffle_hash``) asks for a shuffle join.
+    ``salt_buckets > 1`` spreads each key over that many buckets: lines get a
+    deterministic ``pmod(xxhash64(line columns), n)`` salt and catalog rows are
+    replicated once per bucket, so each line still meets each matching catalog row
+    exactly once (identical lines share a bucket). AQE splits skewed partitions
+    of either form.
     """
     cat = catalog.select(key, *catalog_columns)
 
-    def maybe_broadcast(side: DataFrame) -> DataFrame:
-        if broadcast is None:
-            return checked_broadcast(side, broadcast_rows)
-        return F.broadcast(side) if broadcast else side
+    def hinted(side: DataFrame) -> DataFrame:
+        return side.hint(join_hint) if join_hint else side
 
     keep = [c for c in lines.columns if c != key]
     if salt_buckets and salt_buckets > 1:
@@ -57,10 +51,9 @@ def enrich(
         salted_cat = cat.withColumn(
             "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>"))
         )
-        # salting is for shuffle joins: the salted catalog is never broadcast
-        joined = salted_lines.join(salted_cat, [key, "_salt"], "inner")
+        joined = salted_lines.join(hinted(salted_cat), [key, "_salt"], "inner")
     else:
-        joined = lines.join(maybe_broadcast(cat), key, "inner")
+        joined = lines.join(hinted(cat), key, "inner")
     revenue_sql = round_money_sql(f"{quote(quantity)} * {quote(unit_price)}")
     return joined.selectExpr(
         *[quote(c) for c in keep],

@@ -1,78 +1,79 @@
 """Top-k and cumulative-share (Pareto) analytics.
 
 Ties are broken by the key column so results do not depend on shuffle order.
+
+Cumulative results over many rows need no single task. Rows are cut into ranges of
+the wanted order by splitters, the rows with the smallest hashes (a deterministic
+sample: every evaluation of the plan gives the same ranges), each range is numbered
+or summed on its own, and the ranges' totals, one small row each, give the offsets.
+Everything is one lazy plan: one exchange of the rows, by range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.money import cents, cents_sql, quote, round_money
+from tillroll.functions.money import cents_sql, quote, round_money
 from tillroll.operators.aggregates import spending_by_customer
-from tillroll.session import checkpoint_dir, shuffle_partitions
 
+# How many ranges the ordered work is cut into.
+DEFAULT_RANGES = 64
 
-# Above this many rows a top-k is numbered over range partitions instead of
-# merged in one task (TakeOrderedAndProject gathers n rows from every partition).
-TOP_K_MERGE_ROWS = 100_000
 
+def top_by(df: DataFrame, n: int, score: str, keys: str | Sequence[str] = ()) -> DataFrame:
+    """The ``n`` rows with the highest ``score`` in that order; ties by ascending ``keys``.
 
-def top_by(
-    df: DataFrame,
-    n: int,
-    score: str,
-    keys: str | Sequence[str] = (),
-    *,
-    merge_rows: int = TOP_K_MERGE_ROWS,
-    ranges: int | None = None,
-) -> DataFrame:
-    """The ``n`` rows with the highest ``score``; ties by ascending ``keys``.
-
-    ``n`` larger than the input returns every row, ``n <= 0`` none. For
-    ``n <= merge_rows`` this is ``TakeOrderedAndProject``: each partition keeps
-    its own top ``n`` and only those candidates reach the final merge. Beyond
-    that the rows are numbered over range partitions (see :func:`number_rows`)
-    and positions ``<= n`` kept, so no task ever holds ``n`` x partitions rows.
+    ``n`` larger than the input returns every row, ``n <= 0`` none. Lazy for every
+    ``n`` (``TakeOrderedAndProject``: each partition keeps its own top ``n``). It is
+    meant for report-sized ``n``; to cut a large ordered prefix, filter
+    :func:`number_rows` by ``_pos``, which never gathers rows in one task.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    n = max(int(n), 0)
-    if n <= merge_rows:
-        return df.orderBy(F.desc(score), *[F.asc(k) for k in keys]).limit(n)
-    numbered = number_rows(df, [(score, True), *[(k, False) for k in keys]], ranges=ranges)
-    return numbered.where(F.col("_pos") <= F.lit(n)).drop("_pos")
+    return df.orderBy(F.desc(score), *[F.asc(k) for k in keys]).limit(max(int(n), 0))
 
 
-def number_rows(
-    df: DataFrame, ordering: Sequence[tuple[str, bool]], *, ranges: int | None = None
-) -> DataFrame:
-    """``df`` plus ``_pos``: the 1-based position in ``ordering`` ((column,
-    descending) pairs), computed without a single-partition window.
+def _order_struct(score: str, keys: Sequence[str]) -> str:
+    """A struct whose ascending order is ``score`` descending, then ``keys`` ascending
+    (NaN first, as Spark orders it above every number; NULL last)."""
+    s = f"CAST({quote(score)} AS DOUBLE)"
+    fields = [f"'n', {s} IS NULL", f"'f', NOT coalesce(isnan({s}), false)", f"'s', IF(isnan({s}), 0D, -{s})"]
+    fields += [f"'k{i}', {quote(k)}" for i, k in enumerate(keys)]
+    return f"named_struct({', '.join(fields)})"
 
-    Rows are range-partitioned by the ordering and tagged with their range id,
-    checkpointed to the shared folder (stable ids, survives executor loss);
-    per-range row counts (one row per range) give offsets, broadcast (bounded by
-    the number of ranges); each range numbers its rows locally.
-    """
-    spark = df.sparkSession
-    if checkpoint_dir(spark) is None:
-        raise RuntimeError("ranged numbering needs spark.checkpoint.dir (a folder shared by the cluster)")
-    order = [F.desc(c) if desc else F.asc(c) for c, desc in ordering]
-    n = int(ranges or shuffle_partitions(spark))
-    ranged = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).checkpoint(eager=True)
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_pn"))
-        .select("_part", F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_off_n"))
+
+def _ranged(df: DataFrame, score: str, keys: Sequence[str], ranges: int) -> DataFrame:
+    """``df`` plus ``_o`` (order struct) and ``_range`` (0 .. ranges - 1, in order)."""
+    ordered = df.selectExpr("*", f"{_order_struct(score, keys)} AS _o")
+    splitters = (
+        ordered.select("_o").orderBy(F.xxhash64("_o")).limit(max(ranges - 1, 1))
+        .agg(F.array_sort(F.collect_list("_o")).alias("s"))
     )
-    inside = Window.partitionBy("_part").orderBy(*order)
-    return (
-        ranged.join(F.broadcast(offsets), "_part")
-        .withColumn("_pos", (F.row_number().over(inside) + F.col("_off_n")).cast("long"))
-        .drop("_part", "_off_n")
+    placed = ordered.withColumn("_s", splitters.scalar())
+    return placed.withColumn("_range", F.expr("size(filter(_s, s -> s < _o))")).drop("_s")
+
+
+def _offsets(ranged: DataFrame, sums: dict[str, str]) -> DataFrame:
+    """Per range the sums over all ranges before it; at most one row per range, so the
+    ordered window and the broadcast over it are bounded by the number of ranges."""
+    totals = ranged.groupBy("_range").agg(*[F.expr(f"{e} AS {c}") for c, e in sums.items()])
+    before = "OVER (ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return F.broadcast(totals.selectExpr(
+        "_range",
+        *[f"coalesce(sum({c}) {before}, 0) AS {c}_before" for c in sums],
+        *[f"sum({c}) OVER () AS {c}_all" for c in sums],
+    ))
+
+
+def number_rows(df: DataFrame, score: str, keys: Sequence[str] = (), *, ranges: int = DEFAULT_RANGES) -> DataFrame:
+    """``df`` plus ``_pos``: its 1-based position by ``score`` descending, then ``keys``."""
+    ranged = _ranged(df, score, list(keys), ranges)
+    offsets = _offsets(ranged, {"_n": "count(1)"})
+    return ranged.join(offsets, "_range").selectExpr(
+        *[quote(c) for c in df.columns],
+        "CAST(row_number() OVER (PARTITION BY _range ORDER BY _o) + _n_before AS BIGINT) AS _pos",
     )
 
 
@@ -91,66 +92,35 @@ def _share(cum: str, total: str):
 
 
 def _framed_window(report: DataFrame, key: str, amount: str) -> DataFrame:
-    """Running sums with one ordered window over the whole report.
-
-    An unpartitioned window runs in a single task; that is the right plan for
-    reports with few keys (categories, brands, countries).
-    """
+    """Running sums with one ordered window: a single task, for reports of a few rows."""
     k = quote(key)
     order = f"_amt DESC, {k} ASC"
     return report.selectExpr(k, f"{quote(amount)} AS _amt", f"{cents_sql(quote(amount))} AS _c").selectExpr(
         k,
         "_amt",
-        f"sum(_c) OVER (ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _cum",
-        "sum(_c) OVER () AS _total",
+        f"CAST(sum(_c) OVER (ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS _cum",
+        "CAST(sum(_c) OVER () AS DOUBLE) AS _total",
         f"CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS _pos",
     )
 
 
-def _framed_ranged(report: DataFrame, key: str, amount: str, ranges: int | None) -> DataFrame:
-    """Running sums over many keys without a single-partition window.
-
-    1. range-partition the per-key rows by (amount desc, key) and tag each row
-       with its range id; checkpoint to the shared folder so ids are stable
-       across the passes below and survive executor loss;
-    2. per-range totals and row counts (one row per range) -> running offsets
-       over those few rows -> broadcast (bounded by the number of ranges);
-    3. running sum / row number inside each range plus the range's offset.
-    """
-    spark = report.sparkSession
-    if checkpoint_dir(spark) is None:
-        raise RuntimeError(
-            "ranged Pareto needs spark.checkpoint.dir (a folder shared by the cluster)"
-        )
-    n = int(ranges or shuffle_partitions(spark))
-    base = report.select(F.col(key), F.col(amount).alias("_amt"), cents(amount).alias("_c"))
-    ranged = (
-        base.repartitionByRange(n, F.desc("_amt"), F.asc(key))
-        .withColumn("_part", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("_part")
-        .agg(F.sum("_c").alias("_pc"), F.count(F.lit(1)).alias("_pn"))
-        .select(
-            "_part",
-            F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_off_c"),
-            F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_off_n"),
-            F.sum("_pc").over(Window.partitionBy()).alias("_total"),
-        )
-    )
-    inside = Window.partitionBy("_part").orderBy(F.desc("_amt"), F.asc(key))
-    return ranged.join(F.broadcast(offsets), "_part").select(
-        F.col(key),
-        F.col("_amt"),
-        (F.sum("_c").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) + F.col("_off_c")).alias("_cum"),
-        F.col("_total"),
-        (F.row_number().over(inside) + F.col("_off_n")).cast("long").alias("_pos"),
+def _framed_ranged(report: DataFrame, key: str, amount: str, ranges: int) -> DataFrame:
+    """Running sums over any number of keys, range by range."""
+    k = quote(key)
+    base = report.selectExpr(k, f"{quote(amount)} AS _amt", f"{cents_sql(quote(amount))} AS _c")
+    ranged = _ranged(base, "_amt", [key], ranges)
+    offsets = _offsets(ranged, {"_c_sum": "sum(_c)", "_n": "count(1)"})
+    inside = "OVER (PARTITION BY _range ORDER BY _o ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return ranged.join(offsets, "_range").selectExpr(
+        k,
+        "_amt",
+        f"CAST(sum(_c) {inside} + _c_sum_before AS DOUBLE) AS _cum",
+        "CAST(_c_sum_all AS DOUBLE) AS _total",
+        f"CAST(count(1) {inside} + _n_before AS BIGINT) AS _pos",
     )
 
 
-def _framed(report: DataFrame, key: str, amount: str, method: str, ranges: int | None) -> DataFrame:
+def _framed(report: DataFrame, key: str, amount: str, method: str, ranges: int) -> DataFrame:
     if method == "window":
         return _framed_window(report, key, amount)
     if method == "ranged":
@@ -163,16 +133,16 @@ def pareto(
     key: str = "category",
     amount: str = "revenue",
     *,
-    method: str = "window",
-    ranges: int | None = None,
+    method: str = "ranged",
+    ranges: int = DEFAULT_RANGES,
 ) -> DataFrame:
     """Cumulative share of ``amount`` by descending amount (ties by key).
 
     Output ``key, revenue, cumulative_share``: the running sum and the total are
-    taken over the cent-rounded amounts (exact BIGINT cents), share =
+    taken over the cent-rounded amounts (exact decimal cents), share =
     ``round_money(running / total * 100)``, 0 when the total is not positive.
-    ``method="window"`` suits few keys; ``method="ranged"`` any number of keys.
-    Both give identical results.
+    ``method="ranged"`` suits any number of keys; ``method="window"`` is one task
+    for a report known to be short. Both give identical results.
     """
     framed = _framed(report, key, amount, method, ranges)
     return framed.select(
@@ -188,8 +158,8 @@ def keys_to_reach(
     key: str = "category",
     amount: str = "revenue",
     *,
-    method: str = "window",
-    ranges: int | None = None,
+    method: str = "ranged",
+    ranges: int = DEFAULT_RANGES,
 ) -> DataFrame:
     """How many leading keys reach ``threshold`` percent of the total.
 

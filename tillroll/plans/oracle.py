@@ -386,15 +386,29 @@ ORACLE["customers_up_to_80_ranged"] = (
 )
 ORACLE["composed_columns"] = f"""
 SELECT event_id,
-       'value=' || CAST((event_id % 5 + 1) * 2 AS VARCHAR) AS doubled_text,
-       (event_id % 5 + 1) * 2 AS pair_doubled,
-       'value=' || CAST(event_id % 5 + 1 AS VARCHAR) AS pair_text,
-       CASE WHEN (event_id % 5 + 1) * 3 * 2 > 10 THEN (event_id % 5 + 1) * 3 * 2 END AS big_doubled,
-       event_id % 5 + 1 + 5 + 5 + 5 AS chained,
-       event_id % 5 + 1 AS unchanged,
+       CAST((event_id % 24) * 60 AS VARCHAR) || ' min' AS minutes_text,
+       (event_id % 24 + 1) % 24 AS pair_next,
+       CAST(event_id % 24 AS VARCHAR) || ' min' AS pair_text,
+       CASE WHEN (event_id % 24) * 60 >= 720 THEN (event_id % 24) * 60 END AS afternoon_minutes,
+       (((event_id % 24 + 1) % 24 + 1) % 24) * 60 AS chained,
+       event_id % 24 AS unchanged,
        event_type AS same_type,
        {classify('value')} AS size
 FROM events"""
+ORACLE["enrich_lines_shuffled"] = ORACLE["enrich_lines"]
+ORACLE["enrich_lines_salted"] = ORACLE["enrich_lines"]
+# prices here are whole cents below 2**53 but for the odd ones; an infinite price is
+# worth 2**63 cents, and any sum of more than that many cents counts as that many
+ORACLE["odd_prices_by_category"] = """
+SELECT category, least(sum(c), 9223372036854775807) / 100.0 AS revenue, count(*) AS orders, count(*) AS units_sold
+FROM (SELECT l_returnflag AS category,
+             CASE WHEN l_returnflag = 'A' AND l_orderkey % 97 = 5 THEN CAST(9223372036854775807 AS HUGEINT)
+                  WHEN l_returnflag = 'N' AND l_orderkey % 89 = 4 THEN CAST(900000000000000000 AS HUGEINT)
+                  ELSE CAST(round(l_extendedprice * 100) AS HUGEINT) END AS c FROM lineitem)
+GROUP BY category"""
+# the quantities are whole: the sum is a whole number of 8192nds
+ORACLE["small_amounts_total"] = """
+SELECT floor(CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) / 8192.0 * 100.0 + 0.5) / 100.0 AS total_revenue FROM lineitem"""
 
 # --- the reference's six-report run over the text lines ----------------------
 SHOP_REPORT = SHOP + category_report_cte(source="shop_significant")
@@ -421,7 +435,7 @@ spending AS (SELECT customer_id FROM shop_significant GROUP BY customer_id)
 SELECT 'revenue_by_category' AS report, count(*) AS n_rows FROM report
 UNION ALL SELECT 'revenue_by_country', count(DISTINCT country) FROM shop_significant
 UNION ALL SELECT 'top_customers', least(count(*), 20) FROM spending
-UNION ALL SELECT 'order_sizes', 4
+UNION ALL SELECT 'order_sizes', count(*) FROM (VALUES ('SMALL'), ('MEDIUM'), ('LARGE'), ('PREMIUM')) sizes(label)
 UNION ALL SELECT 'pareto_categories', count(*) FROM report
 UNION ALL SELECT 'rejected_lines', count(*) FROM parsed WHERE reason IS NOT NULL"""
 )
@@ -488,146 +502,6 @@ FROM report"""
 )
 
 
-# --- the generator: a sequential 64-bit LCG stream in a recursive CTE ---------
-# (independent of the Spark jump-ahead: every state is stepped one by one)
-
-_A = "CAST(6364136223846793005 AS UHUGEINT)"
-_C = "CAST(1442695040888963407 AS UHUGEINT)"
-_M = "CAST('18446744073709551616' AS UHUGEINT)"
-
-
-def _pad(expr: str, width: int) -> str:
-    text = f"CAST({expr} AS VARCHAR)"
-    return f"(CASE WHEN length({text}) >= {width} THEN {text} ELSE lpad({text}, {width}, '0') END)"
-
-
-def _stream(k_max_sql: str, seed: int = 20260816) -> str:
-    return f"""
-lim AS ({k_max_sql}),
-stream(k, s) AS (
-  SELECT CAST(0 AS BIGINT), CAST({seed} AS UHUGEINT)
-  UNION ALL
-  SELECT k + 1, (s * {_A} + {_C}) % {_M} FROM stream, lim WHERE k < lim.k_max),
-draws AS (
-  SELECT k, CAST(s // 65536 AS BIGINT) AS i, CAST(s // 2048 AS DOUBLE) / 9007199254740992.0 AS d
-  FROM stream WHERE k > 0)"""
-
-
-_ADJ = "['Classic', 'Modern', 'Compact', 'Deluxe', 'Urban', 'Smart']"
-_NOUN = "['Lamp', 'Chair', 'Bottle', 'Jacket', 'Speaker', 'Notebook']"
-_CATS = "['Books', 'Clothing', 'Electronics', 'Garden', 'Groceries', 'Sports', 'Toys', 'Beauty']"
-_COUNTRIES = "['Israel', 'USA', 'Germany', 'France', 'UK', 'Italy', 'Spain', 'Canada', 'Japan', 'Brazil']"
-
-
-def _catalog(ids_sql: str) -> str:
-    """Product rows for the indexes in ``ids_sql`` (column ``idx``), 4 draws each."""
-    return f""",
-pdraws AS (
-  SELECT (k - 1) // 4 AS idx,
-         max(CASE WHEN (k - 1) % 4 = 0 THEN i END) AS i0,
-         max(CASE WHEN (k - 1) % 4 = 1 THEN i END) AS i1,
-         max(CASE WHEN (k - 1) % 4 = 2 THEN i END) AS i2,
-         max(CASE WHEN (k - 1) % 4 = 3 THEN d END) AS d3
-  FROM draws GROUP BY 1),
-catalog AS (
-  SELECT ids.idx AS product_index,
-         'P' || {_pad('ids.idx', 4)} AS product_id,
-         ({_ADJ})[i0 % 6 + 1] || ' ' || ({_NOUN})[i1 % 6 + 1] || ' ' || CAST(ids.idx AS VARCHAR) AS product_name,
-         ({_CATS})[i2 % 8 + 1] AS category,
-         {rm('5.0 + d3 * 495.0')} AS base_price
-  FROM ({ids_sql}) ids JOIN pdraws ON pdraws.idx = ids.idx)"""
-
-
-ORACLE["synth_products"] = (
-    "WITH RECURSIVE "
-    + _stream("SELECT CAST(4 * (max(p_partkey) + 1) AS BIGINT) AS k_max FROM part")
-    + _catalog("SELECT p_partkey AS idx FROM part")
-    + "\nSELECT * FROM catalog"
-)
-
-_SYNTH_LINES = (
-    "WITH RECURSIVE "
-    + _stream("SELECT CAST(800 + 7 * (max(event_id) + 1) AS BIGINT) AS k_max FROM events")
-    + _catalog("SELECT CAST(range AS BIGINT) AS idx FROM range(200)")
-    + f""",
-zw AS (SELECT r, 1.0 / pow(CAST(r AS DOUBLE), 1.3) AS w FROM (SELECT CAST(range AS INTEGER) AS r FROM range(1, 9))),
-zc AS (SELECT r, sum(w / (SELECT sum(w) FROM zw)) OVER (ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM zw),
-numbered AS (
-  SELECT category, product_index, product_id, base_price,
-         row_number() OVER (PARTITION BY category ORDER BY product_index) - 1 AS slot,
-         count(*) OVER (PARTITION BY category) AS group_size
-  FROM catalog),
-ldraws AS (
-  SELECT (k - 801) // 7 AS line_index,
-         max(CASE WHEN (k - 801) % 7 = 0 THEN d END) AS d0,
-         max(CASE WHEN (k - 801) % 7 = 1 THEN i END) AS i1,
-         max(CASE WHEN (k - 801) % 7 = 2 THEN i END) AS i2,
-         max(CASE WHEN (k - 801) % 7 = 3 THEN i END) AS i3,
-         max(CASE WHEN (k - 801) % 7 = 4 THEN i END) AS i4,
-         max(CASE WHEN (k - 801) % 7 = 5 THEN d END) AS d5,
-         max(CASE WHEN (k - 801) % 7 = 6 THEN i END) AS i6
-  FROM draws WHERE k > 800 GROUP BY 1),
-picked AS (
-  SELECT e.event_id AS line_index, l.*,
-         ({_CATS})[coalesce((SELECT min(r) FROM zc WHERE r < 8 AND l.d0 <= zc.cum), 8)] AS cat
-  FROM events e JOIN ldraws l ON l.line_index = e.event_id),
-sized AS (
-  SELECT p.*, g.group_size FROM picked p
-  LEFT JOIN (SELECT DISTINCT category, group_size FROM numbered) g ON g.category = p.cat),
-synth_tx AS (
-  SELECT s.line_index,
-         'T' || {_pad('s.line_index', 7)} AS order_id,
-         'C' || {_pad('s.i2 % 2000', 5)} AS customer_id,
-         n.product_id,
-         CAST(s.i4 % 5 + 1 AS INTEGER) AS quantity,
-         {rm('n.base_price * (0.8 + s.d5 * 0.2)')} AS unit_price,
-         ({_COUNTRIES})[s.i3 % 10 + 1] AS country,
-         strftime(DATE '2024-01-01' + CAST(s.i6 % 366 AS INTEGER), '%Y-%m-%d') AS order_date
-  FROM sized s JOIN numbered n
-    ON (CASE WHEN s.group_size IS NULL THEN n.product_index = s.i1 % 200
-             ELSE n.category = s.cat AND n.slot = s.i1 % s.group_size END))"""
-)
-
-ORACLE["synth_transactions"] = _SYNTH_LINES + "\nSELECT * FROM synth_tx"
-
-_SYNTH_TEXT = (
-    _SYNTH_LINES
-    + """,
-synth_lines AS (
-  SELECT CASE
-    WHEN line_index > 0 AND line_index % 977 = 0
-      THEN concat_ws(',', order_id, customer_id, product_id, CAST(quantity AS VARCHAR), 'N/A', country, order_date)
-    WHEN line_index > 977 AND line_index % 2931 = 1
-      THEN concat_ws(',', order_id, customer_id, product_id, CAST(quantity AS VARCHAR), CAST(unit_price AS VARCHAR), country)
-    ELSE concat_ws(',', order_id, customer_id, product_id, CAST(quantity AS VARCHAR), CAST(unit_price AS VARCHAR), country, order_date)
-  END AS value
-  FROM synth_tx)"""
-    + parsed_cte("sparsed", "synth_lines", TX_FIELDS)
-)
-
-ORACLE["synth_rejected_lines"] = _SYNTH_TEXT + "\nSELECT reason, line FROM sparsed WHERE reason IS NOT NULL"
-
-ORACLE["synth_revenue_by_category"] = (
-    _SYNTH_TEXT
-    + f""",
-sok AS (
-  SELECT t.quantity, c.category, {rm('t.quantity * t.unit_price')} AS revenue
-  FROM sparsed t JOIN catalog c ON t.product_id = c.product_id
-  WHERE t.reason IS NULL),
-ssig AS (SELECT * FROM sok WHERE revenue >= 20.0 AND NOT isnan(revenue))
-SELECT category, {ms('revenue')} AS revenue, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS units_sold
-FROM ssig GROUP BY category"""
-)
-
-
-ORACLE["weighted_pick"] = f"""
-WITH zw AS (SELECT r, 1.0 / pow(CAST(r AS DOUBLE), 1.3) AS w FROM (SELECT CAST(range AS INTEGER) AS r FROM range(1, 9))),
-zc AS (SELECT r, sum(w / (SELECT sum(w) FROM zw)) OVER (ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM zw),
-draws AS (SELECT event_id * CAST(0.6180339887498949 AS DOUBLE) - floor(event_id * CAST(0.6180339887498949 AS DOUBLE)) AS u FROM events)
-SELECT ({_CATS})[coalesce((SELECT min(r) FROM zc WHERE r < 8 AND draws.u <= zc.cum), 8)] AS category, count(*) AS count
-FROM draws GROUP BY 1"""
-
-
 ORACLE["grouped_revenue_reports"] = (
     "WITH " + significant_cte()
     + f"""
@@ -637,3 +511,5 @@ SELECT CASE GROUPING(category, country, customer_id) WHEN 3 THEN 'category' WHEN
 FROM significant
 GROUP BY GROUPING SETS ((category), (country), (customer_id))"""
 )
+
+ORACLE["text_files_run"] = ORACLE["six_report_row_counts"]

@@ -39,7 +39,7 @@ from tillroll.sources.lines import (
     rejected,
 )
 from tillroll.sources.sinks import write_report
-from tillroll.session import DEFAULT_BROADCAST_ROWS, checkpoint_dir, has_at_most
+from tillroll.session import checkpoint_dir
 
 # Fixed default run parameters, equal to the reference's defaults.
 DEFAULT_MINIMAL_REVENUE = 20.0
@@ -65,7 +65,6 @@ class PipelineConfig:
     top_customer_count: int = DEFAULT_TOP_CUSTOMERS
     pareto_threshold: float = DEFAULT_PARETO_THRESHOLD
     limits: tuple[float, ...] = field(default=DEFAULT_LIMITS)
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS
     # rejected lines are row-level output: one file per task unless asked otherwise
     single_file_rejects: bool = False
     # how the parse and the join result, each read by several reports, are kept:
@@ -75,9 +74,9 @@ class PipelineConfig:
     # "none" = every report recomputes from the files
     materialize: str = "cache"
     # compute the category, country and customer aggregates in one grouping-sets
-    # pass over the significant lines (materialized like the parse), instead of
-    # three separate aggregations
-    single_pass_reports: bool = False
+    # pass over the significant lines (materialized like the parse); False: three
+    # separate aggregations, for a caller that wants one report only
+    single_pass_reports: bool = True
 
     @property
     def transactions_path(self) -> str:
@@ -150,10 +149,7 @@ class PipelineRun:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        # accepted products never outnumber the catalog's lines: probing the raw
-        # lines proves the broadcast bound without planning the parse twice
-        small = has_at_most(self.pr_lines, self.config.broadcast_rows)
-        joined = enrich(accepted(self.parsed, TRANSACTION_SPEC), self.products, "product_id", broadcast=small)
+        joined = enrich(accepted(self.parsed, TRANSACTION_SPEC), self.products, "product_id")
         return self._persist(joined)
 
     @cached_property
@@ -265,15 +261,20 @@ def pipeline_run(spark: SparkSession, config: PipelineConfig, **lines: DataFrame
 def run_pipeline(spark: SparkSession, config: PipelineConfig, *, write: bool = True) -> PipelineRun:
     """Declare the run and write the six reports; returns the run for rendering.
 
-    The caller closes the run (or uses :func:`pipeline_run`) to release the cache.
+    The caller closes the run (or uses :func:`pipeline_run`) to release the cache; a
+    failed write releases it here.
     """
     run = build_run(spark, config)
-    if write:
+    if not write:
+        return run
+    try:
         for name, df in run.reports.items():
-            if name == "rejected_lines":
-                write_report(df, config.report_path(name), single_file=config.single_file_rejects, row_level=True)
-            else:
-                write_report(df, config.report_path(name))
+            row_level = name == "rejected_lines"
+            write_report(df, config.report_path(name), row_level=row_level,
+                         single_file=config.single_file_rejects if row_level else True)
+    except BaseException:
+        run.close()
+        raise
     return run
 
 

@@ -12,12 +12,15 @@ whole tables. Two families of input:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.compose import chain, filter_k, identity, lift, then, zip_steps
+from tillroll.functions.money import revenue_of
 from tillroll.functions.sizes import classify_order
 from tillroll.operators.aggregates import (
     grand_total_of_report,
@@ -31,7 +34,7 @@ from tillroll.operators.aggregates import (
 )
 from tillroll.operators.enrich import enrich, keep_significant, shipped_to
 from tillroll.operators.ranking import keys_to_reach, pareto, top_customers
-from tillroll.plans.pipeline import PipelineConfig, build_run, report_row_counts
+from tillroll.plans.pipeline import PipelineConfig, PipelineRun, build_run, report_row_counts, run_pipeline
 from tillroll.sources.lines import (
     PRODUCT_HEADER,
     PRODUCT_SPEC,
@@ -44,9 +47,8 @@ from tillroll.sources.lines import (
     rejected,
     rejects_by_kind,
 )
-from tillroll.session import ensure_parallelism, literal_table
-from tillroll.sources import synth
-from tillroll.sources.synth import corrupt_lines
+from tillroll.session import checkpoint_dir, literal_table
+from tillroll.sources.damage import corrupt_lines
 from tillroll.sources.tables import (
     event_fields,
     event_lines,
@@ -219,6 +221,37 @@ def q_shop_enriched(spark: SparkSession, d: str) -> DataFrame:
     return shop_enriched(spark, d)
 
 
+def q_enrich_lines_shuffled(spark: SparkSession, d: str) -> DataFrame:
+    """The same join as a sort-merge join whatever the table sizes."""
+    return enrich(sales_lines(spark, d), part_catalog(spark, d), "product_id", join_hint="merge")
+
+
+def q_enrich_lines_salted(spark: SparkSession, d: str) -> DataFrame:
+    """The same join with every product spread over eight salts, as a sort-merge join."""
+    return enrich(sales_lines(spark, d), part_catalog(spark, d), "product_id", join_hint="merge", salt_buckets=8)
+
+
+def odd_priced_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Order lines of ``lineitem`` with some legal but extreme prices by position of
+    the order: infinite, very large, and below a cent."""
+    lines = table(spark, d, "lineitem").selectExpr(
+        "l_returnflag AS category", "1 AS quantity",
+        "CASE WHEN l_returnflag = 'A' AND l_orderkey % 97 = 5 THEN double('Infinity') "
+        "WHEN l_returnflag = 'N' AND l_orderkey % 89 = 4 THEN 9e15D ELSE l_extendedprice END AS unit_price",
+    )
+    return lines.withColumn("revenue", revenue_of("quantity", "unit_price"))
+
+
+def q_odd_prices_by_category(spark: SparkSession, d: str) -> DataFrame:
+    """Category report over lines with infinite and very large prices."""
+    return revenue_by_category(odd_priced_lines(spark, d))
+
+
+def q_small_amounts_total(spark: SparkSession, d: str) -> DataFrame:
+    """Total of amounts below a cent, added first and rounded once."""
+    return total_revenue(table(spark, d, "lineitem").selectExpr("l_quantity / 8192D AS revenue"))
+
+
 # ----------------------------------------------------------------------------
 # aggregations
 # ----------------------------------------------------------------------------
@@ -273,12 +306,12 @@ def q_top_customers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_pareto_by_category(spark: SparkSession, d: str) -> DataFrame:
-    """Cumulative revenue share per part type (single window: few keys)."""
+    """Cumulative revenue share per part type ."""
     return pareto(category_report(spark, d), "category", "revenue")
 
 
 def q_pareto_by_brand(spark: SparkSession, d: str) -> DataFrame:
-    """Cumulative revenue share per brand (single window: few keys)."""
+    """Cumulative revenue share per brand ."""
     return pareto(category_report(spark, d, "p_brand"), "category", "revenue")
 
 
@@ -305,72 +338,25 @@ def q_customers_up_to_80_ranged(spark: SparkSession, d: str) -> DataFrame:
 def q_composed_columns(spark: SparkSession, d: str) -> DataFrame:
     """then / zip / filter_k / chain / identity composed over event columns."""
     ev = table(spark, d, "events")
-    units = F.col("event_id") % 5 + 1
-    double = lift(lambda c: c * 2)
-    text = lift(lambda c: F.concat(F.lit("value="), c.cast("string")))
-    plus_five = lift(lambda c: c + 5)
-    pair = zip_steps(double, text)(units)
+    hour = F.col("event_id") % 24
+    to_minutes = lift(lambda c: c * 60)
+    tag = lift(lambda c: F.concat(c.cast("string"), F.lit(" min")))
+    next_hour = lift(lambda c: (c + 1) % 24)
+    pair = zip_steps(next_hour, tag)(hour)
     size_label = lift(lambda c: c) >> (lambda c: classify_order(c))
     return ev.select(
         "event_id",
-        then(double, text)(units).alias("doubled_text"),
-        pair["_1"].alias("pair_doubled"),
+        then(to_minutes, tag)(hour).alias("minutes_text"),
+        pair["_1"].alias("pair_next"),
         pair["_2"].alias("pair_text"),
-        filter_k(double, lambda c: c > 10)(units * 3).alias("big_doubled"),
-        chain([plus_five, plus_five, plus_five])(units).alias("chained"),
-        chain([])(units).alias("unchanged"),
+        filter_k(to_minutes, lambda c: c >= 720)(hour).alias("afternoon_minutes"),
+        chain([next_hour, next_hour, to_minutes])(hour).alias("chained"),
+        chain([])(hour).alias("unchanged"),
         identity()(F.col("event_type")).alias("same_type"),
         size_label(F.col("value")).alias("size"),
     )
 
 
-# ----------------------------------------------------------------------------
-# the generator: row indexes come from the tables, so the work grows with them
-# ----------------------------------------------------------------------------
-def _generated_catalog(spark: SparkSession) -> DataFrame:
-    return synth.synth_products(spark, synth.DEFAULT_PRODUCTS, synth.DEFAULT_SEED)
-
-
-def q_synth_products(spark: SparkSession, d: str) -> DataFrame:
-    """One generated catalog row per ``part`` key (index = p_partkey)."""
-    ids = table(spark, d, "part").select(F.col("p_partkey").alias("product_index"))
-    return synth.synth_products(spark, ids=ids)
-
-
-def q_synth_transactions(spark: SparkSession, d: str) -> DataFrame:
-    """One generated order line per ``events`` row (index = event_id), against
-    the default 200-product catalog."""
-    ids = ensure_parallelism(table(spark, d, "events").select(F.col("event_id").alias("line_index")), ("line_index",))
-    return synth.synth_transactions(spark, _generated_catalog(spark), synth.DEFAULT_PRODUCTS, ids=ids)
-
-
-def q_weighted_pick(spark: SparkSession, d: str) -> DataFrame:
-    """Zipf-weighted category pick for every ``events`` row; the draw is the
-    fractional part of ``event_id`` times the golden ratio (an equidistributed
-    sequence); lines per picked category."""
-    draws = table(spark, d, "events").selectExpr(
-        "event_id * 0.6180339887498949D - floor(event_id * 0.6180339887498949D) AS u"
-    )
-    cum = synth.zipf_cumulative(len(synth.CATEGORIES))
-    names = F.element_at(F.array(*[F.lit(c) for c in synth.CATEGORIES]), synth.weighted_pick("u", cum) + 1)
-    return draws.groupBy(names.alias("category")).agg(F.count(F.lit(1)).alias("count"))
-
-
-def q_synth_rejected_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Generated lines for every ``events`` row, damaged and parsed: the refusals."""
-    lines = synth.transaction_lines(q_synth_transactions(spark, d))
-    return rejected(parse_lines(clean_lines(lines), TRANSACTION_SPEC))
-
-
-def q_synth_revenue_by_category(spark: SparkSession, d: str) -> DataFrame:
-    """The generated shop run: generated lines -> parse -> enrich -> >= 20 -> categories."""
-    lines = synth.transaction_lines(q_synth_transactions(spark, d))
-    catalog_lines = synth.product_lines(_generated_catalog(spark))
-    products = accepted(parse_lines(clean_lines(catalog_lines), PRODUCT_SPEC), PRODUCT_SPEC)
-    parsed = parse_lines(clean_lines(lines), TRANSACTION_SPEC)
-    return revenue_by_category(keep_significant(enrich(accepted(parsed), products), SHOP_MIN_REVENUE))
-
-
 # ----------------------------------------------------------------------------
 # the reference's own run over text lines: six reports and their rendering
 # ----------------------------------------------------------------------------
@@ -379,7 +365,7 @@ def _shop_run(spark: SparkSession, d: str, config: PipelineConfig | None = None)
     with ``materialize="checkpoint"`` when several reports share the run."""
     return build_run(
         spark,
-        config or PipelineConfig(),
+        config or PipelineConfig(single_pass_reports=False),
         transaction_lines=shop_transaction_lines(spark, d),
         product_lines=shop_product_lines(spark, d),
         cache=config is not None,
@@ -411,6 +397,22 @@ def q_shop_pareto_categories(spark: SparkSession, d: str) -> DataFrame:
     return _shop_run(spark, d).report("pareto_categories")
 
 
+def q_text_files_run(spark: SparkSession, d: str) -> DataFrame:
+    """The run on files: both inputs written as text to the shared folder, read by the
+    text scan, the six reports written as CSV and their rows counted from the files."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/text-run-{uuid.uuid4().hex}"
+    config = PipelineConfig(data_dir=f"{base}/data", output_dir=f"{base}/output")
+    shop_transaction_lines(spark, d).write.text(config.transactions_path)
+    shop_product_lines(spark, d).write.text(config.products_path)
+    run_pipeline(spark, config).close()
+    counts = [
+        spark.read.option("header", True).csv(config.report_path(name)).agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(F.lit(name).alias("report"), "n_rows")
+        for name in PipelineRun.REPORTS
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def q_six_report_row_counts(spark: SparkSession, d: str) -> DataFrame:
     """Row count of each of the six reports of the text-line run. The parse and
     the join result are written once to the shared checkpoint folder and read by
@@ -466,9 +468,9 @@ QUERIES: dict[str, Query] = {
     "render_sizes": _text("sizes"),
     "render_pareto": _text("pareto"),
     "render_total": _text("total"),
-    "weighted_pick": q_weighted_pick,
-    "synth_products": q_synth_products,
-    "synth_transactions": q_synth_transactions,
-    "synth_rejected_lines": q_synth_rejected_lines,
-    "synth_revenue_by_category": q_synth_revenue_by_category,
+    "enrich_lines_shuffled": q_enrich_lines_shuffled,
+    "enrich_lines_salted": q_enrich_lines_salted,
+    "odd_prices_by_category": q_odd_prices_by_category,
+    "small_amounts_total": q_small_amounts_total,
+    "text_files_run": q_text_files_run,
 }

@@ -1,4 +1,4 @@
-"""Session-level helpers: checked broadcasts and the shared checkpoint folder."""
+"""Session-level helpers: the shared checkpoint folder and literal tables."""
 
 from __future__ import annotations
 
@@ -6,12 +6,6 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Default row bound under which a join side may be broadcast. A catalog row is a
-# few short strings and a double (~100 B), so this caps a broadcast near 20 MB.
-DEFAULT_BROADCAST_ROWS = 200_000
-
 
 def _context(spark: SparkSession):
     """The SparkContext, or None on a client session (Spark Connect) without one."""
@@ -21,65 +15,6 @@ def _context(spark: SparkSession):
         return None
 
 
-def session_id(spark: SparkSession) -> str:
-    """An id for the running application (keys the per-session memos)."""
-    sc = _context(spark)
-    if sc is not None:
-        return sc.applicationId
-    return spark.conf.get("spark.app.id", None) or str(id(spark))
-
-
-# Proven bounds per session: (application id, plan hash, input files, bound) -> bool.
-_PROVEN: dict[tuple, bool] = {}
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Fetches at most ``max_rows + 1`` zero-column rows with ``head``, which
-    Spark runs as an incremental take: a few partitions first, more only while
-    rows are missing, so the probe reads about ``max_rows`` rows however large
-    ``df`` is. (``limit(n).count()`` or an ``offset`` check would start every
-    partition, each reading up to ``n`` rows: close to a full scan of a big
-    table.) The answer is remembered for the session under the plan's semantic
-    hash and its input files, so a table is probed once; new or replaced files
-    re-probe.
-    """
-    if max_rows is None or max_rows < 0:
-        return False
-    key = (
-        session_id(df.sparkSession),
-        df.semanticHash(),
-        tuple(sorted(df.inputFiles())),
-        max_rows,
-    )
-    if key not in _PROVEN:
-        _PROVEN[key] = len(df.select().head(max_rows + 1)) <= max_rows
-    return _PROVEN[key]
-
-
-def checked_broadcast(
-    df: DataFrame,
-    max_rows: int | None = DEFAULT_BROADCAST_ROWS,
-    *,
-    inputs: tuple[DataFrame, ...] = (),
-) -> DataFrame:
-    """Mark ``df`` for broadcast only when its row count is proven <= ``max_rows``.
-
-    For a derived frame (a join), pass its ``inputs``: each is probed first with
-    a scan-level limit, which stops early on a large table, and the derived
-    frame itself is probed only when all of them are small, so the check never
-    pays for a big join it then rejects. Beyond the bound the frame is returned
-    untouched and the planner picks a shuffle join (AQE may still convert it at
-    runtime from measured sizes, ``spark.sql.adaptive.autoBroadcastJoinThreshold``).
-    """
-    if not max_rows:
-        return df
-    if all(has_at_most(i, max_rows) for i in inputs) and has_at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
-
-
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The cluster's shared checkpoint folder, read from the session."""
     sc = _context(spark)
@@ -90,20 +25,19 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the session's checkpoint folder; set a scratch one only where unset.
+    """The session's checkpoint folder; a scratch one only in a local session without one.
 
-    Meant for tests and single-machine runs: on a cluster ``spark.checkpoint.dir``
-    names a shared folder and this function leaves it alone.
+    A machine-local folder would lose checkpoints on a cluster, where each machine
+    has its own: there ``spark.checkpoint.dir`` must name a shared folder.
     """
     found = checkpoint_dir(spark)
     if found:
         return found
+    sc = _context(spark)
+    if sc is None or not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = fallback or tempfile.mkdtemp(prefix="tillroll-ckpt-")
     os.makedirs(path, exist_ok=True)
-    sc = _context(spark)
-    if sc is None:
-        spark.conf.set("spark.checkpoint.dir", path)
-        return path
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
@@ -131,30 +65,3 @@ def literal_table(
         for row in rows
     ]
     return spark.range(0, 1, 1, 1).selectExpr(f"inline(array({', '.join(structs)}))")
-
-
-def ensure_parallelism(df: DataFrame, keys: tuple[str, ...] = (), floor: int | None = None) -> DataFrame:
-    """Spread an under-partitioned input over at least ``floor`` tasks.
-
-    A source with fewer splits than the cluster has cores (one row group, an
-    unsplittable compressed file) would run every later row-level step in that
-    many tasks. Only then is a repartition added: hash on ``keys`` when given
-    (deterministic without the sort a round-robin repartition needs for safe
-    retries; pick well-spread keys), round-robin otherwise. A large input,
-    already split into many tasks, is returned unchanged (no extra shuffle).
-    """
-    spark = df.sparkSession
-    sc = _context(spark)
-    if sc is None:  # no RDD view on a client session: leave the plan alone
-        return df
-    want = floor or sc.defaultParallelism
-    key = (sc.applicationId, df.semanticHash(), want)
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
-    if _SPLITS[key] >= want:
-        return df
-    return df.repartition(want, *keys) if keys else df.repartition(want)
-
-
-# Split counts per session and plan (planning a scan lists its files once).
-_SPLITS: dict[tuple, int] = {}

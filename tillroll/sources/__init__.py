@@ -1 +1 @@
-"""Sources and sinks: text-line ingest, driver-table adapters, synthetic tables, report writers."""
+"""Sources and sinks: text-line ingest, driver-table adapters, line damage, report writers."""

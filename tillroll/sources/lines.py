@@ -193,16 +193,19 @@ def parse_lines(lines: DataFrame, spec: LineSpec = TRANSACTION_SPEC, line: str =
             whens.append(f"WHEN _d{i} IS NULL THEN {fail(NOT_A_NUMBER, nan_reason)}")
             whens.append(f"WHEN _d{i} <= 0D THEN {fail(OUT_OF_RANGE, range_reason)}")
     checked = typed.selectExpr("*", "CASE " + " ".join(whens) + " END AS _outcome")
-    outputs = ["'line', line", "'error_kind', _outcome.kind", "'reason', _outcome.reason"]
+    # Only the outcome goes through the one-row generator. It keeps filters on the
+    # outcome above it (pushed below, they would copy every check), while the value
+    # columns stay ordinary projections that are pruned where nobody reads them.
+    judged = checked.selectExpr(
+        "*", "inline(array(named_struct('error_kind', _outcome.kind, 'reason', _outcome.reason)))"
+    )
+    outputs = ["line", "error_kind", "reason"]
     for i, f in enumerate(spec.fields):
         v = f"_f{i}" if f.kind == "text" else f"_d{i}"
         if f.kind == "positive_int":
             v = jvm_to_int_sql(v)
-        outputs.append(f"'{f.column}', CASE WHEN _outcome IS NULL THEN {v} END")
-    # One-row inline = optimizer fence: filters on the outcome (accepted /
-    # rejected) stop here instead of being pushed through the projections
-    # above, where substituting every alias would multiply the expression.
-    return checked.selectExpr(f"inline(array(named_struct({', '.join(outputs)})))")
+        outputs.append(f"CASE WHEN reason IS NULL THEN {v} END AS `{f.column}`")
+    return judged.selectExpr(*outputs)
 
 
 def accepted(parsed: DataFrame, spec: LineSpec = TRANSACTION_SPEC) -> DataFrame:

@@ -15,16 +15,11 @@ def write_report(
 ) -> None:
     """Write a report as header-bearing CSV.
 
-    ``single_file`` mirrors the reference's one-file-per-report output. For an
-    aggregated report ``coalesce(1)`` only merges the final, small stage. For a
-    row-level report (``row_level=True``, e.g. rejected lines) ``coalesce(1)``
-    would pull the whole upstream parse into one task, so ``repartition(1)`` is
-    used: the parse stays parallel and only the output rows cross a shuffle.
-    With ``single_file=False`` every task writes its own part file, which is the
-    right choice for row-level output at scale.
+    ``single_file`` is for small, aggregated reports: only their finished rows cross
+    one more shuffle into the writing task, the aggregation stays parallel.
+    ``row_level`` output (such as rejected lines) is written by every task unless
+    ``single_file`` asks otherwise; with ``single_file=False`` every task writes its
+    own part file, which is the choice for anything large.
     """
-    if single_file:
-        out = df.repartition(1) if row_level else df.coalesce(1)
-    else:
-        out = df
+    out = df.repartition(1) if single_file else df
     out.write.mode(mode).option("header", True).csv(path)

@@ -11,24 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import zero_padded_sql
-from tillroll.session import checked_broadcast, ensure_parallelism, session_id
-
-# nation has 25 rows by construction; the probe still proves it before broadcasting
-_DIMENSION_ROWS = 10_000
-
-
-# Loaded tables per session: the file listing and footer reads happen once and
-# every query reuses the same relation (Catalyst still prunes per query).
-_LOADED: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """``<sf_dir>/<name>.parquet`` as a DataFrame, loaded once per session."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (session_id(spark), path)
-    if key not in _LOADED:
-        _LOADED[key] = spark.read.parquet(path)
-    return _LOADED[key]
+    """``<sf_dir>/<name>.parquet`` as a DataFrame; its files are listed on every call."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,27 +26,19 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``unit_price = l_extendedprice / l_quantity`` (so revenue recovers the line
     amount), ``country = n_name`` of the customer, ``order_date`` of the order.
 
-    Join order: the small nation dimension is attached to customers first, the
-    result to orders, and only then the big lineitem side meets it on
-    ``l_orderkey``. Each dimension-side result is broadcast only when a bounded
-    probe proves it small; otherwise the join is a shuffle join. (Without
-    cost-based statistics Spark estimates a join's size as the product of its
-    inputs, so left alone it would pick the fact table as the broadcast side.)
+    Join order: nation (a fixed dimension of 25 rows, the only hint) is attached to
+    customers first, the result to orders, and only then the big lineitem side
+    meets it on ``l_orderkey``, so the fact table crosses one shuffle. Which joins
+    are broadcast is left to the byte sizes that the planner and AQE see.
     """
-    nation_all = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    nation = checked_broadcast(nation_all, _DIMENSION_ROWS)
+    nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    located_all = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select("c_custkey", "n_name")
-    located = checked_broadcast(located_all, inputs=(customer,))
+    located = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select("c_custkey", "n_name")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    placed_all = orders.join(located, orders.o_custkey == located.c_custkey).select(
+    placed = orders.join(located, orders.o_custkey == located.c_custkey).select(
         "o_orderkey", "o_custkey", "o_orderdate", "n_name"
     )
-    placed = checked_broadcast(placed_all, inputs=(orders, customer))
-    items = ensure_parallelism(
-        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"),
-        ("l_orderkey",),
-    )
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     return items.join(placed, items.l_orderkey == placed.o_orderkey).select(
         F.col("l_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
@@ -87,25 +66,22 @@ def event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``T`` + 7-digit event id, ``C`` + 5-digit user id, ``P`` + 4-digit product
     number taken from ``props``, quantity ``event_id % 5 + 1``, price at two
     decimals, event type as country, calendar day of ``ts``. ``position`` is the
-    event id (dense), used by :func:`tillroll.sources.synth.corrupt_lines`.
+    event id (dense), used by :func:`tillroll.sources.damage.corrupt_lines`.
     """
-    ev = ensure_parallelism(
-        table(spark, sf_dir, "events").select("event_id", "user_id", "props", "value", "event_type", "ts"),
-        ("event_id",),
-    )
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "props", "value", "event_type", "ts")
     return ev.selectExpr(
         "event_id AS position",
         f"concat('T', {zero_padded_sql('event_id', 7)}) AS order_id",
         f"concat('C', {zero_padded_sql('user_id', 5)}) AS customer_id",
         f"concat('P', {zero_padded_sql(_PROPS_NUMBER, 4)}) AS product_id",
         "CAST(event_id % 5 + 1 AS STRING) AS quantity",
-        "CAST(CAST(value AS DECIMAL(12,2)) AS STRING) AS unit_price",
+        "CAST(try_cast(value AS DECIMAL(38,2)) AS STRING) AS unit_price",
         "event_type AS country",
         "CAST(CAST(ts AS DATE) AS STRING) AS order_date",
     )
 
 
-_PROPS_NUMBER = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
+_PROPS_NUMBER = "try_cast(regexp_extract(props, '([0-9]+)', 1) AS BIGINT)"
 
 
 TRANSACTION_TEXT_FIELDS = (
@@ -122,7 +98,7 @@ TRANSACTION_TEXT_FIELDS = (
 def event_lines(spark: SparkSession, sf_dir: str, *, corrupt: bool = True) -> DataFrame:
     """Raw transaction lines (``position, value``) built from ``events``;
     by default damaged like the reference's generated file."""
-    from tillroll.sources.synth import corrupt_fields
+    from tillroll.sources.damage import corrupt_fields
 
     fields = event_fields(spark, sf_dir)
     if corrupt:
@@ -147,6 +123,6 @@ def part_lines(spark: SparkSession, sf_dir: str, category: str = "p_type") -> Da
     p = table(spark, sf_dir, "part")
     line = (
         f"concat_ws(',', concat('P', {zero_padded_sql('p_partkey', 4)}), p_name, `{category}`, "
-        "CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING))"
+        "CAST(try_cast(p_retailprice AS DECIMAL(38,2)) AS STRING))"
     )
     return p.selectExpr(f"inline(array(named_struct('value', {line})))")

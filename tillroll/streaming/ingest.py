@@ -14,7 +14,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tillroll.session import checkpoint_dir
 from tillroll.sources.lines import TRANSACTION_SPEC, LineSpec, accepted, clean_lines, parse_lines, rejected
 
 
@@ -33,22 +32,16 @@ def start_line_split(
     rejected_sink: str,
     *,
     spec: LineSpec = TRANSACTION_SPEC,
-    checkpoint: str | None = None,
+    checkpoint: str,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the incremental split; returns the running query.
 
-    ``checkpoint`` defaults to ``<spark.checkpoint.dir>/line-split``: the
-    stream's progress must live in the cluster's shared folder to survive a
-    driver restart. ``available_now`` processes what is there, then stops.
+    ``checkpoint`` is this stream's own progress folder (two streams must not share
+    one), in a place that outlives the driver. ``available_now`` processes what is
+    there, then stops.
     """
-    if checkpoint is None:
-        base = checkpoint_dir(spark)
-        if base is None:
-            raise RuntimeError("set spark.checkpoint.dir (a shared folder) or pass checkpoint=")
-        checkpoint = base.rstrip("/") + "/line-split"
-
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_lines(batch, spec).persist(StorageLevel.MEMORY_AND_DISK)
         try:
