@@ -28,7 +28,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     no recomputation of what stands before.
     """
     path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

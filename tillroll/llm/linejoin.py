@@ -201,10 +201,9 @@ def deduplicated_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         f"lines array<struct<line: int, s1: bigint, s2: bigint>>, sets {_SETS}",
     ), "line-sets")
     # equal sets: one, at the earliest line
-    rows = found.selectExpr("doc_id", "inline(sets)")
-    first = rows.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "line")).alias("at"))
-    sets = rows.join(first.selectExpr("s1", "s2", "at.doc_id AS doc_id", "at.line AS line"), ["s1", "s2", "doc_id", "line"], "left_semi")
-    sets = written(sets.dropDuplicates(["s1", "s2"]), "line-distinct")
+    first = found.selectExpr("doc_id", "inline(sets)").groupBy("s1", "s2").agg(
+        F.min(F.struct("doc_id", "line", "keys", "prefix")).alias("f"))
+    sets = written(first.selectExpr("s1", "s2", "f.*"), "line-distinct")
     tokens = sets.selectExpr("inline(prefix)").groupBy("t").agg(F.count("*").alias("c")).where("c > 1")
     meeting = (
         sets.selectExpr("s1", "s2", "inline(prefix)").join(tokens, "t")
@@ -215,11 +214,12 @@ def deduplicated_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         .join(sets.select("s1", "s2", "doc_id", "line", "keys"), ["s1", "s2"])
     )
     matched = meeting.groupBy("t", "i", "j").applyInArrow(_meet, "s1 bigint, s2 bigint").distinct()
-    verdict = first.join(matched.withColumn("m", F.lit(True)), ["s1", "s2"], "left").selectExpr(
-        "s1", "s2", "at", "coalesce(m, false) AS matched")
+    verdict = sets.select("s1", "s2", "doc_id", "line").join(
+        matched.withColumn("m", F.lit(True)), ["s1", "s2"], "left"
+    ).selectExpr("s1", "s2", "doc_id AS first_doc", "line AS first_line", "coalesce(m, false) AS matched")
     gone = (
         found.selectExpr("h", "doc_id", "inline(lines)").join(verdict, ["s1", "s2"])
-        .where("matched OR NOT (doc_id = at.doc_id AND line = at.line)")
+        .where("matched OR NOT (doc_id = first_doc AND line = first_line)")
         .groupBy("h").agg(F.collect_set("line").alias("gone"))
     )
     affected = found.where("size(lines) > 0")

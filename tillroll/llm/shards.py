@@ -19,14 +19,14 @@ and whatever passes is verified by its 64-bit keys or its bytes.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.kernel import text_buffer
+from tillroll.llm.kernel import ranges, text_buffer
 from tillroll.session import shuffle_partitions
 
 SHARD_BYTES = 2 << 20
@@ -39,8 +39,8 @@ def text_id(text: str = "text") -> str:
 
 
 def sharded_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, int]:
-    """(``shard, doc_id, text`` with at least the smallest doc_id of every distinct
-    text, number of key buckets)."""
+    """(rows of compressed texts by shard, with at least the smallest doc_id of every
+    distinct text; number of key buckets)."""
     spark = docs.sparkSession
     size = docs.agg(F.expr(f"sum(octet_length(`{text}`))").alias("b")).head()["b"] or 0
     shards = max(int(size // SHARD_BYTES) + 1, 2 * shuffle_partitions(spark))
@@ -49,6 +49,7 @@ def sharded_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         buckets *= 2
 
     def first_copies(batches):
+        codec = pa.Codec("zstd", 1)
         smallest: dict[bytes, int] = {}
         for batch in batches:
             keep = []
@@ -57,12 +58,25 @@ def sharded_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
                 if d < smallest.get(h, d + 1):
                     smallest[h] = d
                     keep.append(k)
-            yield batch.take(pa.array(keep, pa.int64()))
+            kept = batch.take(pa.array(keep, pa.int64())).sort_by("shard")
+            if not kept.num_rows:
+                continue
+            shard, cut = np.unique(kept.column("shard").to_numpy(), return_index=True)
+            cut = np.append(cut, kept.num_rows)
+            buf, offsets = text_buffer(kept.column("text"))
+            ids, sizes = kept.column("doc_id").to_numpy(), np.diff(offsets)
+            parts = list(zip(cut[:-1].tolist(), cut[1:].tolist()))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(shard, pa.int32()),
+                pa.array([ids[a:b].astype("<i8").tobytes() for a, b in parts], pa.binary()),
+                pa.array([sizes[a:b].astype("<i8").tobytes() for a, b in parts], pa.binary()),
+                pa.array([codec.compress(buf[offsets[a] : offsets[b]].tobytes(), asbytes=True) for a, b in parts], pa.binary()),
+            ], names=["shard", "doc_ids", "sizes", "texts"])
 
     rows = docs.where(f"`{doc_id}` IS NOT NULL").selectExpr(
         f"CAST(pmod(xxhash64(coalesce(`{text}`, '')), {shards}) AS INT) AS shard", f"CAST(`{doc_id}` AS BIGINT) AS doc_id",
         f"coalesce(`{text}`, '') AS text",
-    ).mapInArrow(first_copies, "shard int, doc_id bigint, text string")
+    ).mapInArrow(first_copies, "shard int, doc_ids binary, sizes binary, texts binary")
     return rows.repartition("shard"), buckets
 
 
@@ -70,21 +84,44 @@ class Shard:
     """The distinct texts of one shard with their smallest ids, in id order."""
 
     def __init__(self, table: pa.Table):
-        ids = table.column("doc_id").to_numpy()
-        order = np.argsort(ids, kind="stable")
-        texts = table.column("text").combine_chunks()
-        seen, keep = set(), []
-        for k in order.tolist():
-            h = hashlib.md5(texts[k].as_buffer()).hexdigest()
+        codec = pa.Codec("zstd")
+        ids = np.frombuffer(b"".join(table.column("doc_ids").to_pylist()), "<i8")
+        sizes = [np.frombuffer(x, "<i8") for x in table.column("sizes").to_pylist()]
+        data = b"".join(
+            codec.decompress(x, int(n.sum()), asbytes=True) if n.sum() else b""
+            for x, n in zip(table.column("texts").to_pylist(), sizes)
+        )
+        size = np.concatenate(sizes)
+        ends = np.cumsum(size)
+        begins = ends - size
+        seen, keep, self.text_ids = set(), [], []
+        for k in np.argsort(ids, kind="stable").tolist():
+            h = hashlib.md5(data[begins[k] : ends[k]]).hexdigest()
             if h not in seen:
                 seen.add(h)
-                keep.append((k, h))
-        picked = texts.take(pa.array([k for k, _ in keep], pa.int64()))
-        self.text_ids = [h for _, h in keep]
-        self.doc_ids = ids[[k for k, _ in keep]]
-        self.texts = picked
-        self.buf, self.offsets = text_buffer(picked)
+                keep.append(k)
+                self.text_ids.append(h)
         self.n = len(keep)
+        self.doc_ids = ids[keep]
+        self.offsets = np.concatenate([[0], np.cumsum(size[keep])])
+        self.buf = np.frombuffer(data, np.uint8)[ranges(begins[keep], size[keep])]
+
+    @property
+    def texts(self) -> pa.Array:
+        """The texts as a string column."""
+        return pa.Array.from_buffers(pa.large_string(), self.n, [
+            None, pa.py_buffer(self.offsets.astype(np.int64).tobytes()), pa.py_buffer(self.buf.tobytes())]).cast(pa.string())
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Ascending 32-bit keys as differences, byte plane by byte plane (the high bytes
+    are mostly zero and vanish when the shuffle compresses)."""
+    return np.ascontiguousarray(np.diff(keys, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
 
 
 def _slots(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -92,11 +129,6 @@ def _slots(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (keys >> np.uint64(32 - (buckets.bit_length() - 1))).astype(np.uint64)
 
 
-def _local(keys: np.ndarray, buckets: int):
-    """(distinct cut keys, their counts, place of each key among them)."""
-    return np.unique(_slots(keys, buckets), return_counts=True, return_inverse=True)
-
-
 def frequency_replies(texts: DataFrame, buckets: int, keys_of: Callable) -> DataFrame:
     """``shard, bucket, counts``: corpus-wide frequencies of every shard's keys.
 
@@ -114,12 +146,12 @@ def frequency_replies(texts: DataFrame, buckets: int, keys_of: Callable) -> Data
         return pa.table({
             "bucket": pa.array(filled, pa.int32()),
             "shard": pa.array(np.full(len(filled), shard), pa.int32()),
-            "keys": pa.array([low[at[b] : at[b + 1]].tobytes() for b in filled], pa.binary()),
+            "keys": pa.array([_packed(low[at[b] : at[b + 1]]) for b in filled], pa.binary()),
             "n": pa.array([n[at[b] : at[b + 1]].tobytes() for b in filled], pa.binary()),
         })
 
     def add(table: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x, np.uint32) for x in table.column("keys").to_pylist()]
+        keys = [_unpacked(x) for x in table.column("keys").to_pylist()]
         n = np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("n").to_pylist()])
         _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.minimum(np.bincount(inverse, n), MOST).astype(np.uint8)[inverse]
@@ -159,5 +191,3 @@ def hashes_to_bytes(keys: np.ndarray, bounds: np.ndarray, pick: np.ndarray) -> l
     raw = keys.astype("<u8").tobytes()
     return [raw[8 * a : 8 * b] if p else None for a, b, p in zip(bounds[:-1].tolist(), bounds[1:].tolist(), pick.tolist())]
 
-
-Batches = Iterator[pa.RecordBatch]
