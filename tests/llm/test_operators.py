@@ -497,6 +497,6 @@ def test_deobfuscation_and_held_out_accuracy(spark):
     assert toxicity.restore("gr0b1an", model) == "grobian" and toxicity.restore("luuuumpen", model) == "lumpen"
     assert "lumpen" in toxicity.deobfuscate("a L.U.M.P.E.N b", model)
     no_labels = spark.createDataFrame([], "doc_id long, toxic int")
-    assert {r.score for r in toxicity.score(frame, toxicity.fit(frame, no_labels)).collect()} == {0.0}
+    assert max(r.score for r in toxicity.score(frame, toxicity.fit(frame, no_labels)).collect()) < 1e-200
     nothing = frame.where("doc_id < 0")
     assert toxicity.score(nothing, toxicity.fit(nothing, no_labels)).count() == 0

@@ -7,18 +7,19 @@ letters or for itself, a run of three or more equal letters for one or two, spac
 single characters for a word. The best path under a character trigram model of
 the whole corpus (Viterbi over the last two characters) is the restored token.
 
-The score then comes from indicators: restored words, and their first 4, 5 and 6
-characters, that training rows tie to the label. An indicator's weight is its
-smoothed share of toxic texts; a text's score is the chance that at least one of
-its ``TOP`` strongest words is toxic (and the share of toxic texts without any
-indicator where it has none). Label, language, source and id are never inputs.
+The score then comes from indicators: restored words, and their first 4 to 8
+characters. Candidates stand in ``LEAST_TEXTS`` toxic training texts and lean to the
+label; the ``CANDIDATES`` that tell most about it enter a logistic regression with an
+L2 penalty, whose input is how many different words of the text show the indicator
+(``MOST_WORDS`` count at most). The score is its probability. Label, language, source
+and id are never inputs.
 
 Training reads at most ``TRAIN_ROWS`` labelled rows, those with the smallest hash
 of their id, each text once; the character model counts every document.
 
 Defined results: a null or empty text has no indicator; repeated rows score alike;
-without labelled rows, or with none that is toxic, every score is the prior of an
-empty table, 0.0. Extra columns pass through, but for those named like the added
+without labelled rows, or with none that is toxic, every score is 0
+(below 1e-200). Extra columns pass through, but for those named like the added
 ones.
 """
 
@@ -39,9 +40,12 @@ from tillroll.llm.kernel import text_blocks
 TRAIN_ROWS = 20_000
 HELD_OUT = "coalesce(pmod(crc32(CAST(CAST(doc_id AS STRING) AS BINARY)), 4) = 2, false)"
 THRESHOLD = 0.3
-TOP = 5
 PRIOR_ROWS = 10.0
-LEAST_SHARE = 0.4
+LEAST_TEXTS = 4
+CANDIDATES = 4_000
+MOST_WORDS = 4
+PENALTY = 2.0
+STEPS = 400
 CACHE_TOKENS = 300_000
 
 # fixed values: what each look-alike may stand for
@@ -51,6 +55,8 @@ LEET = {
 }
 SUBSTITUTED, KEPT, STRETCHED = -1.0, -9.0, -0.5  # channel costs
 
+NEVER = -500.0  # intercept of a model that saw no toxic text: probability 0
+
 N_CLASSES = 28  # 0: word edge, 1-26: a-z, 27: any other character of a word
 _CLASS = np.zeros(256, np.int64)
 _CLASS[0x61:0x7B] = np.arange(1, 27)
@@ -152,7 +158,7 @@ def restored_word(token: str, model: list) -> str:
 
 
 def indicators_of(word: str) -> list[str]:
-    return [word, *(f"{word[:k]}~" for k in (4, 5, 6) if len(word) > k)] if len(word) > 2 else []
+    return [word, *(f"{word[:k]}~" for k in (4, 5, 6, 7, 8) if len(word) > k)] if len(word) > 2 else []
 
 
 def deobfuscate(text: str, model: list) -> str:
@@ -182,8 +188,55 @@ def _count_indicators(model: list):
     return run
 
 
+def _counts(text: str, model: list, wanted) -> dict[str, int]:
+    """How many different words of the text show each wanted indicator."""
+    found: dict[str, int] = {}
+    for word in {restored_word(t, model) for t in set(words_of(text))}:
+        for x in indicators_of(word):
+            if x in wanted:
+                found[x] = found.get(x, 0) + 1
+    return found
+
+
+def _find(model: list, number: dict[str, int]):
+    def run(batches):
+        for batch in batches:
+            found = [_counts(t.as_py() or "", model, number) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("toxic"),
+                pa.array([[number[x] for x in f] for f in found], pa.list_(pa.int32())),
+                pa.array([[min(n, MOST_WORDS) for n in f.values()] for f in found], pa.list_(pa.int32())),
+            ], names=["toxic", "found", "times"])
+
+    return run
+
+
+def regression(rows: list[tuple[int, list[int], list[int]]], size: int) -> tuple[np.ndarray, float]:
+    """(weights, intercept) of an L2-penalised logistic regression by accelerated
+    gradient steps; rows are (label, input numbers, input values)."""
+    label = np.array([r[0] > 0 for r in rows], float)
+    owner = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
+    column = np.array([k for r in rows for k in r[1]], np.int64)
+    value = np.log1p([v for r in rows for v in r[2]]) if len(column) else np.zeros(0)
+    norms = np.bincount(owner, value**2, minlength=len(rows)) + 1
+    step = 1.0 / (0.25 * norms.mean() * np.bincount(column, minlength=size).max(initial=1) + PENALTY)
+    w, b = np.zeros(size), float(np.log((label.sum() + 0.5) / (len(label) - label.sum() + 0.5)))
+    w_at, b_at, t = w.copy(), b, 1.0
+    for _ in range(STEPS):
+        miss = 1 / (1 + np.exp(-(np.bincount(owner, value * w_at[column], minlength=len(rows)) + b_at))) - label
+        w_new = w_at - step * (np.bincount(column, value * miss[owner], minlength=size) + PENALTY * w_at)
+        b_new = b_at - miss.sum() / (0.25 * len(rows) + 1) * 0.5
+        t_new = (1 + math.sqrt(1 + 4 * t * t)) / 2
+        if ((w_at - w_new) @ (w_new - w)) > 0:  # overshot: start the acceleration anew
+            t_new = 1.0
+        w_at = w_new + (t - 1) / t_new * (w_new - w)
+        b_at = b_new
+        w, b, t = w_new, b_new, t_new
+    return w, b
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[list, dict[str, float], float]:
-    """(character model, indicator weights, score without indicator).
+    """(character model, indicator weights, intercept).
 
     ``docs(doc_id, text)``; ``labels(doc_id, toxic)``. Held-out rows are never read.
     """
@@ -201,49 +254,53 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[list, dict[str, float], flo
         totals = train.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).head()
         share = totals["t"] / totals["n"] if totals["n"] else 0.0
         if not totals["t"]:
-            return model, {}, 0.0
+            return model, {}, NEVER
         counted = (
             train.mapInArrow(_count_indicators(model), "indicator string, toxic bigint, n bigint")
             .groupBy("indicator").agg(F.sum("toxic").alias("t"), F.sum("n").alias("n"))
         )
         weight = (F.col("t") + PRIOR_ROWS * share) / (F.col("n") + PRIOR_ROWS)
-        # bounded by the training rows: every kept indicator stands in several of them
-        weights = {
-            r["indicator"]: r["w"]
-            for r in counted.where("t >= 5").select("indicator", weight.alias("w")).where(F.col("w") >= LEAST_SHARE).collect()
-        }
-        none = train.mapInArrow(_score(model, weights, 0.0, ["toxic"]), "toxic int, score double").where("score = 0").agg(
-            F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).head()
-        return model, weights, (none["t"] + 0.5) / (none["n"] + 10.0)
+        # the CANDIDATES whose presence tells most about the label (a fixed bound)
+        n, t = F.col("n"), F.col("t")
+        gain = t * F.log((t + PRIOR_ROWS * share) / (n + PRIOR_ROWS) / share)
+        names = [
+            r["indicator"] for r in counted.where(t >= LEAST_TEXTS).select("indicator", gain.alias("g"))
+            .where("g > 0").orderBy(F.desc("g"), "indicator").limit(CANDIDATES).collect()
+        ]
+        found = train.mapInArrow(_find(model, {x: k for k, x in enumerate(names)}), "toxic int, found array<int>, times array<int>")
+        rows = [(r["toxic"], r["found"], r["times"]) for r in found.collect()]  # at most TRAIN_ROWS
+        w, intercept = regression(rows, len(names))
+        return model, {x: float(v) for x, v in zip(names, w) if abs(v) > 1e-3}, intercept
     finally:
         train.unpersist()
 
 
-def _score(model: list, weights: dict[str, float], without: float, own: list[str]):
+def _score(model: list, weights: dict[str, float], intercept: float, own: list[str]):
+    gains = [math.log1p(k) for k in range(MOST_WORDS + 1)]
+
     def run(batches):
-        cache: dict[str, float] = {}
+        cache: dict[str, tuple[str, tuple[str, ...]]] = {}
 
-        def weigh(token: str) -> float:
-            w = max((weights.get(x, 0.0) for x in indicators_of(restored_word(token, model))), default=0.0)
-            cache[token] = w
-            return w
+        def look(token: str):
+            word = restored_word(token, model)
+            cache[token] = got = (word, tuple(x for x in indicators_of(word) if x in weights))
+            return got
 
         for batch in batches:
             scores = []
             for text in batch.column("text"):
-                found = []
+                found: dict[str, int] = {}
+                seen = set()
                 for token in set(words_of(text.as_py() or "")):
-                    w = cache.get(token)
-                    if w is None:
-                        w = weigh(token)
-                    if w:
-                        found.append(w)
+                    word, shown = cache.get(token) or look(token)
+                    if shown and word not in seen:
+                        seen.add(word)
+                        for x in shown:
+                            found[x] = found.get(x, 0) + 1
                 if len(cache) > CACHE_TOKENS:
                     cache.clear()
-                clean = 1.0 - without
-                for w in sorted(found, reverse=True)[:TOP]:
-                    clean *= 1.0 - w
-                scores.append(1.0 - clean)
+                total = intercept + sum(weights[x] * gains[min(n, MOST_WORDS)] for x, n in found.items())
+                scores.append(1 / (1 + math.exp(-max(-500.0, min(500.0, total)))))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in own), pa.array(scores, pa.float64())], names=[*own, "score"])
 
