@@ -26,9 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.kernel import SPACE_WORDS, combine, text_blocks, words_by_text
+from tillroll.llm.kernel import (
+    SPACE_WORDS, blocks, combine, from_planes, pack_ascending, text_blocks, text_buffer, to_planes, unpack_ascending,
+    words_by_text,
+)
 
-VOCABULARY = 65_536
+VOCABULARY = 65_534  # with the start and the unknown word, ids fit 16 bits
 CELL_BITS = 20
 CELLS = 1 << CELL_BITS
 SLICES = 256
@@ -65,57 +68,77 @@ def vocabulary(docs: DataFrame, text: str = "text", size: int = VOCABULARY) -> n
     return np.sort(top.column("word").to_numpy().astype(np.int64).view(np.uint64))
 
 
-def _ids(buf, offsets, vocab: np.ndarray):
-    """(word ids, previous ids, cells, first word of each text); 0: start, 1: unknown."""
+def _word_ids(buf, offsets, vocab: np.ndarray):
+    """(word ids, first word of each text); 0 is the start of a text, 1 the unknown word."""
     h, first = words_by_text(buf, offsets, SPACE_WORDS, True)
     ids = np.ones(len(h), np.int64)
     if len(vocab):
         at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
         known = vocab[at] == h
         ids[known] = at[known] + 2
+    return ids, first
+
+
+def _bigrams(ids: np.ndarray, first: np.ndarray):
+    """(previous ids, cells) of the words of the texts."""
     before = np.concatenate([[0], ids[:-1]]) if len(ids) else ids
     before[first[:-1][np.diff(first) > 0]] = 0
     cell = (combine([before.astype(np.uint64), ids.astype(np.uint64)]) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-    return ids, before, cell, first
+    return before, cell
+
+
+def _encode(vocab: np.ndarray):
+    """Texts as 16-bit word ids: what has to meet the marks of the target is small."""
+
+    def run(batches):
+        for batch in batches:
+            for i, j, buf, offsets in text_blocks(batch, "text"):
+                ids, first = _word_ids(buf, offsets, vocab)
+                packed = pa.Array.from_buffers(
+                    pa.binary(), j - i, [None, pa.py_buffer((2 * first).astype(np.int32).tobytes()), pa.py_buffer(ids.astype("<u2").tobytes())])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), packed], names=["doc_id", "ids"])
+
+    return run
 
 
-def _model_counts(vocab: np.ndarray):
+def _model_counts(size: int):
     """Per task: counts of (words, contexts, cells) of the target and of all texts, cut
     into SLICES rows each."""
-    size = len(vocab) + 2
     width = 2 * size + CELLS
+    edges = np.linspace(0, width, SLICES + 1).astype(int)
 
     def run(batches):
         total = np.zeros((2, width), np.int64)
         for batch in batches:
             wanted = batch.column("wanted").to_numpy(zero_copy_only=False).astype(bool)
-            for i, j, buf, offsets in text_blocks(batch, "text"):
-                ids, before, cell, first = _ids(buf, offsets, vocab)
+            data, offsets = text_buffer(batch.column("ids"))
+            for i, j in blocks(offsets, 4 * COUNT_WORDS):
+                ids = data[offsets[i] : offsets[j]].view("<u2").astype(np.int64)
+                first = (offsets[i : j + 1] - offsets[i]) // 2
+                before, cell = _bigrams(ids, first)
                 mine = np.repeat(wanted[i:j], np.diff(first))
                 for row, pick in ((0, mine), (1, slice(None))):
                     total[row, :size] += np.bincount(ids[pick], minlength=size)
                     total[row, size : 2 * size] += np.bincount(before[pick], minlength=size)
                     total[row, 2 * size :] += np.bincount(cell[pick], minlength=CELLS)
-        edges = np.linspace(0, width, SLICES + 1).astype(int)
         for model in range(2):
             for k in range(SLICES):
                 part = total[model, edges[k] : edges[k + 1]]
                 at = np.flatnonzero(part)
                 if len(at):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([model * SLICES + k], pa.int32()), pa.array([at.astype("<u4").tobytes()], pa.binary()),
-                         pa.array([part[at].astype("<i8").tobytes()], pa.binary())], names=["slice", "places", "counts"])
+                        [pa.array([model * SLICES + k], pa.int32()), pa.array([pack_ascending(at)], pa.binary()),
+                         pa.array([to_planes(part[at])], pa.binary())], names=["slice", "places", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the rows of one slice: one from each task, summed as they come
-        edges = np.linspace(0, width, SLICES + 1).astype(int)
         key, total = None, None
         for batch in batches:
             for row in batch.to_pylist():
                 if total is None:
                     key = row["slice"]
                     total = np.zeros(edges[key % SLICES + 1] - edges[key % SLICES], np.int64)
-                total[np.frombuffer(row["places"], "<u4")] += np.frombuffer(row["counts"], "<i8")
+                total[unpack_ascending(row["places"])] += from_planes(row["counts"])
         if total is not None:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([key], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["slice", "counts"])
@@ -128,13 +151,15 @@ def fit(docs: DataFrame, wanted: DataFrame, vocab: np.ndarray) -> tuple[np.ndarr
 
     ``docs(doc_id, text)``; ``wanted(doc_id)``: the rows of the target.
     """
-    run, add = _model_counts(vocab)
-    marked = docs.select("doc_id", "text").join(
-        wanted.select("doc_id").distinct().withColumn("wanted", F.lit(True)), "doc_id", "left"
-    ).select("text", F.coalesce("wanted", F.lit(False)).alias("wanted"))
+    size = len(vocab) + 2
+    run, add = _model_counts(size)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    coded = docs.select("doc_id", "text").mapInArrow(_encode(vocab), f"doc_id {kind}, ids binary")
+    # a merge join at every size: the marks grow with the corpus
+    marks = wanted.select("doc_id").distinct().withColumn("wanted", F.lit(True)).hint("merge")
+    marked = coded.join(marks, "doc_id", "left").select("ids", F.coalesce("wanted", F.lit(False)).alias("wanted"))
     slices = marked.mapInArrow(run, "slice int, places binary, counts binary")
     summed = slices.groupBy("slice").applyInArrow(add, "slice int, counts binary")
-    size = len(vocab) + 2
     width = 2 * size + CELLS
     edges = np.linspace(0, width, SLICES + 1).astype(int)
     models = np.zeros((2, width), np.int64)
@@ -158,7 +183,8 @@ def _score(models, vocab: np.ndarray):
         target, background = models.value
         for batch in batches:
             for i, j, buf, offsets in text_blocks(batch, "text"):
-                ids, before, cell, first = _ids(buf, offsets, vocab)
+                ids, first = _word_ids(buf, offsets, vocab)
+                before, cell = _bigrams(ids, first)
                 n = np.diff(first)
                 owner = np.repeat(np.arange(j - i), n)
                 loss = [

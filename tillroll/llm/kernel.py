@@ -140,3 +140,22 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(counts)
     return np.arange(total) - np.repeat(ends - counts, counts) + np.repeat(starts, counts)
+
+
+def to_planes(values: np.ndarray) -> bytes:
+    """32-bit integers byte plane by byte plane: the planes of high bytes are mostly
+    zero and vanish when a shuffle compresses them."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def pack_ascending(keys: np.ndarray) -> bytes:
+    """Ascending 32-bit integers as the planes of their differences."""
+    return to_planes(np.diff(keys.astype(np.uint32), prepend=np.uint32(0)))
+
+
+def unpack_ascending(data: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(data), dtype=np.uint32)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.kernel import ranges, text_buffer
+from tillroll.llm.kernel import pack_ascending, ranges, text_buffer, unpack_ascending
 from tillroll.session import shuffle_partitions
 
 SHARD_BYTES = 2 << 20
@@ -113,17 +113,6 @@ class Shard:
             None, pa.py_buffer(self.offsets.astype(np.int64).tobytes()), pa.py_buffer(self.buf.tobytes())]).cast(pa.string())
 
 
-def _packed(keys: np.ndarray) -> bytes:
-    """Ascending 32-bit keys as differences, byte plane by byte plane (the high bytes
-    are mostly zero and vanish when the shuffle compresses)."""
-    return np.ascontiguousarray(np.diff(keys, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
-
-
 def _slots(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Keys cut to bucket bits + 32, as integers."""
     return (keys >> np.uint64(32 - (buckets.bit_length() - 1))).astype(np.uint64)
@@ -146,12 +135,12 @@ def frequency_replies(texts: DataFrame, buckets: int, keys_of: Callable) -> Data
         return pa.table({
             "bucket": pa.array(filled, pa.int32()),
             "shard": pa.array(np.full(len(filled), shard), pa.int32()),
-            "keys": pa.array([_packed(low[at[b] : at[b + 1]]) for b in filled], pa.binary()),
+            "keys": pa.array([pack_ascending(low[at[b] : at[b + 1]]) for b in filled], pa.binary()),
             "n": pa.array([n[at[b] : at[b + 1]].tobytes() for b in filled], pa.binary()),
         })
 
     def add(table: pa.Table) -> pa.Table:
-        keys = [_unpacked(x) for x in table.column("keys").to_pylist()]
+        keys = [unpack_ascending(x) for x in table.column("keys").to_pylist()]
         n = np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("n").to_pylist()])
         _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.minimum(np.bincount(inverse, n), MOST).astype(np.uint8)[inverse]
