@@ -248,31 +248,32 @@ def test_multikey_order():
 
 
 # ---------------------------------------------------------------- Jaccard join
-def brute_components(rows):
+def brute_components(rows, words, share):
     sets = {}
     for i, text in {(r[0], r[1] or "") for r in rows}:
         w = words_of(lower(text))
-        sets[i] = {tuple(w[k : k + 3]) for k in range(len(w) - 2)} or ({tuple(w)} if w else set())
+        sets[i] = {tuple(w[k : k + words]) for k in range(len(w) - words + 1)} or ({tuple(w)} if w else set())
     low = {i: i for i in sets}
     changed = True
     while changed:
         changed = False
         for i in sets:
             for j in sets:
-                if sets[i] and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]) and low[j] < low[i]:
+                if sets[i] and 100 * len(sets[i] & sets[j]) >= share * len(sets[i] | sets[j]) and low[j] < low[i]:
                     low[i], changed = low[j], True
     return {i: (len(sets[i]), low[i]) for i in sets}
 
 
-def test_jaccard_components(docs, empty, monkeypatch):
-    expected = brute_components(ROWS)
+@pytest.mark.parametrize("words,share", [(3, 90), (5, 80)])
+def test_jaccard_components(docs, empty, monkeypatch, words, share):
+    expected = brute_components(ROWS, words, share)
     for block in (24 << 20, 3000):
         monkeypatch.setattr(sigtree, "BLOCK_BYTES", block)
-        got = sigtree.jaccard_components(docs).collect()
+        got = sigtree.jaccard_components(docs, words=words, share=share).collect()
         assert len(got) == len(ROWS)
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
     assert sigtree.jaccard_components(empty).count() == 0
-    kept = sigtree.keep_one(docs)
+    kept = sigtree.keep_one(docs, words=words, share=share)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {i for i, (_, c) in expected.items() if i == c}
 
@@ -298,7 +299,7 @@ def test_tree_links_span_the_components():
                 x, y = find(a), find(b)
                 low[max(x, y)] = min(x, y)
     expected = [find(k) for k in range(len(sets))]
-    links = sigtree.tree_links(sets)
+    links = sigtree.tree_links(sets, 90)
     low = list(range(len(sets)))
     for a, b in links:
         assert find(a) != find(b)

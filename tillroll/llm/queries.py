@@ -78,7 +78,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents under 3-word shingle similarity of 0.9."""
-    return sigtree.jaccard_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return sigtree.jaccard_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, share=90)
 
 
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

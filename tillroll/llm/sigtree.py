@@ -1,11 +1,12 @@
 """Exact n-gram Jaccard join with signature trees.
 
-A document's set is its distinct 3-word shingles (words are runs of other than
-white space, A-Z read as a-z; a shorter text is one shingle, its whole word
-sequence). Two documents link when ``100 * intersection >= 90 * union``.
+A document's set is its distinct shingles of ``words`` words (words are runs of other
+than white space, A-Z read as a-z; a shorter text is one shingle, its whole word
+sequence). Two documents link when ``100 * intersection >= share * union``; five words
+and 80 unless asked otherwise.
 
 1. Shards learn the corpus-wide frequency of every shingle (``shards``). A set that
-   links has at least 0.9 of its shingles in another text, so most texts end here.
+   links has at least that share of its shingles in another text, so most texts end here.
 2. The sets that stay, one of each equal kind, meet over their rarest shingles: of
    two linked sets one of the ``n - ceil(0.9 n) + 1`` rarest shingles of each is
    shared. Minimum edges per shingle give candidate groups, a superset of the
@@ -38,8 +39,9 @@ from tillroll.llm.common import components, written
 from tillroll.llm.kernel import SPACE_WORDS, blocks, combine, mix64, ranges, words_by_text
 from tillroll.llm.shards import hashes_to_bytes, sharded_texts, text_id, with_frequencies
 
-SHINGLE_WORDS = 3
-SHARE, WHOLE = 90, 100  # similarity: SHARE / WHOLE
+SHINGLE_WORDS = 5
+SHARE = 80  # similarity in hundredths
+WHOLE = 100
 BLOCK_BYTES = 24 << 20
 FAN = 16
 
@@ -79,42 +81,49 @@ def signatures(keys: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _sets_of(shard) -> SimpleNamespace:
-    keys, bounds = [], [np.zeros(1, np.int64)]
-    for i, j in blocks(shard.offsets):
-        base = shard.offsets[i]
-        words, first = words_by_text(shard.buf[base : shard.offsets[j]], shard.offsets[i : j + 1] - base, SPACE_WORDS, True)
-        k, b = distinct_sets(*shingle_hashes(words, first, SHINGLE_WORDS), j - i)
-        keys.append(k)
-        bounds.append(b[1:] + bounds[-1][-1])
-    return SimpleNamespace(keys=np.concatenate(keys) if keys else np.zeros(0, np.uint64), bounds=np.concatenate(bounds))
-
-
-def _survivors(shard, sets, frequency: np.ndarray) -> pa.Table:
-    n = np.diff(sets.bounds)
-    shared = np.concatenate([[0], np.cumsum(frequency >= 2)])
-    stays = (n > 0) & (WHOLE * (shared[sets.bounds[1:]] - shared[sets.bounds[:-1]]) >= SHARE * n)
-    prefix: list[list[int]] = [[]] * len(n)
-    for k in np.flatnonzero(stays).tolist():
-        a, b = sets.bounds[k], sets.bounds[k + 1]
-        size = int(n[k])
-        least = -(-SHARE * size // WHOLE)
-        rare = np.argsort(frequency[a:b], kind="stable")[: size - least + 1]  # keys are in order already
-        rare = rare[frequency[a:b][rare] >= 2]
-        prefix[k] = sets.keys[a:b][rare].view(np.int64).tolist()
-    first, second = signatures(sets.keys, sets.bounds)
-    return pa.table({
-        "h": pa.array(shard.text_ids, pa.string()), "doc_id": pa.array(shard.doc_ids, pa.int64()),
-        "n": pa.array(n, pa.int64()), "s1": pa.array(first), "s2": pa.array(second),
-        "keys": pa.array(hashes_to_bytes(sets.keys, sets.bounds, stays), pa.binary()),
-        "prefix": pa.array(prefix, pa.list_(pa.int64())),
-    })
+def _sets_of(size: int):
+    def run(shard) -> SimpleNamespace:
+        keys, bounds = [], [np.zeros(1, np.int64)]
+        for i, j in blocks(shard.offsets):
+            base = shard.offsets[i]
+            words, first = words_by_text(shard.buf[base : shard.offsets[j]], shard.offsets[i : j + 1] - base, SPACE_WORDS, True)
+            k, b = distinct_sets(*shingle_hashes(words, first, size), j - i)
+            keys.append(k)
+            bounds.append(b[1:] + bounds[-1][-1])
+        return SimpleNamespace(keys=np.concatenate(keys) if keys else np.zeros(0, np.uint64), bounds=np.concatenate(bounds))
+
+    return run
+
+
+def _survivors(share: int):
+    def run(shard, sets, frequency: np.ndarray) -> pa.Table:
+        n = np.diff(sets.bounds)
+        shared = np.concatenate([[0], np.cumsum(frequency >= 2)])
+        stays = (n > 0) & (WHOLE * (shared[sets.bounds[1:]] - shared[sets.bounds[:-1]]) >= share * n)
+        prefix: list[list[int]] = [[]] * len(n)
+        for k in np.flatnonzero(stays).tolist():
+            a, b = sets.bounds[k], sets.bounds[k + 1]
+            size = int(n[k])
+            least = -(-share * size // WHOLE)
+            rare = np.argsort(frequency[a:b], kind="stable")[: size - least + 1]  # keys are in order already
+            rare = rare[frequency[a:b][rare] >= 2]
+            prefix[k] = sets.keys[a:b][rare].view(np.int64).tolist()
+        first, second = signatures(sets.keys, sets.bounds)
+        return pa.table({
+            "h": pa.array(shard.text_ids, pa.string()), "doc_id": pa.array(shard.doc_ids, pa.int64()),
+            "n": pa.array(n, pa.int64()), "s1": pa.array(first), "s2": pa.array(second),
+            "keys": pa.array(hashes_to_bytes(sets.keys, sets.bounds, stays), pa.binary()),
+            "prefix": pa.array(prefix, pa.list_(pa.int64())),
+        })
+
+    return run
 
 
 class SignatureTree:
     """Token bitmaps of sets, with OR, AND and size ranges of nodes of ``FAN`` children."""
 
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], share: int = SHARE):
+        self.share = share
         self.sizes = np.array([len(s) for s in sets])
         bits = 256
         while bits < 4 * self.sizes.max(initial=1) and bits < 1 << 14:
@@ -136,19 +145,19 @@ class SignatureTree:
         """Matrix: can some set below node a[i] reach the threshold with one below b[j]?"""
         or_, and_, low, high = self.levels[level]
         low_a, low_b, high_a, high_b = low[a][:, None], low[b][None], high[a][:, None], high[b][None]
-        sizes = (WHOLE * high_a >= SHARE * low_b) & (WHOLE * high_b >= SHARE * low_a)
+        sizes = (WHOLE * high_a >= self.share * low_b) & (WHOLE * high_b >= self.share * low_a)
         # what must lie outside the other side's bitmap cannot overlap
         out_a = np.bitwise_count(and_[a][:, None] & ~or_[b][None]).sum(-1, dtype=np.int64)
         out_b = np.bitwise_count(and_[b][None] & ~or_[a][:, None]).sum(-1, dtype=np.int64)
         most = np.minimum(high_a - out_a, high_b - out_b)
-        return sizes & ((SHARE + WHOLE) * most >= SHARE * (low_a + low_b))
+        return sizes & ((self.share + WHOLE) * most >= self.share * (low_a + low_b))
 
 
-def tree_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+def tree_links(sets: list[np.ndarray], share: int = SHARE) -> list[tuple[int, int]]:
     """Links that span the components of the given sets (places in the list)."""
     order = sorted(range(len(sets)), key=lambda k: (len(sets[k]), sets[k][0]))
     sets = [sets[k] for k in order]
-    tree = SignatureTree(sets)
+    tree = SignatureTree(sets, share)
     root, links = np.arange(len(sets)), []
 
     def one_component(level: int, a: int, b: int) -> bool:
@@ -165,7 +174,7 @@ def tree_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
             x, y = root[a], root[b]
             if x != y:
                 both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                if (SHARE + WHOLE) * both >= SHARE * (len(sets[a]) + len(sets[b])):
+                if (share + WHOLE) * both >= share * (len(sets[a]) + len(sets[b])):
                     root[root == max(x, y)] = min(x, y)
                     links.append((order[a], order[b]))
             continue
@@ -180,17 +189,21 @@ def tree_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return links
 
 
-def _group_links(table: pa.Table) -> pa.Table:
-    ids = table.column("doc_id").to_pylist()
-    links = tree_links([np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()])
-    return pa.table({"a": pa.array([ids[i] for i, _ in links], pa.int64()), "b": pa.array([ids[j] for _, j in links], pa.int64())})
+def _group_links(share: int):
+    def run(table: pa.Table) -> pa.Table:
+        ids = table.column("doc_id").to_pylist()
+        links = tree_links([np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()], share)
+        return pa.table({"a": pa.array([ids[i] for i, _ in links], pa.int64()), "b": pa.array([ids[j] for _, j in links], pa.int64())})
 
+    return run
 
-def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+
+def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, words: int = SHINGLE_WORDS,
+                       share: int = SHARE) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs`` with an id."""
     texts, buckets = sharded_texts(docs, doc_id, text)
     found = written(with_frequencies(
-        texts, buckets, _sets_of, _survivors,
+        texts, buckets, _sets_of(words), _survivors(share),
         "h string, doc_id bigint, n bigint, s1 bigint, s2 bigint, keys binary, prefix array<bigint>",
     ), "jaccard-sets")
     sets = found.where("keys IS NOT NULL")
@@ -212,7 +225,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         .selectExpr("component", "doc_id", "keys", "own", "explode(sequence(0, blocks - 1)) AS other")
         .selectExpr("component", "least(own, other) AS i", "greatest(own, other) AS j", "doc_id", "keys")
     )
-    links = pairs.groupBy("component", "i", "j").applyInArrow(_group_links, "a bigint, b bigint")
+    links = pairs.groupBy("component", "i", "j").applyInArrow(_group_links(share), "a bigint, b bigint")
     linked = components(links.union(same), "jaccard_links")
 
     texts_of = docs.where(f"`{doc_id}` IS NOT NULL").selectExpr(f"CAST(`{doc_id}` AS BIGINT) AS doc_id", f"{text_id(text)} AS h")
@@ -222,8 +235,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     )
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """``docs`` without the rows whose component has a smaller id; rows that repeat the
     smallest id stay, and so do rows without an id."""
-    gone = jaccard_components(docs, doc_id, text).where("component_id <> doc_id").selectExpr(f"doc_id AS `{doc_id}`")
+    gone = jaccard_components(docs, doc_id, text, **how).where("component_id <> doc_id").selectExpr(f"doc_id AS `{doc_id}`")
     return docs.join(gone, doc_id, "left_anti")
