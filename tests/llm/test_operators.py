@@ -127,7 +127,7 @@ def test_line_join(docs, empty, spark):
 
 
 def test_line_join_blocks(docs, monkeypatch):
-    monkeypatch.setattr(linejoin, "BLOCK_SETS", 2)
+    monkeypatch.setattr(linejoin, "BLOCK_BYTES", 200)
     got = {r.doc_id: (r.n_lines, r.n_removed, r.kept_sha256) for r in linejoin.line_digest(docs).collect()}
     assert got == brute_lines(ROWS)
 

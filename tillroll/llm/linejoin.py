@@ -9,12 +9,14 @@ a set with Jaccard similarity 0.8 or more to its own, judged on the input.
    that matches another has 0.8 of its shingles elsewhere, so most lines end here.
 2. Equal sets become one, at its earliest line.
 3. The others join over their prefixes: shingles are ordered by rarity, and of two
-   matching sets the ``n - ceil(0.8 n) + 1`` rarest of each share one. Sets that meet
-   pass the length filter and the positional filter (what may still follow the shared
-   shingle in both orders must reach the needed overlap); the rest is verified on
-   the whole sets.
-4. A shingle shared by more than ``BLOCK_SETS`` sets is cut into blocks; every pair
-   of blocks is a task of its own, so any size is exact and bounded.
+   matching sets the ``n - ceil(0.8 n) + 1`` rarest of each share one. Minimum edges per
+   shared prefix shingle give candidate groups, so a set travels once, not once a
+   shingle. In a group an index over the prefixes finds the earlier sets of each set;
+   those that pass the length filter and the positional filter (what may still follow
+   the shared shingle in both orders must reach the needed overlap) are verified on
+   the whole sets until one matches.
+4. A group above ``BLOCK_BYTES`` is cut into blocks and every pair of blocks is read on
+   its own, so any size is exact and bounded.
 
 Defined results: a line without a word is never removed and matches nothing; a null
 text has no lines; of equal texts those with a larger doc_id lose every line that has
@@ -32,14 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import written
+from tillroll.llm.common import components, written
 from tillroll.llm.kernel import SPACE_WORDS, blocks, span_hashes, word_bounds
 from tillroll.llm.shards import sharded_texts, text_id, with_frequencies
 from tillroll.llm.sigtree import distinct_sets, shingle_hashes, signatures
 
 SHINGLE_WORDS = 5
 SHARE, WHOLE = 4, 5  # similarity: SHARE / WHOLE
-BLOCK_SETS = 2048
+BLOCK_BYTES = 16 << 20
 
 
 def least_overlap(sizes):
@@ -102,11 +104,11 @@ def _candidates(carry: bool):
             order = np.argsort(frequency[a:b], kind="stable")  # by rarity, then by value
             prefix = size - -(-SHARE * size // WHOLE) + 1
             ordered = lines.keys[a:b][order]
-            rare = np.flatnonzero(frequency[a:b][order[:prefix]] >= 2)
+            rare = frequency[a:b][order[:prefix]] >= 2
             sets[lines.text[k]].append({
                 "line": int(lines.line[k]), "s1": int(lines.s1[k]), "s2": int(lines.s2[k]), "n": size,
                 "keys": ordered.astype("<u8").tobytes(),
-                "prefix": [{"t": t, "at": p} for t, p in zip(ordered[rare].view(np.int64).tolist(), rare.tolist())],
+                "prefix": ordered[:prefix][rare].view(np.int64).tolist(),
             })
         n_lines = np.bincount(lines.text, minlength=shard.n)
         texts = shard.texts.to_pylist()
@@ -119,14 +121,14 @@ def _candidates(carry: bool):
             "lines": pa.array(marks, pa.list_(pa.struct([("line", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64())]))),
             "sets": pa.array(sets, pa.list_(pa.struct([
                 ("line", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()), ("n", pa.int32()), ("keys", pa.binary()),
-                ("prefix", pa.list_(pa.struct([("t", pa.int64()), ("at", pa.int32())])))]))),
+                ("prefix", pa.list_(pa.int64()))]))),
         }
         return pa.table(out)
 
     return run
 
 
-_SETS = "array<struct<line: int, s1: bigint, s2: bigint, n: int, keys: binary, prefix: array<struct<t: bigint, at: int>>>>"
+_SETS = "array<struct<line: int, s1: bigint, s2: bigint, n: int, keys: binary, prefix: array<bigint>>>"
 
 
 def _has_word(line: str) -> bool:
@@ -138,41 +140,57 @@ def _bare(text: str) -> str:
     return "\n".join(x for x in text.split("\n") if not _has_word(x))
 
 
-def earlier_matches(keys: list[np.ndarray], at: np.ndarray) -> np.ndarray:
-    """Which sets have an earlier match. The sets come in order of appearance, their
-    shingles by rarity; ``at`` is the place of the shared shingle in each."""
-    sizes = np.array([len(k) for k in keys])
+def earlier_matches(keys: list[np.ndarray]) -> np.ndarray:
+    """Which sets have an earlier match; the sets come in order of appearance, the
+    shingles of each by rarity."""
     out = np.zeros(len(keys), bool)
-    bounds = np.concatenate([[0], np.cumsum(sizes)])
-    flat = np.concatenate(keys)
-    for k in range(len(keys) - 1):
-        later = np.flatnonzero(~out[k + 1 :]) + k + 1
-        if not len(later):
-            break
-        n = sizes[later]
-        need = least_overlap(n + sizes[k])
-        fits = (WHOLE * n >= SHARE * sizes[k]) & (WHOLE * sizes[k] >= SHARE * n)  # length filter
-        fits &= np.minimum(sizes[k] - at[k], n - at[later]) + np.minimum(at[k], at[later]) >= need  # positional filter
-        later, need = later[fits], need[fits]
-        if not len(later):
-            continue
-        own = np.sort(keys[k])
-        if len(later) == 1:
-            both = np.array([len(np.intersect1d(own, keys[later[0]], assume_unique=True))])
-        else:
-            size = sizes[later]
-            pick = np.repeat(bounds[later] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-            place = np.minimum(np.searchsorted(own, flat[pick]), len(own) - 1)
-            both = np.add.reduceat((own[place] == flat[pick]).astype(np.int64), np.concatenate([[0], np.cumsum(size)[:-1]]))
-        out[later[both >= need]] = True
+    index: dict[int, list[tuple[int, int]]] = {}
+    for k, own in enumerate(keys):
+        n, tried = len(own), set()
+        prefix = own[: n - -(-SHARE * n // WHOLE) + 1].tolist()
+        for at, token in enumerate(prefix):
+            for other, place in index.get(token, ()):
+                if other in tried:
+                    continue
+                tried.add(other)
+                m = len(keys[other])
+                need = least_overlap(n + m)
+                if WHOLE * m < SHARE * n or WHOLE * n < SHARE * m:  # length filter
+                    continue
+                if min(n - at, m - place) + min(at, place) < need:  # positional filter
+                    continue
+                if len(np.intersect1d(own, keys[other], assume_unique=True)) >= need:
+                    out[k] = True
+                    break
+            if out[k]:
+                break
+        for at, token in enumerate(prefix):
+            index.setdefault(token, []).append((k, at))
     return out
 
 
-def _meet(table: pa.Table) -> pa.Table:
-    table = table.sort_by([("doc_id", "ascending"), ("line", "ascending"), ("s1", "ascending"), ("s2", "ascending")])
-    keys = [np.frombuffer(k, "<u8") for k in table.column("keys").to_pylist()]
-    hit = earlier_matches(keys, table.column("at").to_numpy())
-    return table.select(["s1", "s2"]).filter(pa.array(hit))
+def _meet(batches):
+    """Groups as runs of rows; a run is closed by the next one or the end."""
+    names = ["component", "i", "j"]
+
+    def matched(keys, ids):
+        hit = earlier_matches(keys) if len(keys) > 1 else [False]
+        return [x for x, h in zip(ids, hit) if h]
+
+    current, keys, ids = None, [], []
+    for batch in batches:
+        found = []
+        rows = zip(*(batch.column(c).to_pylist() for c in names), batch.column("s1").to_pylist(), batch.column("s2").to_pylist(),
+                   batch.column("keys"))
+        for c, i, j, s1, s2, k in rows:
+            if (c, i, j) != current:
+                found += matched(keys, ids)
+                current, keys, ids = (c, i, j), [], []
+            keys.append(np.frombuffer(k.as_buffer(), "<u8").copy())
+            ids.append((s1, s2))
+        yield pa.RecordBatch.from_arrays([pa.array([x[n] for x in found], pa.int64()) for n in (0, 1)], names=["s1", "s2"])
+    found = matched(keys, ids)
+    yield pa.RecordBatch.from_arrays([pa.array([x[n] for x in found], pa.int64()) for n in (0, 1)], names=["s1", "s2"])
 
 
 def _cut(batches):
@@ -204,16 +222,23 @@ def deduplicated_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     first = found.selectExpr("doc_id", "inline(sets)").groupBy("s1", "s2").agg(
         F.min(F.struct("doc_id", "line", "keys", "prefix")).alias("f"))
     sets = written(first.selectExpr("s1", "s2", "f.*"), "line-distinct")
-    tokens = sets.selectExpr("inline(prefix)").groupBy("t").agg(F.count("*").alias("c")).where("c > 1")
-    meeting = (
-        sets.selectExpr("s1", "s2", "inline(prefix)").join(tokens, "t")
-        .selectExpr("t", "at", "s1", "s2", f"CAST(ceil(c / {BLOCK_SETS}) AS INT) AS blocks")
+    tokens = sets.selectExpr("explode(prefix) AS t", "s1")
+    lowest = tokens.groupBy("t").agg(F.min("s1").alias("m"), F.max("s1").alias("x")).where("m < x")
+    edges = tokens.join(lowest.select("t", "m"), "t").where("s1 <> m").selectExpr("s1 AS a", "m AS b")
+    groups = components(edges, "line_groups").withColumnRenamed("node", "s1")
+    members = written(sets.select("doc_id", "line", "s1", "s2", "keys").join(groups, "s1"), "line-groups")
+    size = members.groupBy("component").agg(F.expr("sum(octet_length(keys))").alias("bytes"))
+    pairs = (
+        members.join(size, "component")
+        .selectExpr("*", f"CAST(ceil(bytes / {BLOCK_BYTES}) AS INT) AS blocks")
         .selectExpr("*", "CAST(pmod(xxhash64(s1), blocks) AS INT) AS own")
-        .selectExpr("t", "at", "s1", "s2", "own", "explode(sequence(0, blocks - 1)) AS other")
-        .selectExpr("t", "least(own, other) AS i", "greatest(own, other) AS j", "at", "s1", "s2")
-        .join(sets.select("s1", "s2", "doc_id", "line", "keys"), ["s1", "s2"])
+        .selectExpr("*", "explode(sequence(0, blocks - 1)) AS other")
+        .selectExpr("component", "least(own, other) AS i", "greatest(own, other) AS j", "doc_id", "line", "s1", "s2", "keys")
+    )
+    matched = (
+        pairs.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "doc_id", "line", "s1", "s2")
+        .mapInArrow(_meet, "s1 bigint, s2 bigint").distinct()
     )
-    matched = meeting.groupBy("t", "i", "j").applyInArrow(_meet, "s1 bigint, s2 bigint").distinct()
     verdict = sets.select("s1", "s2", "doc_id", "line").join(
         matched.withColumn("m", F.lit(True)), ["s1", "s2"], "left"
     ).selectExpr("s1", "s2", "doc_id AS first_doc", "line AS first_line", "coalesce(m, false) AS matched")
