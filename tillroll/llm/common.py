@@ -36,36 +36,24 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of ``edges(a, b)``: ``(node, component)``, the component
     being the smallest node of it; nodes without an edge are absent.
 
-    Alternating large-star / small-star contraction: each round is two grouped
-    minimum steps and re-hangs neighbours onto smaller nodes; it ends when a round
-    changes nothing (a logarithmic number of rounds in practice). Every round is
-    written to the shared folder, so lineage stays short. Grouped minimums
-    pre-aggregate before the shuffle; a hub's edges are split by the skew-aware join.
+    Alternating large-star / small-star contraction: each round re-hangs neighbours
+    onto smaller nodes, in two grouped minimums and two joins on the node, and is
+    written to the shared folder, so lineage stays short. It ends when every node
+    hangs on one root and no root hangs on another. Grouped minimums pre-aggregate
+    before the shuffle; a hub's edges are split by the skew-aware join.
     """
-    spark = edges.sparkSession
-    cur = written(
-        edges.where("a <> b").selectExpr("greatest(a, b) AS u", "least(a, b) AS v").distinct(), label
-    )
-    before = None
+    cur = written(edges.where("a <> b").selectExpr("greatest(a, b) AS u", "least(a, b) AS v").distinct(), label)
     while True:
-        stats = cur.agg(F.count("*").alias("n"), F.expr("sum(CAST(v AS DECIMAL(38,0)))").alias("s"),
-                        F.expr("bit_xor(xxhash64(u, v))").alias("x")).head()
-        if stats["n"] == 0 or (before is not None and tuple(stats) == before):
-            break
-        before = tuple(stats)
-        cur.createOrReplaceTempView(f"cc_{label}")
+        ends = cur.selectExpr("u AS node", "v AS low", "v AS high", "false AS root").union(
+            cur.selectExpr("v AS node", "CAST(NULL AS BIGINT) AS low", "CAST(NULL AS BIGINT) AS high", "true AS root"))
+        nodes = ends.groupBy("node").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.max("root").alias("root"))
+        if nodes.where("low < high OR (root AND low IS NOT NULL)").isEmpty():
+            return nodes.selectExpr("node", "coalesce(low, node) AS component")
         # large star: neighbours above a node hang onto its smallest neighbour (or itself)
-        both = spark.sql(f"SELECT u, v FROM cc_{label} UNION ALL SELECT v AS u, u AS v FROM cc_{label}")
+        both = cur.union(cur.selectExpr("v AS u", "u AS v"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.where("v > u").join(low, "u").selectExpr("v AS u", "m AS v").where("u <> v"))
-        large = large.distinct()
+        large = both.where("v > u").join(low, "u").selectExpr("v AS u", "m AS v")
         # small star: a node and its smaller neighbours hang onto the smallest of them
-        small_low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(small_low, "u")
-        small = joined.selectExpr("v AS u", "m AS v").where("u <> v").union(
-            small_low.selectExpr("u", "m AS v")
-        ).distinct()
-        cur = written(small, label)
-    return cur.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u AS node", "m AS component").union(
-        cur.selectExpr("v AS node", "v AS component").distinct()
-    ).groupBy("node").agg(F.min("component").alias("component"))
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").selectExpr("v AS u", "m AS v").where("u <> v").union(low.selectExpr("u", "m AS v"))
+        cur = written(small.distinct(), label)
