@@ -44,8 +44,7 @@ def stage_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    coded = unigram.encode(docs.select("doc_id", "lang", "source", "text"), path)
-    return unigram.decode(coded.drop("text"), path)
+    return unigram.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), path)
 
 
 STAGES = [

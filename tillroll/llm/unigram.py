@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from tillroll.llm.kernel import ranges, span_hashes, text_blocks
 
 MARK = "▁"
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 NORMAL, USER_DEFINED, BYTE, UNIGRAM = 1, 4, 6, 1  # fixed values of the model file format
 UNKNOWN_PENALTY = 10.0
 ZIPF_SHIFT = 10.0
@@ -282,7 +282,7 @@ def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     ).cast(pa.string())
 
 
-def _encode(pieces: Pieces, text: str, own: list[str], digest: bool):
+def _encode(pieces: Pieces, text: str, own: list[str], digest: bool, spell: bool = False):
     def run(batches):
         for batch in batches:
             for i, j, buf, offsets in text_blocks(batch, text, BLOCK_BYTES):
@@ -305,6 +305,9 @@ def _encode(pieces: Pieces, text: str, own: list[str], digest: bool):
                 else:
                     columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())))
                     names.append("ids")
+                    if spell:
+                        columns.append(_strings(*pieces.decode_block(ids, bounds)))
+                        names.append("decoded")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -321,6 +324,14 @@ def encode(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     return df.select(own).mapInArrow(_encode(Pieces.load(model_path), text, own, False), schema)
 
 
+def encode_and_decode(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:
+    """``df`` without ``text`` plus ``n_ids``, ``ids`` and ``decoded``, the text that the ids
+    spell, in one pass."""
+    own = [c for c in df.columns if c not in (text, "ids", "n_ids", "decoded")]
+    schema = _schema(df, own, "n_ids bigint, ids array<int>, decoded string")
+    return df.select(*own, text).mapInArrow(_encode(Pieces.load(model_path), text, own, False, True), schema)
+
+
 def encode_digest(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     """``df`` without ``text`` plus ``n_ids``, ``ids_crc32`` (of the ids as little-endian
     unsigned 32-bit integers), ``round_trip`` (decoding gave the text back) and
