@@ -161,6 +161,47 @@ def test_cross_entropy(spark):
     assert crossent.score(none, crossent.fit(none, wanted, v), v).count() == 0
 
 
+def test_cross_entropy_counts_every_word_and_pair(spark):
+    rnd = random.Random(6)
+    rows = [(i, " ".join(f"w{rnd.randrange(300)} r{900 * i + k}" for k in range(900))) for i in range(90)]  # 81,300 words
+    rows += [(90, None), (None, rows[0][1]), (3, "w1 w2 W1"), (3, "w1 w2 W1")]
+    wanted = {i for i in range(0, 90, 3)}
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    marks = spark.createDataFrame([(i,) for i in wanted] * 2 + [(None,), (777,)], "doc_id long")
+    models = []
+    for pick in (lambda i: i in wanted, lambda i: True):
+        words, contexts, pairs = Counter(), Counter(), Counter()
+        for i, t in rows:
+            if pick(i):
+                w = lower(t).split()
+                words.update(w)
+                contexts.update([None, *w][: len(w)])
+                pairs.update(zip([None, *w], w))
+        models.append((words, contexts, pairs))
+    size = len(models[1][0]) + 2
+
+    def loss(model, text):
+        words, contexts, pairs = model
+        w, total = lower(text).split(), words.total()
+        uni = [(words[x] + 0.1) / (total + 0.1 * size) for x in w]
+        each = [-np.log((pairs[a, b] + 4 * u) / (contexts[a] + 4)) for a, b, u in zip([None, *w], w, uni)]
+        return sum(each) / max(1, len(w))
+
+    def check(got, texts):
+        key = lambda r: (r[0] is None, r[0], r[1], r[2])
+        expected = sorted(((i, len((t or "").split()), *(loss(m, t) for m in models)) for i, t in texts), key=key)
+        got = sorted(((r.doc_id, r.n_words, r.target_loss, r.background_loss) for r in got), key=key)
+        assert [r[:2] for r in got] == [r[:2] for r in expected]
+        assert np.allclose([r[2:] for r in got], [r[2:] for r in expected], rtol=1e-9)
+
+    vocab = crossent.vocabulary(frame)
+    fitted = crossent.fit(frame, marks, vocab)
+    check(crossent.score(frame, fitted, vocab).collect(), rows)
+    assert len(vocab) == size - 2
+    others = [(1, "w1 never seen w2"), (2, rows[5][1])]  # rows that the models do not count
+    check(crossent.score(spark.createDataFrame(others, "doc_id long, text string"), fitted, vocab).collect(), others)
+
+
 # ---------------------------------------------------------------- decontamination
 def brute_hits(rows, items):
     norm = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lower(t))

@@ -159,3 +159,32 @@ def pack_ascending(keys: np.ndarray) -> bytes:
 
 def unpack_ascending(data: bytes) -> np.ndarray:
     return np.cumsum(from_planes(data), dtype=np.uint32)
+
+
+def pack_ascending_64(keys: np.ndarray) -> bytes:
+    """Ascending 64-bit integers: the first, then the byte planes of the differences
+    (the planes of high bytes vanish when a shuffle compresses them)."""
+    gaps = np.diff(keys.astype("<u8"), prepend=np.uint64(0))
+    head, rest = gaps[:1], gaps[1:]
+    return head.tobytes() + np.ascontiguousarray(np.ascontiguousarray(rest).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpack_ascending_64(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8, offset=min(8, len(data))).reshape(8, -1)
+    gaps = np.concatenate([np.frombuffer(data[:8], "<u8"), np.ascontiguousarray(planes.T).view("<u8").ravel()])
+    return np.cumsum(gaps, dtype=np.uint64)
+
+
+def pack_counts(values: np.ndarray) -> bytes:
+    """Integers from 0 as byte planes, as many as the largest needs; the first byte is that
+    number."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8).T[:width]
+    return bytes([width]) + np.ascontiguousarray(planes).tobytes()
+
+
+def unpack_counts(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : data[0]] = planes.T
+    return out.view("<i8").ravel()
