@@ -281,6 +281,30 @@ def test_substrings(docs, empty):
     assert suffixes.dedup_substrings(empty).count() == 0
 
 
+def test_substrings_of_a_hot_anchor_are_parted(spark, docs, monkeypatch):
+    rnd = random.Random(3)
+    some = lambda n: "".join(rnd.choice("abcdefghij ") for _ in range(n))
+    phrase = "licensed under the same terms as is"
+    rows = [(i, some(40) + phrase + some(40)) for i in range(400)]
+    rows += [(400 + i, some(9) + rows[i][1][20:100] + some(9)) for i in range(0, 400, 8)]
+    answer = suffixes._answer
+
+    def bounded(table):
+        windows = sum(int((np.frombuffer(x, np.uint8).astype(int) - 49).sum()) for x in table.column("sizes").to_pylist())
+        assert windows <= 1500, windows  # one part; the phrase has some 16 windows in each of 450 texts
+        return answer(table)
+
+    monkeypatch.setattr(suffixes, "_answer", bounded)
+    monkeypatch.setattr(suffixes, "RANGE_WINDOWS", 600, raising=False)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = suffixes.dedup_substrings(frame).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute_substrings(rows)
+    monkeypatch.setattr(suffixes, "_answer", answer)
+    monkeypatch.setattr(suffixes, "RANGE_WINDOWS", 3)
+    got = suffixes.dedup_substrings(docs).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute_substrings(ROWS)
+
+
 def test_multikey_order():
     rnd = np.random.default_rng(1)
     words = rnd.integers(0, 4, (20_000, 7)).astype(np.uint64)

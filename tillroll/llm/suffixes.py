@@ -12,9 +12,12 @@ no match and end here.
 
 The other windows are suffix starts to be sorted. Splitters sampled from the
 anchors' leading bytes cut them into ranges; all windows of one anchor string fall
-into one range, so equal suffixes never part. A shard sends a range one row: its
-distinct stretches of bytes around anchors with the smallest doc_id of each (a
-passage that a third of all texts share is one stretch of each shard). The range
+into one range. A range of more than ``RANGE_WINDOWS`` windows (a phrase shorter than
+``LENGTH`` with ever new neighbours) is cut into parts by a hash of the window's own
+bytes, so equal windows never part, and is sent window by window. A shard sends a
+range, or a part of one, one row: its distinct stretches of bytes around anchors, or
+distinct windows, with the smallest doc_id of each (a passage that a third of all
+texts share is one stretch of each shard). The range
 sorts the suffixes by multikey quicksort, compares neighbours over ``LENGTH`` bytes,
 finds the smallest doc_id of every run of equal ones, also across the ends of the
 rows it was sent, and answers each shard. The shard, read again, marks its bytes.
@@ -35,6 +38,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +53,8 @@ SPAN = LENGTH - GRAM + 1  # anchor strings in a window
 PLACE_BITS = 24  # a block has fewer bytes than 2 ** PLACE_BITS; longer texts are cut with an overlap
 SMALL = 4096  # ranges of suffixes below this are sorted at once
 SPLITTER_SAMPLE = 200_000
+RANGE_WINDOWS = 2 << 20  # windows of a range that are sorted in one task; an ordinary range has below 1 << 20
+COUNT_BYTES = 2 << 20  # of text, whose distinct stretches are counted together
 
 
 def anchors(buf: np.ndarray, offsets: np.ndarray):
@@ -168,14 +174,15 @@ def _words(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """``LENGTH`` bytes from each start as big-endian 64-bit words, zero padded."""
     width = -(-LENGTH // 8) * 8
     rows = np.zeros((len(starts), width), np.uint8)
-    rows[:, :LENGTH] = data[starts[:, None] + np.arange(LENGTH)]
+    for a in range(0, len(starts), 1 << 16):
+        rows[a : a + (1 << 16), :LENGTH] = data[starts[a : a + (1 << 16), None] + np.arange(LENGTH)]
     return rows.view(">u8").astype(np.uint64)
 
 
 class _Stretches:
     """The distinct stretches of bytes around a shard's anchors, by range."""
 
-    def __init__(self, table: pa.Table, splitters: np.ndarray):
+    def __init__(self, table: pa.Table, splitters: np.ndarray, parts: np.ndarray | None = None):
         texts = table.column("text").combine_chunks()
         self.buf, self.offsets = text_buffer(texts)
         packed = [np.frombuffer(x, np.int32).reshape(-1, 3) for x in table.column("anchors").to_pylist()]
@@ -186,6 +193,8 @@ class _Stretches:
         ids = table.column("doc_id").to_numpy()
         self.ids = ids
         bucket = np.searchsorted(splitters, _leading(self.buf, self.at), side="right")
+        if parts is not None:
+            bucket = self._cut(bucket, parts)
         # a stretch's identity: its bytes and where its anchor stands
         h = span_hashes(self.buf, self.first, self.last + LENGTH, False)
         h2 = span_hashes(self.buf[::-1], len(self.buf) - (self.last + LENGTH), len(self.buf) - self.first, False)
@@ -198,6 +207,29 @@ class _Stretches:
         self.sample = order[new]  # for each distinct stretch, one with the smallest id
         self.bucket = bucket[self.sample]
 
+    def _cut(self, bucket: np.ndarray, parts: np.ndarray) -> np.ndarray:
+        """Stretches of ranges of several parts become single windows, dealt by their bytes."""
+        begin = np.cumsum(parts) - parts
+        hot = parts[bucket] > 1
+        if hot.any():
+            windows = np.where(hot, self.last - self.first + 1, 1)
+            start = ranges(self.first, windows)
+            bucket, hot = np.repeat(bucket, windows), np.repeat(hot, windows)
+            self.last = np.where(hot, start, np.repeat(self.last, windows))
+            self.at, self.owner, self.first = np.repeat(self.at, windows), np.repeat(self.owner, windows), start
+            which = np.flatnonzero(hot)
+            h = span_hashes(self.buf, start[which], start[which] + LENGTH, False)
+            part = np.zeros(len(start), np.int64)
+            part[which] = (h % parts[bucket[which]].astype(np.uint64)).astype(np.int64)
+            return begin[bucket] + part
+        return begin[bucket]
+
+    def load(self) -> tuple[np.ndarray, np.ndarray]:
+        """(ranges, windows of their distinct stretches)."""
+        n = np.bincount(self.bucket, (self.last - self.first + 1)[self.sample]).astype(np.int64)
+        at = np.flatnonzero(n)
+        return at, n[at]
+
     def ask(self, shard: int) -> pa.Table:
         buckets, cut = np.unique(self.bucket, return_index=True)
         cut = np.append(cut, len(self.bucket))
@@ -251,6 +283,24 @@ def _answer(table: pa.Table) -> pa.Table:
     })
 
 
+def _parts(candidates: DataFrame, splitters: np.ndarray) -> np.ndarray:
+    """Into how many parts each range is cut, by its number of windows."""
+
+    def count(batches):
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            sizes = pc.cast(pc.fill_null(pc.binary_length(batch.column("text")), 0), pa.int64()).to_numpy()
+            for i, j in blocks(np.concatenate([[0], np.cumsum(sizes)]), COUNT_BYTES):
+                at, n = _Stretches(table.slice(i, j - i), splitters).load()
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], names=["bucket", "n"])
+
+    counted = candidates.select("doc_id", "text", "anchors").mapInArrow(count, "bucket bigint, n bigint")
+    big = counted.groupBy("bucket").agg(F.sum("n").alias("n")).where(f"n > {RANGE_WINDOWS}").toArrow()
+    parts = np.ones(len(splitters) + 1, np.int64)
+    parts[big.column("bucket").to_numpy()] = -(-big.column("n").to_numpy() // RANGE_WINDOWS)
+    return parts
+
+
 def _in_order(table: pa.Table) -> pa.Table:
     """A fixed row order, the same on both readings of a shard."""
     return table.sort_by([("doc_id", "ascending"), ("h", "ascending")])
@@ -275,15 +325,16 @@ def duplicate_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     lead = np.sort(sample.column("lead").to_numpy().astype(np.int64).view(np.uint64))
     splitters = np.unique(lead[np.linspace(0, len(lead) - 1, n_ranges + 1).astype(int)[1:-1]]) if len(lead) else lead
     shards = max(int((size["b"] or 0) // (2 << 20)) + 1, 2 * shuffle_partitions(docs.sparkSession))
+    parts = _parts(found.where("anchors IS NOT NULL"), splitters)
     rest = found.where("anchors IS NOT NULL").selectExpr(
         "h", "doc_id", "text", "anchors", f"CAST(pmod(xxhash64(h), {shards}) AS INT) AS shard").repartition("shard")
 
     def ask(table: pa.Table) -> pa.Table:
-        return _Stretches(_in_order(table), splitters).ask(table.column("shard")[0].as_py())
+        return _Stretches(_in_order(table), splitters, parts).ask(table.column("shard")[0].as_py())
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         left = _in_order(left)
-        own = _Stretches(left, splitters)
+        own = _Stretches(left, splitters, parts)
         gone = own.mark(right.sort_by("bucket").column("earliest").to_pylist())
         removed, n_spans, digest, spans = [], [], [], []
         for a, b in zip(own.offsets[:-1].tolist(), own.offsets[1:].tolist()):
