@@ -566,3 +566,22 @@ def test_deobfuscation_and_held_out_accuracy(spark):
     assert max(r.score for r in toxicity.score(frame, toxicity.fit(frame, no_labels)).collect()) < 1e-200
     nothing = frame.where("doc_id < 0")
     assert toxicity.score(nothing, toxicity.fit(nothing, no_labels)).count() == 0
+
+
+def test_spaced_runs_are_read_with_their_separators():
+    n = Counter()
+    said = ("what a moron you are an idiot i am a good person and he is at my house a stupid idea a class of things "
+            "the other one took a long walk on that road a hole in a wall ass hole asshole ") * 50
+    at = [0, 0, *toxicity._CLASS[np.frombuffer(said.encode(), np.uint8)].tolist(), 0]
+    n.update((a * 28 + b) * 28 + c for a, b, c in zip(at, at[1:], at[2:]))
+    model = toxicity.character_model(list(n.items()))
+
+    def words(text):
+        return {w for t in toxicity.words_of(text) for w in toxicity.restored_words(t, model)}
+
+    for text, word in (("what a m o r o n", "moron"), ("a i d i o t", "idiot"), ("y o u i d i o t", "idiot"), ("@ s s", "ass"),
+                       ("a $ $ h 0 l e", "asshole"), ("i  d  i  o  t", "idiot"), ("i\nd\ni\no\nt", "idiot"), ("id iot", "idiot"),
+                       ("id111ot", "idiot"), ("I i d i o t", "idiot"), ("1 d 1 0 t", "idiot")):
+        assert word in words(text), text
+    assert words("1 2 3 4") == {"1", "2", "3", "4"}
+    assert toxicity.deobfuscate("you are an i d i o t", model).endswith("idiot")

@@ -1,11 +1,15 @@
 """Toxicity scores of deobfuscated text.
 
 A noisy channel writes letters as look-alikes (``1d10t``), stretches them
-(``idiooot``) or spaces them out (``i d i o t``, ``i.d.i.o.t``). A token that shows
-such signs becomes a lattice of characters: each look-alike may stand for its
-letters or for itself, a run of three or more equal letters for one or two, spaced
-single characters for a word. The best path under a character trigram model of
-the whole corpus (Viterbi over the last two characters) is the restored token.
+(``idiooot``) or spaces them out (``i d i o t``, ``i.d.i.o.t``, ``id iot``). A token
+that shows such signs becomes a lattice of characters: each look-alike may stand for
+its letters or for itself, a run of three or more equal letters or look-alikes for one
+or two. A run of pieces of up to ``PIECE`` characters becomes one lattice with its
+separators: each is dropped or is a word edge, and one unlike most of its run is
+rather an edge. The best path under a character trigram model of the whole corpus
+(Viterbi over the last two characters) is the restored token. A trigram model often
+cannot tell ``a moron`` from ``a mor on``: the words of a run are those of all its
+readings within ``MARGIN`` of the best.
 
 The score then comes from indicators: restored words, and their first 4 to 8
 characters. Candidates stand in ``LEAST_TEXTS`` toxic training texts and lean to the
@@ -54,6 +58,10 @@ LEET = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e",
 }
 SUBSTITUTED, KEPT, STRETCHED = -1.0, -9.0, -0.5  # channel costs
+DROPPED, DROPPED_ODD = -0.5, -4.0  # a separator that is like most of its run, and another one
+SPLIT = -2.0  # a word edge between two single characters, at a separator like most of its run
+PIECE = 3
+READINGS, MARGIN = 8, 5.0  # of a run: paths kept for each state, and how far they may be behind the best
 
 NEVER = -500.0  # intercept of a model that saw no toxic text: probability 0
 
@@ -65,7 +73,10 @@ _CLASS[0x30:0x3A] = 27
 _CLASS[0x80:] = 27
 
 _EDGE = " \t\r\n\v\f.,;:?\"'`*#%&()[]{}<>=~^/\\-_"
-_SPACED = re.compile(r"(?<![^\W_])[^\W_](?:([ .\-_*])[^\W_])(?:\1[^\W_])+(?![^\W_])")
+_SIGN = r"(?:[^\W_]|[" + re.escape("".join(x for x in LEET if not x.isalnum())) + "])"
+_GAP = r"[\s.\-_*]{1,3}"
+_SPACED = re.compile(rf"(?<!{_SIGN}){_SIGN}{{1,{PIECE}}}(?:{_GAP}{_SIGN}{{1,{PIECE}}}(?!{_SIGN}))+")
+_GAPS = re.compile(f"({_GAP})")
 _RUN = re.compile(r"([^\W\d_])\1\1+")
 _LOOKALIKE = re.compile("[" + re.escape("".join(LEET)) + "]")
 _LETTER = re.compile(r"[a-z]")
@@ -103,8 +114,8 @@ def _class(ch: str) -> int:
     return ord(ch) - 96 if "a" <= ch <= "z" else 27
 
 
-def restore(token: str, model: list) -> str:
-    """The best reading of one lower-case token under the character model."""
+def _signs(token: str) -> list[list[tuple[str, float]]]:
+    """The readings of each sign of a lower-case token, with their channel costs."""
     lattice: list[list[tuple[str, float]]] = []
     i = 0
     while i < len(token):
@@ -113,6 +124,8 @@ def restore(token: str, model: list) -> str:
             j += 1
         if j - i >= 3 and ch.isalpha():
             lattice.append([(ch, STRETCHED), (ch + ch, STRETCHED)])
+        elif j - i >= 3 and ch in LEET:
+            lattice.append([(x * n, SUBSTITUTED + STRETCHED) for x in LEET[ch] for n in (1, 2)] + [(token[i:j], KEPT)])
         else:
             j = i + 1
             if ch in LEET:
@@ -120,20 +133,55 @@ def restore(token: str, model: list) -> str:
             else:
                 lattice.append([(ch, 0.0)])
         i = j
-    paths = {(0, 0): (0.0, "")}
+    return lattice
+
+
+def _best(lattice: list[list[tuple[str, float]]], model: list, most: int = 1) -> list[str]:
+    """The best paths, best first: ``most`` for each end of a path, those within
+    ``MARGIN`` of the best; a space is a word edge."""
+    paths: dict[tuple[int, int], list[tuple[float, tuple]]] = {(0, 0): [(0.0, ())]}
     for options in [*lattice, [(" ", 0.0)]]:
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, so_far) in paths.items():
+        new: dict[tuple[int, int], list[tuple[float, tuple]]] = {}
+        for (a, b), ends in paths.items():
             for written, cost in options:
-                x, y, s = a, b, score + cost
+                x, y, gain = a, b, cost
                 for ch in written:
                     c = 0 if ch == " " else _class(ch)
-                    s += model[x][y][c]
+                    gain += model[x][y][c]
                     x, y = y, c
-                if (x, y) not in new or (s, so_far + written) > new[x, y]:
-                    new[x, y] = (s, so_far + written)
-        paths = new
-    return max(paths.values())[1].rstrip(" ")
+                new.setdefault((x, y), []).extend((score + gain, (so_far, written)) for score, so_far in ends)
+        paths = {at: sorted(ends, key=lambda p: -p[0])[:most] if len(ends) > 1 else ends for at, ends in new.items()}
+    found = sorted((p for ends in paths.values() for p in ends), key=lambda p: -p[0])
+    out = []
+    for score, path in found if most > 1 else found[:1]:
+        if score < found[0][0] - MARGIN:
+            break
+        written = []
+        while path:
+            path, last = path
+            written.append(last)
+        out.append("".join(reversed(written)).rstrip(" "))
+    return out
+
+
+def restore(token: str, model: list) -> str:
+    """The best reading of one lower-case token under the character model."""
+    return _best(_signs(token), model)[0]
+
+
+def restore_run(run: str, model: list, most: int = 1) -> list[str]:
+    """The best readings of a run of spaced pieces: words with a space between them."""
+    parts = _GAPS.split(run)
+    usual = Counter(parts[1::2]).most_common(1)[0][0] if len(parts) > 1 else ""
+    lattice = []
+    for k, part in enumerate(parts):
+        if k % 2 == 0:
+            lattice += _signs(part)
+        elif part == usual:
+            lattice.append([("", DROPPED), (" ", SPLIT if len(parts[k - 1]) == len(parts[k + 1]) == 1 else 0.0)])
+        else:
+            lattice.append([("", DROPPED_ODD), (" ", 0.0)])
+    return _best(lattice, model, most)
 
 
 def suspicious(token: str) -> bool:
@@ -142,12 +190,9 @@ def suspicious(token: str) -> bool:
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-case tokens of a text without outer punctuation; spaced-out words joined."""
+    """Lower-case tokens of a text, then its runs of spaced pieces as they stand."""
     low = text.lower()
-    tokens = low.split()
-    for m in _SPACED.finditer(low):
-        tokens.append(m.group(0).replace(m.group(1), ""))
-    return tokens
+    return low.split() + [m.group(0) for m in _SPACED.finditer(low) if _LETTER.search(m.group(0))]
 
 
 def restored_word(token: str, model: list) -> str:
@@ -157,13 +202,23 @@ def restored_word(token: str, model: list) -> str:
     return word.strip(_EDGE + "!|+$@")
 
 
+def restored_words(token: str, model: list) -> list[str]:
+    """The words of a token, or of a run of spaced pieces, that indicators are made of."""
+    pieces = {x.strip(_EDGE) for x in token.split()}
+    if len(pieces) < 2 and not _SPACED.fullmatch(token):
+        return [restored_word(token, model)]
+    # a piece that stands alone is a token of its own
+    words = (x.strip(_EDGE + "!|+$@") for reading in restore_run(token, model, READINGS) for x in reading.split(" "))
+    return [w for w in dict.fromkeys(words) if w not in pieces]
+
+
 def indicators_of(word: str) -> list[str]:
     return [word, *(f"{word[:k]}~" for k in (4, 5, 6, 7, 8) if len(word) > k)] if len(word) > 2 else []
 
 
 def deobfuscate(text: str, model: list) -> str:
     """The whole text with every suspicious token replaced by its best reading."""
-    text = _SPACED.sub(lambda m: m.group(0).replace(m.group(1), ""), text.lower())
+    text = _SPACED.sub(lambda m: restore_run(m.group(0), model)[0] if _LETTER.search(m.group(0)) else m.group(0), text.lower())
     return re.sub(r"\S+", lambda m: restored_word(m.group(0), model) if suspicious(m.group(0).strip(_EDGE)) else m.group(0), text)
 
 
@@ -176,7 +231,8 @@ def _count_indicators(model: list):
                 for text, label in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist()):
                     found = set()
                     for token in set(words_of(text or "")):
-                        found.update(indicators_of(restored_word(token, model)))
+                        for word in restored_words(token, model):
+                            found.update(indicators_of(word))
                     all_.update(found)
                     if label:
                         toxic.update(found)
@@ -191,7 +247,7 @@ def _count_indicators(model: list):
 def _counts(text: str, model: list, wanted) -> dict[str, int]:
     """How many different words of the text show each wanted indicator."""
     found: dict[str, int] = {}
-    for word in {restored_word(t, model) for t in set(words_of(text))}:
+    for word in {w for t in set(words_of(text)) for w in restored_words(t, model)}:
         for x in indicators_of(word):
             if x in wanted:
                 found[x] = found.get(x, 0) + 1
@@ -279,11 +335,11 @@ def _score(model: list, weights: dict[str, float], intercept: float, own: list[s
     gains = [math.log1p(k) for k in range(MOST_WORDS + 1)]
 
     def run(batches):
-        cache: dict[str, tuple[str, tuple[str, ...]]] = {}
+        cache: dict[str, tuple[tuple[str, tuple[str, ...]], ...]] = {}
 
         def look(token: str):
-            word = restored_word(token, model)
-            cache[token] = got = (word, tuple(x for x in indicators_of(word) if x in weights))
+            shown = ((word, tuple(x for x in indicators_of(word) if x in weights)) for word in restored_words(token, model))
+            cache[token] = got = tuple(x for x in shown if x[1])
             return got
 
         for batch in batches:
@@ -292,11 +348,12 @@ def _score(model: list, weights: dict[str, float], intercept: float, own: list[s
                 found: dict[str, int] = {}
                 seen = set()
                 for token in set(words_of(text.as_py() or "")):
-                    word, shown = cache.get(token) or look(token)
-                    if shown and word not in seen:
-                        seen.add(word)
-                        for x in shown:
-                            found[x] = found.get(x, 0) + 1
+                    got = cache.get(token)
+                    for word, shown in look(token) if got is None else got:
+                        if word not in seen:
+                            seen.add(word)
+                            for x in shown:
+                                found[x] = found.get(x, 0) + 1
                 if len(cache) > CACHE_TOKENS:
                     cache.clear()
                 total = intercept + sum(weights[x] * gains[min(n, MOST_WORDS)] for x, n in found.items())
