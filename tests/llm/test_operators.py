@@ -585,3 +585,10 @@ def test_spaced_runs_are_read_with_their_separators():
         assert word in words(text), text
     assert words("1 2 3 4") == {"1", "2", "3", "4"}
     assert toxicity.deobfuscate("you are an i d i o t", model).endswith("idiot")
+
+
+def test_line_join_keeps_rows_without_an_id(spark):
+    rows = [(1, "one clean line"), (None, "another clean line"), (None, "one clean line"), (None, None), (2, None), (3, "one clean line")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text or None) for r in linejoin.drop_repeated_lines(frame).collect()]
+    assert sorted(got, key=repr) == sorted(rows[:-1], key=repr)

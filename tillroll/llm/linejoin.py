@@ -21,7 +21,7 @@ a set with Jaccard similarity 0.8 or more to its own, judged on the input.
 Defined results: a line without a word is never removed and matches nothing; a null
 text has no lines; of equal texts those with a larger doc_id lose every line that has
 a word; repeated rows with one id are one text; rows with a null doc_id are left
-out; an empty table gives an empty result. Shingles are compared by 64-bit hashes.
+out of the digest and pass unchanged through ``drop_repeated_lines``; an empty table gives an empty result. Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -269,10 +269,12 @@ def line_digest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without repeated lines; a document that loses its last word goes, one
-    that never had a word stays. Copies of a text lose all their lines, so one stays."""
+    that never had a word stays. Copies of a text lose all their lines, so one stays.
+    Rows with a null doc_id have no place in the order: they pass unchanged."""
     others = [c for c in docs.columns if c != text]
     kept = deduplicated_texts(docs, doc_id, text).where("n_lines = 0 OR n_removed < n_lines").selectExpr(
         "h AS __h", "doc_id AS __first", "n_lines AS __n", "kept_text AS __text")
     rows = docs.selectExpr(*[f"`{c}`" for c in others], f"{text_id(text)} AS __h")
-    return rows.join(kept, "__h").where(f"`{doc_id}` = __first OR __n = 0").selectExpr(
+    judged = rows.join(kept, "__h").where(f"`{doc_id}` = __first OR (__n = 0 AND `{doc_id}` IS NOT NULL)").selectExpr(
         *[f"__text AS `{c}`" if c == text else f"`{c}`" for c in docs.columns])
+    return judged.union(docs.where(f"`{doc_id}` IS NULL"))
