@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm import (
-    chat, crossent, fmindex, linejoin, quality, sigtree, suffixes, tokenio, toxicity, unigram,
+    bpe, chat, crossent, fmindex, linejoin, quality, sigtree, suffixes, tokenio, toxicity, unigram,
 )
 from tillroll.llm.common import read_table
 
@@ -94,7 +94,16 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.encode_digest(docs, _tokenizer("piece_bpe_32k.model"))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to byte-level BPE ids by pair occurrences and decoded again."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode_and_decode(docs, _tokenizer("byte_bpe_50k.json"))
+    return coded.selectExpr(
+        "doc_id", "n_tokens", "sha2(ids, 256) AS ids_sha256", "sha2(CAST(decoded AS BINARY), 256) AS decoded_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_toxicity, op3_line_dedup, op4_cross_entropy, op5_decontamination, op6_substring_dedup,
     op7_jaccard_join, op8_token_ids, op9_chat_format, op10_sentencepiece,
+    op13_bpe,
 )}
