@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm import (
     bpe, chat, crossent, fmindex, linejoin, quality, sigtree, suffixes, tokenio, toxicity, unigram,
+    whitening,
 )
 from tillroll.llm.common import read_table
 
@@ -94,6 +95,17 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.encode_digest(docs, _tokenizer("piece_bpe_32k.model"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four leading whitened coordinates of all usable embeddings."""
+    packed = whitening.pack(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    fitted = whitening.fit(packed, components=4)
+    shares = ", ".join(f"CAST({v / fitted.trace!r} AS DOUBLE)" for v in fitted.values)
+    rows = whitening.whiten(packed, fitted).selectExpr("vec_id", "deviation", "posexplode(whitened) AS (at, whitened)")
+    return rows.selectExpr(
+        "vec_id", "at + 1 AS component", f"CAST({fitted.n} AS BIGINT) AS n", "deviation", "whitened",
+        f"array({shares or 'CAST(NULL AS DOUBLE)'})[at] AS explained", f"CAST({fitted.identity_error!r} AS DOUBLE) AS identity_error")
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded to byte-level BPE ids by pair occurrences and decoded again."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -105,5 +117,5 @@ def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_toxicity, op3_line_dedup, op4_cross_entropy, op5_decontamination, op6_substring_dedup,
     op7_jaccard_join, op8_token_ids, op9_chat_format, op10_sentencepiece,
-    op13_bpe,
+    op11_whitening, op13_bpe,
 )}
