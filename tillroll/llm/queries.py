@@ -99,7 +99,7 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four leading whitened coordinates of all usable embeddings."""
     packed = whitening.pack(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     fitted = whitening.fit(packed, components=4)
-    shares = ", ".join(f"CAST({v / fitted.trace!r} AS DOUBLE)" for v in fitted.values)
+    shares = ", ".join(f"CAST({v / fitted.trace!r} AS DOUBLE)" for v in fitted.values.tolist())
     rows = whitening.whiten(packed, fitted).selectExpr("vec_id", "deviation", "posexplode(whitened) AS (at, whitened)")
     return rows.selectExpr(
         "vec_id", "at + 1 AS component", f"CAST({fitted.n} AS BIGINT) AS n", "deviation", "whitened",
