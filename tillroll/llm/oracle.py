@@ -84,4 +84,32 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-ORACLE = {"op9_chat_format": OP9, "op1_quality_rules": OP1, "op5_decontamination": OP5}
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+s AS (SELECT CAST(count(*) AS BIGINT) AS nd, CAST(sum(len(t)) AS BIGINT) AS nt FROM d WHERE len(t) > 0),
+q AS (
+  SELECT item_id, term, CAST(count(*) AS BIGINT) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY item_id, term),
+v AS (SELECT DISTINCT term FROM q),
+f AS (
+  SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(t) AS term FROM d) u
+  WHERE term IN (SELECT term FROM v) GROUP BY r, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * nd + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY term, nd),
+c AS (
+  SELECT f.r, d.doc_id, f.term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * len(t) * nd) // nt))) AS p
+  FROM f JOIN d ON d.r = f.r JOIN w ON w.term = f.term, s),
+x AS (
+  SELECT item_id, r, doc_id, CAST(sum(times * p) AS BIGINT) AS score FROM c JOIN q ON q.term = c.term
+  WHERE doc_id IS NOT NULL GROUP BY item_id, r, doc_id HAVING sum(times * p) > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM x) WHERE rank <= 20
+"""
+
+ORACLE = {"op12_lexical_search": OP12, "op9_chat_format": OP9, "op1_quality_rules": OP1, "op5_decontamination": OP5}

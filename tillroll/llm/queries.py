@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm import (
-    bpe, chat, crossent, fmindex, linejoin, quality, sigtree, suffixes, tokenio, toxicity, unigram,
+    bpe, chat, crossent, fmindex, lexical, linejoin, quality, sigtree, suffixes, tokenio, toxicity, unigram,
     whitening,
 )
 from tillroll.llm.common import read_table
@@ -106,6 +106,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"array({shares or 'CAST(NULL AS DOUBLE)'})[at] AS explained", f"CAST({fitted.identity_error!r} AS DOUBLE) AS identity_error")
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents for every benchmark item."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.search(docs, read_table(spark, sf_dir, "benchmark").select("item_id", "text"), places=20)
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded to byte-level BPE ids by pair occurrences and decoded again."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -117,5 +123,5 @@ def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_toxicity, op3_line_dedup, op4_cross_entropy, op5_decontamination, op6_substring_dedup,
     op7_jaccard_join, op8_token_ids, op9_chat_format, op10_sentencepiece,
-    op11_whitening, op13_bpe,
+    op11_whitening, op12_lexical_search, op13_bpe,
 )}
