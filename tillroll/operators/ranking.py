@@ -3,10 +3,13 @@
 Ties are broken by the key column so results do not depend on shuffle order.
 
 Cumulative results over many rows need no single task. Rows are cut into ranges of
-the wanted order by splitters, the rows with the smallest hashes (a deterministic
-sample: every evaluation of the plan gives the same ranges), each range is numbered
-or summed on its own, and the ranges' totals, one small row each, give the offsets.
-Everything is one lazy plan: one exchange of the rows, by range.
+the wanted order, as many as the session's shuffle partitions, by splitters: quantiles of
+the rows with the smallest hashes (a deterministic sample: every evaluation of the plan
+gives the same ranges). Rows with equal score and keys are parted by a hash of the row.
+Each range is numbered or summed on its own, and the ranges' totals, one small row each,
+give the offsets. Everything is one lazy plan: one exchange of the rows, by range, but the
+input is evaluated for the splitters, the offsets and the rows;
+:class:`tillroll.operators.ordered.Ordered` writes the rows once instead.
 """
 
 from __future__ import annotations
@@ -18,9 +21,10 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.money import cents_sql, quote, round_money
 from tillroll.operators.aggregates import spending_by_customer
+from tillroll.session import shuffle_partitions
 
-# How many ranges the ordered work is cut into.
-DEFAULT_RANGES = 64
+# Sampled rows per range; ranges come out even within some 10 %.
+SAMPLE_PER_RANGE = 16
 
 
 def top_by(df: DataFrame, n: int, score: str, keys: str | Sequence[str] = ()) -> DataFrame:
@@ -28,29 +32,34 @@ def top_by(df: DataFrame, n: int, score: str, keys: str | Sequence[str] = ()) ->
 
     ``n`` larger than the input returns every row, ``n <= 0`` none. Lazy for every
     ``n`` (``TakeOrderedAndProject``: each partition keeps its own top ``n``). It is
-    meant for report-sized ``n``; to cut a large ordered prefix, filter
-    :func:`number_rows` by ``_pos``, which never gathers rows in one task.
+    meant for report-sized ``n``; a large ordered prefix comes from
+    :meth:`tillroll.operators.ordered.Ordered.first`, which never gathers ``n`` rows in one task.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     return df.orderBy(F.desc(score), *[F.asc(k) for k in keys]).limit(max(int(n), 0))
 
 
-def _order_struct(score: str, keys: Sequence[str]) -> str:
+def _order_struct(score: str, keys: Sequence[str], columns: Sequence[str]) -> str:
     """A struct whose ascending order is ``score`` descending, then ``keys`` ascending
-    (NaN first, as Spark orders it above every number; NULL last)."""
+    (NaN first, as Spark orders it above every number; NULL last), then a hash of the row."""
     s = f"CAST({quote(score)} AS DOUBLE)"
     fields = [f"'n', {s} IS NULL", f"'f', NOT coalesce(isnan({s}), false)", f"'s', IF(isnan({s}), 0D, -{s})"]
     fields += [f"'k{i}', {quote(k)}" for i, k in enumerate(keys)]
+    fields.append(f"'h', xxhash64({', '.join(map(quote, columns))})")
     return f"named_struct({', '.join(fields)})"
 
 
-def _ranged(df: DataFrame, score: str, keys: Sequence[str], ranges: int) -> DataFrame:
+def _ranged(df: DataFrame, score: str, keys: Sequence[str], ranges: int | None) -> DataFrame:
     """``df`` plus ``_o`` (order struct) and ``_range`` (0 .. ranges - 1, in order)."""
-    ordered = df.selectExpr("*", f"{_order_struct(score, keys)} AS _o")
-    splitters = (
-        ordered.select("_o").orderBy(F.xxhash64("_o")).limit(max(ranges - 1, 1))
-        .agg(F.array_sort(F.collect_list("_o")).alias("s"))
+    ranges = ranges or shuffle_partitions(df.sparkSession)
+    ordered = df.selectExpr("*", f"{_order_struct(score, keys, df.columns)} AS _o")
+    sample = (
+        ordered.select("_o").orderBy(F.xxhash64("_o")).limit(SAMPLE_PER_RANGE * ranges)
+        .agg(F.array_sort(F.collect_set("_o")).alias("s"))
     )
+    # evenly spaced ones of the sample, all of it if it is small
+    even = f"transform(sequence(1, {max(ranges - 1, 1)}), i -> s[CAST(i * size(s) div {ranges} AS INT)])"
+    splitters = sample.selectExpr(f"IF(size(s) < {ranges} OR {ranges} = 1, slice(s, 1, {ranges - 1}), {even}) AS s")
     placed = ordered.withColumn("_s", splitters.scalar())
     return placed.withColumn("_range", F.expr("size(filter(_s, s -> s < _o))")).drop("_s")
 
@@ -67,7 +76,7 @@ def _offsets(ranged: DataFrame, sums: dict[str, str]) -> DataFrame:
     ))
 
 
-def number_rows(df: DataFrame, score: str, keys: Sequence[str] = (), *, ranges: int = DEFAULT_RANGES) -> DataFrame:
+def number_rows(df: DataFrame, score: str, keys: Sequence[str] = (), *, ranges: int | None = None) -> DataFrame:
     """``df`` plus ``_pos``: its 1-based position by ``score`` descending, then ``keys``."""
     ranged = _ranged(df, score, list(keys), ranges)
     offsets = _offsets(ranged, {"_n": "count(1)"})
@@ -84,14 +93,14 @@ def top_customers(
     return top_by(spending_by_customer(df, key, amount=amount), n, "total_spent", key)
 
 
-def _share(cum: str, total: str):
+def share(cum: str, total: str):
     """``round_money(cum / total * 100)``, or 0 when the total is not positive."""
     return F.when(F.col(total) <= F.lit(0), F.lit(0.0)).otherwise(
         round_money(F.col(cum) / F.col(total) * F.lit(100.0))
     )
 
 
-def _framed_window(report: DataFrame, key: str, amount: str) -> DataFrame:
+def framed_window(report: DataFrame, key: str, amount: str) -> DataFrame:
     """Running sums with one ordered window: a single task, for reports of a few rows."""
     k = quote(key)
     order = f"_amt DESC, {k} ASC"
@@ -104,7 +113,7 @@ def _framed_window(report: DataFrame, key: str, amount: str) -> DataFrame:
     )
 
 
-def _framed_ranged(report: DataFrame, key: str, amount: str, ranges: int) -> DataFrame:
+def _framed_ranged(report: DataFrame, key: str, amount: str, ranges: int | None) -> DataFrame:
     """Running sums over any number of keys, range by range."""
     k = quote(key)
     base = report.selectExpr(k, f"{quote(amount)} AS _amt", f"{cents_sql(quote(amount))} AS _c")
@@ -120,9 +129,9 @@ def _framed_ranged(report: DataFrame, key: str, amount: str, ranges: int) -> Dat
     )
 
 
-def _framed(report: DataFrame, key: str, amount: str, method: str, ranges: int) -> DataFrame:
+def _framed(report: DataFrame, key: str, amount: str, method: str, ranges: int | None) -> DataFrame:
     if method == "window":
-        return _framed_window(report, key, amount)
+        return framed_window(report, key, amount)
     if method == "ranged":
         return _framed_ranged(report, key, amount, ranges)
     raise ValueError(f"unknown Pareto method {method!r}; use 'window' or 'ranged'")
@@ -134,7 +143,7 @@ def pareto(
     amount: str = "revenue",
     *,
     method: str = "ranged",
-    ranges: int = DEFAULT_RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Cumulative share of ``amount`` by descending amount (ties by key).
 
@@ -148,7 +157,7 @@ def pareto(
     return framed.select(
         F.col(key),
         round_money("_amt").alias("revenue"),
-        _share("_cum", "_total").alias("cumulative_share"),
+        share("_cum", "_total").alias("cumulative_share"),
     )
 
 
@@ -159,7 +168,7 @@ def keys_to_reach(
     amount: str = "revenue",
     *,
     method: str = "ranged",
-    ranges: int = DEFAULT_RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """How many leading keys reach ``threshold`` percent of the total.
 
@@ -168,7 +177,7 @@ def keys_to_reach(
     empty report. Exact without assuming the shares are monotone.
     """
     framed = _framed(report, key, amount, method, ranges)
-    reached = F.when(_share("_cum", "_total") >= F.lit(float(threshold)), F.col("_pos"))
+    reached = F.when(share("_cum", "_total") >= F.lit(float(threshold)), F.col("_pos"))
     return framed.agg(
         F.coalesce(F.min(reached), F.count(F.lit(1))).cast("long").alias("keys_needed"),
         F.count(F.lit(1)).alias("keys_total"),

@@ -1,8 +1,8 @@
 """DuckDB SQL twins of the registered queries (the correctness oracle).
 
-Written independently of the Spark code as plain SQL over the pre-registered
-table views. Money follows the same rules: JVM ``Math.round`` cents and exact
-BIGINT-cent sums; ties broken by key.
+Plain SQL over the pre-registered table views. Money follows the same rules: JVM
+``Math.round`` cents (the same expression as the Spark side's, so the rule itself is
+checked in ``tests/test_money.py``) and exact BIGINT-cent sums; ties broken by key.
 """
 
 from __future__ import annotations
@@ -384,6 +384,22 @@ ORACLE["customers_up_to_80_ranged"] = (
     "WITH " + significant_cte() + customer_report_cte() + framed_cte("spending", "customer_id", "total_spent")
     + "\n" + reach_select(80.0)
 )
+ORACLE["pareto_by_customer_ordered"] = ORACLE["pareto_by_customer_ranged"]
+ORACLE["customers_up_to_80_prefix"] = ORACLE["customers_up_to_80_ranged"]
+ORACLE["top_half_of_customers"] = (
+    "WITH " + significant_cte() + customer_report_cte()
+    + """
+SELECT customer_id, total_spent, orders FROM (
+  SELECT *, row_number() OVER (ORDER BY total_spent DESC, customer_id ASC) AS pos, count(*) OVER () AS n FROM spending)
+WHERE pos <= n // 2"""
+)
+ORACLE["render_all_customers"] = (
+    "WITH " + significant_cte() + customer_report_cte()
+    + f"""
+SELECT row_number() OVER (ORDER BY total_spent DESC, customer_id ASC) AS line_no,
+       printf('%-10s %14.2f  %6d orders', CAST(customer_id AS VARCHAR), {rm('total_spent')}, orders) AS line
+FROM spending"""
+)
 ORACLE["composed_columns"] = f"""
 SELECT event_id,
        CAST((event_id % 24) * 60 AS VARCHAR) || ' min' AS minutes_text,

@@ -77,6 +77,10 @@ class PipelineConfig:
     # pass over the significant lines (materialized like the parse); False: three
     # separate aggregations, for a caller that wants one report only
     single_pass_reports: bool = True
+    # categories, countries and the top list are short by construction (a catalog's
+    # categories, countries, top_customer_count rows): ordered by one window each;
+    # False: range by range, for a catalog with very many categories
+    short_reports: bool = True
 
     @property
     def transactions_path(self) -> str:
@@ -156,6 +160,15 @@ class PipelineRun:
     def significant(self) -> DataFrame:
         return keep_significant(self.enriched, self.config.minimal_revenue)
 
+    @property
+    def _method(self) -> str:
+        return "window" if self.config.short_reports else "ranged"
+
+    def _pareto_text(self) -> DataFrame:
+        if self.config.short_reports:
+            return render.render_short_pareto(self.categories, self.config.pareto_threshold)
+        return render.render_pareto(self.pareto, self.reach, self.config.pareto_threshold)
+
     # --- the six reports --------------------------------------------------------
     @cached_property
     def _grouped(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -186,11 +199,11 @@ class PipelineRun:
 
     @cached_property
     def pareto(self) -> DataFrame:
-        return pareto(self.categories, "category", "revenue")
+        return pareto(self.categories, "category", "revenue", method=self._method)
 
     @cached_property
     def reach(self) -> DataFrame:
-        return keys_to_reach(self.categories, self.config.pareto_threshold, "category", "revenue")
+        return keys_to_reach(self.categories, self.config.pareto_threshold, "category", "revenue", method=self._method)
 
     @cached_property
     def rejected(self) -> DataFrame:
@@ -213,11 +226,11 @@ class PipelineRun:
     def text(self, name: str) -> DataFrame:
         return {
             "quality": lambda: render.render_quality(self.quality),
-            "categories": lambda: render.render_categories(self.categories),
-            "countries": lambda: render.render_countries(self.countries),
-            "customers": lambda: render.render_customers(self.customers),
+            "categories": lambda: render.render_categories(self.categories, method=self._method),
+            "countries": lambda: render.render_countries(self.countries, method=self._method),
+            "customers": lambda: render.render_customers(self.customers, method="window"),
             "sizes": lambda: render.render_sizes(self.sizes),
-            "pareto": lambda: render.render_pareto(self.pareto, self.reach, self.config.pareto_threshold),
+            "pareto": self._pareto_text,
             "total": lambda: render.render_total(grand_total_of_report(self.categories)),
         }[name]()
 

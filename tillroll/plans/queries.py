@@ -1,7 +1,8 @@
 """Registered queries over the driver tables, one per operator family.
 
-Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame that reads the
-whole tables. Two families of input:
+Each query takes ``(spark, sf_dir)`` and returns a DataFrame that reads the whole
+tables; all are lazy but those that write what they read several times (the ordered
+customers, the shared intermediates, the runs on files). Two families of input:
 
 * the star-schema path: ``lineitem`` order lines joined to ``orders``,
   ``customer``, ``nation`` and the ``part`` catalog;
@@ -19,6 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions import render
 from tillroll.functions.compose import chain, filter_k, identity, lift, then, zip_steps
 from tillroll.functions.money import revenue_of
 from tillroll.functions.sizes import classify_order
@@ -33,6 +35,7 @@ from tillroll.operators.aggregates import (
     total_revenue,
 )
 from tillroll.operators.enrich import enrich, keep_significant, shipped_to
+from tillroll.operators.ordered import Ordered
 from tillroll.operators.ranking import keys_to_reach, pareto, top_customers
 from tillroll.plans.pipeline import PipelineConfig, PipelineRun, build_run, report_row_counts, run_pipeline
 from tillroll.sources.lines import (
@@ -306,13 +309,13 @@ def q_top_customers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_pareto_by_category(spark: SparkSession, d: str) -> DataFrame:
-    """Cumulative revenue share per part type ."""
-    return pareto(category_report(spark, d), "category", "revenue")
+    """Cumulative revenue share per part type (a short dimension: one window)."""
+    return pareto(category_report(spark, d), "category", "revenue", method="window")
 
 
 def q_pareto_by_brand(spark: SparkSession, d: str) -> DataFrame:
-    """Cumulative revenue share per brand ."""
-    return pareto(category_report(spark, d, "p_brand"), "category", "revenue")
+    """Cumulative revenue share per brand (a short dimension: one window)."""
+    return pareto(category_report(spark, d, "p_brand"), "category", "revenue", method="window")
 
 
 def q_pareto_by_customer_ranged(spark: SparkSession, d: str) -> DataFrame:
@@ -322,7 +325,7 @@ def q_pareto_by_customer_ranged(spark: SparkSession, d: str) -> DataFrame:
 
 def q_categories_up_to_80(spark: SparkSession, d: str) -> DataFrame:
     """How many leading part types reach 80 % of revenue."""
-    return keys_to_reach(category_report(spark, d), PARETO_THRESHOLD, "category", "revenue")
+    return keys_to_reach(category_report(spark, d), PARETO_THRESHOLD, "category", "revenue", method="window")
 
 
 def q_customers_up_to_80_ranged(spark: SparkSession, d: str) -> DataFrame:
@@ -332,6 +335,32 @@ def q_customers_up_to_80_ranged(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def ordered_customers(spark: SparkSession, d: str) -> Ordered:
+    """The customer report, evaluated and written in order once."""
+    return Ordered.of(customer_report(spark, d), "total_spent", "customer_id")
+
+
+def q_pareto_by_customer_ordered(spark: SparkSession, d: str) -> DataFrame:
+    """Cumulative share per customer from rows written in order."""
+    return ordered_customers(spark, d).pareto("customer_id")
+
+
+def q_customers_up_to_80_prefix(spark: SparkSession, d: str) -> DataFrame:
+    """How many leading customers reach 80 % of revenue: range totals, then one range."""
+    return ordered_customers(spark, d).keys_to_reach(PARETO_THRESHOLD)
+
+
+def q_top_half_of_customers(spark: SparkSession, d: str) -> DataFrame:
+    """The half of all customers who spent most, cut without a task that holds it."""
+    ordered = ordered_customers(spark, d)
+    return ordered.first(ordered.rows.count() // 2)
+
+
+def q_render_all_customers(spark: SparkSession, d: str) -> DataFrame:
+    """The customer section for all customers, numbered from rows written in order."""
+    return render.render_customers(ordered_customers(spark, d))
+
+
 # ----------------------------------------------------------------------------
 # composition
 # ----------------------------------------------------------------------------
@@ -454,6 +483,10 @@ QUERIES: dict[str, Query] = {
     "pareto_by_customer_ranged": q_pareto_by_customer_ranged,
     "categories_up_to_80": q_categories_up_to_80,
     "customers_up_to_80_ranged": q_customers_up_to_80_ranged,
+    "pareto_by_customer_ordered": q_pareto_by_customer_ordered,
+    "customers_up_to_80_prefix": q_customers_up_to_80_prefix,
+    "top_half_of_customers": q_top_half_of_customers,
+    "render_all_customers": q_render_all_customers,
     "composed_columns": q_composed_columns,
     "shop_revenue_by_category": q_shop_revenue_by_category,
     "shop_revenue_by_country": q_shop_revenue_by_country,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +43,32 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return sc.getCheckpointDir() or path
 
 
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder name below the cluster's shared checkpoint folder."""
+    root = checkpoint_dir(spark) or ensure_checkpoint_dir(spark)
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as Parquet and read back: later plans start at the files, which
+    every executor can reach."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path as its object."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever the session's file systems keep it; missing: nothing."""
+    fs, place = file_system(spark, path)
+    fs.delete(place, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     """The session's configured shuffle width (never hard-coded in operators)."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
