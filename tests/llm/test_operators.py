@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -397,10 +398,12 @@ def test_token_ids(docs, empty, spark):
 
     path = P.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    special = (7000, "x <|endoftext|> y<|endoftext|>")
+    docs = docs.select("doc_id", "text").union(spark.createDataFrame([special], "doc_id long, text string"))
+    docs = docs.withColumn("ids", F.lit("clash")).withColumn("part", F.lit(1)).withColumn("seq", F.lit(None))
     got = tokenio.read_tokens(spark, tokenio.write_tokens(docs, path)).collect()
     at, expected = 0, []
-    for i, text in sorted((r[0], r[1] or "") for r in ROWS):
+    for i, text in sorted([*((r[0], r[1] or "") for r in ROWS), special]):
         ids = t.encode(text, add_special_tokens=False).ids + [0]
         expected.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
@@ -409,12 +412,14 @@ def test_token_ids(docs, empty, spark):
 
 
 def test_encoder_cuts_like_the_tokenizer():
+    from tokenizers import Tokenizer
+
     with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as f:
         encoder = tokenio.Encoder(f.read())
     texts = ["a  b", "a   b", "  a", " a ", "a \n b", "a\n  b", "a \n\n  b \t c", "\n", " ", "", "<|endoftext|> a", "don't  we'll 12 3a",
              "a 　b \xa0c\r\n d", "word, word. word.. é, 1. 2, x.y. a.,"] * 3
-    got = encoder.encode(texts)
-    ref = encoder._tokenizer.encode_batch(texts, add_special_tokens=False)
+    got = encoder.encode(pa.array(texts))
+    ref = Tokenizer.from_file(P.path("byte_bpe_50k.json")).encode_batch(texts, add_special_tokens=False)
     assert got == [np.array(r.ids, encoder.dtype).tobytes() for r in ref]
 
 

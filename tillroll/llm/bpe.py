@@ -260,6 +260,43 @@ class Words:
         self.ids = np.concatenate([self.ids, ids])
 
 
+def encode_group(v: Vocabulary, words: Words, group: list, merge) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(ids, number of ids of each text) of the blocks of a group: pre-tokens that
+    ``words`` lacks are encoded together by ``merge`` and kept in it."""
+    cut, new_hashes, new_bytes, new_sizes = [], [], [], []
+    for buf, offsets in group:
+        starts, added = v.pieces(buf, offsets)
+        ends = np.append(starts[1:], len(buf))
+        hashes = span_hashes(buf, starts, ends, False) if len(starts) else np.zeros(0, np.uint64)
+        distinct, one, spot = np.unique(hashes, return_index=True, return_inverse=True)
+        cut.append((distinct, spot.astype(np.int32), np.searchsorted(starts, offsets), starts, added))
+        lack = words.missing(distinct)
+        one = one[lack]
+        new_hashes.append(distinct[lack])
+        new_sizes.append(ends[one] - starts[one])
+        new_bytes.append(buf[ranges(starts[one], new_sizes[-1])])
+        if not added:
+            cut[-1] = (*cut[-1][:3], None, added)
+    hashes, sizes, data = map(np.concatenate, (new_hashes, new_sizes, new_bytes))
+    hashes, one = np.unique(hashes, return_index=True)
+    begin = (np.cumsum(sizes) - sizes)[one]
+    sizes = sizes[one]
+    if len(hashes):
+        words.add(hashes, *merge(data[ranges(begin, sizes)], np.cumsum(sizes) - sizes))
+    out = []
+    for distinct, spot, first, starts, added in cut:
+        at = np.searchsorted(words.hashes, distinct)[spot]
+        begin, count = words.first[at], words.count[at]
+        ids = words.ids
+        if added:  # their ids, behind the words'
+            where = np.searchsorted(starts, [x[0] for x in added])
+            begin[where], count[where] = len(ids) + np.arange(len(added)), 1
+            ids = np.concatenate([ids, np.array([x[2] for x in added], np.uint32)])
+        total = np.append(0, np.cumsum(count))
+        out.append((ids[ranges(begin, count)], np.diff(total[first])))
+    return out
+
+
 class Codec:
     """A vocabulary with the words that the worker has encoded so far, which stay behind
     when the codec travels."""
@@ -272,41 +309,9 @@ class Codec:
 
     def encode_group(self, group: list) -> list[tuple[np.ndarray, np.ndarray]]:
         """(ids, number of ids of each text) of the blocks of a group."""
-        v = self.vocabulary
         if len(self._words.hashes) > KEPT_WORDS:
             self._words = Words()
-        words, cut, new_hashes, new_bytes, new_sizes = self._words, [], [], [], []
-        for buf, offsets in group:
-            starts, added = v.pieces(buf, offsets)
-            ends = np.append(starts[1:], len(buf))
-            hashes = span_hashes(buf, starts, ends, False) if len(starts) else np.zeros(0, np.uint64)
-            distinct, one, spot = np.unique(hashes, return_index=True, return_inverse=True)
-            cut.append((distinct, spot.astype(np.int32), np.searchsorted(starts, offsets), starts, added))
-            lack = words.missing(distinct)
-            one = one[lack]
-            new_hashes.append(distinct[lack])
-            new_sizes.append(ends[one] - starts[one])
-            new_bytes.append(buf[ranges(starts[one], new_sizes[-1])])
-            if not added:
-                cut[-1] = (*cut[-1][:3], None, added)
-        hashes, sizes, data = map(np.concatenate, (new_hashes, new_sizes, new_bytes))
-        hashes, one = np.unique(hashes, return_index=True)
-        begin = (np.cumsum(sizes) - sizes)[one]
-        sizes = sizes[one]
-        if len(hashes):
-            words.add(hashes, *v.merge(data[ranges(begin, sizes)], np.cumsum(sizes) - sizes))
-        out = []
-        for distinct, spot, first, starts, added in cut:
-            at = np.searchsorted(words.hashes, distinct)[spot]
-            begin, count = words.first[at], words.count[at]
-            ids = words.ids
-            if added:  # their ids, behind the words'
-                where = np.searchsorted(starts, [x[0] for x in added])
-                begin[where], count[where] = len(ids) + np.arange(len(added)), 1
-                ids = np.concatenate([ids, np.array([x[2] for x in added], np.uint32)])
-            total = np.append(0, np.cumsum(count))
-            out.append((ids[ranges(begin, count)], np.diff(total[first])))
-        return out
+        return encode_group(self.vocabulary, self._words, group, self.vocabulary.merge)
 
     def texts(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The decoded text of each row, in UTF-8."""

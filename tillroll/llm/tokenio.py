@@ -8,10 +8,10 @@ bytes, and the start of every document in it as an Elias-Fano code: the low bits
 packed, the high bits in unary, and the place of every ``SELECT_STEP``-th one, from
 which ``select`` finds any document's offset. No 64-bit table is kept.
 
-Encoding goes through the tokenizers library. A text is cut before single spaces
-that stand before a non-space: byte-level pre-tokenization never crosses such a
-place, so the parts' ids, joined, are the text's. Frequent parts come from a bounded
-cache, the others are encoded in one batch.
+Encoding goes through the tokenizers library, called as it comes: added tokens that
+stand in a text get their own id. Texts are cut into byte-level pre-tokens, which encoding
+never crosses; the library encodes each distinct one once, and the texts' ids are
+gathered from them. What a worker keeps is bounded by ``KEPT_WORDS`` pre-tokens.
 
 Defined results: a null or empty text holds the end id alone; rows with equal
 ``doc_id`` follow each other in order of their text; a null ``doc_id`` comes first; an
@@ -21,7 +21,6 @@ empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 
 import numpy as np
@@ -29,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.llm.bpe import KEPT_WORDS, Vocabulary, Words, encode_group
 from tillroll.llm.common import shared_folder
+from tillroll.llm.kernel import blocks, text_blocks, text_buffer
 
 SEGMENT_IDS = 2_000_000
 SELECT_STEP = 512
-CACHE_PARTS = 400_000
+PIECE_BYTES = 4 << 20
 END_ID = 0
-MARKS = ".,"
 
 
 class EliasFano:
@@ -81,7 +81,7 @@ class EliasFano:
         return (chunk >> (a & 7)) & ((1 << self.width) - 1)
 
     def values(self) -> np.ndarray:
-        """All values, for sequential readers."""
+        """All values at once."""
         bits = np.unpackbits(np.frombuffer(self.high, np.uint8), bitorder="little")
         high = np.flatnonzero(bits)[: self.n] - np.arange(self.n)
         low = np.unpackbits(np.frombuffer(self.low, np.uint8), bitorder="little")[: self.n * self.width]
@@ -89,78 +89,53 @@ class EliasFano:
         return (high << self.width) | low
 
 
-_CUT = re.compile(r" (?=\S)")
-_ODD = re.compile(r" (?:\s|\Z)")
-
-
 class Encoder:
-    """Byte-level BPE through the tokenizers library with a bounded cache of parts."""
+    """Byte-level BPE through the tokenizers library, each distinct pre-token once.
 
-    def __init__(self, definition: str):
-        self.definition, self._tokenizer = definition, None
+    A group of texts is cut into pre-tokens (see :class:`tillroll.llm.bpe.Vocabulary`); the
+    library encodes the ones that the worker has not seen, in one batch, and the ids
+    are gathered for all places. Added tokens found in a text are cut out the same way
+    and stand for their own id.
+    """
+
+    def __init__(self, definition: str, vocabulary: Vocabulary | None = None):
+        self.definition, self.vocabulary = definition, vocabulary or Vocabulary(definition)
+        self._tokenizer, self._words = None, Words()
+        self.dtype = np.dtype("<u2" if self.vocabulary.size <= 1 << 16 else "<u4")
 
     def __reduce__(self):
-        return Encoder, (self.definition,)
+        return Encoder, (self.definition, self.vocabulary)
 
     def _load(self):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(self.definition)
-        self._tokenizer.encode_special_tokens = True
-        self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        vocabulary = self._tokenizer.get_vocab()
-        self._bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for token, number in vocabulary.items():  # byte-level tokens: one character a byte
-            self._bytes[number] = len(token)
-        self._mark_ids = {m: np.array(self._tokenizer.encode(m, add_special_tokens=False).ids, self.dtype).tobytes() for m in MARKS}
-        self._after, self._older = {}, {}  # ids of parts after a space: recent, and the generation before
-
-    def _fill(self, parts: set) -> None:
-        """Get every part's ids into the recent cache."""
-        recent = self._after
-        new = [p for p in parts if p not in recent]
-        older, missing = self._older, []
-        ended: list[tuple[str, str]] = []  # letters and one mark: the mark is a pre-token of its own
-        for p in new:
-            known = older.get(p)
-            if known is not None:
-                recent[p] = known
-            elif len(p) > 1 and p[-1] in MARKS and p[-2].isalpha():
-                ended.append((p, p[:-1]))
-            else:
-                missing.append(p)
-        if ended:
-            self._fill({stem for _, stem in ended if stem not in recent})
-            recent = self._after
-            for p, stem in ended:
-                recent[p] = recent[stem] + self._mark_ids[p[-1]]
-        if not missing:
-            return
-        # the parts one after the other are one text whose ids are cut by byte length
-        spelled = [" " + p for p in missing]
-        ids = np.array(self._tokenizer.encode_batch_fast(["".join(spelled)], add_special_tokens=False)[0].ids, np.int64)
-        ends = np.cumsum([len(x.encode()) for x in spelled])
-        cuts = np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 1
-        raw, size = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
-        at = 0
-        for part, cut in zip(missing, (cuts * size).tolist()):
-            recent[part] = raw[at:cut]
-            at = cut
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian integers."""
+
+    def _ids(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pre-tokens that begin at ``starts``, and the number of ids of each."""
         if self._tokenizer is None:
             self._load()
-        if not texts:
+        ends = [*starts[1:].tolist(), len(data)]
+        raw = data.tobytes()
+        words = [raw[a:b].decode() for a, b in zip(starts.tolist(), ends)]
+        found = [e.ids for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
+
+    def encode(self, column: pa.Array) -> list[bytes]:
+        """The ids of each text as little-endian integers; a null counts as empty."""
+        batch = pa.RecordBatch.from_arrays([column], names=["text"])
+        group = [(buf, offsets) for _, _, buf, offsets in text_blocks(batch, "text")]
+        if not group:
             return []
-        cut = [(t.split(" ") if not _ODD.search(t) else _CUT.split(t)) for t in texts]
-        if len(self._after) > CACHE_PARTS:
-            self._older, self._after = self._after, {}
-        heads = self._tokenizer.encode_batch_fast([c[0] for c in cut], add_special_tokens=False)
-        self._fill(set().union(*(c[1:] for c in cut)))
-        after = self._after.__getitem__
-        return [np.array(h.ids, self.dtype).tobytes() + b"".join(map(after, c[1:])) for h, c in zip(heads, cut)]
+        if len(self._words.hashes) > KEPT_WORDS:
+            self._words = Words()
+        out = []
+        for ids, counts in encode_group(self.vocabulary, self._words, group, self._ids):
+            ends = (self.dtype.itemsize * np.append(0, np.cumsum(counts))).tolist()
+            raw = ids.astype(self.dtype).tobytes()
+            out += [raw[a:b] for a, b in zip(ends, ends[1:])]
+        return out
 
 
 _SEGMENT = (
@@ -188,10 +163,9 @@ def _write(encoder):
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 64):
-                piece = batch.slice(i, 64)
-                texts = [t or "" for t in piece.column("text").to_pylist()]
-                done = encoder.value.encode(texts)
+            for i, j in blocks(text_buffer(batch.column("text"))[1], PIECE_BYTES):
+                piece = batch.slice(i, j - i)
+                done = encoder.value.encode(piece.column("text"))
                 end = np.array([END_ID], encoder.value.dtype).tobytes()
                 for d, x in zip(piece.column("doc_id").to_pylist(), done):
                     ids.append(x + end)
@@ -211,7 +185,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str | None = None,
     """Write the ids of ``docs`` in ascending order of ``doc_id``; returns the folder."""
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
-        encoder = spark.sparkContext.broadcast(Encoder(f.read()))  # a fixed file: bounded
+        definition = f.read()
+    encoder = spark.sparkContext.broadcast(Encoder(definition))  # a fixed file: bounded
     path = path or shared_folder(spark, "token-ids")
     ordered = (
         docs.selectExpr(f"CAST(`{doc_id}` AS BIGINT) AS doc_id", f"`{text}` AS text")
@@ -229,7 +204,7 @@ def _read(offset_of_part: dict[int, int]):
                 ids = np.frombuffer(row["ids"], f"<u{row['id_bytes']}").astype("<u4")
                 n = len(row["doc_ids"])
                 ef = EliasFano(n, row["n_ids"], row["low"], row["high"], row["samples"])
-                starts = ef.values()
+                starts = np.array([ef.select(i) for i in range(n)], np.int64)
                 ends = np.append(starts[1:], row["n_ids"])
                 data = memoryview(ids.tobytes())
                 crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
