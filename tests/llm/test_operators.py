@@ -597,3 +597,41 @@ def test_line_join_keeps_rows_without_an_id(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = [(r.doc_id, r.text or None) for r in linejoin.drop_repeated_lines(frame).collect()]
     assert sorted(got, key=repr) == sorted(rows[:-1], key=repr)
+
+
+def test_ordinary_runs_are_left_alone(spark):
+    prose = "of it is by an or to the a of y la in on at " * 200 + "an idiot idx " + "word other thing " * 900
+    rows = [(1, prose), (2, None), (3, ""), (4, "Öl ôté"), (5, "|- x"), (5, "|- x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    ordinary = toxicity.short_words(frame)
+    assert {"of", "it", "is", "by", "an", "or", "to", "the", "a", "y", "la", "in", "on", "at"} <= ordinary
+    assert "idx" in ordinary and not {"word", "x", "iot", ""} & ordinary
+    for text in ("of it is by", "a la on at the", "1 2 3"):
+        assert not [t for t in toxicity.words_of(text, ordinary) if " " in t]
+    for text in ("an id iot", "a s s", "i d i o t", "of @ s s", "th e"):
+        assert text in toxicity.words_of(text, ordinary)
+    assert toxicity.short_words(frame.limit(0)) == frozenset()
+
+
+def test_viterbi_equals_every_path():
+    """The best reading of short lattices against all readings scored one by one."""
+    import itertools
+
+    rnd = random.Random(9)
+    n = Counter({rnd.randrange(28**3): rnd.randrange(1, 50) for _ in range(4000)})
+    model = toxicity.character_model(list(n.items()))
+
+    def cost(path):
+        a = b = 0
+        total = sum(c for _, c in path)
+        for ch in "".join(w for w, _ in path) + " ":
+            c = 0 if ch == " " else toxicity._class(ch)
+            total, a, b = total + model[a][b][c], b, c
+        return total
+
+    for token in ["1d10t", "a$$", "hooo0ray", "6668", "b1@5", "x", "l|!1", "sss000"]:
+        lattice = toxicity._signs(token)
+        every = sorted(((cost(p), "".join(w for w, _ in p)) for p in itertools.product(*lattice)), reverse=True)
+        assert toxicity._best(lattice, model)[0] == every[0][1]
+        near = toxicity._best(lattice, model, 10**6)
+        assert set(near) == {w for c, w in every if c >= every[0][0] - toxicity.MARGIN}

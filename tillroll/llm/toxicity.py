@@ -9,7 +9,10 @@ separators: each is dropped or is a word edge, and one unlike most of its run is
 rather an edge. The best path under a character trigram model of the whole corpus
 (Viterbi over the last two characters) is the restored token. A trigram model often
 cannot tell ``a moron`` from ``a mor on``: the words of a run are those of all its
-readings within ``MARGIN`` of the best.
+readings within ``MARGIN`` of the best. Ordinary prose is full of short words side by
+side (``of it is``): a run is a sign of the channel only if one of its pieces is no
+ordinary word, that is a word of up to ``PIECE`` characters that makes up at least
+``ORDINARY`` of all words of the corpus (``ORDINARY_LETTER`` for one character).
 
 The score then comes from indicators: restored words, and their first 4 to 8
 characters. Candidates stand in ``LEAST_TEXTS`` toxic training texts and lean to the
@@ -39,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.kernel import text_blocks
+from tillroll.llm.kernel import LOWER, text_blocks, word_bounds
 
 TRAIN_ROWS = 20_000
 HELD_OUT = "coalesce(pmod(crc32(CAST(CAST(doc_id AS STRING) AS BINARY)), 4) = 2, false)"
@@ -61,6 +64,7 @@ SUBSTITUTED, KEPT, STRETCHED = -1.0, -9.0, -0.5  # channel costs
 DROPPED, DROPPED_ODD = -0.5, -4.0  # a separator that is like most of its run, and another one
 SPLIT = -2.0  # a word edge between two single characters, at a separator like most of its run
 PIECE = 3
+ORDINARY, ORDINARY_LETTER = 1e-5, 1e-3
 READINGS, MARGIN = 8, 5.0  # of a run: paths kept for each state, and how far they may be behind the best
 
 NEVER = -500.0  # intercept of a model that saw no toxic text: probability 0
@@ -76,6 +80,8 @@ _EDGE = " \t\r\n\v\f.,;:?\"'`*#%&()[]{}<>=~^/\\-_"
 _SIGN = r"(?:[^\W_]|[" + re.escape("".join(x for x in LEET if not x.isalnum())) + "])"
 _GAP = r"[\s.\-_*]{1,3}"
 _SPACED = re.compile(rf"(?<!{_SIGN}){_SIGN}{{1,{PIECE}}}(?:{_GAP}{_SIGN}{{1,{PIECE}}}(?!{_SIGN}))+")
+_INNER = np.ones(256, bool)  # bytes of a token without its edge characters
+_INNER[[*_EDGE.encode(), *range(0x20)]] = False
 _GAPS = re.compile(f"({_GAP})")
 _RUN = re.compile(r"([^\W\d_])\1\1+")
 _LOOKALIKE = re.compile("[" + re.escape("".join(LEET)) + "]")
@@ -98,6 +104,31 @@ def character_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
 
 
+def short_words(docs: DataFrame, text: str = "text") -> frozenset[str]:
+    """The ordinary short words of a corpus; at most ``1 / ORDINARY`` of them."""
+
+    def run(batches):
+        for batch in batches:
+            for _, _, buf, offsets in text_blocks(batch, text):
+                starts, ends = word_bounds(buf, offsets, _INNER)
+                character = np.append(0, np.cumsum((buf & 0xC0) != 0x80))
+                short = character[ends] - character[starts] <= PIECE
+                at, size = starts[short], (ends - starts)[short]
+                words = np.zeros((len(at), 4 * PIECE), np.uint8)
+                for k in range(4 * PIECE):
+                    held = size > k
+                    words[held, k] = LOWER[buf[at[held] + k]]
+                found, n = np.unique(words.view(f"S{4 * PIECE}").ravel(), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([None, *(w.decode() for w in found.tolist())], pa.string()),
+                     pa.array([len(starts), *n.tolist()], pa.int64())], names=["word", "n"])
+
+    counted = docs.select(text).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    every = counted.where("word IS NULL").select("n")  # all words, short or not
+    share = F.when(F.char_length("word") == 1, ORDINARY_LETTER).otherwise(ORDINARY)
+    return frozenset(r.word for r in counted.where(F.col("word").isNotNull() & (F.col("n") >= share * every.scalar())).collect())
+
+
 def character_model(counts: list[tuple[int, int]]) -> list:
     """Interpolated trigram log probabilities ``[a][b][c]`` from class trigram counts."""
     n = np.zeros(N_CLASSES**3)
@@ -189,10 +220,17 @@ def suspicious(token: str) -> bool:
     return bool((_LOOKALIKE.search(token) and _LETTER.search(token)) or _RUN.search(token))
 
 
-def words_of(text: str) -> list[str]:
-    """Lower-case tokens of a text, then its runs of spaced pieces as they stand."""
+def spaced(run: str, ordinary: frozenset[str] = frozenset()) -> bool:
+    """Whether a run of short pieces is a sign of the channel: some piece is no
+    ordinary word, and it holds a letter."""
+    return not ordinary.issuperset(_GAPS.split(run)[::2]) and bool(_LETTER.search(run))
+
+
+def words_of(text: str, ordinary: frozenset[str] = frozenset()) -> list[str]:
+    """The different lower-case tokens of a text without their edges, then its runs of
+    spaced pieces as they stand."""
     low = text.lower()
-    return low.split() + [m.group(0) for m in _SPACED.finditer(low) if _LETTER.search(m.group(0))]
+    return [*{t.strip(_EDGE) for t in set(low.split())}, *(run for run in {m.group(0) for m in _SPACED.finditer(low)} if spaced(run, ordinary))]
 
 
 def restored_word(token: str, model: list) -> str:
@@ -204,6 +242,8 @@ def restored_word(token: str, model: list) -> str:
 
 def restored_words(token: str, model: list) -> list[str]:
     """The words of a token, or of a run of spaced pieces, that indicators are made of."""
+    if not _GAPS.search(token):
+        return [restored_word(token, model)]
     pieces = {x.strip(_EDGE) for x in token.split()}
     if len(pieces) < 2 and not _SPACED.fullmatch(token):
         return [restored_word(token, model)]
@@ -216,13 +256,13 @@ def indicators_of(word: str) -> list[str]:
     return [word, *(f"{word[:k]}~" for k in (4, 5, 6, 7, 8) if len(word) > k)] if len(word) > 2 else []
 
 
-def deobfuscate(text: str, model: list) -> str:
+def deobfuscate(text: str, model: list, ordinary: frozenset[str] = frozenset()) -> str:
     """The whole text with every suspicious token replaced by its best reading."""
-    text = _SPACED.sub(lambda m: restore_run(m.group(0), model)[0] if _LETTER.search(m.group(0)) else m.group(0), text.lower())
+    text = _SPACED.sub(lambda m: restore_run(m.group(0), model)[0] if spaced(m.group(0), ordinary) else m.group(0), text.lower())
     return re.sub(r"\S+", lambda m: restored_word(m.group(0), model) if suspicious(m.group(0).strip(_EDGE)) else m.group(0), text)
 
 
-def _count_indicators(model: list):
+def _count_indicators(model: list, ordinary: frozenset[str]):
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -230,7 +270,7 @@ def _count_indicators(model: list):
                 part = batch.slice(at, 256)
                 for text, label in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist()):
                     found = set()
-                    for token in set(words_of(text or "")):
+                    for token in set(words_of(text or "", ordinary)):
                         for word in restored_words(token, model):
                             found.update(indicators_of(word))
                     all_.update(found)
@@ -244,20 +284,20 @@ def _count_indicators(model: list):
     return run
 
 
-def _counts(text: str, model: list, wanted) -> dict[str, int]:
+def _counts(text: str, model: list, ordinary: frozenset[str], wanted) -> dict[str, int]:
     """How many different words of the text show each wanted indicator."""
     found: dict[str, int] = {}
-    for word in {w for t in set(words_of(text)) for w in restored_words(t, model)}:
+    for word in {w for t in set(words_of(text, ordinary)) for w in restored_words(t, model)}:
         for x in indicators_of(word):
             if x in wanted:
                 found[x] = found.get(x, 0) + 1
     return found
 
 
-def _find(model: list, number: dict[str, int]):
+def _find(model: list, ordinary: frozenset[str], number: dict[str, int]):
     def run(batches):
         for batch in batches:
-            found = [_counts(t.as_py() or "", model, number) for t in batch.column("text")]
+            found = [_counts(t.as_py() or "", model, ordinary, number) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([
                 batch.column("toxic"),
                 pa.array([[number[x] for x in f] for f in found], pa.list_(pa.int32())),
@@ -291,12 +331,13 @@ def regression(rows: list[tuple[int, list[int], list[int]]], size: int) -> tuple
     return w, b
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[list, dict[str, float], float]:
-    """(character model, indicator weights, intercept).
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[list, frozenset[str], dict[str, float], float]:
+    """(character model, ordinary short words, indicator weights, intercept).
 
     ``docs(doc_id, text)``; ``labels(doc_id, toxic)``. Held-out rows are never read.
     """
     model = character_model([tuple(r) for r in character_counts(docs).collect()])
+    ordinary = short_words(docs)
     rows = (
         labels.where(f"toxic IS NOT NULL AND NOT {HELD_OUT}").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
@@ -310,9 +351,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[list, dict[str, float], flo
         totals = train.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).head()
         share = totals["t"] / totals["n"] if totals["n"] else 0.0
         if not totals["t"]:
-            return model, {}, NEVER
+            return model, ordinary, {}, NEVER
         counted = (
-            train.mapInArrow(_count_indicators(model), "indicator string, toxic bigint, n bigint")
+            train.mapInArrow(_count_indicators(model, ordinary), "indicator string, toxic bigint, n bigint")
             .groupBy("indicator").agg(F.sum("toxic").alias("t"), F.sum("n").alias("n"))
         )
         weight = (F.col("t") + PRIOR_ROWS * share) / (F.col("n") + PRIOR_ROWS)
@@ -323,22 +364,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[list, dict[str, float], flo
             r["indicator"] for r in counted.where(t >= LEAST_TEXTS).select("indicator", gain.alias("g"))
             .where("g > 0").orderBy(F.desc("g"), "indicator").limit(CANDIDATES).collect()
         ]
-        found = train.mapInArrow(_find(model, {x: k for k, x in enumerate(names)}), "toxic int, found array<int>, times array<int>")
+        found = train.mapInArrow(_find(model, ordinary, {x: k for k, x in enumerate(names)}), "toxic int, found array<int>, times array<int>")
         rows = [(r["toxic"], r["found"], r["times"]) for r in found.collect()]  # at most TRAIN_ROWS
         w, intercept = regression(rows, len(names))
-        return model, {x: float(v) for x, v in zip(names, w) if abs(v) > 1e-3}, intercept
+        return model, ordinary, {x: float(v) for x, v in zip(names, w) if abs(v) > 1e-3}, intercept
     finally:
         train.unpersist()
 
 
-def _score(model: list, weights: dict[str, float], intercept: float, own: list[str]):
+def _score(model: list, ordinary: frozenset[str], weights: dict[str, float], intercept: float, own: list[str]):
     gains = [math.log1p(k) for k in range(MOST_WORDS + 1)]
 
     def run(batches):
         cache: dict[str, tuple[tuple[str, tuple[str, ...]], ...]] = {}
+        begin = {x[:3] for x in weights}  # every indicator of a word begins as the word does
 
         def look(token: str):
-            shown = ((word, tuple(x for x in indicators_of(word) if x in weights)) for word in restored_words(token, model))
+            words = (word for word in restored_words(token, model) if word[:3] in begin)
+            shown = ((word, tuple(x for x in indicators_of(word) if x in weights)) for word in words)
             cache[token] = got = tuple(x for x in shown if x[1])
             return got
 
@@ -347,9 +390,11 @@ def _score(model: list, weights: dict[str, float], intercept: float, own: list[s
             for text in batch.column("text"):
                 found: dict[str, int] = {}
                 seen = set()
-                for token in set(words_of(text.as_py() or "")):
+                for token in words_of(text.as_py() or "", ordinary):
                     got = cache.get(token)
-                    for word, shown in look(token) if got is None else got:
+                    if got is None:
+                        got = look(token)
+                    for word, shown in got:
                         if word not in seen:
                             seen.add(word)
                             for x in shown:
@@ -364,7 +409,7 @@ def _score(model: list, weights: dict[str, float], intercept: float, own: list[s
     return run
 
 
-def score(docs: DataFrame, fitted: tuple[list, dict[str, float], float], text: str = "text") -> DataFrame:
+def score(docs: DataFrame, fitted: tuple[list, frozenset[str], dict[str, float], float], text: str = "text") -> DataFrame:
     """``docs`` without ``text`` plus ``score`` (0 to 1) and ``predicted``."""
     own = [c for c in docs.columns if c not in (text, "score", "predicted")]
     schema = T.StructType([T.StructField(c, docs.schema[c].dataType, True) for c in own] + [T.StructField("score", T.DoubleType())])
