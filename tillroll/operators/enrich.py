@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import quote, round_money_sql
+from tillroll.operators.skew import only_known, salted
+from tillroll.session import shuffle_partitions
+
+# Salts of a hot key, for each shuffle partition.
+SALTS_PER_PARTITION = 8
 
 
 def enrich(
@@ -21,6 +26,8 @@ def enrich(
     revenue: str = "revenue",
     join_hint: str | None = None,
     salt_buckets: int = 1,
+    spread_hot: bool = False,
+    prefilter: bool = False,
 ) -> DataFrame:
     """Inner equi-join of ``lines`` to ``catalog`` on ``key`` plus a revenue column.
 
@@ -35,16 +42,27 @@ def enrich(
     ``salt_buckets > 1`` spreads each key over that many buckets: lines get a
     deterministic ``pmod(xxhash64(line columns), n)`` salt and catalog rows are
     replicated once per bucket, so each line still meets each matching catalog row
-    exactly once (identical lines share a bucket). AQE splits skewed partitions
-    of either form.
+    exactly once (identical lines share a bucket). ``spread_hot`` does that for the hot
+    keys alone, which a frequent-items sketch over the lines finds: their lines are
+    dealt over eight salts a shuffle partition and only their catalog rows are copied
+    (:mod:`tillroll.operators.skew`). ``prefilter`` drops lines that no catalog row can
+    match before they are shuffled, by a Bloom filter of the catalog's keys. Both read
+    their side once more, key column only; results are the same. AQE splits skewed
+    partitions of every form.
     """
     cat = catalog.select(key, *catalog_columns)
+    if prefilter:
+        lines = only_known(lines, cat, key)
 
     def hinted(side: DataFrame) -> DataFrame:
         return side.hint(join_hint) if join_hint else side
 
     keep = [c for c in lines.columns if c != key]
-    if salt_buckets and salt_buckets > 1:
+    if spread_hot:
+        parts = shuffle_partitions(lines.sparkSession)
+        salted_lines, salted_cat = salted(lines, cat, key, parts, SALTS_PER_PARTITION * parts)
+        joined = salted_lines.join(hinted(salted_cat), [key, "_salt"], "inner")
+    elif salt_buckets and salt_buckets > 1:
         salted_lines = lines.withColumn(
             "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in lines.columns]), F.lit(salt_buckets))
         )

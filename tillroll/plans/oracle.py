@@ -350,6 +350,21 @@ ORACLE["order_size_distribution"] = (
     "WITH " + enriched_cte()
     + f"\nSELECT {classify('revenue', (5000.0, 20000.0, 100000.0))} AS size, count(*) AS count FROM enriched GROUP BY 1"
 )
+CROWDED = f"""
+lines AS (
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN 7 WHEN l_orderkey % 4 = 1 THEN l_partkey + 1000000000 ELSE l_partkey END AS product_id,
+         CAST(l_quantity AS INTEGER) AS quantity, l_extendedprice / l_quantity AS unit_price
+  FROM lineitem),
+crowded AS (
+  SELECT p.p_type AS category, quantity, {rm('quantity * unit_price')} AS revenue
+  FROM lines JOIN part p ON lines.product_id = p.p_partkey)"""
+ORACLE["enrich_hot_product"] = (
+    "WITH " + CROWDED + category_report_cte(source="crowded") + "\nSELECT category, revenue, orders, units_sold FROM report"
+)
+ORACLE["enrich_known_products"] = (
+    "WITH " + CROWDED
+    + f"\nSELECT {classify('revenue', (5000.0, 20000.0, 100000.0))} AS size, count(*) AS count FROM crowded GROUP BY 1"
+)
 ORACLE["order_size_zero_filled"] = (
     "WITH amounts AS (SELECT value AS revenue FROM events)" + zero_filled("amounts", "revenue")
 )

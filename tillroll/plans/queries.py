@@ -234,6 +234,29 @@ def q_enrich_lines_salted(spark: SparkSession, d: str) -> DataFrame:
     return enrich(sales_lines(spark, d), part_catalog(spark, d), "product_id", join_hint="merge", salt_buckets=8)
 
 
+# lineitem as order lines of which a third name one product and a quarter of the rest
+# none of the catalog
+CROWDED_COLUMNS = (
+    "CASE WHEN l_orderkey % 3 = 0 THEN 7 WHEN l_orderkey % 4 = 1 THEN l_partkey + 1000000000 ELSE l_partkey END AS product_id",
+    "l_orderkey AS order_id", "l_linenumber AS line", "CAST(l_quantity AS INT) AS quantity", "l_extendedprice / l_quantity AS unit_price",
+)
+
+
+def q_enrich_hot_product(spark: SparkSession, d: str) -> DataFrame:
+    """Revenue and lines per category where one product is in a third of the lines: its
+    lines alone are dealt over salts."""
+    crowded = table(spark, d, "lineitem").selectExpr(*CROWDED_COLUMNS)
+    joined = enrich(crowded, part_catalog(spark, d), "product_id", join_hint="merge", spread_hot=True)
+    return revenue_by_category(joined)
+
+
+def q_enrich_known_products(spark: SparkSession, d: str) -> DataFrame:
+    """The same lines, those without a catalog row dropped before the shuffle."""
+    crowded = table(spark, d, "lineitem").selectExpr(*CROWDED_COLUMNS)
+    joined = enrich(crowded, part_catalog(spark, d), "product_id", join_hint="merge", spread_hot=True, prefilter=True)
+    return order_size_distribution(joined, limits=LINEITEM_LIMITS)
+
+
 def odd_priced_lines(spark: SparkSession, d: str) -> DataFrame:
     """Order lines of ``lineitem`` with some legal but extreme prices by position of
     the order: infinite, very large, and below a cent."""
@@ -503,6 +526,8 @@ QUERIES: dict[str, Query] = {
     "render_total": _text("total"),
     "enrich_lines_shuffled": q_enrich_lines_shuffled,
     "enrich_lines_salted": q_enrich_lines_salted,
+    "enrich_hot_product": q_enrich_hot_product,
+    "enrich_known_products": q_enrich_known_products,
     "odd_prices_by_category": q_odd_prices_by_category,
     "small_amounts_total": q_small_amounts_total,
     "text_files_run": q_text_files_run,
