@@ -64,6 +64,7 @@ def test_appended_rows_are_seen(spark, scratch):
 def test_declaring_queries_starts_only_schema_reads(spark):
     eager = {"six_report_row_counts", "text_files_run"}  # they write what several reports share
     eager |= {"pareto_by_customer_ordered", "customers_up_to_80_prefix", "top_half_of_customers", "render_all_customers"}
+    eager |= {"accepted_lines_on_files", "rejected_lines_on_files", "quality_summary_observed", "spending_by_customer_bucketed"}
     sc = spark.sparkContext
     for name, query in own_queries().items():
         if name in eager:

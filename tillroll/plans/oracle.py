@@ -415,6 +415,10 @@ SELECT row_number() OVER (ORDER BY total_spent DESC, customer_id ASC) AS line_no
        printf('%-10s %14.2f  %6d orders', CAST(customer_id AS VARCHAR), {rm('total_spent')}, orders) AS line
 FROM spending"""
 )
+ORACLE["accepted_lines_on_files"] = ORACLE["accepted_lines"]
+ORACLE["rejected_lines_on_files"] = ORACLE["rejected_lines"]
+ORACLE["quality_summary_observed"] = ORACLE["quality_summary"]
+ORACLE["spending_by_customer_bucketed"] = ORACLE["spending_by_customer"]
 ORACLE["composed_columns"] = f"""
 SELECT event_id,
        CAST((event_id % 24) * 60 AS VARCHAR) || ' min' AS minutes_text,

@@ -7,6 +7,7 @@ report once, then optionally write each report.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -25,12 +26,14 @@ from tillroll.operators.aggregates import (
     order_size_zero_filled,
     revenue_by_category,
     revenue_by_country,
+    spending_by_customer,
 )
 from tillroll.operators.enrich import enrich, keep_significant
 from tillroll.operators.ranking import keys_to_reach, pareto, top_by, top_customers
 from tillroll.sources.lines import (
     PRODUCT_SPEC,
     TRANSACTION_SPEC,
+    Outcomes,
     accepted,
     clean_lines,
     parse_lines,
@@ -38,8 +41,8 @@ from tillroll.sources.lines import (
     read_lines,
     rejected,
 )
-from tillroll.sources.sinks import write_report
-from tillroll.session import checkpoint_dir
+from tillroll.sources.sinks import write_report, write_reports
+from tillroll.session import checkpoint_dir, drop_folder, shared_folder, shuffle_partitions, written
 
 # Fixed default run parameters, equal to the reference's defaults.
 DEFAULT_MINIMAL_REVENUE = 20.0
@@ -71,6 +74,9 @@ class PipelineConfig:
     # "cache" = persist(MEMORY_AND_DISK) (lost blocks are recomputed from
     # lineage); "checkpoint" = written once to spark.checkpoint.dir, cutting the
     # lineage (for inputs too large to cache, survives executor loss);
+    # "files" = the parse written to the shared folder parted by outcome (one scan of
+    # the text; counts observed on the way) and the join result written bucketed by
+    # customer (the customer report needs no shuffle), dropped by close();
     # "none" = every report recomputes from the files
     materialize: str = "cache"
     # compute the category, country and customer aggregates in one grouping-sets
@@ -116,11 +122,20 @@ class PipelineRun:
         self.tx_lines = tx_lines
         self.pr_lines = pr_lines
         self.persisted: list[DataFrame] = []
+        self.folders: list[str] = []
+        self.tables: list[str] = []
+
+    @property
+    def _on_files(self) -> bool:
+        return self.cache and self.config.materialize == "files"
 
     def _persist(self, df: DataFrame) -> DataFrame:
         mode = self.config.materialize if self.cache else "none"
         if mode == "none":
             return df
+        if mode == "files":
+            self.folders.append(shared_folder(self.spark, "run"))
+            return written(df, self.folders[-1])
         if mode == "checkpoint":
             if checkpoint_dir(self.spark) is None:
                 raise RuntimeError("materialize='checkpoint' needs spark.checkpoint.dir (a shared folder)")
@@ -135,6 +150,12 @@ class PipelineRun:
         for df in self.persisted:
             df.unpersist()
         self.persisted.clear()
+        for name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for folder in self.folders:
+            drop_folder(self.spark, folder)
+        self.tables.clear()
+        self.folders.clear()
 
     # --- inputs ---------------------------------------------------------------
     @cached_property
@@ -142,6 +163,12 @@ class PipelineRun:
         """One parse feeds both sides of the accept/reject split."""
         return self._persist(parse_lines(self.tx_lines, TRANSACTION_SPEC))
 
+    @cached_property
+    def outcomes(self) -> Outcomes:
+        """The parse on files, parted by outcome (``materialize="files"``)."""
+        self.folders.append(shared_folder(self.spark, "outcomes"))
+        return Outcomes(parse_lines(self.tx_lines, TRANSACTION_SPEC), self.folders[-1])
+
     @cached_property
     def products(self) -> DataFrame:
         return accepted(parse_lines(self.pr_lines, PRODUCT_SPEC), PRODUCT_SPEC)
@@ -153,8 +180,14 @@ class PipelineRun:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        joined = enrich(accepted(self.parsed, TRANSACTION_SPEC), self.products, "product_id")
-        return self._persist(joined)
+        lines = self.outcomes.accepted if self._on_files else accepted(self.parsed, TRANSACTION_SPEC)
+        joined = enrich(lines, self.products, "product_id")
+        if not self._on_files:
+            return self._persist(joined)
+        folder, name = shared_folder(self.spark, "enriched"), f"enriched_{uuid.uuid4().hex}"
+        self.folders.append(folder)
+        self.tables.append(name)
+        return bucketed(joined, "customer_id", folder, name)
 
     @cached_property
     def significant(self) -> DataFrame:
@@ -172,6 +205,9 @@ class PipelineRun:
     # --- the six reports --------------------------------------------------------
     @cached_property
     def _grouped(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        if self._on_files:  # the customer report keeps the buckets of the join result
+            return (revenue_by_category(self.significant), revenue_by_country(self.significant),
+                    spending_by_customer(self.significant))
         grouped = self._persist(grouped_revenue_reports(self.significant))
         return split_grouped_reports(grouped)
 
@@ -207,11 +243,11 @@ class PipelineRun:
 
     @cached_property
     def rejected(self) -> DataFrame:
-        return rejected(self.parsed)
+        return self.outcomes.rejected if self._on_files else rejected(self.parsed)
 
     @cached_property
     def quality(self) -> DataFrame:
-        return quality_summary(self.parsed)
+        return self.outcomes.summary if self._on_files else quality_summary(self.parsed)
 
     def report(self, name: str) -> DataFrame:
         return {
@@ -243,6 +279,17 @@ class PipelineRun:
         return {name: self.text(name) for name in self.TEXTS}
 
 
+def bucketed(df: DataFrame, key: str, folder: str, name: str) -> DataFrame:
+    """``df`` as the table ``name``, its files in ``folder``, bucketed by ``key`` into as many
+    buckets as the session's shuffle partitions: dealt once here, so grouping by or
+    joining on ``key`` later needs no exchange."""
+    spark = df.sparkSession
+    buckets = shuffle_partitions(spark)
+    # one task a bucket, so one file a bucket; a hot key is one bucket, as for any grouping
+    df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", folder).saveAsTable(name)
+    return spark.table(name)
+
+
 def build_run(
     spark: SparkSession,
     config: PipelineConfig,
@@ -272,7 +319,8 @@ def pipeline_run(spark: SparkSession, config: PipelineConfig, **lines: DataFrame
 
 
 def run_pipeline(spark: SparkSession, config: PipelineConfig, *, write: bool = True) -> PipelineRun:
-    """Declare the run and write the six reports; returns the run for rendering.
+    """Declare the run and write the six reports, which appear together or not at all;
+    returns the run for rendering.
 
     The caller closes the run (or uses :func:`pipeline_run`) to release the cache; a
     failed write releases it here.
@@ -281,10 +329,8 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig, *, write: bool = T
     if not write:
         return run
     try:
-        for name, df in run.reports.items():
-            row_level = name == "rejected_lines"
-            write_report(df, config.report_path(name), row_level=row_level,
-                         single_file=config.single_file_rejects if row_level else True)
+        rejects = {"row_level": True, "single_file": config.single_file_rejects}
+        write_reports(spark, run.reports, REPORT_DIRS, config.output_dir, write_report, rejected_lines=rejects)
     except BaseException:
         run.close()
         raise

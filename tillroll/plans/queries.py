@@ -37,12 +37,13 @@ from tillroll.operators.aggregates import (
 from tillroll.operators.enrich import enrich, keep_significant, shipped_to
 from tillroll.operators.ordered import Ordered
 from tillroll.operators.ranking import keys_to_reach, pareto, top_customers
-from tillroll.plans.pipeline import PipelineConfig, PipelineRun, build_run, report_row_counts, run_pipeline
+from tillroll.plans.pipeline import PipelineConfig, PipelineRun, bucketed, build_run, report_row_counts, run_pipeline
 from tillroll.sources.lines import (
     PRODUCT_HEADER,
     PRODUCT_SPEC,
     TRANSACTION_HEADER,
     TRANSACTION_SPEC,
+    Outcomes,
     accepted,
     clean_lines,
     parse_lines,
@@ -50,7 +51,7 @@ from tillroll.sources.lines import (
     rejected,
     rejects_by_kind,
 )
-from tillroll.session import checkpoint_dir, literal_table
+from tillroll.session import drop_folder, literal_table, shared_folder
 from tillroll.sources.damage import corrupt_lines
 from tillroll.sources.tables import (
     event_fields,
@@ -152,6 +153,26 @@ def q_rejected_lines(spark: SparkSession, d: str) -> DataFrame:
     return rejected(parsed_events(spark, d))
 
 
+def outcomes_on_files(spark: SparkSession, d: str) -> Outcomes:
+    """The parse of the event lines, written once, parted by outcome."""
+    return Outcomes(parsed_events(spark, d), shared_folder(spark, "outcomes"))
+
+
+def q_accepted_lines_on_files(spark: SparkSession, d: str) -> DataFrame:
+    """Accepted records from the accepted part of the written parse."""
+    return outcomes_on_files(spark, d).accepted
+
+
+def q_rejected_lines_on_files(spark: SparkSession, d: str) -> DataFrame:
+    """Refused lines from the refused part of the written parse."""
+    return outcomes_on_files(spark, d).rejected
+
+
+def q_quality_summary_observed(spark: SparkSession, d: str) -> DataFrame:
+    """Accepted / rejected counts that the write of the parse observed."""
+    return outcomes_on_files(spark, d).summary
+
+
 def q_rejects_by_kind(spark: SparkSession, d: str) -> DataFrame:
     """Refused event text lines per error kind."""
     return rejects_by_kind(parsed_events(spark, d))
@@ -296,6 +317,12 @@ def q_spending_by_customer(spark: SparkSession, d: str) -> DataFrame:
     return customer_report(spark, d)
 
 
+def q_spending_by_customer_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """Total spent per customer from the join result written bucketed by customer."""
+    kept = bucketed(enriched_lines(spark, d), "customer_id", shared_folder(spark, "enriched"), f"enriched_{uuid.uuid4().hex}")
+    return spending_by_customer(keep_significant(kept, LINEITEM_MIN_REVENUE))
+
+
 def q_grouped_revenue_reports(spark: SparkSession, d: str) -> DataFrame:
     """Category, country and customer aggregates of the significant lines in one
     grouping-sets pass."""
@@ -452,7 +479,7 @@ def q_shop_pareto_categories(spark: SparkSession, d: str) -> DataFrame:
 def q_text_files_run(spark: SparkSession, d: str) -> DataFrame:
     """The run on files: both inputs written as text to the shared folder, read by the
     text scan, the six reports written as CSV and their rows counted from the files."""
-    base = f"{checkpoint_dir(spark).rstrip('/')}/text-run-{uuid.uuid4().hex}"
+    base = shared_folder(spark, "text-run")
     config = PipelineConfig(data_dir=f"{base}/data", output_dir=f"{base}/output")
     shop_transaction_lines(spark, d).write.text(config.transactions_path)
     shop_product_lines(spark, d).write.text(config.products_path)
@@ -462,7 +489,9 @@ def q_text_files_run(spark: SparkSession, d: str) -> DataFrame:
         .select(F.lit(name).alias("report"), "n_rows")
         for name in PipelineRun.REPORTS
     ]
-    return reduce(DataFrame.unionByName, counts)
+    found = [tuple(r) for r in reduce(DataFrame.unionByName, counts).collect()]  # one row a report
+    drop_folder(spark, base)
+    return literal_table(spark, [("report", "string"), ("n_rows", "bigint")], found)
 
 
 def q_six_report_row_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -484,6 +513,9 @@ QUERIES: dict[str, Query] = {
     "read_lines_count": q_read_lines_count,
     "accepted_lines": q_accepted_lines,
     "rejected_lines": q_rejected_lines,
+    "accepted_lines_on_files": q_accepted_lines_on_files,
+    "rejected_lines_on_files": q_rejected_lines_on_files,
+    "quality_summary_observed": q_quality_summary_observed,
     "rejects_by_kind": q_rejects_by_kind,
     "quality_summary": q_quality_summary,
     "rejects_all_kinds": q_rejects_all_kinds,
@@ -495,6 +527,7 @@ QUERIES: dict[str, Query] = {
     "revenue_by_category": q_revenue_by_category,
     "revenue_by_country": q_revenue_by_country,
     "spending_by_customer": q_spending_by_customer,
+    "spending_by_customer_bucketed": q_spending_by_customer_bucketed,
     "grouped_revenue_reports": q_grouped_revenue_reports,
     "order_size_distribution": q_order_size_distribution,
     "order_size_zero_filled": q_order_size_zero_filled,

@@ -21,8 +21,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions.text import sql_text as _sql_text
 
@@ -234,6 +235,41 @@ def quality_summary(parsed: DataFrame) -> DataFrame:
     )
 
 
+class Outcomes:
+    """A parse written once, parted by outcome, with its counts as a by-product.
+
+    The write scans the text once; ``accepted`` and ``rejected`` each read their own
+    folder, and ``summary`` comes from metrics that the write observed, without a job.
+    """
+
+    def __init__(self, parsed: DataFrame, path: str, spec: LineSpec = TRANSACTION_SPEC):
+        spark = parsed.sparkSession
+        seen = Observation()
+        outcome = F.when(F.col("reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected"))
+        counted = parsed.observe(
+            seen, F.count_if(F.col("reason").isNull()).alias("accepted"), F.count_if(F.col("reason").isNotNull()).alias("rejected"))
+        counted.withColumn("_outcome", outcome).write.partitionBy("_outcome").parquet(path)
+        self.path, self.spec, self.counts = path, spec, seen.get
+        self.rows = spark.read.schema(T.StructType([*parsed.schema, T.StructField("_outcome", T.StringType())])).parquet(path)
+
+    @property
+    def accepted(self) -> DataFrame:
+        return self.rows.where("_outcome = 'accepted'").select(*self.spec.columns)
+
+    @property
+    def rejected(self) -> DataFrame:
+        return self.rows.where("_outcome = 'rejected'").select("reason", "line")
+
+    @property
+    def summary(self) -> DataFrame:
+        """As :func:`quality_summary`, from the observed counts."""
+        n = {k: int(self.counts.get(k) or 0) for k in ("accepted", "rejected")}
+        total = n["accepted"] + n["rejected"]
+        share = n["rejected"] * 100.0 / total if total else 0.0
+        return self.rows.sparkSession.range(0, 1, 1, 1).selectExpr(
+            f"CAST({n['accepted']} AS BIGINT) AS accepted", f"CAST({n['rejected']} AS BIGINT) AS rejected", f"CAST('{share!r}' AS DOUBLE) AS rejected_share")
+
+
 def rejects_by_kind(parsed: DataFrame) -> DataFrame:
     """Number of refused lines per error kind."""
     return (
