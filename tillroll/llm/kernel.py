@@ -111,6 +111,23 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
     return mix64(h + (ends - starts).astype(_U))
 
 
+def gram_hashes(buf: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hashes of all strings of ``size`` bytes, as :func:`span_hashes` gives them."""
+    n = len(buf)
+    up, down = _powers(n + 1)
+    total = np.zeros(n + 1, dtype=_U)
+    np.cumsum(_BYTE_VALUE[buf] * up[:n], out=total[1:])
+    h = total[size:] - total[: n + 1 - size]
+    h *= down[: n + 1 - size]
+    h += _U(size)
+    h ^= h >> _U(30)
+    h *= _U(0xBF58476D1CE4E5B9)
+    h ^= h >> _U(27)
+    h *= _U(0x94D049BB133111EB)
+    h ^= h >> _U(31)
+    return h
+
+
 def words_by_text(buf, offsets, words, lower):
     """(word hashes, index of the first word of each text, with the end)."""
     starts, ends = word_bounds(buf, offsets, words)

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import written
-from tillroll.llm.kernel import blocks, ranges, span_hashes, text_buffer
+from tillroll.llm.kernel import blocks, combine, gram_hashes, mix64, ranges, span_hashes, text_buffer
 from tillroll.llm.shards import sharded_texts, text_id, with_frequencies
 from tillroll.session import shuffle_partitions
 
@@ -64,27 +64,31 @@ def anchors(buf: np.ndarray, offsets: np.ndarray):
     none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
     if n < LENGTH:
         return none
-    at = np.arange(n - GRAM + 1)
-    gram = span_hashes(buf, at, at + GRAM, False)
+    gram = gram_hashes(buf, GRAM)
     place = np.uint64((1 << PLACE_BITS) - 1)
-    low = (gram & ~place) | at.astype(np.uint64)
+    low = gram & ~place
+    low |= np.arange(len(gram), dtype=np.uint64)
     width, best = 1, low
     while 2 * width <= SPAN:
         best = np.minimum(best[:-width], best[width:])
         width *= 2
     if SPAN > width:
         best = np.minimum(best[: len(best) - (SPAN - width)], best[SPAN - width :])
-    chosen = (best & place).astype(np.int64)  # anchor of the window that starts here
-    ends = np.repeat(offsets[1:], np.diff(offsets))[: len(chosen)]
-    valid = np.flatnonzero(np.arange(len(chosen)) + LENGTH <= ends)
-    if not len(valid):
-        return none
-    picked = chosen[valid]
-    new = np.ones(len(valid), bool)
-    new[1:] = (picked[1:] != picked[:-1]) | (valid[1:] != valid[:-1] + 1)
+    chosen = (best & place).astype(np.int32)  # anchor of the window that starts here
+    valid = np.ones(len(chosen), bool)
+    tail = np.minimum(np.diff(offsets), LENGTH - 1)  # no window starts in the last bytes of a text
+    at = ranges(offsets[1:] - tail, tail)
+    valid[at[at < len(valid)]] = False
+    new = valid.copy()
+    new[1:] &= (chosen[1:] != chosen[:-1]) | ~valid[:-1]
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(valid)) - 1
-    return picked[first], valid[first], valid[last], gram[picked[first]]
+    if not len(first):
+        return none
+    end = valid.copy()
+    end[:-1] &= new[1:] | ~valid[1:]
+    last = np.flatnonzero(end)
+    picked = chosen[first].astype(np.int64)
+    return picked, first, last, gram[picked]
 
 
 def _pieces(shard):
@@ -109,12 +113,10 @@ def _anchors_of(shard) -> SimpleNamespace:
     at, first, last, gram = (np.concatenate(x) for x in zip(*rows)) if rows else (
         *(np.zeros(0, np.int64),) * 3, np.zeros(0, np.uint64))
     owner = np.searchsorted(shard.offsets, first, side="right") - 1
-    order = np.lexsort((gram, owner))
-    new = np.ones(len(order), bool)
-    new[1:] = (gram[order][1:] != gram[order][:-1]) | (owner[order][1:] != owner[order][:-1])
-    unit = np.empty(len(order), np.int64)
-    unit[order] = np.cumsum(new) - 1
-    return SimpleNamespace(at=at, first=first, last=last, owner=owner, unit=unit, keys=gram[order][new])
+    # one key for each (text, string): the texts' numbers are mixed into the hashes
+    own = gram + mix64(owner.astype(np.uint64) + np.uint64(1))
+    _, one, unit = np.unique(own, return_index=True, return_inverse=True)
+    return SimpleNamespace(at=at, first=first, last=last, owner=owner, unit=unit, keys=gram[one])
 
 
 def _candidates(shard, found, frequency: np.ndarray) -> pa.Table:
@@ -179,6 +181,25 @@ def _words(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return rows.view(">u8").astype(np.uint64)
 
 
+def stretch_keys(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """128 bits that tell byte strings apart, as two columns."""
+    back = span_hashes(buf[::-1], len(buf) - ends, len(buf) - starts, False)
+    return [span_hashes(buf, starts, ends, False), back]
+
+
+def _alike(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(order that brings equal rows together, their first rows marked); equal rows keep
+    their order."""
+    order = np.argsort(combine(columns), kind="stable")
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = False
+        for c in columns:
+            c = c[order]
+            new[1:] |= c[1:] != c[:-1]
+    return order, new
+
+
 class _Stretches:
     """The distinct stretches of bytes around a shard's anchors, by range."""
 
@@ -195,16 +216,17 @@ class _Stretches:
         bucket = np.searchsorted(splitters, _leading(self.buf, self.at), side="right")
         if parts is not None:
             bucket = self._cut(bucket, parts)
-        # a stretch's identity: its bytes and where its anchor stands
-        h = span_hashes(self.buf, self.first, self.last + LENGTH, False)
-        h2 = span_hashes(self.buf[::-1], len(self.buf) - (self.last + LENGTH), len(self.buf) - self.first, False)
-        key = np.stack([bucket.astype(np.uint64), h, h2, (self.at - self.first).astype(np.uint64)], axis=1)
-        order = np.lexsort((ids[self.owner], key[:, 3], key[:, 2], key[:, 1], key[:, 0]))
-        new = np.ones(len(order), bool)
-        new[1:] = (key[order][1:] != key[order][:-1]).any(axis=1)
+        # a stretch's identity: its bytes and where its anchor stands; texts come in id
+        # order, so a stable sort leaves the smallest id first
+        same = stretch_keys(self.buf, self.first, self.last + LENGTH) + [(self.at - self.first).astype(np.uint64), bucket.astype(np.uint64)]
+        order, new = _alike(same)
         self.which = np.empty(len(order), np.int64)
-        self.which[order] = np.cumsum(new) - 1
-        self.sample = order[new]  # for each distinct stretch, one with the smallest id
+        picked = order[new]
+        by_range = np.argsort(bucket[picked], kind="stable")
+        turn = np.empty(len(picked), np.int64)
+        turn[by_range] = np.arange(len(picked))
+        self.which[order] = turn[np.cumsum(new) - 1]
+        self.sample = picked[by_range]  # for each distinct stretch, one with the smallest id
         self.bucket = bucket[self.sample]
 
     def _cut(self, bucket: np.ndarray, parts: np.ndarray) -> np.ndarray:
@@ -266,16 +288,23 @@ def _answer(table: pa.Table) -> pa.Table:
     sizes = [np.frombuffer(x, np.uint8).astype(np.int64) for x in table.column("sizes").to_pylist()]
     ids = np.concatenate([np.frombuffer(x, "<i8") for x in table.column("ids").to_pylist()])
     size = np.concatenate(sizes)
-    windows = size - LENGTH + 1
-    starts = ranges(np.cumsum(size) - size, windows)
-    words = _words(data, starts)
+    begin = np.cumsum(size) - size
+    # a stretch that many shards sent is sorted once, with its smallest id
+    order, new = _alike([*stretch_keys(data, begin, begin + size), size.astype(np.uint64)])
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    picked = order[new]
+    least = np.minimum.reduceat(ids[order], np.flatnonzero(new))
+    windows = size[picked] - LENGTH + 1
+    words = _words(data, ranges(begin[picked], windows))
     order = multikey_order(words)
     ordered = words[order]
     new = np.ones(len(order), bool)
     new[1:] = (ordered[1:] != ordered[:-1]).any(axis=1)
-    smallest = np.minimum.reduceat(np.repeat(ids, windows)[order], np.flatnonzero(new))
-    out = np.empty(len(order), "<i8")
-    out[order] = smallest[np.cumsum(new) - 1]
+    smallest = np.minimum.reduceat(np.repeat(least, windows)[order], np.flatnonzero(new))
+    each = np.empty(len(order), "<i8")
+    each[order] = smallest[np.cumsum(new) - 1]
+    out = each[ranges((np.cumsum(windows) - windows)[which], windows[which])]
     cut = np.concatenate([[0], np.cumsum([int((s - LENGTH + 1).sum()) for s in sizes])])
     return pa.table({
         "shard": table.column("shard"), "bucket": table.column("bucket"),
