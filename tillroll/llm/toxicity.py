@@ -32,6 +32,7 @@ ones.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -53,7 +54,7 @@ CANDIDATES = 4_000
 MOST_WORDS = 4
 PENALTY = 2.0
 STEPS = 400
-CACHE_TOKENS = 300_000
+CACHE_TOKENS = 600_000
 
 # fixed values: what each look-alike may stand for
 LEET = {
@@ -262,17 +263,80 @@ def deobfuscate(text: str, model: list, ordinary: frozenset[str] = frozenset())
     return re.sub(r"\S+", lambda m: restored_word(m.group(0), model) if suspicious(m.group(0).strip(_EDGE)) else m.group(0), text)
 
 
-def _count_indicators(model: list, ordinary: frozenset[str]):
+class Reader:
+    """What the words of a text are, with the tokens that this worker has read before (at
+    most ``CACHE_TOKENS``; they stay behind when a reader travels)."""
+
+    def __init__(self, model: list, ordinary: frozenset[str]):
+        self.model, self.ordinary, self.known = model, ordinary, {}
+
+    def __reduce__(self):
+        return type(self), (self.model, self.ordinary)
+
+    def look(self, token: str) -> tuple:
+        if token.isalpha() and not _RUN.search(token):
+            return (token,) if len(token) > 2 else ()
+        return tuple(w for w in restored_words(token, self.model) if len(w) > 2)
+
+    def read(self, text: str | None) -> list[tuple]:
+        """What :meth:`look` says of every token of a text."""
+        known, out = self.known, []
+        if len(known) > CACHE_TOKENS:
+            known.clear()
+        for token in words_of(text or "", self.ordinary):
+            got = known.get(token)
+            if got is None:
+                got = known[token] = self.look(token)
+            if got:
+                out.append(got)
+        return out
+
+    def words(self, text: str | None) -> set[str]:
+        return {w for words in self.read(text) for w in words}
+
+
+class Scorer(Reader):
+    """A reader that keeps only the words with indicators of the regression."""
+
+    def __init__(self, model: list, ordinary: frozenset[str], weights: dict[str, float], intercept: float):
+        super().__init__(model, ordinary)
+        self.weights, self.intercept, self.copies = weights, intercept, {}
+        self.begin = {x[:3] for x in weights}  # every indicator of a word begins as the word does
+
+    def __reduce__(self):
+        return Scorer, (self.model, self.ordinary, self.weights, self.intercept)
+
+    def look(self, token: str) -> tuple:
+        shown = ((w, tuple(x for x in indicators_of(w) if x in self.weights)) for w in super().look(token) if w[:3] in self.begin)
+        return tuple(x for x in shown if x[1])
+
+    def score(self, text: str | None) -> float:
+        """The score of a text; a copy of one that the worker has read is not read again."""
+        digest = hashlib.blake2b((text or "").encode(), digest_size=16).digest()
+        got = self.copies.get(digest)
+        if got is None:
+            if len(self.copies) > CACHE_TOKENS:
+                self.copies.clear()
+            got = self.copies[digest] = self._score(text)
+        return got
+
+    def _score(self, text: str | None) -> float:
+        found: dict[str, int] = {}
+        for word, shown in dict.fromkeys(x for words in self.read(text) for x in words):
+            for x in shown:
+                found[x] = found.get(x, 0) + 1
+        total = self.intercept + sum(self.weights[x] * math.log1p(min(n, MOST_WORDS)) for x, n in found.items())
+        return 1 / (1 + math.exp(-max(-500.0, min(500.0, total))))
+
+
+def _count_indicators(reader):
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 toxic, all_ = Counter(), Counter()
                 part = batch.slice(at, 256)
                 for text, label in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist()):
-                    found = set()
-                    for token in set(words_of(text or "", ordinary)):
-                        for word in restored_words(token, model):
-                            found.update(indicators_of(word))
+                    found = {x for w in reader.value.words(text) for x in indicators_of(w)}
                     all_.update(found)
                     if label:
                         toxic.update(found)
@@ -284,20 +348,11 @@ def _count_indicators(model: list, ordinary: frozenset[str]):
     return run
 
 
-def _counts(text: str, model: list, ordinary: frozenset[str], wanted) -> dict[str, int]:
-    """How many different words of the text show each wanted indicator."""
-    found: dict[str, int] = {}
-    for word in {w for t in set(words_of(text, ordinary)) for w in restored_words(t, model)}:
-        for x in indicators_of(word):
-            if x in wanted:
-                found[x] = found.get(x, 0) + 1
-    return found
-
-
-def _find(model: list, ordinary: frozenset[str], number: dict[str, int]):
+def _find(reader, number: dict[str, int]):
     def run(batches):
         for batch in batches:
-            found = [_counts(t.as_py() or "", model, ordinary, number) for t in batch.column("text")]
+            # how many different words of the text show each wanted indicator
+            found = [Counter(x for w in reader.value.words(t.as_py()) for x in indicators_of(w) if x in number) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([
                 batch.column("toxic"),
                 pa.array([[number[x] for x in f] for f in found], pa.list_(pa.int32())),
@@ -338,6 +393,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[list, frozenset[str], dict[
     """
     model = character_model([tuple(r) for r in character_counts(docs).collect()])
     ordinary = short_words(docs)
+    reader = docs.sparkSession.sparkContext.broadcast(Reader(model, ordinary))  # at most 1 / ORDINARY words
     rows = (
         labels.where(f"toxic IS NOT NULL AND NOT {HELD_OUT}").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
@@ -353,7 +409,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[list, frozenset[str], dict[
         if not totals["t"]:
             return model, ordinary, {}, NEVER
         counted = (
-            train.mapInArrow(_count_indicators(model, ordinary), "indicator string, toxic bigint, n bigint")
+            train.mapInArrow(_count_indicators(reader), "indicator string, toxic bigint, n bigint")
             .groupBy("indicator").agg(F.sum("toxic").alias("t"), F.sum("n").alias("n"))
         )
         weight = (F.col("t") + PRIOR_ROWS * share) / (F.col("n") + PRIOR_ROWS)
@@ -364,7 +420,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[list, frozenset[str], dict[
             r["indicator"] for r in counted.where(t >= LEAST_TEXTS).select("indicator", gain.alias("g"))
             .where("g > 0").orderBy(F.desc("g"), "indicator").limit(CANDIDATES).collect()
         ]
-        found = train.mapInArrow(_find(model, ordinary, {x: k for k, x in enumerate(names)}), "toxic int, found array<int>, times array<int>")
+        found = train.mapInArrow(_find(reader, {x: k for k, x in enumerate(names)}), "toxic int, found array<int>, times array<int>")
         rows = [(r["toxic"], r["found"], r["times"]) for r in found.collect()]  # at most TRAIN_ROWS
         w, intercept = regression(rows, len(names))
         return model, ordinary, {x: float(v) for x, v in zip(names, w) if abs(v) > 1e-3}, intercept
@@ -372,37 +428,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[list, frozenset[str], dict[
         train.unpersist()
 
 
-def _score(model: list, ordinary: frozenset[str], weights: dict[str, float], intercept: float, own: list[str]):
-    gains = [math.log1p(k) for k in range(MOST_WORDS + 1)]
-
+def _score(scorer, own: list[str]):
     def run(batches):
-        cache: dict[str, tuple[tuple[str, tuple[str, ...]], ...]] = {}
-        begin = {x[:3] for x in weights}  # every indicator of a word begins as the word does
-
-        def look(token: str):
-            words = (word for word in restored_words(token, model) if word[:3] in begin)
-            shown = ((word, tuple(x for x in indicators_of(word) if x in weights)) for word in words)
-            cache[token] = got = tuple(x for x in shown if x[1])
-            return got
-
         for batch in batches:
-            scores = []
-            for text in batch.column("text"):
-                found: dict[str, int] = {}
-                seen = set()
-                for token in words_of(text.as_py() or "", ordinary):
-                    got = cache.get(token)
-                    if got is None:
-                        got = look(token)
-                    for word, shown in got:
-                        if word not in seen:
-                            seen.add(word)
-                            for x in shown:
-                                found[x] = found.get(x, 0) + 1
-                if len(cache) > CACHE_TOKENS:
-                    cache.clear()
-                total = intercept + sum(weights[x] * gains[min(n, MOST_WORDS)] for x, n in found.items())
-                scores.append(1 / (1 + math.exp(-max(-500.0, min(500.0, total)))))
+            scores = [scorer.value.score(text.as_py()) for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in own), pa.array(scores, pa.float64())], names=[*own, "score"])
 
@@ -414,4 +443,5 @@ def score(docs: DataFrame, fitted: tuple[list, frozenset[str], dict[str, float],
     own = [c for c in docs.columns if c not in (text, "score", "predicted")]
     schema = T.StructType([T.StructField(c, docs.schema[c].dataType, True) for c in own] + [T.StructField("score", T.DoubleType())])
     source = docs.select(*own, F.col(text).alias("text") if "text" not in own else F.col(text))
-    return source.mapInArrow(_score(*fitted, own), schema).withColumn("predicted", F.expr(f"IF(score >= {THRESHOLD}D, 1, 0)"))
+    scorer = docs.sparkSession.sparkContext.broadcast(Scorer(*fitted))  # bounded: see fit
+    return source.mapInArrow(_score(scorer, own), schema).withColumn("predicted", F.expr(f"IF(score >= {THRESHOLD}D, 1, 0)"))
