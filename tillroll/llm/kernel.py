@@ -159,6 +159,18 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) - np.repeat(ends - counts, counts) + np.repeat(starts, counts)
 
 
+def order_of(values: np.ndarray, bits: int) -> np.ndarray:
+    """The stable order of integers below ``2**bits``. Values and places are sorted
+    packed in one word where they fit, which is several times as fast as an argsort."""
+    n = len(values)
+    low = max(1, (n - 1).bit_length()) if n else 1
+    if bits + low > 64:
+        return np.argsort(values, kind="stable")
+    packed = (values.astype(_U) << _U(low)) | np.arange(n, dtype=_U)
+    packed.sort()
+    return (packed & _U((1 << low) - 1)).astype(np.int64)
+
+
 def to_planes(values: np.ndarray) -> bytes:
     """32-bit integers byte plane by byte plane: the planes of high bytes are mostly
     zero and vanish when a shuffle compresses them."""

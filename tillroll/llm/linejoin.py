@@ -71,8 +71,11 @@ def _lines_of(shard) -> SimpleNamespace:
     cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
     sets, bounds = distinct_sets(cat(keys, np.uint64), cat(owner, np.int64), total)
     s1, s2 = signatures(sets, bounds)
-    _, first, which = np.unique(np.stack([s1, s2]), axis=1, return_index=True, return_inverse=True)
-    which = which.ravel()
+    order = np.lexsort((s2, s1))  # equal sets together, the first of them in front
+    new = np.ones(total, bool)
+    new[1:] = (s1[order][1:] != s1[order][:-1]) | (s2[order][1:] != s2[order][:-1])
+    first, which = order[new], np.empty(total, np.int64)
+    which[order] = np.cumsum(new) - 1
     size = np.diff(bounds)
     picked = np.zeros(total, bool)
     picked[first] = True

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.kernel import pack_ascending, ranges, text_buffer, unpack_ascending
+from tillroll.llm.kernel import order_of, pack_ascending, ranges, text_buffer, unpack_ascending
 from tillroll.session import shuffle_partitions
 
 SHARD_BYTES = 2 << 20
@@ -155,8 +155,14 @@ def frequency_replies(texts: DataFrame, buckets: int, keys_of: Callable) -> Data
 
 
 def _sorted(keys: np.ndarray, buckets: int):
-    slots, inverse, counts = np.unique(_slots(keys, buckets), return_inverse=True, return_counts=True)
-    return slots, inverse, counts
+    slots = _slots(keys, buckets)
+    order = order_of(slots, 32 + buckets.bit_length() - 1)
+    slots = slots[order]
+    new = np.ones(len(slots), bool)
+    new[1:] = slots[1:] != slots[:-1]
+    inverse = np.empty(len(order), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return slots[new], inverse, np.diff(np.append(np.flatnonzero(new), len(slots)))
 
 
 def with_frequencies(texts: DataFrame, buckets: int, keys_of: Callable, then: Callable, schema: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import components, written
-from tillroll.llm.kernel import SPACE_WORDS, blocks, combine, mix64, ranges, words_by_text
+from tillroll.llm.kernel import SPACE_WORDS, blocks, combine, mix64, order_of, ranges, words_by_text
 from tillroll.llm.shards import hashes_to_bytes, sharded_texts, text_id, with_frequencies
 
 SHINGLE_WORDS = 5
@@ -64,9 +64,19 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.
 
 def distinct_sets(keys: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(keys sorted by owner and value without repeats, bounds of the owners)."""
-    order = np.argsort(keys)
-    order = order[np.argsort(owner[order], kind="stable")]
-    keys, owner = keys[order], owner[order]
+    owner_bits, place_bits = max(1, n).bit_length(), max(1, len(keys)).bit_length()
+    lead = 64 - owner_bits - place_bits  # bits of a key that fit beside its owner and place
+    if lead < 8:
+        order = np.lexsort((keys, owner))
+        keys, owner = keys[order], owner[order]
+    else:
+        first = (owner.astype(np.uint64) << np.uint64(lead)) | (keys >> np.uint64(64 - lead))
+        order = order_of(first, owner_bits + lead)
+        keys, owner, first = keys[order], owner[order], first[order]
+        alike = first[1:] == first[:-1]
+        if (alike & (keys[1:] < keys[:-1])).any():  # keys that differ further back: sort those runs in full
+            at = np.flatnonzero(np.append(alike, False) | np.append(False, alike))
+            keys[at] = keys[at][np.lexsort((keys[at], first[at]))]
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
     return keys[new], np.searchsorted(owner[new], np.arange(n + 1))
