@@ -471,6 +471,19 @@ def test_chat_parts(spark):
     assert chat.whole_conversations(chat.format_conversations(frame)).first().formatted == first.segment + second.segment
 
 
+def test_chat_parts_of_any_kind_and_size():
+    nan, inf = float("nan"), float("inf")
+    for value in (None, 0, -3, nan, inf, -inf, 1e300):
+        part = {"type": "audio", "ref": "x", "seconds": value}
+        assert chat.format_turn("user", [part])[3] == [{"position": 0, "type": "audio", "ref": "x", "tokens": 1}]
+        for kind, least in (("image", 1), ("document", 512)):
+            part = {"type": kind, "ref": "x", "width": value, "height": value, "pages": value}
+            assert chat.format_turn("user", [part])[3][0]["tokens"] == least
+    segment, start, end, found = chat.format_turn("user", [
+        {"type": "video", "text": "a <|done|>", "ref": "v.mp4"}, {"type": "note", "text": None}, None, {"type": None, "text": "b"}])
+    assert segment[start:end] == "a <\\|done|>b" and found == [{"position": 0, "type": "video", "ref": "v.mp4", "tokens": 0}]
+
+
 # ---------------------------------------------------------------- pieces
 @pytest.fixture(scope="module")
 def pieces():
@@ -541,6 +554,18 @@ def test_marker_characters_and_trie(pieces):
     assert {w: look(w) for w in entries} == entries and look(b"abd") == look(b"c") == look(b"\xff") == -1
 
 
+def test_decontamination_by_blocks_of_phrases(docs, spark, monkeypatch):
+    """Many blocks, one pass each, find what one block finds; no two share a stage."""
+    items = spark.createDataFrame([(i, " ".join(words_of(r[1])[k : k + 14])) for i, (r, k) in enumerate(
+        (r, k) for r in ROWS if r[1] for k in (0, 7, 30))] + [(90, None), (None, "one")], "item_id long, text string")
+    pick = ["doc_id", "n_words", "n_hit", "item_ids", "spans"]
+    whole = sorted(map(tuple, fmindex.contamination(docs, items).select(*pick).collect()), key=repr)
+    monkeypatch.setattr(fmindex, "BLOCK_BYTES", 700)
+    parted = fmindex.contamination(docs, items)
+    assert sorted(map(tuple, parted.select(*pick).collect()), key=repr) == whole
+    assert parted._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 # ---------------------------------------------------------------- toxicity
 def test_deobfuscation_and_held_out_accuracy(spark):
     rnd = random.Random(8)

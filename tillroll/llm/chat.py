@@ -15,7 +15,10 @@ time, so a conversation of any length fits.
 Defined results: a null text or role is empty; turns with equal numbers are
 ordered by their segment; repeated rows are repeated turns; a null conversation id
 is a conversation of its own; an empty table gives an empty result. Extra columns
-are ignored.
+are ignored. A part of an unknown type stands as its text (escaped) and is recorded, if
+it has a reference, as an attachment of that type without a placeholder and of no
+tokens; a size or length that is missing, not above zero, not finite or not below
+``MOST`` counts as the least one.
 """
 
 from __future__ import annotations
@@ -42,6 +45,7 @@ _UNESCAPE = re.compile(rf"([<\[])\\(\\*)({_REST})")
 IMAGE_PATCH = 28  # pixels of a square patch that becomes one token
 AUDIO_TOKENS_A_SECOND = 25
 DOCUMENT_TOKENS_A_PAGE = 512
+MOST = float(1 << 31)
 
 PARTS_TYPE = (
     "array<struct<type: string, text: string, ref: string, width: int, height: int, seconds: double, pages: int>>"
@@ -57,6 +61,11 @@ def unescape(text: str) -> str:
     return _UNESCAPE.sub(r"\1\2\3", text) if "\\" in text else text
 
 
+def _size(value) -> float:
+    """A size or length as far as it is one, else 0."""
+    return value if value is not None and 0 < value < MOST else 0  # NaN is not below anything
+
+
 class Visitor:
     """Flattens one turn's parts into a string with placeholders."""
 
@@ -71,20 +80,25 @@ class Visitor:
         self.out.append(escape(part.get("text") or ""))
 
     def visit_image(self, part):
-        side = [max(1, math.ceil((part.get(k) or 1) / IMAGE_PATCH)) for k in ("width", "height")]
+        side = [math.ceil((_size(part.get(k)) or 1) / IMAGE_PATCH) for k in ("width", "height")]
         self._attach(part, "image", side[0] * side[1])
 
     def visit_audio(self, part):
-        self._attach(part, "audio", max(1, math.ceil((part.get("seconds") or 0) * AUDIO_TOKENS_A_SECOND)))
+        self._attach(part, "audio", max(1, math.ceil(_size(part.get("seconds")) * AUDIO_TOKENS_A_SECOND)))
 
     def visit_document(self, part):
-        self._attach(part, "document", max(1, part.get("pages") or 1) * DOCUMENT_TOKENS_A_PAGE)
+        self._attach(part, "document", max(1, math.ceil(_size(part.get("pages")))) * DOCUMENT_TOKENS_A_PAGE)
 
     def visit_unknown(self, part):
-        raise ValueError(f"unknown content part: {part.get('type')!r}")
+        self.visit_text(part)
+        if part.get("ref") is not None:
+            self._record(part, part.get("type"), 0)
 
-    def _attach(self, part, kind, tokens):
+    def _record(self, part, kind, tokens):
         self.attachments.append({"position": len(self.attachments), "type": kind, "ref": part.get("ref"), "tokens": tokens})
+
+    def _attach(self, part, kind, tokens):
+        self._record(part, kind, tokens)
         self.out.append(PLACEHOLDER[kind])
 
 

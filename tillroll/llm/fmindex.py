@@ -12,9 +12,10 @@ A phrase is ``window`` consecutive words of an item; an item with fewer words,
 but not none, is one phrase. Words are ``[0-9a-z]`` and non-ASCII characters after
 A-Z became a-z, and are compared by 64-bit hashes.
 
-The benchmark is read in blocks of about ``BLOCK_BYTES`` of item text, each block
-broadcast on its own and searched in a pass of its own (narrow passes, no
-shuffle), so what a task holds does not grow with the benchmark.
+The benchmark is read in blocks of about ``BLOCK_BYTES`` of item text, each searched in
+a pass of its own (narrow, no shuffle). Between two passes the rows are written to the
+shared folder, so driver and tasks hold one block at a time, however large the
+benchmark; a benchmark of one block, the usual case, is one lazy pass.
 
 Defined results: a null or empty text has no words and no hit; repeated rows are
 judged one by one; an empty benchmark hits nothing; an item with a null id is
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.llm.common import written
 from tillroll.llm.kernel import ALNUM_WORDS, ranges, span_hashes, text_blocks, text_buffer, word_bounds
 
 SAMPLE = 16
@@ -297,7 +299,9 @@ def scan_hits(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item
         + [T.StructField("__n_words", T.LongType()), T.StructField("__n_hit", T.LongType()),
            T.StructField("__spans", T.ArrayType(T.LongType())), T.StructField("__items", T.ArrayType(T.StringType()))]
     )
-    for phrases in _phrase_blocks(benchmark, item_id, item_text, window):
+    for k, phrases in enumerate(_phrase_blocks(benchmark, item_id, item_text, window)):
+        if k:  # one block of phrases at a time, in the driver and in every task
+            out = written(out, "phrase-hits")
         out = out.mapInArrow(_scan(phrases, text, own), schema)
     return out
 
