@@ -201,6 +201,20 @@ def test_cross_entropy_counts_every_word_and_pair(spark):
     assert len(vocab) == size - 2
     others = [(1, "w1 never seen w2"), (2, rows[5][1])]  # rows that the models do not count
     check(crossent.score(spark.createDataFrame(others, "doc_id long, text string"), fitted, vocab).collect(), others)
+    # leaving one out: a wanted row is scored by a target model without that row
+    def left_out(i, t):
+        if i not in wanted:
+            return loss(models[0], t)
+        w = lower(t).split()
+        less = [Counter(w), Counter([None, *w][: len(w)]), Counter(zip([None, *w], w))]
+        return loss([m - x for m, x in zip(models[0], less)], t)
+
+    got = {(r.doc_id, r.n_words): (r.target_loss, r.background_loss) for r in crossent.score(frame, fitted, vocab, leave_out=True).collect()}
+    assert len(got) == len({(i, len((t or "").split())) for i, t in rows})
+    for i, t in rows:
+        assert np.allclose(got[i, len((t or "").split())], (left_out(i, t), loss(models[1], t)), rtol=1e-9)
+    apart = spark.createDataFrame(others, "doc_id long, text string")
+    check(crossent.score(apart, fitted, vocab, leave_out=True).collect(), others)
 
 
 # ---------------------------------------------------------------- decontamination

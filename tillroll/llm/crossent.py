@@ -15,7 +15,9 @@ texts. A pair that stands in a third of all texts is one entry of each shard's r
 Shards and buckets grow with the corpus, so a task's memory does not.
 
 A text's score is its background loss a word minus its target loss a word (natural
-logs): above 0, the text is more like the target. Words are runs of other than
+logs): above 0, the text is more like the target. With ``leave_out`` a wanted text is
+scored by the target model less the text's own counts (one row's, where rows repeat), so
+its loss is not that of a text learned by heart. Words are runs of other than
 white space with A-Z as a-z; keys are compared by 62-bit hashes.
 
 Defined results: a null or empty text has no words, losses and score 0; repeated
@@ -42,7 +44,7 @@ from tillroll.llm.kernel import (
 )
 from tillroll.session import shuffle_partitions
 
-SHARD_BYTES = 16 << 20  # of text; also what one key bucket answers for
+SHARD_BYTES = 12 << 20  # of text; also what one key bucket answers for
 CONTEXT_WEIGHT = 4.0  # how many sightings of a context weigh as much as the unigram
 UNIGRAM_PRIOR = 0.1
 WORD, CONTEXT, PAIR = 0, 1, 2  # kinds of keys, in their two lowest bits
@@ -112,11 +114,16 @@ def _read(table: pa.Table) -> SimpleNamespace:
             n.append(np.diff(first))
     n = np.concatenate(n)
     first = np.concatenate([[0], np.cumsum(n)])
-    words, ids = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_inverse=True)
-    before = np.concatenate([[0], ids[:-1] + 1]) if len(ids) else ids
+    hashes = np.concatenate(held) if held else np.zeros(0, np.uint64)
+    del held
+    words, ids = np.unique(hashes, return_inverse=True)
+    del hashes
+    ids = ids.astype(np.int32)
+    before = np.append(np.int32(0), ids[:-1] + 1).astype(np.int32) if len(ids) else ids
     before[first[:-1][n > 0]] = 0
     size = len(words) + 1
-    pairs, pair = np.unique(before * size + ids, return_inverse=True)
+    pairs, pair = np.unique(before.astype(np.int64) * size + ids, return_inverse=True)
+    pair = pair.astype(np.int32)
     contexts = np.concatenate([[START], words])
     keys = [_key(words, WORD), _key(contexts, CONTEXT), _key(combine([contexts[pairs // size], words[pairs % size]]), PAIR)]
     return SimpleNamespace(n=n, first=first, ids=ids, before=before, pair=pair, words=words, n_pairs=len(pairs), keys=np.concatenate(keys))
@@ -277,6 +284,12 @@ def fit(docs: DataFrame, wanted: DataFrame, vocab: Vocabulary | None = None) ->
     return Models(Model(docs, wanted, "target"), Model(docs, wanted, "everything"))
 
 
+def _in_own_text(text: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """For each word how often its number stands in its own text."""
+    _, place, n = np.unique(text * (int(number.max(initial=0)) + 1) + number, return_inverse=True, return_counts=True)
+    return n[place]
+
+
 def _scored(kind: pa.DataType):
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
@@ -284,7 +297,10 @@ def _scored(kind: pa.DataType):
                              "target_loss": pa.array([], pa.float64()), "background_loss": pa.array([], pa.float64())})
         own = _read(left)
         order = np.argsort(own.keys)
-        right = right.sort_by("bucket")
+        ids = pa.chunked_array([x.flatten() for x in left.column("doc_ids").chunks]).combine_chunks()
+        marks = right.filter(pc.less(right.column("bucket"), 0)).column("doc_id").combine_chunks()
+        wanted = pc.and_(pc.is_in(ids, marks), ids.is_valid()).to_numpy(zero_copy_only=False)
+        right = right.filter(pc.greater_equal(right.column("bucket"), 0)).sort_by("bucket")
         totals = np.sum([np.frombuffer(x, "<i8") for x in right.column("totals").to_pylist()], axis=0)
         size = int(totals[0]) + 2  # the unknown word and the start
         n_words = len(own.words)
@@ -296,14 +312,21 @@ def _scored(kind: pa.DataType):
             uni = (found[:n_words] + UNIGRAM_PRIOR) / (total + UNIGRAM_PRIOR * size)
             seen, both = found[n_words : 2 * n_words + 1][own.before], found[2 * n_words + 1 :][own.pair]
             each = -np.log((both + CONTEXT_WEIGHT * uni[own.ids]) / (seen + CONTEXT_WEIGHT))
+            if column == "target" and wanted.any():
+                mine = np.flatnonzero(np.repeat(wanted, own.n))
+                of = owner[mine]
+                word, context, both = (
+                    counted[at[mine]] - _in_own_text(of, at[mine])
+                    for counted, at in ((found[:n_words], own.ids), (found[n_words : 2 * n_words + 1], own.before), (found[2 * n_words + 1 :], own.pair)))
+                uni = (word + UNIGRAM_PRIOR) / (total - own.n[of] + UNIGRAM_PRIOR * size)
+                each[mine] = -np.log((both + CONTEXT_WEIGHT * uni) / (context + CONTEXT_WEIGHT))
             loss.append(np.bincount(owner, each, minlength=len(own.n)) / np.maximum(own.n, 1))
-        ids = pa.chunked_array([x.flatten() for x in left.column("doc_ids").chunks])
         return pa.table({"doc_id": ids, "n_words": pa.array(own.n), "target_loss": pa.array(loss[0]), "background_loss": pa.array(loss[1])})
 
     return finish
 
 
-def score(docs: DataFrame, models: Models, vocab: Vocabulary | None = None) -> DataFrame:
+def score(docs: DataFrame, models: Models, vocab: Vocabulary | None = None, *, leave_out: bool = False) -> DataFrame:
     """Per row of ``docs``: words, both losses a word, and their difference."""
     docs = docs.select("doc_id", "text")
     counted, wanted = models.background.docs, models.background.wanted
@@ -318,6 +341,11 @@ def score(docs: DataFrame, models: Models, vocab: Vocabulary | None = None) -> D
         sent = asked.union(_sent(counted, _dealt(counted, shards), wanted, shards, buckets, False))
     answers = sent.groupBy("bucket").applyInArrow(_answer, "shard int, bucket int, target binary, everything binary, totals binary").where("shard >= 0")
     kind = docs.schema["doc_id"].dataType
+    answers = answers.withColumn("doc_id", F.lit(None).cast(kind))
+    if same and leave_out:  # the texts of the target meet their marks again, as rows of bucket -1
+        none = F.lit(None).cast("binary")
+        answers = answers.unionByName(_marks(wanted, docs, shards).select(
+            "shard", F.lit(-1).alias("bucket"), none.alias("target"), none.alias("everything"), none.alias("totals"), "doc_id"))
     schema = T.StructType([
         T.StructField("doc_id", kind), T.StructField("n_words", T.LongType()), T.StructField("target_loss", T.DoubleType()),
         T.StructField("background_loss", T.DoubleType())])

@@ -38,6 +38,9 @@ from tillroll.llm.common import components, written
 from tillroll.llm.kernel import SPACE_WORDS, blocks, span_hashes, word_bounds
 from tillroll.llm.shards import sharded_texts, text_id, with_frequencies
 from tillroll.llm.sigtree import distinct_sets, shingle_hashes, signatures
+from tillroll.operators.enrich import SALTS_PER_PARTITION
+from tillroll.operators.skew import salted
+from tillroll.session import shuffle_partitions
 
 SHINGLE_WORDS = 5
 SHARE, WHOLE = 4, 5  # similarity: SHARE / WHOLE
@@ -245,8 +248,11 @@ def deduplicated_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     verdict = sets.select("s1", "s2", "doc_id", "line").join(
         matched.withColumn("m", F.lit(True)), ["s1", "s2"], "left"
     ).selectExpr("s1", "s2", "doc_id AS first_doc", "line AS first_line", "coalesce(m, false) AS matched")
+    # a line that very many texts have is dealt over salts
+    parts = shuffle_partitions(docs.sparkSession)
+    lines, verdict = salted(found.selectExpr("h", "doc_id", "inline(lines)"), verdict, "s1", parts, SALTS_PER_PARTITION * parts)
     gone = (
-        found.selectExpr("h", "doc_id", "inline(lines)").join(verdict, ["s1", "s2"])
+        lines.join(verdict, ["s1", "s2", "_salt"])
         .where("matched OR NOT (doc_id = first_doc AND line = first_line)")
         .groupBy("h").agg(F.collect_set("line").alias("gone"))
     )
@@ -275,9 +281,10 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     that never had a word stays. Copies of a text lose all their lines, so one stays.
     Rows with a null doc_id have no place in the order: they pass unchanged."""
     others = [c for c in docs.columns if c != text]
+    free = "_" * (1 + max(map(len, docs.columns)))  # longer than any column's name
     kept = deduplicated_texts(docs, doc_id, text).where("n_lines = 0 OR n_removed < n_lines").selectExpr(
-        "h AS __h", "doc_id AS __first", "n_lines AS __n", "kept_text AS __text")
-    rows = docs.selectExpr(*[f"`{c}`" for c in others], f"{text_id(text)} AS __h")
-    judged = rows.join(kept, "__h").where(f"`{doc_id}` = __first OR (__n = 0 AND `{doc_id}` IS NOT NULL)").selectExpr(
-        *[f"__text AS `{c}`" if c == text else f"`{c}`" for c in docs.columns])
+        f"h AS {free}h", f"doc_id AS {free}first", f"n_lines AS {free}n", f"kept_text AS {free}text")
+    rows = docs.selectExpr(*[f"`{c}`" for c in others], f"{text_id(text)} AS {free}h")
+    judged = rows.join(kept, f"{free}h").where(f"`{doc_id}` = {free}first OR ({free}n = 0 AND `{doc_id}` IS NOT NULL)").selectExpr(
+        *[f"{free}text AS `{c}`" if c == text else f"`{c}`" for c in docs.columns])
     return judged.union(docs.where(f"`{doc_id}` IS NULL"))
