@@ -1,7 +1,8 @@
 """tillroll: sales-line analytics on Spark DataFrames.
 
-Every operator takes DataFrames plus column names / thresholds and returns a lazy
-DataFrame built from native expressions; nothing is collected to the driver.
+Every operator takes DataFrames plus column names / thresholds and returns a DataFrame
+built from native expressions, lazy but for those that say they write (``Ordered``,
+``Outcomes``, the report writers); no rows are collected to the driver.
 """
 
 from tillroll.functions.money import cents, money_sum, revenue_of, round_money
@@ -16,10 +17,12 @@ from tillroll.operators.aggregates import (
     total_revenue,
 )
 from tillroll.operators.enrich import at_least_revenue, enrich, keep_significant, shipped_to
+from tillroll.operators.ordered import Ordered
 from tillroll.operators.ranking import keys_to_reach, number_rows, pareto, top_by, top_customers
 from tillroll.sources.lines import (
     PRODUCT_SPEC,
     TRANSACTION_SPEC,
+    Outcomes,
     accepted,
     clean_lines,
     is_header,
@@ -29,8 +32,11 @@ from tillroll.sources.lines import (
     rejected,
     rejects_by_kind,
 )
+from tillroll.sources.sinks import finish_run, write_report, write_reports
 
 __all__ = [
+    "Ordered",
+    "Outcomes",
     "PRODUCT_SPEC",
     "TRANSACTION_SPEC",
     "accepted",
@@ -40,6 +46,7 @@ __all__ = [
     "clean_lines",
     "describe_size",
     "enrich",
+    "finish_run",
     "grand_total_of_report",
     "is_header",
     "keep_significant",
@@ -64,4 +71,6 @@ __all__ = [
     "top_by",
     "top_customers",
     "total_revenue",
+    "write_report",
+    "write_reports",
 ]
