@@ -197,9 +197,9 @@ def parse_lines(lines: DataFrame, spec: LineSpec = TRANSACTION_SPEC, line: str =
     # Only the outcome goes through the one-row generator. It keeps filters on the
     # outcome above it (pushed below, they would copy every check), while the value
     # columns stay ordinary projections that are pruned where nobody reads them.
-    judged = checked.selectExpr(
-        "*", "inline(array(named_struct('error_kind', _outcome.kind, 'reason', _outcome.reason)))"
-    )
+    # The outcome goes in whole: by its fields, the optimizer would take them apart
+    # below and walk all checks once for each.
+    judged = checked.selectExpr("*", "inline(array(_outcome)) AS (error_kind, reason)")
     outputs = ["line", "error_kind", "reason"]
     for i, f in enumerate(spec.fields):
         v = f"_f{i}" if f.kind == "text" else f"_d{i}"
