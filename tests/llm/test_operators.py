@@ -674,3 +674,18 @@ def test_viterbi_equals_every_path():
         assert toxicity._best(lattice, model)[0] == every[0][1]
         near = toxicity._best(lattice, model, 10**6)
         assert set(near) == {w for c, w in every if c >= every[0][0] - toxicity.MARGIN}
+
+
+def test_runs_are_those_of_the_whole_text():
+    """Looking around odd tokens finds every run that a scan of the whole text finds."""
+    rnd = random.Random(12)
+    ordinary = frozenset({"of", "it", "a", "the", "an"})
+    parts = ["of", "it", "a", "the", "an", "idiot", "longer", "i", "d", "@", "$s", "id", "iot", "1", "x.y", "i.d.i", "(of", "of)", "é", "a-b-c",
+             "word,of", "of,", "..", "-", "_a_", "*", "b's", "thé", "a\u0301", "12345", "wo_rd"]
+    gaps = [" ", " ", "  ", "\n", " . ", "\t", ", ", "    "]
+    for _ in range(3000):
+        text = "".join(rnd.choice(parts) + rnd.choice(gaps) for _ in range(rnd.randint(0, 14)))
+        low = text.lower()
+        for known in (ordinary, frozenset()):
+            whole = {m.group(0) for m in toxicity._SPACED.finditer(low)}
+            assert toxicity.runs_of(low, set(low.split()), known) == {r for r in whole if toxicity.spaced(r, known)}, text

@@ -83,6 +83,7 @@ _GAP = r"[\s.\-_*]{1,3}"
 _SPACED = re.compile(rf"(?<!{_SIGN}){_SIGN}{{1,{PIECE}}}(?:{_GAP}{_SIGN}{{1,{PIECE}}}(?!{_SIGN}))+")
 _INNER = np.ones(256, bool)  # bytes of a token without its edge characters
 _INNER[[*_EDGE.encode(), *range(0x20)]] = False
+_TOKEN = re.compile(r"\S+")
 _GAPS = re.compile(f"({_GAP})")
 _RUN = re.compile(r"([^\W\d_])\1\1+")
 _LOOKALIKE = re.compile("[" + re.escape("".join(LEET)) + "]")
@@ -227,11 +228,49 @@ def spaced(run: str, ordinary: frozenset[str] = frozenset()) -> bool:
     return not ordinary.issuperset(_GAPS.split(run)[::2]) and bool(_LETTER.search(run))
 
 
+def _core(token: str) -> str:
+    """A token without the characters at its ends that part no pieces or stand between them."""
+    return token.strip(",;:?\"'.-_*")
+
+
+def runs_of(low: str, tokens: set[str], ordinary: frozenset[str]) -> set[str]:
+    """The runs of spaced pieces of a lower-case text that are a sign of the channel.
+
+    Most tokens are an ordinary short word or a longer one, which is no piece. Runs are
+    looked for around the others only, up to the next longer words on both sides,
+    which no run crosses.
+    """
+    odd, longer = set(), set()
+    for token in tokens:
+        core = _core(token)
+        if core.isalpha() and len(core) > PIECE:
+            longer.add(token)
+        elif core and core not in ordinary:
+            odd.add(token)
+    if not odd:
+        return set()
+    spots = [m.span() for m in _TOKEN.finditer(low)]
+    words = [low[a:b] for a, b in spots]
+    found, done = set(), -1
+    for k, word in enumerate(words):
+        if k <= done or word not in odd:
+            continue
+        first = last = k
+        while first and words[first - 1] not in longer:
+            first -= 1
+        while last + 1 < len(words) and words[last + 1] not in longer:
+            last += 1
+        done = last
+        found.update(m.group(0) for m in _SPACED.finditer(low[spots[first][0] : spots[last][1]]))
+    return {run for run in found if spaced(run, ordinary)}
+
+
 def words_of(text: str, ordinary: frozenset[str] = frozenset()) -> list[str]:
     """The different lower-case tokens of a text without their edges, then its runs of
     spaced pieces as they stand."""
     low = text.lower()
-    return [*{t.strip(_EDGE) for t in set(low.split())}, *(run for run in {m.group(0) for m in _SPACED.finditer(low)} if spaced(run, ordinary))]
+    tokens = set(low.split())
+    return [*{t.strip(_EDGE) for t in tokens}, *runs_of(low, tokens, ordinary)]
 
 
 def restored_word(token: str, model: list) -> str:
