@@ -90,45 +90,56 @@ _LOOKALIKE = re.compile("[" + re.escape("".join(LEET)) + "]")
 _LETTER = re.compile(r"[a-z]")
 
 
-def character_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(code, n)``: trigrams of character classes over all texts; at most 28 cubed rows."""
+def corpus_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``(code, word, n)`` in one pass over all texts: trigrams of character classes
+    (``code`` from 0, at most 28 cubed rows), all words (``code`` -1), and each word of up to
+    ``PIECE`` characters (``word``)."""
 
     def run(batches):
         for batch in batches:
-            total = np.zeros(N_CLASSES**3, np.int64)
-            for _, _, buf, _ in text_blocks(batch, text):
+            total, n_words = np.zeros(N_CLASSES**3, np.int64), 0
+            words, times = [], []
+            for _, _, buf, offsets in text_blocks(batch, text):
                 c = np.concatenate([[0, 0], _CLASS[buf], [0]])
                 code = (c[:-2] * N_CLASSES + c[1:-1]) * N_CLASSES + c[2:]
                 total += np.bincount(code, minlength=N_CLASSES**3)
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["code", "n"])
-
-    return docs.select(text).mapInArrow(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def short_words(docs: DataFrame, text: str = "text") -> frozenset[str]:
-    """The ordinary short words of a corpus; at most ``1 / ORDINARY`` of them."""
-
-    def run(batches):
-        for batch in batches:
-            for _, _, buf, offsets in text_blocks(batch, text):
                 starts, ends = word_bounds(buf, offsets, _INNER)
+                n_words += len(starts)
                 character = np.append(0, np.cumsum((buf & 0xC0) != 0x80))
                 short = character[ends] - character[starts] <= PIECE
                 at, size = starts[short], (ends - starts)[short]
-                words = np.zeros((len(at), 4 * PIECE), np.uint8)
+                spelled = np.zeros((len(at), 4 * PIECE), np.uint8)
                 for k in range(4 * PIECE):
                     held = size > k
-                    words[held, k] = LOWER[buf[at[held] + k]]
-                found, n = np.unique(words.view(f"S{4 * PIECE}").ravel(), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([None, *(w.decode() for w in found.tolist())], pa.string()),
-                     pa.array([len(starts), *n.tolist()], pa.int64())], names=["word", "n"])
+                    spelled[held, k] = LOWER[buf[at[held] + k]]
+                found, n = np.unique(spelled.view(f"S{4 * PIECE}").ravel(), return_counts=True)
+                words += found.tolist()
+                times += n.tolist()
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*at.tolist(), -1, *[None] * len(words)], pa.int64()),
+                 pa.array([*[None] * (len(at) + 1), *(w.decode() for w in words)], pa.string()),
+                 pa.array([*total[at].tolist(), n_words, *times], pa.int64())], names=["code", "word", "n"])
+
+    counted = docs.select(text).mapInArrow(run, "code bigint, word string, n bigint")
+    return counted.groupBy("code", "word").agg(F.sum("n").alias("n"))
+
+
+def character_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``(code, n)``: trigrams of character classes over all texts."""
+    return corpus_counts(docs, text).where("code >= 0").select("code", "n")
 
-    counted = docs.select(text).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    every = counted.where("word IS NULL").select("n")  # all words, short or not
+
+def ordinary_words(counted: DataFrame) -> frozenset[str]:
+    """The ordinary short words among :func:`corpus_counts`; at most ``1 / ORDINARY``."""
+    every = counted.where("code = -1").agg(F.sum("n").alias("n")).head()["n"] or 0
     share = F.when(F.char_length("word") == 1, ORDINARY_LETTER).otherwise(ORDINARY)
-    return frozenset(r.word for r in counted.where(F.col("word").isNotNull() & (F.col("n") >= share * every.scalar())).collect())
+    return frozenset(r.word for r in counted.where(F.col("word").isNotNull() & (F.col("n") >= share * F.lit(every))).collect())
+
+
+def short_words(docs: DataFrame, text: str = "text") -> frozenset[str]:
+    """The ordinary short words of a corpus."""
+    return ordinary_words(corpus_counts(docs, text))
 
 
 def character_model(counts: list[tuple[int, int]]) -> list:
@@ -430,8 +441,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[list, frozenset[str], dict[
 
     ``docs(doc_id, text)``; ``labels(doc_id, toxic)``. Held-out rows are never read.
     """
-    model = character_model([tuple(r) for r in character_counts(docs).collect()])
-    ordinary = short_words(docs)
+    counted = corpus_counts(docs).persist()  # executors' memory or disk, recomputed if lost
+    try:
+        model = character_model([tuple(r) for r in counted.where("code >= 0").select("code", "n").collect()])
+        ordinary = ordinary_words(counted)
+    finally:
+        counted.unpersist()
     reader = docs.sparkSession.sparkContext.broadcast(Reader(model, ordinary))  # at most 1 / ORDINARY words
     rows = (
         labels.where(f"toxic IS NOT NULL AND NOT {HELD_OUT}").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
