@@ -21,6 +21,12 @@ SHOWN = {
     "top_customers": "top-k over an aggregate",
     "grouped_revenue_reports": "category, country and customer aggregates in one grouping-sets pass (one Expand, one shuffle)",
     "pareto_by_customer_ranged": "Pareto over 15k customers without a single-partition window",
+    "pareto_by_category": "Pareto of a short dimension: one window, one evaluation",
+    "pareto_by_customer_ordered": "Pareto from rows written in order once",
+    "customers_up_to_80_prefix": "the place of a share: only the range that crosses it is read",
+    "render_all_customers": "numbering of rows written in order: no shuffle, no sort of the rows",
+    "spending_by_customer_bucketed": "customer report over the bucketed join result: no Exchange",
+    "enrich_hot_product": "a product in a third of the lines: its lines alone dealt over salts",
     "accepted_lines": "text lines -> validator (projections; only the outcome passes the one-row generator) -> accepted",
     "shop_revenue_by_category": "the reference's run: parsed lines x parsed catalog -> >= 20 -> per category",
 }

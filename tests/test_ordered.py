@@ -145,6 +145,11 @@ def test_one_evaluation_of_the_input(spark):
     assert seen.value == 1000
 
 
+def test_reserved_names(spark, report):
+    with pytest.raises(ValueError):
+        Ordered.of(report.withColumn("_range", F.lit(1)), "amount", "key")
+
+
 def test_release_deletes_the_folder(spark, report):
     import os
 

@@ -36,6 +36,7 @@ from tillroll.session import drop_folder, shared_folder, written
 
 # Bits of ``_at`` below the range: the layout of monotonically_increasing_id.
 PLACE_BITS = 33
+RESERVED = frozenset(("_at", "_pos", "_range", "_copy", "_n", "_n_before", "_n_all", "_c", "_c_before", "_c_all", "_cum", "_total"))
 
 
 class Ordered:
@@ -50,6 +51,9 @@ class Ordered:
            split_copies: bool = False) -> "Ordered":
         """Write ``df`` in order. ``ranges``: how many (default: the session's shuffle
         partitions; small ones are merged by AQE)."""
+        taken = RESERVED.intersection(df.columns)
+        if taken:
+            raise ValueError(f"columns {sorted(taken)} are the names that ordered rows use themselves")
         keys = [keys] if isinstance(keys, str) else list(keys)
         spark, copies = df.sparkSession, None
         order = [F.col(quote(score)).cast("double").desc_nulls_last(), *[F.col(quote(k)).asc() for k in keys]]
